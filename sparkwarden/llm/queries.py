@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwarden.llm import exact_dedup, simhash, substring_dedup
+from sparkwarden.llm import decontaminate, exact_dedup, quality, sentencepiece_codec, simhash, substring_dedup, token_counts, token_store, toxicity, url_filter
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+#: What op10 appends to each document.
+END_ID = 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +20,22 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
 
@@ -23,11 +44,19 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), window=35)
 
 
-QUERIES = {
-    "op1_exact_dedup": op1_exact_dedup,
-    "op6_simhash": op6_simhash,
-    "op7_substring_dedup": op7_substring_dedup,
-}
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "tokens", end_id=END_ID)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_decontamination, op3_token_counts, op4_url_filter, op5_sentencepiece, op6_simhash, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_store)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
@@ -35,4 +64,15 @@ ORACLES = {
         SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op4_url_filter": r"""
+        WITH rules(rhost, rpath, verdict) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
+               ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS r FROM pages),
+        h AS (SELECT page_id,
+                translate(coalesce(regexp_extract(r, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') AS path FROM u),
+        m AS (SELECT h.*, rhost || rpath AS rule, verdict,
+                row_number() OVER (PARTITION BY page_id ORDER BY length(rhost || rpath) DESC) AS k
+              FROM h LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM m WHERE k = 1""",
 }

@@ -1,7 +1,8 @@
 """SimHash near-deduplication: segment popcounts, a grid range-join under Manhattan distance, exact verification.
 
-Fingerprints are cut into segments of ``width`` bits; the vector of the segments' bit counts moves by at most as much
-(in Manhattan distance) as the fingerprint does in Hamming distance.  The vectors are cut into ``parts``; of two
+Fingerprints are cut into segments whose sizes repeat ``widths`` (small segments tell more fingerprints apart, large
+ones have fewer grid points); the vector of the segments' bit counts moves by at most as much (in Manhattan distance)
+as the fingerprint does in Hamming distance.  The vectors are cut into ``parts``; of two
 vectors within ``radius``, at least one part is within ``radius // parts``.  In each part a pair within distance 2
 shares a grid point at distance 1 or less from both, so every fingerprint registers at its own point and at the
 points one step away, and an equi join on grid points finds all pairs within the bound.  Their Hamming distance is
@@ -54,26 +55,34 @@ def distance(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def _segments(width: int, parts: int) -> list[list[tuple[int, int]]]:
+#: Sizes of the segments, repeated to the end of the fingerprint.
+WIDTHS = (2, 1)
+
+
+def _segments(widths: tuple[int, ...], parts: int) -> list[list[tuple[int, int]]]:
     """For each part, its segments as (first bit, bits)."""
-    segments = [(k, min(width, 64 - k)) for k in range(0, 64, width)]
+    segments, at = [], 0
+    while at < 64:
+        n = min(widths[len(segments) % len(widths)], 64 - at)
+        segments.append((at, n))
+        at += n
     cut = [round(p * len(segments) / parts) for p in range(parts + 1)]
     return [segments[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
 
-def grid_points(fps: DataFrame, radius: int, width: int, parts: int) -> DataFrame:
+def grid_points(fps: DataFrame, radius: int, widths: tuple[int, ...], parts: int) -> DataFrame:
     """The rows of ``fps`` (column ``fp``) once for each grid point (``cell``) at which they register.
 
-    A grid point is a part and the bit counts of its segments, packed two bits each (one for 1-bit segments).
+    A grid point is a part and the bit counts of its segments, packed two bits each (one if all segments are one bit).
     """
     reach = radius // parts
     if reach > 2:
         raise ValueError("radius // parts must be 2 or less")
-    if width not in (1, 2, 3):
-        raise ValueError("width must be 1, 2 or 3 bits")
-    room = 1 if width == 1 else 2
+    if not set(widths) <= {1, 2, 3}:
+        raise ValueError("segments have 1, 2 or 3 bits")
+    room = 1 if set(widths) == {1} else 2
     cells = []
-    for p, segments in enumerate(_segments(width, parts)):
+    for p, segments in enumerate(_segments(widths, parts)):
         if len(segments) * room > 56:
             raise ValueError("too many segments in a part")
         counts = [F.bit_count(F.col("fp").bitwiseAND(F.lit(((1 << n) - 1) << at if at + n < 64 else -(1 << at)).cast("long"))).cast("long") for at, n in segments]
@@ -97,7 +106,7 @@ def _star_links(fps: DataFrame, radius: int) -> DataFrame:
     return spread.join(top, (spread["of"] == top["of"]) & (spread["fp"] != top["hub"]) & (distance("fp", "hub") <= radius)).select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
 
 
-def fingerprint_links(fps: DataFrame, radius: int = 4, width: int = 2, parts: int = 2) -> DataFrame:
+def fingerprint_links(fps: DataFrame, radius: int = 4, widths: tuple[int, ...] = WIDTHS, parts: int = 2) -> DataFrame:
     """Links ``(a, b)`` between distinct fingerprints whose components are those of *all* pairs within ``radius``.
 
     ``fps`` has distinct ``fp`` (long) and their frequency ``n``.  Pairs inside a component that is already joined are
@@ -106,7 +115,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, width: int = 2, parts: in
     stars = written(_star_links(fps, radius), "stars")
     known = connected_components(stars, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("c"))
     labelled = written(fps.join(known, "fp", "left").select("fp", F.coalesce("c", "fp").alias("c")), "labelled")
-    points = grid_points(labelled, radius, width, parts)
+    points = grid_points(labelled, radius, widths, parts)
     # Grid points with one component only have nothing left to find.
     sizes = points.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("cell").alias("at"), F.col("top.c").alias("largest"))
@@ -119,7 +128,7 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, width: int = 2, parts: in
     return stars.unionByName(found.select("pair.a", "pair.b"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, width: int = 2, parts: int = 2, seed: int = 42) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, widths: tuple[int, ...] = WIDTHS, parts: int = 2, seed: int = 42) -> DataFrame:
     """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits) and ``component_id``.
 
     Fingerprints link at ``radius`` or fewer differing bits; the component is the smallest id reachable.  Rows with
@@ -128,10 +137,95 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shingle=shingle, seeds=(seed,)).withColumnRenamed("f0", "fp"), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
-    nodes = connected_components(fingerprint_links(classes, radius, width, parts), "a", "b")
+    nodes = connected_components(fingerprint_links(classes, radius, widths, parts), "a", "b")
     # Components have numbers of fingerprints; each gets the smallest id of its classes.
     lone = classes.join(nodes, classes["fp"] == nodes["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     smallest = lone.groupBy("c").agg(F.min("least").alias("component_id"))
     named = written(lone.select("fp", (F.col("c") + 0).alias("c")).join(smallest.select((F.col("c") + 0).alias("c"), "component_id"), "c").select("fp", "component_id"), "named")
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return rows.join(named, "fp").select(F.col("doc_id").alias(id_col), hexed.alias("fingerprint"), "component_id")
+
+
+def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """``(id, hashes)``: the sorted distinct shingle hashes of each text, as bytes."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = arrays.as_strings(batch.column(1))
+            for a, b in arrays.slices(texts):
+                words = arrays.split_words(*arrays.buffers(texts.slice(a, b - a)), lower=True)
+                start, length, first = arrays.shingles(words, shingle)
+                hashes = arrays.xxh64(words.data, start, length)
+                sets = [np.unique(hashes[x:y]).tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], [id_col, "hashes"])
+
+    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, hashes binary")
+
+
+def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` of ids whose texts' shingle sets have a Jaccard similarity of ``similarity`` or more.
+
+    Two texts without words are alike.  ``docs`` has ``doc_id`` and ``text``; only documents in a pair are read further.
+    """
+    pairs = written(pairs, "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    sets = written(_shingle_sets(docs.join(needed, "doc_id", "left_semi"), "doc_id", "text", shingle), "sets")
+    of_a, of_b = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 8, widths: tuple[int, ...] = WIDTHS, parts: int = 3, seeds: tuple[int, ...] = (42, 43)) -> DataFrame:
+    """One row per row of ``docs``: id and ``component_id``, for links of ``similarity`` or more on word shingles.
+
+    Candidates are documents with ``radius`` or fewer differing bits in any of several SimHashes; their shingle sets are
+    then compared exactly.  Links to frequent fingerprints come first; where several candidates of one component
+    remain for a document, the nearest is compared.  Ids are integers; rows without an id are left out of groups
+    (component null), rows that repeat an id are one document.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    names = [f"f{k}" for k in range(len(seeds))]
+    rows = written(fingerprints(own.where("doc_id is not null"), shingle=shingle, seeds=seeds), "fingerprints")
+    classes = written(rows.groupBy(*names).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
+    same = rows.join(classes.select(*(F.col(n).alias(f"_{n}") for n in names), "rep"), [F.col(n) == F.col(f"_{n}") for n in names]).where("doc_id <> rep")
+    stars = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    for k, name in enumerate(names):
+        quarter = classes.select("rep", "n", F.col(name).alias("fp"), F.explode(F.array(*[F.shiftrightunsigned(name, 16 * q).bitwiseAND(F.lit(0xFFFF)).cast("long") + F.lit((4 * k + q) << 16) for q in range(4)])).alias("key"))
+        top = quarter.groupBy("key").agg(F.max(F.struct("n", "rep", "fp")).alias("top")).select((F.col("key") + 0).alias("of"), F.col("top.rep").alias("hub"), F.col("top.fp").alias("hub_fp"))
+        spread = quarter.select("rep", "fp", (F.col("key") + 0).alias("of"))
+        near = spread.join(top, (spread["of"] == top["of"]) & (spread["rep"] != top["hub"]) & (distance("fp", "hub_fp") <= 2 * radius))
+        stars = stars.unionByName(near.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
+    first = written(verified_links(stars.distinct(), own, shingle, similarity), "first")
+    known = connected_components(first, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("c"))
+    labelled = written(classes.join(known, "rep", "left").select("rep", *names, F.coalesce("c", "rep").alias("c")), "labelled")
+    points = None
+    for k, name in enumerate(names):
+        part = grid_points(labelled.select("rep", "c", F.col(name).alias("fp")), radius, widths, parts).withColumn("cell", F.col("cell") + F.lit(k << 60))
+        points = part if points is None else points.unionByName(part)
+    sizes = points.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
+    mixed = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("cell").alias("at"), F.col("top.c").alias("largest"))
+    held = written(points.join(mixed, F.col("cell") == F.col("at")).select("cell", "rep", "fp", "c", "largest"), "points")
+    few = held.where("c <> largest").select((F.col("cell") + 0).alias("x_cell"), F.col("rep").alias("x"), F.col("fp").alias("x_fp"), F.col("c").alias("x_c"))
+    many = held.select((F.col("cell") + 0).alias("y_cell"), F.col("rep").alias("y"), F.col("fp").alias("y_fp"), F.col("c").alias("y_c"))
+    found = few.join(many, (few["x_cell"] == many["y_cell"]) & (few["x_c"] != many["y_c"]) & (distance("x_fp", "y_fp") <= radius))
+    nearest = found.groupBy("x", "y_c").agg(F.min(F.struct(distance("x_fp", "y_fp").alias("d"), F.col("y").alias("y"))).alias("to"))
+    second = verified_links(nearest.select(F.least("x", "to.y").alias("a"), F.greatest("x", "to.y").alias("b")).distinct(), own, shingle, similarity)
+    nodes = connected_components(first.unionByName(second), "a", "b").withColumnRenamed("component", "component_id")
+    return own.select("doc_id").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one document of each group of near copies, that of the smallest id; all columns stay."""
+    groups = near_copies(docs, id_col, text_col, **options)
+    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")

@@ -42,9 +42,9 @@ def test_fingerprints_equal_brute_force(spark):
     assert got == {i: f"{one_simhash(t):016x}" for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("radius,width,parts", [(4, 2, 2), (4, 1, 3), (8, 1, 3), (8, 2, 3), (4, 3, 2)])
-def test_links_equal_brute_force(spark, radius, width, parts):
-    rng = random.Random(radius * 10 + width)
+@pytest.mark.parametrize("radius,widths,parts", [(4, (2, 1), 2), (4, (1,), 3), (8, (2, 1), 3), (4, (3,), 2)])
+def test_links_equal_brute_force(spark, radius, widths, parts):
+    rng = random.Random(radius * 10 + len(widths))
     fps = {0, 1, (1 << 64) - 1, 1 << 63}
     for _ in range(25):
         x = rng.getrandbits(64)
@@ -54,7 +54,7 @@ def test_links_equal_brute_force(spark, radius, width, parts):
                 x ^= 1 << rng.randrange(64)
     signed = sorted(x - (1 << 64) if x >> 63 else x for x in fps)
     frame = spark.createDataFrame([(x, 1 + abs(x) % 3) for x in signed], "fp long, n long")
-    links = simhash.fingerprint_links(frame, radius, width, parts).collect()
+    links = simhash.fingerprint_links(frame, radius, widths, parts).collect()
     at = {x: k for k, x in enumerate(signed)}
     diff = lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count()
     assert all(diff(r["a"], r["b"]) <= radius for r in links)
@@ -93,3 +93,37 @@ def test_substring_texts_and_empty(spark):
     long = " ".join(f"w{k}" for k in range(50))
     got = rows_of(substring_dedup.remove_repeated(docs_of(spark, [long + " end", "start\n" + long, "a  b"]), with_text=True), "doc_id", "n_removed", "kept_text")
     assert got == [(0, 50, "end"), (1, 50, "start"), (2, 0, "a b")]
+
+
+def jaccard(a, b, size=5):
+    cut = lambda t: {" ".join(w[i : i + size]) for w in [t.lower().split()] for i in range(max(1, len(w) - size + 1))}
+    a, b = cut(a), cut(b)
+    return len(a & b) / len(a | b)
+
+
+def test_near_copies(spark):
+    """Light edits are found, nothing below the bound is linked, copies of different spacing count."""
+    rng = random.Random(8)
+    texts, base = [], []
+    for _ in range(25):
+        w = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(rng.randint(80, 300))]
+        base.append(len(texts))
+        texts.append(" ".join(w))
+        for edits in (1, 2, 40):
+            v = list(w)
+            for at in rng.sample(range(len(v)), edits):
+                v[at] = "zz"
+            texts.append(" ".join(v))
+    texts += [texts[0] + " ", "", None, "one"]
+    df = docs_of(spark, texts, True)
+    got = dict(rows_of(simhash.near_copies(df), "doc_id", "component_id"))
+    for i, c in got.items():
+        if c != i and i < 100:
+            assert i // 4 == c // 4 and jaccard(texts[i], texts[c]) >= 0.8
+    light = [b + k for b in base for k in (1, 2) if jaccard(texts[b], texts[b + k]) >= 0.9]
+    assert sum(got[i] != i for i in light) >= 0.95 * len(light)
+    assert got[100] == 0 and got[102] == 101 and got[103] == 103
+    assert rows_of(simhash.drop_near_copies(df), "doc_id") == sorted(((i,) for i in got if got[i] == i), key=repr)
+    assert simhash.near_copies(docs_of(spark, [])).count() == 0
+    null_ids = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], "doc_id long, text string")
+    assert rows_of(simhash.drop_near_copies(null_ids), "doc_id") == [(1,), (1,), (None,)]
