@@ -1,6 +1,7 @@
-"""The registered queries of the security analytics operators."""
+"""All registered queries of the security analytics operators."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from sparkwarden.queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
