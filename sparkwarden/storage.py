@@ -19,11 +19,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """The rows of ``df``, written once as Parquet to the shared folder and read back.
 
-    Later plans start from files, so a lost executor costs the reading of a file and not the work before it.
+    Later plans start from files, so a lost executor costs the reading of a file and not the work before it.  Spark
+    deletes the shuffle files of a finished plan once the driver has collected its garbage; ``free`` has it do so now,
+    for phases that shuffle as much as they read.
     """
     path = f"{shared_dir(df.sparkSession)}/sparkwarden/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if free:
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
