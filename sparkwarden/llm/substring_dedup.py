@@ -10,7 +10,8 @@ Windows of ``window`` words that occur twice anywhere are found without comparin
 3. *Removal.* Words under a repeated window go.
 
 Counts are combined before each shuffle, so a passage in a third of all documents is no hot group, and nothing is
-paired.  Anchors are only a filter; windows count as equal by two independent 64-bit hashes.
+paired.  Anchors are only a filter.  Windows count as equal by a 64-bit hash of their words' 64-bit hashes: among n
+distinct candidate windows about n * n / 2**65 pairs collide, a few in ten billion.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from sparkwarden.storage import written
 #: A perfect difference set: every residue modulo 21 is a difference of two of its members.
 PERIOD = 21
 COVER = (3, 6, 7, 12, 14)
-_PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
+_HASH_BYTES = 8
 
 
 def _positions(words: arrays.Words) -> np.ndarray:
@@ -97,10 +98,7 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np
                 starts = np.arange(len(hashes))
                 candidate = (starts <= last) & (hit[np.minimum(starts + PERIOD, len(hashes))] > hit[starts])
                 chosen = np.flatnonzero(candidate)
-                both = np.zeros(len(chosen), _PAIR)
-                if len(chosen):
-                    both["a"] = arrays.window_hashes(hashes, window, 2)[chosen]
-                    both["b"] = arrays.window_hashes(hashes, window, 3)[chosen]
+                full = arrays.window_hashes(hashes, window, 2)[chosen]
                 # A run ends where the next candidate isn't the next word, or is in another document.
                 cuts = np.flatnonzero(np.r_[True, (np.diff(chosen) > 1) | (at[chosen[1:]] == 0)]) if len(chosen) else np.zeros(0, np.int64)
                 ends = np.r_[cuts[1:], len(chosen)].astype(np.int64)
@@ -121,7 +119,7 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np
                         out["sha"].append(None)
                         out["text"].append(texts[k].as_py())
                     out["first"].append([int(at[chosen[cuts[r]]]) for r in range(lo, hi)])
-                    out["runs"].append([both[cuts[r] : ends[r]].tobytes() for r in range(lo, hi)])
+                    out["runs"].append([full[cuts[r] : ends[r]].tobytes() for r in range(lo, hi)])
                 kinds = {"row": pa.int64(), "n_words": pa.int64(), "sha": pa.string(), "text": pa.string(), "first": pa.list_(pa.int32()), "runs": pa.list_(pa.binary())}
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(v, kinds[k]) for k, v in out.items())], [id_col, *out])
 
@@ -129,26 +127,25 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np
 
 
 def _windows(runs: DataFrame, with_place: bool) -> DataFrame:
-    """The windows of runs: hashes ``a`` and ``b``, and ``n`` (of the run) or their place (``row``, ``at``)."""
+    """The windows of runs: their hash ``h``, and ``n`` (of the run) or their place (``row``, ``at``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
                 blobs = part.column(0).to_pylist()
-                pairs = np.frombuffer(b"".join(blobs), _PAIR)
-                per = np.array([len(x) // _PAIR.itemsize for x in blobs])
-                hashes = [pa.array(np.ascontiguousarray(pairs[k]).view(np.int64)) for k in "ab"]
+                hashes = np.frombuffer(b"".join(blobs), np.int64)
+                per = np.array([len(x) // _HASH_BYTES for x in blobs])
                 if with_place:
                     base = np.cumsum(per) - per
-                    at = np.arange(len(pairs)) - np.repeat(base - part.column(2).to_numpy(), per)
-                    yield pa.RecordBatch.from_arrays([*hashes, pa.array(np.repeat(part.column(1).to_numpy(), per)), pa.array(at)], ["a", "b", "row", "at"])
+                    at = np.arange(len(hashes)) - np.repeat(base - part.column(2).to_numpy(), per)
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.repeat(part.column(1).to_numpy(), per)), pa.array(at)], ["h", "row", "at"])
                 else:
-                    yield pa.RecordBatch.from_arrays([*hashes, pa.array(np.repeat(part.column(1).to_numpy(), per))], ["a", "b", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.repeat(part.column(1).to_numpy(), per))], ["h", "n"])
 
     if with_place:
-        return runs.select("hashes", "row", F.col("first").cast("long")).mapInArrow(run, "a long, b long, row long, at long")
-    return runs.select("hashes", F.col("n").cast("long")).mapInArrow(run, "a long, b long, n long")
+        return runs.select("hashes", "row", F.col("first").cast("long")).mapInArrow(run, "h long, row long, at long")
+    return runs.select("hashes", F.col("n").cast("long")).mapInArrow(run, "h long, n long")
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, with_text: bool = False, bits: int = bitmap.BITS) -> DataFrame:
@@ -162,16 +159,16 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if window <= PERIOD:
         raise ValueError(f"window must be over {PERIOD} words")
     anchors = anchor_counts(docs, text_col, window).where("n > 1")
-    marked = written(_mark(docs, id_col, text_col, window, bitmap.build(anchors, "h", bits), with_text), "marked")
+    marked = written(_mark(docs, id_col, text_col, window, bitmap.build(anchors, "h", bits), with_text), "marked", free=True)
     listed = marked.where(F.size("runs") > 0).select("row", F.explode(F.arrays_zip("first", "runs")).alias("r")).select("row", F.col("r.first").alias("first"), F.col("r.runs").alias("hashes"))
-    keyed = listed.select("row", "first", "hashes", F.xxhash64("hashes").alias("d1"), F.xxhash64("hashes", F.lit(1)).alias("d2"), (F.length("hashes") / _PAIR.itemsize).cast("int").alias("size"))
+    keyed = listed.select("row", "first", "hashes", F.xxhash64("hashes").alias("d1"), F.xxhash64("hashes", F.lit(1)).alias("d2"), (F.length("hashes") / _HASH_BYTES).cast("int").alias("size"))
     groups = keyed.groupBy("d1", "d2", "size").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first")).alias("one"))
     # Joined on the first place of each group: every run is read once more, but only its first copy keeps its hashes.
     firsts = groups.select(F.col("one.row").alias("row"), F.col("one.first").alias("first"), "n")
-    distinct_runs = written(keyed.select("row", "first", "hashes").join(firsts, ["row", "first"]), "runs")
-    repeated = _windows(distinct_runs, False).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 1").select("a", "b")
+    distinct_runs = written(keyed.select("row", "first", "hashes").join(firsts, ["row", "first"]), "runs", free=True)
+    repeated = written(_windows(distinct_runs, False).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "repeated", free=True)
     single = _windows(distinct_runs.where("n = 1"), True)
-    places = single.join(repeated.select((F.col("a") + 0).alias("ra"), (F.col("b") + 0).alias("rb")), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb")), "left_semi")
+    places = single.join(repeated, "h", "left_semi")
     spans = places.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at"))
     # Runs that are copied whole: every window of every copy is repeated.
     lone = distinct_runs.where("n = 1").select((F.col("row") + 0).alias("row"), F.col("first"))
