@@ -1,99 +1,175 @@
-"""Pre-tokens of public BPE tokenizers, and what the library makes of each, kept in worker caches.
+"""What a BPE tokenizer makes of a text's words, kept in worker caches.
 
-A byte-pair tokenizer encodes every pre-token by itself, so a text's tokens are those of its pre-tokens.  Pre-tokens
-are cut here by the tokenizer's own pattern; texts with characters on which regular expression engines or Unicode
-versions may differ, or with special strings, go to the library whole, so results are always the library's.
+Both kinds of public tokenizers here cut texts at blanks before they merge bytes, so a text's ids are those of its
+words, one after the other:
+
+* tokenizers that drop blanks (``WordCodes``): words are runs between ASCII blanks;
+* byte-level tokenizers (``spaced_pieces``): a word takes the single space before it along.  That holds where no space
+  follows another blank and the text does not end in a blank.
+
+Words go to the library as they are, special strings included, so every result is the library's; texts outside these
+conditions go to the library whole.
 """
 
 from __future__ import annotations
 
 import json
+import os
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
-#: Entries that a worker's cache holds before it is emptied.
-CACHE_ENTRIES = 400_000
+#: Entries that a worker's cache holds before it keeps only the more frequent half, or is emptied.
+CACHE_ENTRIES = 300_000
+#: Latin words of which it is certain how many pre-tokens they have.
+_PLAIN = regex.compile(r"[!-~\u00C0-\u012F\u0131-\u024F]+")
+#: Bytes that begin blanks outside ASCII (or are taken for blanks by some): texts with them go to the library.
+_ODD = np.zeros(256, bool)
+_ODD[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
+_PAIRS = tuple(b + " " for b in " \t\n\r\x0b\x0c")
+_BLANKS = tuple(" \t\n\r\x0b\x0c")
+
+
+def load(path: str) -> Tokenizer:
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
+    out = Tokenizer.from_file(path)
+    out.no_padding()
+    out.no_truncation()
+    return out
+
+
+def encode(library: Tokenizer, texts: list[str]) -> list[list[int]]:
+    return [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def kind_of(path: str) -> str | None:
+    """``spaced`` (byte-level, keeps blanks), ``blankless`` (drops blanks), or None for any other tokenizer."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]] if spec["normalizer"] else [])
+    cuts = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or set(t["content"]) & set(" \t\n\r\x0b\x0c") for t in spec["added_tokens"]):
+        return None
+    if not steps and len(cuts) == 1 and cuts[0]["type"] == "ByteLevel" and cuts[0]["use_regex"] and not cuts[0]["add_prefix_space"]:
+        return "spaced"
+    known = all(s["type"] in ("NFC", "Lowercase") or s.get("pattern") == {"Regex": "\\s+"} and s["content"] == " " for s in steps)
+    # The pattern keeps letters, numbers and runs of what is neither, so no match crosses a blank.
+    keeps = cuts[0]["type"] == "Split" and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and cuts[0]["pattern"].get("Regex", "").endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+    if known and keeps and [c["type"] for c in cuts[1:]] == ["ByteLevel"] and not cuts[1]["use_regex"] and not cuts[1]["add_prefix_space"]:
+        return "blankless"
+    return None
+
 
-# The cutting pattern of byte-level BPE, which its files imply but don't spell out.
-BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+def odd_documents(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which documents of a slice have bytes that may be blanks outside ASCII."""
+    out = np.zeros(len(offsets) - 1, bool)
+    out[np.searchsorted(offsets, np.flatnonzero(_ODD[data]), side="right") - 1] = True
+    return out
 
-#: Characters on which all engines agree: Latin, without controls that only some count as blanks, and without the
-#: dotted capital I, whose lower case is two characters.  All of them are their own NFC.
-_PLAIN = regex.compile(r"[\x00-\x1B\x20-įı-ɏ]*+")
 
+def spaced_pieces(text: str) -> list[str] | None:
+    """The pieces between single spaces, or None where a text's ids are not those of its pieces."""
+    if text.endswith(_BLANKS) or any(p in text for p in _PAIRS):
+        return None
+    return text.split(" ")
 
-class Pretokenizer:
-    """Cuts texts into pre-tokens as the tokenizer in ``path`` does, where that is certain."""
+
+class WordCodes:
+    """Ids of texts by a tokenizer that drops blanks, from a cache of its words' ids in one flat array.
+
+    Words that the cache lacks are encoded together, as one text.  Where every pre-token ends in a token of its own kind
+    (``</w>``), the ids are dealt to the words by the number of their pre-tokens; other words are encoded one by one.
+    """
 
     def __init__(self, path: str):
+        self.library = load(path)
+        self.by_word = kind_of(path) == "blankless"
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_padding()
-        self.library.no_truncation()
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.find = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall if self.by_word and suffix else None
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        if suffix:
+            self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.special = [t["content"] for t in spec["added_tokens"]]
-        steps = (spec["normalizer"] or {}).get("normalizers", [spec["normalizer"]] if spec["normalizer"] else [])
-        cuts = spec["pre_tokenizer"].get("pretokenizers", [spec["pre_tokenizer"]])
-        self.lower = any(s["type"] == "Lowercase" for s in steps)
-        known = all(s["type"] in ("NFC", "Lowercase") or s.get("pattern") == {"Regex": "\\s+"} and s["content"] == " " for s in steps)
-        if cuts[0]["type"] == "ByteLevel" and cuts[0]["use_regex"] and not cuts[0]["add_prefix_space"] and len(cuts) == 1 and not steps:
-            pattern = BYTE_LEVEL_PATTERN
-        elif known and cuts[0]["type"] == "Split" and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"] and [c["type"] for c in cuts[1:]] == ["ByteLevel"] and not cuts[1]["use_regex"]:
-            pattern = cuts[0]["pattern"]["Regex"]
-        else:
-            pattern = None  # every text goes to the library
-        self._find = regex.compile(pattern).findall if pattern else None
-
-    def cut(self, text: str) -> list[str] | None:
-        """The pre-tokens, or None where only the library can tell."""
-        if self._find is None or _PLAIN.fullmatch(text) is None or any(s in text for s in self.special):
-            return None
-        return self._find(text.lower() if self.lower else text)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-class Codes:
-    """A cache of pre-tokens' ids, in one flat array."""
-
-    def __init__(self, cutter: Pretokenizer):
-        self.cutter = cutter
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-
-    def learn(self, tokens: list[str]) -> None:
-        if len(self.index) > CACHE_ENTRIES:
-            self.clear()
-        for token, ids in zip(tokens, self.cutter.encode(tokens), strict=True):
-            k = len(self.index)
-            if k == len(self.start):
-                self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.index[token], self.start[k], self.length[k] = k, self.used, len(ids)
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-
-    def ids(self, text: str) -> np.ndarray:
-        tokens = self.cutter.cut(text)
-        if tokens is None:
-            return np.asarray(self.cutter.encode([text])[0], np.uint32)
-        keys = list(map(self.index.get, tokens))
-        if None in keys:
-            self.learn(list({t for t, k in zip(tokens, keys, strict=True) if k is None}))
-            keys = list(map(self.index.get, tokens))
-            if None in keys:  # the cache was emptied meanwhile
-                self.learn(list({t for t, k in zip(tokens, keys, strict=True) if k is None}))
-                keys = list(map(self.index.get, tokens))
-        at = np.asarray(keys, np.int64)
+        self.lower = any(x["type"] == "Lowercase" for x in (spec["normalizer"] or {}).get("normalizers", []))
+        self.index: dict[bytes, int] = {}
+        self._room(np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _room(self, flat: np.ndarray, length: np.ndarray, seen: np.ndarray) -> None:
+        """Take over the ids, lengths and counts of the entries, with room to grow."""
+        self.flat, self.used = np.zeros(1 << 21, np.uint32), len(flat)
+        self.start, self.length, self.seen = (np.zeros(CACHE_ENTRIES + 1, np.int64) for _ in range(3))
+        n = len(length)
+        if self.used > len(self.flat):
+            self.flat = np.zeros(2 * self.used, np.uint32)
+        self.flat[: self.used], self.length[:n], self.seen[:n] = flat, length, seen
+        self.start[:n] = np.cumsum(length) - length
+
+    def forget(self) -> None:
+        """Keep the more frequent half of the entries, with half their counts."""
+        words, n = list(self.index), len(self.index)
+        keep = np.sort(np.argsort(-self.seen[:n], kind="stable")[: n // 2])
+        flat = self._expand(keep)
+        self.index = {words[k]: j for j, k in enumerate(keep.tolist())}
+        self._room(flat, self.length[keep].copy(), self.seen[keep] // 2)
+
+    def _expand(self, at: np.ndarray) -> np.ndarray:
         per = self.length[at]
         ends = np.cumsum(per)
         total = int(ends[-1]) if len(ends) else 0
         return self.flat[np.arange(total) + np.repeat(self.start[at] - (ends - per), per)]
+
+    def _encoded(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, flat, and the number of each word's."""
+        text = " ".join(words)
+        if plain and not any(s in text for s in self.special):
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+            parts = np.fromiter((len(self.find(w)) for w in (text.lower() if self.lower else text).split(" ")), np.int64, len(words))
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if parts.all() and parts.sum() == len(stops):
+                return ids, np.diff(stops[np.cumsum(parts) - 1], prepend=0)
+        found = encode(self.library, words)
+        per = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.int64, int(per.sum())), per
+
+    def learn(self, words: list[bytes]) -> None:
+        texts = [w.decode() for w in words]
+        sure = [self.find is not None and (t.isascii() and t.isprintable() or _PLAIN.fullmatch(t) is not None) for t in texts]
+        for kind in (True, False):
+            some = [k for k, s in enumerate(sure) if s is kind]
+            if not some:
+                continue
+            ids, per = self._encoded([texts[k] for k in some], kind)
+            k, total = len(self.index), len(ids)
+            while k + len(some) > len(self.start):
+                self.start, self.length, self.seen = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.seen))
+            while self.used + total > len(self.flat):
+                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.start[k : k + len(some)], self.length[k : k + len(some)] = self.used + np.cumsum(per) - per, per
+            self.flat[self.used : self.used + total] = ids
+            self.index.update(zip([words[j] for j in some], range(k, k + len(some)), strict=True))
+            self.used += total
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts (UTF-8), flat, and the number of each text's ids."""
+        if not self.by_word:
+            found = encode(self.library, [t.decode() for t in texts])
+            return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+        if len(self.index) > CACHE_ENTRIES:
+            self.forget()
+        words, counts = [], []
+        for t in texts:
+            w = t.split()
+            words += w
+            counts.append(len(w))
+        keys = list(map(self.index.get, words))
+        if None in keys:
+            self.learn(list({w for w, k in zip(words, keys, strict=True) if k is None}))
+            keys = list(map(self.index.__getitem__, words))
+        at = np.array(keys, np.int64)
+        used = np.bincount(at, minlength=len(self.index))
+        self.seen[: len(used)] += used
+        upto = np.r_[0, np.cumsum(self.length[at])][np.cumsum(counts)] if counts else np.zeros(0, np.int64)
+        return self._expand(at), np.diff(upto, prepend=0)

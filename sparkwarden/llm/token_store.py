@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays
-from sparkwarden.llm.pretokens import Codes, Pretokenizer
+from sparkwarden.llm.pretokens import WordCodes
 from sparkwarden.storage import shared_dir
 
 MAGIC = b"DAC1"
@@ -114,7 +114,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     tail = np.asarray([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes(Pretokenizer(tokenizer))
+        codes = WordCodes(tokenizer)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         held: list[tuple[int | None, np.ndarray]] = []
         size = 0
@@ -130,13 +130,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
             return out
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for doc_id, text in zip(ids, arrays.as_strings(batch.column(1)), strict=True):
-                found = np.concatenate([codes.ids(text.as_py()), tail])
-                if held and size + len(found) > BLOCK_IDS:
-                    yield flush()
-                held.append((doc_id, found))
-                size += len(found)
+            column = arrays.as_strings(batch.column(1))
+            for a, b in arrays.slices(column):
+                flat, counts = codes.ids(column.slice(a, b - a).cast(pa.large_binary()).to_pylist())
+                ends = np.cumsum(counts)
+                for doc_id, end, n in zip(batch.column(0).slice(a, b - a).to_pylist(), ends.tolist(), counts.tolist(), strict=True):
+                    found = np.concatenate([flat[end - n : end], tail])
+                    if held and size + len(found) > BLOCK_IDS:
+                        yield flush()
+                    held.append((doc_id, found))
+                    size += len(found)
         if held:
             yield flush()
 

@@ -8,8 +8,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from sparkwarden.llm import sentencepiece_codec, token_counts, token_store
-from sparkwarden.llm.pretokens import Codes, Pretokenizer
+from sparkwarden.llm import pretokens, sentencepiece_codec, token_counts, token_store
+from sparkwarden.llm.pretokens import WordCodes, encode, kind_of, load, odd_documents, spaced_pieces
 
 from .helpers import docs_of, rows_of
 from .test_dedup import ODD, table_texts
@@ -31,15 +31,36 @@ def test_token_counts(spark):
     assert token_counts.token_counts(docs_of(spark, []), BYTE).count() == 0
 
 
-@pytest.mark.parametrize("path", [BYTE, WORD])
-def test_pretokens_are_the_librarys(path):
+def random_texts(n=400):
     rng = random.Random(1)
-    cutter, library = Pretokenizer(path), Tokenizer.from_file(path)
-    codes = Codes(cutter)
-    alphabet = [chr(c) for c in [*range(0x250)] if c != 0x130] + [" "] * 150 + list("eeeaattss''") * 9
-    for _ in range(300):
-        text = "".join(rng.choice(alphabet) for _ in range(60))
-        assert codes.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+    alphabet = [chr(c) for c in range(0x250)] + [" "] * 150 + ["\n"] * 30 + list("eeeaattss'' ") * 9 + ["<|endoftext|>", "\u0301", "\u2003", "\u3000", "\u4f60", "\u03a3"] * 3
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(n)] + ["  ", " a", "a ", "a  b", "a\n b", "a \nb", "a \n b", "a\n \nb", "\n", "\na b", " \n a"]
+
+
+def test_words_are_the_librarys(monkeypatch):
+    library = Tokenizer.from_file(WORD)
+    codes = WordCodes(WORD)
+    assert codes.by_word and not WordCodes(BYTE).by_word and kind_of(BYTE) == "spaced"
+    texts = random_texts()
+    flat, counts = codes.ids([t.encode() for t in texts])
+    small = WordCodes(WORD)
+    monkeypatch.setattr(pretokens, "CACHE_ENTRIES", 50)
+    parts = [small.ids([t.encode()]) for t in texts]  # the cache forgets again and again
+    assert np.concatenate([x[0] for x in parts]).tolist() == flat.tolist()
+    for t, end, n in zip(texts, np.cumsum(counts), counts, strict=True):
+        assert flat[end - n : end].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_pieces_are_the_librarys():
+    library, cut = load(BYTE), 0
+    for t in random_texts(3000):
+        data = np.frombuffer(t.encode(), np.uint8)
+        pieces = None if odd_documents(data, np.array([0, len(data)]))[0] else spaced_pieces(t)
+        if pieces is not None:
+            cut += 1
+            ids = encode(library, [pieces[0]] + [" " + p for p in pieces[1:]])
+            assert [i for x in ids for i in x] == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert cut > 100
 
 
 def test_token_store(spark, tmp_path):
