@@ -24,6 +24,8 @@ from sparkwarden.llm import arrays
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
+#: Words whose merges the library remembers.
+CACHE_WORDS = 200_000
 #: One text in so many is checked against the SentencePiece library.
 VERIFY_EVERY = 50
 
@@ -47,7 +49,7 @@ def rebuild(path: str) -> Tokenizer:
     pieces, spec, kind = list(model.pieces), model.normalizer_spec, model.trainer_spec
     unknown = next(k for k, p in enumerate(pieces) if p.type == UNKNOWN)
     if kind.model_type == BPE:
-        core = models.BPE({p.piece: k for k, p in enumerate(pieces)}, _merges(pieces), unk_token=pieces[unknown].piece, fuse_unk=True, byte_fallback=kind.byte_fallback)
+        core = models.BPE({p.piece: k for k, p in enumerate(pieces)}, _merges(pieces), unk_token=pieces[unknown].piece, fuse_unk=True, byte_fallback=kind.byte_fallback, cache_capacity=CACHE_WORDS)
     elif kind.model_type == UNIGRAM:
         core = models.Unigram([(p.piece, p.score if p.type in (NORMAL, USER_DEFINED) else -1e9) for p in pieces], unk_id=unknown, byte_fallback=kind.byte_fallback)
     else:
