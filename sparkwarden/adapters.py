@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = {
     "v_flow_ts": """
-        SELECT event_id AS flow_id, user_id, event_type,
+        SELECT event_id AS flow_id, user_id, event_type, ts,
                concat('10.0.', CAST(user_id % 4 AS STRING), '.', CAST(user_id AS STRING)) AS srcip,
                concat('172.16.0.', CAST(event_id % 50 AS STRING)) AS dstip,
                1025 + event_id % 40000 AS srcport,
@@ -24,7 +24,7 @@ VIEWS = {
                ((event_id * 7919) % 200) * 100 AS downbytesize,
                event_id % 6 AS uppkts,
                hour(ts) AS hh, minute(ts) AS mi, day(ts) AS dd, CAST(ts AS DATE) AS dt,
-               CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS at
+               CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS sec
         FROM {events}""",
     "v_flow": """
         SELECT l_orderkey * 10 + l_linenumber AS flow_id,
@@ -54,8 +54,8 @@ VIEWS = {
                concat(CAST(event_id % 60 AS STRING), '#', CAST(event_id % 300 AS STRING)) AS answers_ttl,
                concat(CAST(event_id % 16 AS STRING), '#', CAST(event_id % 90 AS STRING)) AS answers_data_length,
                CAST(round(value) AS BIGINT) AS size, hour(ts) AS hh, minute(ts) AS mi, day(ts) AS dd,
-               CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS at, p.page_id
-        FROM {events} e JOIN {pages} p ON p.page_id = e.event_id % (SELECT count(*) FROM {pages})""",
+               CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS sec, p.page_id
+        FROM {events} e CROSS JOIN (SELECT count(*) AS n_pages FROM {pages}) c JOIN {pages} p ON p.page_id = e.event_id % c.n_pages""",
     "v_http": """
         SELECT e.event_id AS flow_id, concat('10.0.', CAST(user_id % 4 AS STRING), '.', CAST(user_id AS STRING)) AS srcip,
                concat('172.16.0.', CAST(event_id % 50 AS STRING)) AS dstip,
@@ -64,14 +64,14 @@ VIEWS = {
                CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS request_date,
                CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) + event_id % 9 AS BIGINT) AS response_date,
                CAST(length(html) + event_id % 7 AS DOUBLE) AS content_length, day(ts) AS dd
-        FROM {events} e JOIN {pages} p ON p.page_id = e.event_id % (SELECT count(*) FROM {pages})""",
+        FROM {events} e CROSS JOIN (SELECT count(*) AS n_pages FROM {pages}) c JOIN {pages} p ON p.page_id = e.event_id % c.n_pages""",
     "v_doc": """
         SELECT doc_id, text, concat('10.0.0.', CAST(doc_id % 20 AS STRING)) AS owner, doc_id % 24 AS hh, source AS tag, n_chars AS bytes
         FROM {documents}""",
     "v_evt": """
         SELECT event_id AS id, concat('10.0.', CAST(user_id % 4 AS STRING), '.', CAST(user_id AS STRING)) AS ip,
                concat('172.16.0.', CAST(event_id % 50 AS STRING)) AS dstip, event_type AS modeltype, value,
-               CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS at, day(ts) AS dd
+               CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS sec, day(ts) AS dd
         FROM {events}""",
     "v_xy": """
         SELECT vec_id, label, embedding FROM {embeddings}""",

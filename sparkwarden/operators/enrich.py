@@ -108,7 +108,7 @@ def file_record(name: Column) -> dict[str, Column]:
     """The fields of a file name ``ts_src_dst_sport_dport_type_proto_size``."""
     part = F.split(name, "_")
     at = lambda k: F.get(part, k)
-    return {"at": at(0).cast("long"), "srcip": at(1), "dstip": at(2), "srcport": at(3).cast("int"), "dstport": at(4).cast("int"), "kind": at(5), "protocol": at(6), "size": at(7).cast("long")}
+    return {"sec": at(0).cast("long"), "srcip": at(1), "dstip": at(2), "srcport": at(3).cast("int"), "dstport": at(4).cast("int"), "kind": at(5), "protocol": at(6), "size": at(7).cast("long")}
 
 
 def level(score: Column) -> Column:

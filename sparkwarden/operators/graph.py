@@ -32,3 +32,34 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         moved = left.join(at_a, "a").join(at_b, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
         left = written(moved.where("a <> b").distinct(), "edges")
     return labels.select("node", "component")
+
+
+def cosine_links(visits: DataFrame, entity: str, attribute: str, least: float, most_common: int | None = None) -> DataFrame:
+    """Pairs ``(a, b)`` of entities, a < b, with the cosine similarity of their 0/1 attributes, where it is ``least`` or more.
+
+    An inverted index is joined with itself.  A pair at ``least`` has a set-size ratio of at least its square, so each
+    entity only needs to be found through its rarest attributes (prefix filtering): all but the last
+    ``ceil(least**2 * n) - 1`` of its n attributes, rarest first.  Attributes in more than ``most_common`` entities are
+    left out of the similarity altogether, if that is given.
+    """
+    visits = visits.select(F.col(entity).alias("e"), F.col(attribute).alias("x")).distinct()
+    spread = visits.groupBy("x").agg(F.count(F.lit(1)).alias("df"))
+    if most_common is not None:
+        spread = spread.where(F.col("df") <= most_common)
+    ranked = visits.join(spread, "x")
+    w = Window.partitionBy("e")
+    ranked = ranked.select("e", "x", F.row_number().over(w.orderBy("df", "x")).alias("k"), F.count(F.lit(1)).over(w).alias("n"))
+    sought = ranked.where(F.col("k") <= F.col("n") - F.ceil(F.lit(least * least) * F.col("n") - 1e-9) + 1)
+    a = sought.select(F.col("e").alias("a"), "x", F.col("n").alias("n_a"))
+    b = sought.select(F.col("e").alias("b"), "x", F.col("n").alias("n_b"))
+    near = (F.col("n_a") >= F.lit(least * least - 1e-9) * F.col("n_b")) & (F.col("n_b") >= F.lit(least * least - 1e-9) * F.col("n_a"))
+    pairs = a.join(b, "x").where((F.col("a") < F.col("b")) & near).select("a", "b", "n_a", "n_b").distinct()
+    one, two = visits.join(spread, "x", "left_semi").select(F.col("e").alias("a"), "x"), visits.select(F.col("e").alias("b"), "x")
+    common = pairs.join(one, "a").join(two, ["b", "x"]).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    return common.withColumn("similarity", F.round(F.col("c") / F.sqrt(F.col("n_a") * F.col("n_b")), 6)).where(F.col("similarity") >= least).select("a", "b", "similarity")
+
+
+def frequency_index(df: DataFrame, column: str) -> DataFrame:
+    """``(value, index)``: values numbered from 0 by descending frequency, ties by value."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(column, "n", (F.row_number().over(Window.orderBy(F.desc("n"), column)) - 1).alias("index"))
