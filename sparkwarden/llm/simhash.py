@@ -56,7 +56,7 @@ def distance(a: str, b: str) -> Column:
 
 
 #: Sizes of the segments, repeated to the end of the fingerprint.
-WIDTHS = (2, 1)
+WIDTHS = (1, 1, 2)
 
 
 def _segments(widths: tuple[int, ...], parts: int) -> list[list[tuple[int, int]]]:

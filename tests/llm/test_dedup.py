@@ -42,7 +42,7 @@ def test_fingerprints_equal_brute_force(spark):
     assert got == {i: f"{one_simhash(t):016x}" for i, t in enumerate(texts)}
 
 
-@pytest.mark.parametrize("radius,widths,parts", [(4, (2, 1), 2), (4, (1,), 3), (8, (2, 1), 3), (4, (3,), 2)])
+@pytest.mark.parametrize("radius,widths,parts", [(4, (1, 1, 2), 2), (4, (1,), 3), (8, (1, 1, 2), 3), (4, (3,), 2)])
 def test_links_equal_brute_force(spark, radius, widths, parts):
     rng = random.Random(radius * 10 + len(widths))
     fps = {0, 1, (1 << 64) - 1, 1 << 63}
