@@ -7,9 +7,8 @@ column expression, so scoring is a projection over the scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -30,25 +29,23 @@ def _share(text: Column, characters: str, of: Column) -> Column:
     return (F.length(text) - F.length(F.translate(text, characters, ""))) / of
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Named statistics of a text (null: the empty text); all are finite for any text."""
-    t = F.coalesce(text, F.lit(""))
-    size = F.greatest(F.length(t), F.lit(1)).cast("double")
-    words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n = F.greatest(F.size(words), F.lit(1)).cast("double")
-    return {
-        "chars": size,
-        "words": n,
-        "word_length": size / n,
-        "distinct_words": F.size(F.array_distinct(words)) / n,
-        "upper": _share(t, _UPPER, size),
-        "digits": _share(t, "0123456789", size),
-        "exclamations": _share(t, "!", n),
-        "bars": _share(t, "|", n),
-        "symbols": _share(t, "#$%&*@^~_=+<>{}[]\\/", size),
-        "stops": _share(t, ".,;:?", n),
-        "lines": _share(t, "\n", n),
-    }
+NAMES = ["chars", "words", "word_length", "distinct_words", "upper", "digits", "exclamations", "bars", "symbols", "stops", "lines"]
+
+
+def with_statistics(df: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and the statistics of each text (null: the empty text); all are finite for any text.
+
+    The text is cut into words once: the array is a column of its own, which Spark does not compute again for each use.
+    """
+    cut = df.select(*keep, F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(" \t\n\x0b\x0c\r")).alias("__t"))
+    cut = cut.select(*keep, "__t", F.split("__t", r"[\x20\x09-\x0D]+").alias("__w"))
+    cut = cut.select(*keep, "__t", F.greatest(F.length("__t"), F.lit(1)).cast("double").alias("__size"), F.size("__w").cast("double").alias("__n"), F.size(F.array_distinct("__w")).cast("double").alias("__kinds"))
+    t, size, n = F.col("__t"), F.col("__size"), F.col("__n")
+    stats = [
+        size, n, size / n, F.col("__kinds") / n, _share(t, _UPPER, size), _share(t, "0123456789", size), _share(t, "!", n), _share(t, "|", n),
+        _share(t, "#$%&*@^~_=+<>{}[]\\/", size), _share(t, ".,;:?", n), _share(t, "\n", n),
+    ]
+    return cut.select(*keep, *(c.alias(f"__{k}") for k, c in zip(NAMES, stats, strict=True)))
 
 
 Rule = tuple[tuple[str, bool, float], ...]  # (statistic, at most?, threshold), all of which must hold
@@ -86,8 +83,9 @@ def _paths(node, names: list[str], path: Rule = ()) -> list[Rule]:
 
 def fit_rules(sample: DataFrame, label: str = "label", trees: int = TREES, depth: int = DEPTH, lasso: float = LASSO, seed: int = 7) -> RuleModel:
     """Fit on a frame of ``text`` and a 0/1 ``label``. One class only (or no rows) gives a constant model."""
-    names = list(statistics(F.col("text")))
-    rows = written(sample.select(F.col(label).cast("double").alias("label"), *(c.alias(k) for k, c in statistics(F.col("text")).items())), "statistics")
+    names = NAMES
+    rows = with_statistics(sample.select("text", F.col(label).cast("double").alias("label")), "text", ["label"])
+    rows = written(rows.select("label", *(F.col(f"__{n}").alias(n) for n in names)), "statistics")
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return RuleModel([], 20.0 if 0.0 not in counts and counts else -20.0 if counts else 0.0)
@@ -119,8 +117,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     n = {int(r[label]): r["count"] for r in known.groupBy(label).count().collect()}
     if model.rules and n.get(0) and n.get(1):
         model.intercept += math.log(n[1] / n[0]) - math.log(min(n[1], rows_per_class) / min(n[0], rows_per_class))
-    stats = statistics(F.col(text_col))
-    named = docs.select(F.col(id_col), *(c.alias(f"__{k}") for k, c in stats.items()))
-    score = model.score({k: F.col(f"__{k}") for k in stats})
+    named = with_statistics(docs.select(F.col(id_col), F.col(text_col)), text_col, [id_col])
+    score = model.score({k: F.col(f"__{k}") for k in NAMES})
     out = named.select(id_col, held_out(F.col(id_col)).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -9,6 +9,7 @@ on that (multiple-instance learning), because labels are for documents.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ WINDOW, STRIDE = 32, 16
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_WORDS = 1500, 3000, 800
 VOCABULARY, GRAM_BUCKETS = 4096, 1 << 13
 WORD_SIZE, GRAM_SIZE, HIDDEN, ATTENTION = 8, 12, 8, 8
-STEPS, BATCH, RATE = 700, 48, 0.01
+STEPS, BATCH, RATE = 400, 48, 0.01
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_~^=+/\\"
 
 
@@ -45,29 +46,41 @@ def grams(word: str) -> list[int]:
     return sorted({zlib.crc32(g.encode()) % GRAM_BUCKETS for g in found})
 
 
+@dataclass
+class Inputs:
+    """What the network sees of words: vocabulary entries, n-gram buckets (flat), and how many each word has (one at least)."""
+
+    known: np.ndarray
+    flat: np.ndarray
+    count: np.ndarray
+
+    def of(self, some: np.ndarray) -> Inputs:
+        count, start = self.count[some], (np.cumsum(self.count) - self.count)[some]
+        ends = np.cumsum(count)
+        return Inputs(self.known[some], self.flat[np.arange(int(count.sum())) + np.repeat(start - (ends - count), count)], count)
+
+
 @dataclass
 class Network:
     vocabulary: dict[str, int]  # 0 is for other words
     p: dict[str, np.ndarray]
 
-    def inputs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each (raw) word: its vocabulary entry, and all n-grams flat with their word."""
-        known, flat, owner = [], [], []
-        for k, w in enumerate(words):
+    def inputs(self, words: list[str]) -> Inputs:
+        """Of each (raw) word: its vocabulary entry and its n-grams."""
+        known, flat, count = array("i"), array("i"), array("i")
+        for w in words:
             w = w.strip(_EDGES)
             known.append(self.vocabulary.get(w, 0))
             g = grams(w)
-            flat += g
-            owner += [k] * len(g)
-        return np.array(known, np.int64), np.array(flat, np.int64), np.array(owner, np.int64)
-
-    def vectors(self, known: np.ndarray, flat: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        n = len(known)
-        sums = np.zeros((n, GRAM_SIZE), np.float32)
-        if len(flat):
-            first = np.flatnonzero(np.r_[True, np.diff(owner) > 0])
-            sums = np.add.reduceat(self.p["grams"][flat], first, axis=0) / np.bincount(owner, minlength=n)[:, None].astype(np.float32)
-        return np.concatenate([self.p["words"][known], np.tanh(sums)], axis=1)
+            flat.extend(g)
+            count.append(len(g))
+        return Inputs(np.array(known, np.int64), np.array(flat, np.int64), np.array(count, np.int64))
+
+    def vectors(self, rows: Inputs) -> np.ndarray:
+        if not len(rows.known):
+            return np.zeros((0, WORD_SIZE + GRAM_SIZE), np.float32)
+        means = np.add.reduceat(self.p["grams"][rows.flat], np.cumsum(rows.count) - rows.count, axis=0) / rows.count[:, None].astype(np.float32)
+        return np.concatenate([self.p["words"][rows.known], np.tanh(means)], axis=1)
 
     def project(self, x: np.ndarray) -> np.ndarray:
         """What the words bring to the gates of both directions (update, reset, new: thrice the hidden size each)."""
@@ -108,16 +121,12 @@ def window_starts(n: int) -> list[int]:
     return [0] if n <= WINDOW else [*range(0, n - WINDOW, STRIDE), n - WINDOW]
 
 
-def _gradients(net: Network, rows, index: np.ndarray, mask: np.ndarray, delta_of):
+def _gradients(net: Network, rows: Inputs, index: np.ndarray, mask: np.ndarray, delta_of):
     """Gradients of the loss for windows ``index`` (steps, windows: places in ``rows``' words)."""
-    known, flat, owner = rows
     used, at = np.unique(index, return_inverse=True)
     at = at.reshape(index.shape)
-    lo, hi = np.searchsorted(owner, used), np.searchsorted(owner, used, side="right")
-    flat = np.concatenate([flat[a:b] for a, b in zip(lo, hi, strict=True)])
-    owner = np.repeat(np.arange(len(used)), hi - lo)
-    known = known[used]
-    x = net.vectors(known, flat, owner)
+    mine = rows.of(used)
+    x = net.vectors(mine)
     gates = net.project(x)[at]
     logits, (states, lean, a, pooled, memory) = net.run(gates, mask, keep=True)
     d = delta_of(logits).astype(np.float32)
@@ -155,9 +164,9 @@ def _gradients(net: Network, rows, index: np.ndarray, mask: np.ndarray, delta_of
     np.add.at(d_words, at.ravel(), flat_gates)
     g["W"], g["b"] = x.T @ d_words, d_words.sum(axis=0)
     d_x = d_words @ p["W"].T
-    g["words"] = (known, d_x[:, :WORD_SIZE])
-    d_sum = d_x[:, WORD_SIZE:] * (1 - x[:, WORD_SIZE:] ** 2) / np.bincount(owner, minlength=len(used))[:, None]
-    g["grams"] = (flat, d_sum[owner])
+    g["words"] = (mine.known, d_x[:, :WORD_SIZE])
+    d_sum = d_x[:, WORD_SIZE:] * (1 - x[:, WORD_SIZE:] ** 2) / mine.count[:, None]
+    g["grams"] = (mine.flat, np.repeat(d_sum, mine.count, axis=0))
     return g
 
 
@@ -180,11 +189,10 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
     every = sorted({w for ws in words for w in ws})
     number = {w: k for k, w in enumerate(every)}
     rows = net.inputs(every)
-    known, flat, owner = rows
+    del every
     ids = [np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) for ws in words]
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     order, at = [rng.permutation(c) for c in classes], [0, 0]
-    cached, age = None, 0
     for step in range(1, steps + 1):
         batch = []
         for c in (0, 1):
@@ -193,22 +201,22 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
                     order[c], at[c] = rng.permutation(classes[c]), 0
                 batch.append(order[c][at[c]])
                 at[c] += 1
-        if cached is None or age == 8:  # the search for top windows may use gates that are a few steps old
-            cached, age = net.project(net.vectors(known, flat, owner)), 0
-        age += 1
+        here, place = np.unique(np.concatenate([ids[d] for d in batch]), return_inverse=True)
+        gates, ends = net.project(net.vectors(rows.of(here))), np.cumsum([len(ids[d]) for d in batch])
+        local = [place[b - len(ids[d]) : b] for d, b in zip(batch, ends.tolist(), strict=True)]
         spans = [(k, s) for k, d in enumerate(batch) for s in window_starts(len(ids[d]))]
         index = np.zeros((WINDOW, len(spans)), np.int64)
         mask = np.zeros((WINDOW, len(spans)), np.float32)
         for j, (k, s) in enumerate(spans):
-            piece = ids[batch[k]][s : s + WINDOW]
+            piece = local[k][s : s + WINDOW]
             index[: len(piece), j] = piece
             mask[: len(piece), j] = 1
-        logits = net.run(cached[index], mask)
+        logits = net.run(gates[index], mask)
         of = np.array([k for k, _ in spans])
         first = np.flatnonzero(np.r_[True, np.diff(of) > 0])
         top = [int(a + np.argmax(logits[a:b])) for a, b in zip(first, [*first[1:], len(of)], strict=True)]
         target = y[batch]
-        g = _gradients(net, rows, index[:, top], mask[:, top], lambda z: (_sigmoid(z) - target) / len(target))
+        g = _gradients(net, rows, here[index[:, top]], mask[:, top], lambda z: (_sigmoid(z) - target) / len(target))
         rate = RATE * min(1.0, 2.0 * (1 - step / (steps + 1)))
         for k, grad in g.items():
             m, v = moment[k]
@@ -247,7 +255,7 @@ class Scorer:
                 self.gates = np.concatenate([self.gates, np.zeros_like(self.gates)])
             for a in range(0, len(fresh), 4096):
                 part = fresh[a : a + 4096]
-                self.gates[start + a : start + a + len(part)] = self.net.project(self.net.vectors(*self.net.inputs(part)))
+                self.gates[start + a : start + a + len(part)] = self.net.project(self.net.vectors(self.net.inputs(part)))
             self.index.update(zip(fresh, range(start, start + len(fresh)), strict=True))
             found = list(map(self.index.__getitem__, words))
         return np.asarray(found, np.int64)

@@ -123,7 +123,7 @@ def test_gradients():
     target = np.array([0.0, 1.0, 1.0])
 
     def loss():
-        z = net.run(net.project(net.vectors(*rows))[index], mask).astype(np.float64)
+        z = net.run(net.project(net.vectors(rows))[index], mask).astype(np.float64)
         return float((np.logaddexp(0, z) - target * z).mean())
 
     grads = toxicity._gradients(net, rows, index, mask, lambda z: (toxicity._sigmoid(z) - target) / 3)
