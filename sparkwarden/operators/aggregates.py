@@ -74,3 +74,11 @@ def per_label_metrics(df: DataFrame, label: str = "label", prediction: str = "pr
     fpr = F.when(F.col("total") > F.col("actual"), (F.col("said") - F.col("tp")) / (F.col("total") - F.col("actual"))).otherwise(0.0)
     f = F.when(precision + recall > 0, 2 * precision * recall / (precision + recall)).otherwise(0.0)
     return out.select("label", "actual", r(precision).alias("precision"), r(recall).alias("recall"), r(fpr).alias("fpr"), r(f).alias("f_measure"))
+
+
+def length_and_classes(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Of each key the least and greatest length of its values and the character classes that occur in them."""
+    from sparkwarden.functions.strings import shape
+
+    kinds = df.select(*keys, F.explode(F.split(shape(F.col(value)), ",")).alias("c")).groupBy(*keys).agg(set_text("c", ",").alias("classes"))
+    return df.groupBy(*keys).agg(F.min(F.length(value)).alias("low"), F.max(F.length(value)).alias("high")).join(kinds, keys)

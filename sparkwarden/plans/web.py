@@ -27,10 +27,8 @@ def parameter_baseline(requests: DataFrame, least_sources: int = 3) -> DataFrame
     """Per path and parameter: whether all its requests have it (``common``), the length range and the character classes."""
     pairs = parameters(requests, least_sources)
     common = sets.common_members(pairs, "path", "flow_id", "param").withColumn("common", F.lit(True))
-    classes = F.explode(F.split(S.shape(F.col("value")), ","))
-    kinds = pairs.select("path", "param", classes.alias("c")).groupBy("path", "param").agg(A.set_text("c", ",").alias("classes"))
-    ranges = pairs.groupBy("path", "param").agg(F.min(F.length("value")).alias("low"), F.max(F.length("value")).alias("high"))
-    return ranges.join(kinds, ["path", "param"]).join(common, ["path", "param"], "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    ranges = A.length_and_classes(pairs, ["path", "param"], "value")
+    return ranges.join(common, ["path", "param"], "left").withColumn("common", F.coalesce("common", F.lit(False)))
 
 
 def parameter_anomalies(requests: DataFrame, baseline: DataFrame) -> DataFrame:

@@ -318,6 +318,19 @@ def ag14(spark, d):
     return view(spark, d, "v_flow_ts").groupBy("srcip", "dstip", "protocol").agg(F.round(F.avg("upbytesize"), 4).alias("mean_up"))
 
 
+_VALUES = r"p AS (SELECT page_id, unnest(string_split(regexp_extract(uri, '[?](.*)$', 1), '&')) AS pair FROM v_page), v AS (SELECT string_split(pair, '=')[1] AS param, regexp_extract(pair, '=(.*)$', 1) AS value FROM p WHERE contains(pair, '=') AND regexp_extract(pair, '=(.*)$', 1) <> '')"
+
+
+@query("ag15_parameter_ranges", f"""
+    WITH {_VALUES}, k AS (SELECT DISTINCT param, CASE WHEN regexp_matches(ch, '[A-Z]') THEN 'U' WHEN regexp_matches(ch, '[a-z]') THEN 'D' WHEN regexp_matches(ch, '[0-9]') THEN 'N' WHEN unicode(ch) BETWEEN 33 AND 126 THEN 'P' ELSE '#' END AS class FROM (SELECT param, unnest(string_split(value, '')) AS ch FROM v))
+    SELECT param, low, high, classes FROM (SELECT param, CAST(min(length(value)) AS INTEGER) AS low, CAST(max(length(value)) AS INTEGER) AS high FROM v GROUP BY param) JOIN (SELECT param, array_to_string(list_sort(list(class)), ',') AS classes FROM k GROUP BY param) USING (param)""", ("v_page",))
+def ag15(spark, d):
+    from sparkwarden.functions import strings
+
+    pairs = strings.query_pairs(view(spark, d, "v_page"), "uri", ["page_id"])
+    return A.length_and_classes(pairs, ["param"], "value")
+
+
 @query("ag16_term_weights", """
     WITH t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS term FROM documents), c AS (SELECT term, doc_id, count(*) AS n FROM t WHERE length(term) > 2 GROUP BY ALL)
     SELECT term, CAST(sum(n) AS BIGINT) AS tf, count(*) AS df, round(ln(sum(n)) / count(*), 6) AS weight FROM c GROUP BY term ORDER BY tf DESC, term LIMIT 200""")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.adapters import VIEWS, view
 from sparkwarden.plans import flows as plans
-from sparkwarden.queries import query, table
+from sparkwarden.queries import query
 from sparkwarden.queries.relational import _PERIOD, _RATIO, FLOW
 from sparkwarden.sources import readers, sinks
 from sparkwarden.storage import shared_dir
@@ -137,7 +137,7 @@ def st6(spark, d):
     return errors.groupBy("dstip").agg(F.count(F.lit(1)).alias("n")) if not errors.isEmpty() else errors.select("dstip", F.lit(0).cast("long").alias("n"))
 
 
-@query("src5_relational")
+@query("src5_range_scan", "SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey BETWEEN 10 AND 500")
 def src5(spark, d):
-    """The relational scan's pushed-down condition, on the Parquet form of the table."""
-    return table(spark, d, "customer").where("c_custkey BETWEEN 10 AND 500")
+    """The condition that the relational scan hands to its database, pushed down to Parquet."""
+    return readers.read_between(spark, f"{d}/customer.parquet", "c_custkey", 10, 500).select("c_custkey", "c_nationkey")
