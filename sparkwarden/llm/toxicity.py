@@ -189,8 +189,8 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
     every = sorted({w for ws in words for w in ws})
     number = {w: k for k, w in enumerate(every)}
     rows = net.inputs(every)
-    del every
     ids = [np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) for ws in words]
+    del every, number, words, seen  # the driver keeps numbers only
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     order, at = [rng.permutation(c) for c in classes], [0, 0]
     for step in range(1, steps + 1):
