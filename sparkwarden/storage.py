@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +21,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
-def written(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df``, written once as Parquet to the shared folder and read back.
 
-    Later plans start from files, so a lost executor costs the reading of a file and not the work before it.  Spark
-    deletes the shuffle files of a finished plan once the driver has collected its garbage; ``free`` has it do so now,
-    for phases that shuffle as much as they read.
+    Later plans start from files, so a lost executor costs the reading of a file and not the work before it.
     """
     path = f"{shared_dir(df.sparkSession)}/sparkwarden/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if free:
-        df.sparkSession.sparkContext._jvm.System.gc()
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of finished plans that nothing refers to any more.
+
+    Spark does so once the driver has collected its garbage, which a driver with little to do puts off; operators whose
+    phases shuffle as much as they read call this between phases.
+    """
+    for _ in range(2):  # Python's handles go first; what they held is free a moment later
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
