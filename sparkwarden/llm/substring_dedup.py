@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays, bitmap
-from sparkwarden.storage import written
+from sparkwarden.storage import free_shuffles, written
 
 #: A perfect difference set: every residue modulo 21 is a difference of two of its members.
 PERIOD = 21
@@ -159,17 +159,21 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if window <= PERIOD:
         raise ValueError(f"window must be over {PERIOD} words")
     anchors = anchor_counts(docs, text_col, window).where("n > 1")
-    marked = written(_mark(docs, id_col, text_col, window, bitmap.build(anchors, "h", bits), with_text), "marked", free=True)
+    marked = written(_mark(docs, id_col, text_col, window, bitmap.build(anchors, "h", bits), with_text), "marked")
+    free_shuffles(docs.sparkSession)
     listed = marked.where(F.size("runs") > 0).select("row", F.explode(F.arrays_zip("first", "runs")).alias("r")).select("row", F.col("r.first").alias("first"), F.col("r.runs").alias("hashes"))
     keyed = listed.select("row", "first", "hashes", F.xxhash64("hashes").alias("d1"), F.xxhash64("hashes", F.lit(1)).alias("d2"), (F.length("hashes") / _HASH_BYTES).cast("int").alias("size"))
     groups = keyed.groupBy("d1", "d2", "size").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "first")).alias("one"))
     # Joined on the first place of each group: every run is read once more, but only its first copy keeps its hashes.
     firsts = groups.select(F.col("one.row").alias("row"), F.col("one.first").alias("first"), "n")
-    distinct_runs = written(keyed.select("row", "first", "hashes").join(firsts, ["row", "first"]), "runs", free=True)
-    repeated = written(_windows(distinct_runs, False).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "repeated", free=True)
+    distinct_runs = written(keyed.select("row", "first", "hashes").join(firsts, ["row", "first"]), "runs")
+    free_shuffles(docs.sparkSession)
+    repeated = written(_windows(distinct_runs, False).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "repeated")
+    free_shuffles(docs.sparkSession)
     single = _windows(distinct_runs.where("n = 1"), True)
     places = single.join(repeated, "h", "left_semi")
-    spans = places.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at"))
+    spans = written(places.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at")), "spans")
+    free_shuffles(docs.sparkSession)
     # Runs that are copied whole: every window of every copy is repeated.
     lone = distinct_runs.where("n = 1").select((F.col("row") + 0).alias("row"), F.col("first"))
     whole = keyed.select("row", "first", F.col("size").alias("len")).join(lone, ["row", "first"], "left_anti")
