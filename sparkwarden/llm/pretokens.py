@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import os
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -31,6 +32,7 @@ _PAIRS = tuple(b + " " for b in " \t\n\r\x0b\x0c")
 _BLANKS = tuple(" \t\n\r\x0b\x0c")
 
 
+@lru_cache(maxsize=4)
 def load(path: str) -> Tokenizer:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
     out = Tokenizer.from_file(path)
@@ -173,3 +175,15 @@ class WordCodes:
         self.seen[: len(used)] += used
         upto = np.r_[0, np.cumsum(self.length[at])][np.cumsum(counts)] if counts else np.zeros(0, np.int64)
         return self._expand(at), np.diff(upto, prepend=0)
+
+
+@lru_cache(maxsize=2)
+def word_codes(path: str) -> WordCodes:
+    """The worker's codes for a tokenizer: its cache goes on from task to task."""
+    return WordCodes(path)
+
+
+@lru_cache(maxsize=2)
+def known_counts(path: str) -> dict[str, int]:
+    """The worker's token counts of pieces for a tokenizer, kept from task to task like ``word_codes``."""
+    return {}

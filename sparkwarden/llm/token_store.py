@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays
-from sparkwarden.llm.pretokens import WordCodes
+from sparkwarden.llm.pretokens import word_codes
 from sparkwarden.storage import shared_dir
 
 MAGIC = b"DAC1"
@@ -114,7 +114,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     tail = np.asarray([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = WordCodes(tokenizer)
+        codes = word_codes(tokenizer)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         held: list[tuple[int | None, np.ndarray]] = []
         size = 0
