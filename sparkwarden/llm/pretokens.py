@@ -22,7 +22,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Entries that a worker's cache holds before it keeps only the more frequent half, or is emptied.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 #: Latin words of which it is certain how many pre-tokens they have.
 _PLAIN = regex.compile(r"[!-~\u00C0-\u012F\u0131-\u024F]+")
 #: Bytes that begin blanks outside ASCII (or are taken for blanks by some): texts with them go to the library.
@@ -128,7 +128,8 @@ class WordCodes:
         text = " ".join(words)
         if plain and not any(s in text for s in self.special):
             ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
-            parts = np.fromiter((len(self.find(w)) for w in (text.lower() if self.lower else text).split(" ")), np.int64, len(words))
+            # Letters only are one pre-token.
+            parts = np.fromiter((1 if w.isalpha() else len(self.find(w)) for w in (text.lower() if self.lower else text).split(" ")), np.int64, len(words))
             stops = np.flatnonzero(self.ends[ids]) + 1
             if parts.all() and parts.sum() == len(stops):
                 return ids, np.diff(stops[np.cumsum(parts) - 1], prepend=0)
@@ -168,8 +169,10 @@ class WordCodes:
             counts.append(len(w))
         keys = list(map(self.index.get, words))
         if None in keys:
-            self.learn(list({w for w, k in zip(words, keys, strict=True) if k is None}))
-            keys = list(map(self.index.__getitem__, words))
+            missing = [i for i, k in enumerate(keys) if k is None]
+            self.learn(list({words[i] for i in missing}))
+            for i in missing:
+                keys[i] = self.index[words[i]]
         at = np.array(keys, np.int64)
         used = np.bincount(at, minlength=len(self.index))
         self.seen[: len(used)] += used
