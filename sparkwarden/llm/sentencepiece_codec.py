@@ -25,7 +25,9 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 #: Words whose merges the library remembers.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 50_000
+#: Bytes of text that are encoded at a time: the library's results are many times as large.
+BATCH_BYTES = 1 << 18
 #: One text in so many is checked against the SentencePiece library.
 VERIFY_EVERY = 50
 
@@ -106,7 +108,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = arrays.as_strings(batch.column(1))
-            for a, b in arrays.slices(column):
+            for a, b in arrays.slices(column, BATCH_BYTES):
                 texts = column.slice(a, b - a).to_pylist()
                 ids = encode(texts, model, verify_every)
                 back = decode(ids, model)
@@ -129,7 +131,7 @@ def add_pieces(docs: DataFrame, model: str, text_col: str = "text", column: str
         for batch in batches:
             at = batch.schema.get_field_index(text_col)
             whole = arrays.as_strings(batch.column(at))
-            for a, b in arrays.slices(whole):
+            for a, b in arrays.slices(whole, BATCH_BYTES):
                 part = batch.slice(a, b - a)
                 ids = encode(whole.slice(a, b - a).to_pylist(), model)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, column])
