@@ -178,7 +178,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
     vocabulary = {w: k + 1 for k, (w, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: VOCABULARY - 1]) if n >= 4 and w}
     draw = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
     size = WORD_SIZE + GRAM_SIZE
-    p = {"words": draw(VOCABULARY, WORD_SIZE, by=0.05), "grams": draw(GRAM_BUCKETS, GRAM_SIZE), "W": draw(size, 6 * HIDDEN), "b": np.zeros(6 * HIDDEN, np.float32), "U0": draw(HIDDEN, 3 * HIDDEN), "U1": draw(HIDDEN, 3 * HIDDEN), "A": draw(2 * HIDDEN, ATTENTION), "v": draw(ATTENTION), "out": draw(2 * HIDDEN), "c": np.zeros(1, np.float32)}
+    p = {"words": draw(VOCABULARY, WORD_SIZE, by=0.05), "grams": draw(GRAM_BUCKETS, GRAM_SIZE, by=0.05), "W": draw(size, 6 * HIDDEN), "b": np.zeros(6 * HIDDEN, np.float32), "U0": draw(HIDDEN, 3 * HIDDEN), "U1": draw(HIDDEN, 3 * HIDDEN), "A": draw(2 * HIDDEN, ATTENTION), "v": draw(ATTENTION), "out": draw(2 * HIDDEN), "c": np.zeros(1, np.float32)}
     net = Network(vocabulary, p)
     y = np.asarray(labels, np.float32)
     classes = [np.flatnonzero(y == c) for c in (0, 1)]
