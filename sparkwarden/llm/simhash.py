@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays
 from sparkwarden.operators.graph import connected_components
-from sparkwarden.storage import written
+from sparkwarden.storage import free_shuffles, written
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seeds: tuple[int, ...] = (42,)) -> DataFrame:
@@ -185,17 +185,74 @@ def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity:
     return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 8, widths: tuple[int, ...] = WIDTHS, parts: int = 3, seeds: tuple[int, ...] = (42, 43)) -> DataFrame:
-    """One row per row of ``docs``: id and ``component_id``, for links of ``similarity`` or more on word shingles.
+#: Documents whose shingles tell how frequent shingles are, and the number of frequent shingles that are kept.
+SAMPLE_DOCS, FREQUENT = 20_000, 100_000
+#: The cell of all texts without words.
+_EMPTY = 0
+
+
+def _distinct_hashes(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingle hashes of each text of a slice, in rising order, and the index of each text's first one."""
+    words = arrays.split_words(*arrays.buffers(texts), lower=True)
+    start, length, first = arrays.shingles(words, shingle)
+    hashes = arrays.xxh64(words.data, start, length)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    fresh = np.ones(len(hashes), bool)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[fresh], np.searchsorted(owner[fresh], np.arange(len(first)))
+
+
+def _frequent_shingles(docs: DataFrame, total: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) that three or more documents of a sample of fixed size have, and in how many they are."""
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, total // SAMPLE_DOCS))) == 0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = arrays.as_strings(batch.column(1))
+            for a, b in arrays.slices(texts):
+                yield pa.RecordBatch.from_arrays([pa.array(_distinct_hashes(texts.slice(a, b - a), shingle)[0].view(np.int64))], ["h"])
 
-    Candidates are documents with ``radius`` or fewer differing bits in any of several SimHashes; their shingle sets are
-    then compared exactly.  Links to frequent fingerprints come first; where several candidates of one component
-    remain for a document, the nearest is compared.  Ids are integers; rows without an id are left out of groups
-    (component null), rows that repeat an id are one document.
+    counts = some.select("doc_id", "text").mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    found = sorted((r["h"] % 2**64, r["n"]) for r in counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect())
+    return np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
+
+
+def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: float) -> DataFrame:
+    """``(doc, cell, at, n)``: the first shingles of each text in one order of all shingles, their places, and the text's number of them.
+
+    Of two texts at ``similarity`` or more, each has at least ``ceil(similarity * n)`` shingles in common with the other,
+    so all but the last ``ceil(similarity * n) - 1`` of both have one in common, whatever the order is.  The order puts
+    shingles last that are frequent in a sample, so common lines are sought only where a text has little else.
     """
-    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    names = [f"f{k}" for k in range(len(seeds))]
-    rows = written(fingerprints(own.where("doc_id is not null"), shingle=shingle, seeds=seeds), "fingerprints")
+    held = docs.sparkSession.sparkContext.broadcast(_frequent_shingles(docs, total, shingle))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, often = held.value
+        for batch in batches:
+            texts = arrays.as_strings(batch.column(1))
+            for a, b in arrays.slices(texts):
+                hashes, first = _distinct_hashes(texts.slice(a, b - a), shingle)
+                n = np.diff(first)
+                owner = np.repeat(np.arange(len(n)), n)
+                if len(known) and len(hashes):
+                    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                    level = np.where(known[place] == hashes, often[place], 0)
+                    hashes = hashes[np.lexsort((level, owner))]  # stable: equal levels stay in the order of hashes
+                at = np.arange(len(hashes)) - first[owner]
+                ahead = at < (n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1)[owner]
+                empty = np.flatnonzero(n == 0)
+                owner = np.concatenate([owner[ahead], empty])
+                cells = np.concatenate([hashes[ahead].view(np.int64), np.full(len(empty), _EMPTY, np.int64)])
+                at = np.concatenate([at[ahead], np.zeros(len(empty), np.int64)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(owner)), pa.array(cells), pa.array(at, pa.int32()), pa.array(n[owner], pa.int32())], ["doc", "cell", "at", "n"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc long, cell long, at int, n int")
+
+
+def _simhash_stars(rows: DataFrame, names: list[str], radius: int) -> DataFrame:
+    """Pairs of documents with the same fingerprints, or a quarter of one and ``2 * radius`` differing bits, with one document each."""
     classes = written(rows.groupBy(*names).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
     same = rows.join(classes.select(*(F.col(n).alias(f"_{n}") for n in names), "rep"), [F.col(n) == F.col(f"_{n}") for n in names]).where("doc_id <> rep")
     stars = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -205,22 +262,68 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         spread = quarter.select("rep", "fp", (F.col("key") + 0).alias("of"))
         near = spread.join(top, (spread["of"] == top["of"]) & (spread["rep"] != top["hub"]) & (distance("fp", "hub_fp") <= 2 * radius))
         stars = stars.unionByName(near.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
-    first = written(verified_links(stars.distinct(), own, shingle, similarity), "first")
-    known = connected_components(first, "a", "b").select(F.col("node").alias("rep"), F.col("component").alias("c"))
-    labelled = written(classes.join(known, "rep", "left").select("rep", *names, F.coalesce("c", "rep").alias("c")), "labelled")
-    points = None
-    for k, name in enumerate(names):
-        part = grid_points(labelled.select("rep", "c", F.col(name).alias("fp")), radius, widths, parts).withColumn("cell", F.col("cell") + F.lit(k << 60))
-        points = part if points is None else points.unionByName(part)
-    sizes = points.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
-    mixed = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("cell").alias("at"), F.col("top.c").alias("largest"))
-    held = written(points.join(mixed, F.col("cell") == F.col("at")).select("cell", "rep", "fp", "c", "largest"), "points")
-    few = held.where("c <> largest").select((F.col("cell") + 0).alias("x_cell"), F.col("rep").alias("x"), F.col("fp").alias("x_fp"), F.col("c").alias("x_c"))
-    many = held.select((F.col("cell") + 0).alias("y_cell"), F.col("rep").alias("y"), F.col("fp").alias("y_fp"), F.col("c").alias("y_c"))
-    found = few.join(many, (few["x_cell"] == many["y_cell"]) & (few["x_c"] != many["y_c"]) & (distance("x_fp", "y_fp") <= radius))
-    nearest = found.groupBy("x", "y_c").agg(F.min(F.struct(distance("x_fp", "y_fp").alias("d"), F.col("y").alias("y"))).alias("to"))
-    second = verified_links(nearest.select(F.least("x", "to.y").alias("a"), F.greatest("x", "to.y").alias("b")).distinct(), own, shingle, similarity)
-    nodes = connected_components(first.unionByName(second), "a", "b").withColumnRenamed("component", "component_id")
+    return stars
+
+
+def _may_reach(similarity: float) -> Column:
+    """Whether two texts whose first common shingle is at ``x_at`` and ``y_at`` can have enough in common after it."""
+    common = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    return common >= F.lit(similarity / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) - 1e-6
+
+
+def _mixed_cells(prefixes: DataFrame, known: DataFrame) -> DataFrame:
+    """``prefixes`` with each document's component ``c``, in the cells where several components meet."""
+    labels = known.select(F.col("node").alias("doc"), F.col("component"))
+    labelled = written(prefixes.join(labels, "doc", "left").select("cell", "doc", "at", "n", F.coalesce("component", "doc").alias("c")), "labelled")
+    mixed = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select((F.col("cell") + 0).alias("of"))
+    return written(labelled.join(mixed, F.col("cell") + 0 == F.col("of"), "left_semi"), "mixed")
+
+
+def _cell_stars(cells: DataFrame, similarity: float, salt: int) -> DataFrame:
+    """Pairs of each document with one document of each of its cells, another one for each ``salt``."""
+    hubs = cells.groupBy("cell").agg(F.min(F.struct(F.xxhash64("doc", F.lit(salt)).alias("s"), F.col("doc").alias("y"), F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("c").alias("y_c"))).alias("hub"))
+    hubs = hubs.select((F.col("cell") + 0).alias("of"), "hub.*")
+    spread = cells.select((F.col("cell") + 0).alias("x_cell"), F.col("doc").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("c").alias("x_c"))
+    found = spread.join(hubs, (F.col("x_cell") == F.col("of")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity))
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
+    """All pairs of documents of different components that share a cell, where the places leave room for ``similarity``."""
+    sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
+    top = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top")).select((F.col("cell") + 0).alias("of"), F.col("top.c").alias("largest"))
+    few = cells.join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest").select((F.col("cell") + 0).alias("x_cell"), F.col("doc").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("c").alias("x_c"))
+    many = cells.select((F.col("cell") + 0).alias("y_cell"), F.col("doc").alias("y"), F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("c").alias("y_c"))
+    found = few.join(many, (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity))
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 8, seeds: tuple[int, ...] = (42, 43)) -> DataFrame:
+    """One row per row of ``docs``: id and ``component_id``, for links of ``similarity`` or more on word shingles.
+
+    Components are those of *all* pairs whose shingle sets have that Jaccard similarity.  Pairs are proposed by several
+    SimHashes first and by shared shingles of prefixes (see ``shingle_prefixes``) then, and each is compared exactly.
+    Dense groups are not paired with themselves: two rounds compare documents with single others, and the last round
+    takes every proposed pair whose ends are in different components by then.  Ids are integers; rows without an id are
+    left out of groups (component null), rows that repeat an id are one document.
+    """
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    present = own.where("doc_id is not null")
+    names = [f"f{k}" for k in range(len(seeds))]
+    rows = written(fingerprints(present, shingle=shingle, seeds=seeds), "fingerprints")
+    links = written(verified_links(_simhash_stars(rows, names, radius).distinct(), own, shingle, similarity), "links")
+    cells = written(shingle_prefixes(present, rows.count(), shingle, similarity), "prefixes")
+    # Cells of one document have nothing to find.
+    shared = cells.groupBy("cell").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select((F.col("cell") + 0).alias("of"))
+    cells = written(cells.join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
+    for salt in (1, 2):
+        cells = _mixed_cells(cells.select("doc", "cell", "at", "n"), connected_components(links, "a", "b"))
+        more = verified_links(_cell_stars(cells, similarity, salt), own, shingle, similarity)
+        links = written(links.unionByName(more), "links")
+        free_shuffles(docs.sparkSession)
+    cells = _mixed_cells(cells.select("doc", "cell", "at", "n"), connected_components(links, "a", "b"))
+    last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)
+    nodes = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("component", "component_id")
     return own.select("doc_id").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -127,3 +127,40 @@ def test_near_copies(spark):
     assert simhash.near_copies(docs_of(spark, [])).count() == 0
     null_ids = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], "doc_id long, text string")
     assert rows_of(simhash.drop_near_copies(null_ids), "doc_id") == [(1,), (1,), (None,)]
+
+
+def all_links(texts, least=0.8):
+    return [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= least]
+
+
+def test_near_copies_at_the_bound(spark):
+    """Groups are those of all pairs at 0.8 and above, also where edits leave just that."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    common, texts = " ".join(word() for _ in range(9)), []
+    for k in range(60):
+        w = [word() for _ in range(200)] + ([common] if k % 3 == 0 else [])
+        v = list(w)
+        for at in rng.sample(range(200), 4):
+            v[at] = word()
+        texts += [" ".join(w), " ".join(v)]
+    texts += [f"{common} {word()}" for _ in range(40)]
+    pairs = all_links(texts)
+    assert sum(0.8 <= jaccard(texts[2 * k], texts[2 * k + 1]) < 0.86 for k in range(60)) >= 40
+    got = dict(rows_of(simhash.near_copies(docs_of(spark, texts)), "doc_id", "component_id"))
+    assert [got[i] for i in range(len(texts))] == components(len(texts), pairs)
+
+
+def test_near_copies_under_one_fingerprint(spark):
+    """Texts of one repeated line share fingerprints; two with nearly the same tail are found though a third has another."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    line, texts = " ".join(word() for _ in range(11)), []
+    for _ in range(4):
+        tail = [word() for _ in range(60)]
+        texts += [" ".join([line] * 60 + tail), " ".join([line] * 60 + tail[:-1] + [word()])]
+    texts = [texts[0], *texts[2:], texts[1]]
+    assert len({one_simhash(t, 5) for t in texts}) == 1
+    got = dict(rows_of(simhash.near_copies(docs_of(spark, texts)), "doc_id", "component_id"))
+    want = components(len(texts), all_links(texts))
+    assert [got[i] for i in range(len(texts))] == want and want[-1] == 0 and want[2] == 1
