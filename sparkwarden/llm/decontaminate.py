@@ -21,9 +21,10 @@ from pyspark.sql import functions as F
 from sparkwarden.llm import arrays, bitmap
 from sparkwarden.storage import written
 
-#: Positions that each mask reads. With these four, an aligned stretch of 12 words with two substitutions anywhere is
-#: hit in all but a few placements.
-MASKS = ("111111", "11011011", "1101000111", "10110011001")
+#: Positions that each mask reads. With these, an aligned stretch of 12 words is hit wherever two of them are substituted.
+MASKS = ("111111", "11011011", "1101000111", "10110011001", "110110101")
+#: For items of 5 to 11 words: hit wherever a fifth of the words (one, from 10 words on two) is substituted.
+SHORT_MASKS = ("1111", "11011", "10111", "11101")
 #: Aligned words that make contamination, and the share of them that may differ.
 OVERLAP = 12
 SUBSTITUTIONS = 0.2
@@ -52,11 +53,10 @@ def _masked(hashes: np.ndarray, mask: str, seed: int) -> np.ndarray:
     return out
 
 
-def _seeds(texts: pa.Array, masks: tuple[str, ...], reach: int, held: np.ndarray | None, whole: bool) -> dict[str, list]:
+def _seeds(texts: pa.Array, masks: dict[int, str], reach: int, held: np.ndarray | None, sizes: dict[int, tuple[int, int]]) -> dict[str, list]:
     """Seeds of a slice: document (index), place, hash and the words around it (32 bits each), those in ``held`` only.
 
-    ``whole``: documents shorter than a mask give their word sequence as one seed (for items); else (for documents)
-    masks of all ones are tried as they are given.
+    ``masks`` go by number. ``sizes``: the numbers of words, from and to, that a text has for a mask (those not there: any).
     """
     words, hashes = _words(texts)
     count = words.count
@@ -65,11 +65,11 @@ def _seeds(texts: pa.Array, masks: tuple[str, ...], reach: int, held: np.ndarray
     room = count[owner]
     short = hashes.astype(np.uint32)
     out: dict[str, list] = {"doc": [], "place": [], "size": [], "h": [], "around": []}
-    for m, mask in enumerate(masks):
+    for m, mask in masks.items():
         found = _masked(hashes, mask, m)
         ok = (place + len(mask) <= room)[: len(found)]
-        if whole and len(mask) < len(masks[0]):
-            ok &= (room == len(mask))[: len(found)]
+        if m in sizes:
+            ok &= ((room >= sizes[m][0]) & (room <= sizes[m][1]))[: len(found)]
         if held is not None:
             ok &= bitmap.holds(held, found)
         index = np.flatnonzero(ok)
@@ -83,14 +83,14 @@ def _seeds(texts: pa.Array, masks: tuple[str, ...], reach: int, held: np.ndarray
     return out
 
 
-def _scan(rows: DataFrame, id_col: str, text_col: str, masks: tuple[str, ...], reach: int, held, whole: bool) -> DataFrame:
+def _scan(rows: DataFrame, id_col: str, text_col: str, masks: dict[int, str], reach: int, held, sizes: dict[int, tuple[int, int]]) -> DataFrame:
     kind = rows.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = arrays.as_strings(batch.column(1))
             for a, b in arrays.slices(texts):
-                found = _seeds(texts.slice(a, b - a), masks, reach, held.value if held else None, whole)
+                found = _seeds(texts.slice(a, b - a), masks, reach, held.value if held else None, sizes)
                 ids = batch.column(0).slice(a, b - a).take(pa.array(found["doc"], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(found["place"], pa.int32()), pa.array(found["size"], pa.int32()), pa.array(found["h"], pa.int64()), pa.array(found["around"], pa.binary())], [id_col, "place", "size", "h", "around"])
 
@@ -110,13 +110,16 @@ def agreement(a: np.ndarray, at_a: int, b: np.ndarray, at_b: int, overlap: int)
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, substitutions: float = SUBSTITUTIONS) -> DataFrame:
     """Pairs ``(id, item)`` with the best share of agreeing words, for all pairs over the bound."""
     reach = overlap
-    # Items shorter than the shortest mask are sought whole, for the few lengths that this leaves.
-    masks = tuple(masks) + tuple("1" * n for n in range(len(min(masks, key=len)) - 1, MIN_WORDS - 1, -1))
+    # Items shorter than a stretch have masks of their own, which documents need only where there are such items.
+    numbered = dict(enumerate((*masks, *SHORT_MASKS)))
+    sizes = {m: (overlap, 2**31) if m < len(masks) else (MIN_WORDS, overlap - 1) for m in numbered}
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text")).where("item_text is not null")
-    seeds = written(_scan(items, "item", "item_text", masks, reach, None, True), "seeds")
+    seeds = written(_scan(items, "item", "item_text", numbered, reach, None, sizes), "seeds")
+    if seeds.where(F.col("size") < overlap).isEmpty():
+        numbered = dict(enumerate(masks))
     held = docs.sparkSession.sparkContext.broadcast(bitmap.build(seeds, "h"))
     own = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("doc_text"))
-    hits = _scan(own, "doc", "doc_text", masks, reach, held, False).withColumnsRenamed({"place": "doc_place", "around": "doc_around", "size": "doc_size"})
+    hits = _scan(own, "doc", "doc_text", numbered, reach, held, {}).withColumnsRenamed({"place": "doc_place", "around": "doc_around", "size": "doc_size"})
     joined = hits.join(seeds.select("item", "place", "size", F.col("h").alias("item_h"), "around"), F.col("h") == F.col("item_h"))
     kinds = f"doc {docs.schema[id_col].dataType.simpleString()}, item {benchmark.schema[item_col].dataType.simpleString()}, share double"
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 import zlib
@@ -86,6 +87,31 @@ def test_seeds_hit_substituted_stretches():
     assert sum(map(hit, pairs)) >= 0.9 * len(pairs)
 
 
+def test_masks_hit_every_placement():
+    """Whatever words of an item of 5 to 12 are substituted, up to the share that is allowed, one mask hits."""
+    hit = lambda n, off, masks: any(all(p + k not in off for k, c in enumerate(m) if c == "1") for m in masks for p in range(n - len(m) + 1))
+    assert all(hit(12, off, decontaminate.MASKS) for off in itertools.combinations(range(12), 2))
+    for n in range(5, 12):
+        assert all(hit(n, off, decontaminate.SHORT_MASKS) for off in itertools.combinations(range(n), int(0.2 * n + 1e-9)))
+
+
+def test_substitutions_anywhere(spark):
+    """Items of 5 to 12 words are found with every placement of as many other words as are allowed, and with no more."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(6))
+    items, texts, want = [" ".join(word() for _ in range(n)) for n in range(5, 13)], [], []
+    for item in items:
+        w = item.split()
+        most = int(0.2 * len(w) + 1e-9)
+        for changed in (most, most + 1):
+            for off in itertools.combinations(range(len(w)), changed):
+                texts.append(f"{word()} {' '.join(word() if k in off else x for k, x in enumerate(w))} {word()}")
+                want.append(changed == most)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.contamination(docs_of(spark, texts, True), bench)
+    assert rows_of(got, "doc_id", "contaminated") == sorted(enumerate(want), key=repr)
+
+
 def tables(spark, sf):
     return (spark.read.parquet(f"/root/testdata/{sf}/{n}.parquet") for n in ("documents", "labels"))
 
