@@ -25,6 +25,8 @@ from sparkwarden.llm.labelled import held_out, training_sample
 WINDOW, STRIDE = 32, 16
 #: Labelled rows of each class that training uses at most, and words of the longest text it takes.
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_WORDS = 1500, 3000, 800
+#: Characters of the longest input word, and those that neighbouring pieces of a longer run share.
+PIECE, OVERLAP = 40, 10
 VOCABULARY, GRAM_BUCKETS = 4096, 1 << 13
 WORD_SIZE, GRAM_SIZE, HIDDEN, ATTENTION = 8, 12, 8, 8
 STEPS, BATCH, RATE = 400, 48, 0.01
@@ -36,12 +38,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def tokens(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+    """The input words of a text: its runs between blanks, those over ``PIECE`` characters as overlapping pieces."""
+    words = (text or "").lower().split()
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    return [w[k : k + PIECE] for w in words for k in range(0, max(1, len(w) - OVERLAP), PIECE - OVERLAP)]
 
 
 def grams(word: str) -> list[int]:
     """Buckets of the 3- to 5-grams at the word's beginning, and of its 4-grams, with edges marked."""
-    word = f"<{word[:40]}>"
+    word = f"<{word}>"
     found = {word[:k] for k in (4, 5, 6)} | {word[k : k + 4] for k in range(max(1, len(word) - 3))}
     return sorted({zlib.crc32(g.encode()) % GRAM_BUCKETS for g in found})
 

@@ -176,6 +176,21 @@ def test_windows():
         assert {k for s in starts for k in range(s, min(n, s + toxicity.WINDOW))} == set(range(n))
 
 
+def test_long_runs_are_read_whole():
+    """Of a text without blanks every character reaches the score."""
+    for n in (39, 40, 41, 70, 71, 100, 1000):
+        run = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(n))
+        got = toxicity.tokens(f"a {run} b")
+        assert all(any(run[k : k + toxicity.OVERLAP] in w for w in got) for k in range(n - toxicity.OVERLAP + 1)) and max(map(len, got)) <= toxicity.PIECE
+    rng = random.Random(6)
+    clean = lambda k: ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(k)]
+    texts = [" ".join([*clean(10), *["vilezwqx"] * (k % 2), *clean(10)]) for k in range(200)]
+    scorer = toxicity.Scorer(toxicity.train(texts, [k % 2 for k in range(200)], steps=150))
+    before, after = "_".join(clean(10)), "_".join(clean(10))
+    plain, vile = scorer.scores([f"{before}_{after}", f"{before}_vilezwqx_vilezwqx_vilezwqx_{after}"])
+    assert vile > plain
+
+
 def test_toxicity(spark):
     docs, labels = tables(spark, "sf0.1")
     out = toxicity.score_toxicity(docs, labels).cache()
