@@ -309,13 +309,16 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     present = own.where("doc_id is not null")
+    free_shuffles(docs.sparkSession)  # those of whoever made ``docs``
     names = [f"f{k}" for k in range(len(seeds))]
     rows = written(fingerprints(present, shingle=shingle, seeds=seeds), "fingerprints")
     links = written(verified_links(_simhash_stars(rows, names, radius).distinct(), own, shingle, similarity), "links")
+    free_shuffles(docs.sparkSession)
     cells = written(shingle_prefixes(present, rows.count(), shingle, similarity), "prefixes")
     # Cells of one document have nothing to find.
     shared = cells.groupBy("cell").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select((F.col("cell") + 0).alias("of"))
     cells = written(cells.join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
+    free_shuffles(docs.sparkSession)
     for salt in (1, 2):
         cells = _mixed_cells(cells.select("doc", "cell", "at", "n"), connected_components(links, "a", "b"))
         more = verified_links(_cell_stars(cells, similarity, salt), own, shingle, similarity)
