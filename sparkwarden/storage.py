@@ -8,13 +8,20 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of narrow tables (ids, hashes) that are broadcast at most; larger ones are shuffled.
+BROADCAST_ROWS = 500_000
+_PATH = "_sparkwarden_path"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, a temporary one, in local mode only (tests)."""
     sc = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="sparkwarden-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
@@ -28,7 +35,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/sparkwarden/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    setattr(out, _PATH, path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``written`` returned; what was made of them must have been written by now.
+
+    Other frames are left alone.
+    """
+    for table in tables:
+        path = vars(table).pop(_PATH, None)
+        if path:
+            sc = table.sparkSession.sparkContext
+            place = sc._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def small_or_shuffled(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, marked for broadcast if it was counted to have ``most`` rows or fewer.
+
+    For tables that are files or cheap to count: the count stops at ``most`` rows.
+    """
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def free_shuffles(spark: SparkSession) -> None:
@@ -37,7 +67,6 @@ def free_shuffles(spark: SparkSession) -> None:
     Spark does so once the driver has collected its garbage, which a driver with little to do puts off; operators whose
     phases shuffle as much as they read call this between phases.
     """
-    for _ in range(2):  # Python's handles go first; what they held is free a moment later
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.4)
+    gc.collect()  # Python's handles go first
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)
