@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays
 from sparkwarden.operators.graph import connected_components
-from sparkwarden.storage import free_shuffles, written
+from sparkwarden.storage import discard, free_shuffles, small_or_shuffled, written
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seeds: tuple[int, ...] = (42,)) -> DataFrame:
@@ -115,17 +115,22 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, widths: tuple[int, ...] =
     stars = written(_star_links(fps, radius), "stars")
     known = connected_components(stars, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("c"))
     labelled = written(fps.join(known, "fp", "left").select("fp", F.coalesce("c", "fp").alias("c")), "labelled")
-    points = grid_points(labelled, radius, widths, parts)
+    # Each row becomes some sixty: they are dealt out again first, however few files hold them.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = grid_points(labelled.repartition(tasks), radius, widths, parts)
     # Grid points with one component only have nothing left to find.
     sizes = points.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("cell").alias("at"), F.col("top.c").alias("largest"))
     held = written(points.join(mixed, F.col("cell") == F.col("at")).select("cell", "fp", "c", "largest"), "points")
+    free_shuffles(fps.sparkSession)
     few = held.where("c <> largest").select((F.col("cell") + 0).alias("x_cell"), F.col("fp").alias("x"), F.col("c").alias("x_c"))
     many = held.select((F.col("cell") + 0).alias("y_cell"), F.col("fp").alias("y"), F.col("c").alias("y_c"))
     found = few.join(many, (few["x_cell"] == many["y_cell"]) & (few["x_c"] != many["y_c"]) & (distance("x", "y") <= radius))
     # Pairs of fingerprints collapse to pairs of components at once.
     found = found.groupBy(F.least("x_c", "y_c").alias("p"), F.greatest("x_c", "y_c").alias("q")).agg(F.min(F.struct(F.col("x").alias("a"), F.col("y").alias("b"))).alias("pair"))
-    return stars.unionByName(found.select("pair.a", "pair.b"))
+    links = written(stars.unionByName(found.select("pair.a", "pair.b")), "links")
+    discard(held, labelled, stars)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, radius: int = 4, widths: tuple[int, ...] = WIDTHS, parts: int = 2, seed: int = 42) -> DataFrame:
@@ -137,52 +142,51 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), shingle=shingle, seeds=(seed,)).withColumnRenamed("f0", "fp"), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "classes")
-    nodes = connected_components(fingerprint_links(classes, radius, widths, parts), "a", "b")
+    links = fingerprint_links(classes, radius, widths, parts)
+    nodes = connected_components(links, "a", "b")
     # Components have numbers of fingerprints; each gets the smallest id of its classes.
     lone = classes.join(nodes, classes["fp"] == nodes["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     smallest = lone.groupBy("c").agg(F.min("least").alias("component_id"))
     named = written(lone.select("fp", (F.col("c") + 0).alias("c")).join(smallest.select((F.col("c") + 0).alias("c"), "component_id"), "c").select("fp", "component_id"), "named")
+    discard(links, classes, nodes)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return rows.join(named, "fp").select(F.col("doc_id").alias(id_col), hexed.alias("fingerprint"), "component_id")
 
 
-def _shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(id, hashes)``: the sorted distinct shingle hashes of each text, as bytes."""
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = arrays.as_strings(batch.column(1))
-            for a, b in arrays.slices(texts):
-                words = arrays.split_words(*arrays.buffers(texts.slice(a, b - a)), lower=True)
-                start, length, first = arrays.shingles(words, shingle)
-                hashes = arrays.xxh64(words.data, start, length)
-                sets = [np.unique(hashes[x:y]).tobytes() for x, y in zip(first[:-1], first[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sets, pa.binary())], [id_col, "hashes"])
-
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, hashes binary")
+def _in_common(x: pa.Array, y: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each pair of texts: how many distinct shingles the first has, the second has, and both have."""
+    (hx, fx), (hy, fy) = _distinct_hashes(x, shingle), _distinct_hashes(y, shingle)
+    n, m = np.diff(fx), np.diff(fy)
+    hashes, owner = np.concatenate([hx, hy]), np.concatenate([np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)])
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    twice = (hashes[1:] == hashes[:-1]) & (owner[1:] == owner[:-1])
+    return n, m, np.bincount(owner[1:][twice], minlength=len(n))
 
 
 def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` of ids whose texts' shingle sets have a Jaccard similarity of ``similarity`` or more.
+    """The pairs ``(a, b)`` of ids whose texts' shingle sets have a Jaccard similarity of ``similarity`` or more, as a written table.
 
-    Two texts without words are alike.  ``docs`` has ``doc_id`` and ``text``; only documents in a pair are read further.
+    Two texts without words are alike.  ``docs`` has ``doc_id`` and ``text``; only texts of documents in a pair are
+    shuffled, and whole texts rather than their hashes, which take twice the room.
     """
     pairs = written(pairs, "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = written(_shingle_sets(docs.join(needed, "doc_id", "left_semi"), "doc_id", "text", shingle), "sets")
-    of_a, of_b = (sets.select(F.col("doc_id").alias(x), F.col("hashes").alias(f"set_{x}")) for x in "ab")
+    texts = docs.join(small_or_shuffled(needed), "doc_id", "left_semi")
+    of_a, of_b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            x, y = arrays.as_strings(batch.column(2)), arrays.as_strings(batch.column(3))
+            for lo, hi in arrays.slices(x):
+                for c, d in arrays.slices(y.slice(lo, hi - lo)):
+                    n, m, both = _in_common(x.slice(lo + c, d - c), y.slice(lo + c, d - c), shingle)
+                    keep = both >= similarity * (n + m - both) - 1e-9
+                    yield pa.RecordBatch.from_arrays([batch.column(k).slice(lo + c, d - c) for k in (0, 1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    links = written(pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "verified")
+    discard(pairs)
+    return links
 
 
 #: Documents whose shingles tell how frequent shingles are, and the number of frequent shingles that are kept.
@@ -274,9 +278,12 @@ def _may_reach(similarity: float) -> Column:
 def _mixed_cells(prefixes: DataFrame, known: DataFrame) -> DataFrame:
     """``prefixes`` with each document's component ``c``, in the cells where several components meet."""
     labels = known.select(F.col("node").alias("doc"), F.col("component"))
-    labelled = written(prefixes.join(labels, "doc", "left").select("cell", "doc", "at", "n", F.coalesce("component", "doc").alias("c")), "labelled")
+    labelled = written(prefixes.join(small_or_shuffled(labels), "doc", "left").select("cell", "doc", "at", "n", F.coalesce("component", "doc").alias("c")), "labelled")
     mixed = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select((F.col("cell") + 0).alias("of"))
-    return written(labelled.join(mixed, F.col("cell") + 0 == F.col("of"), "left_semi"), "mixed")
+    out = written(labelled.join(mixed, F.col("cell") + 0 == F.col("of"), "left_semi"), "mixed")
+    discard(labelled)
+    free_shuffles(prefixes.sparkSession)
+    return out
 
 
 def _cell_stars(cells: DataFrame, similarity: float, salt: int) -> DataFrame:
@@ -309,29 +316,42 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     present = own.where("doc_id is not null")
-    free_shuffles(docs.sparkSession)  # those of whoever made ``docs``
+    spark = docs.sparkSession
+    free_shuffles(spark)  # those of whoever made ``docs``
     names = [f"f{k}" for k in range(len(seeds))]
     rows = written(fingerprints(present, shingle=shingle, seeds=seeds), "fingerprints")
-    links = written(verified_links(_simhash_stars(rows, names, radius).distinct(), own, shingle, similarity), "links")
-    free_shuffles(docs.sparkSession)
-    cells = written(shingle_prefixes(present, rows.count(), shingle, similarity), "prefixes")
-    # Cells of one document have nothing to find.
-    shared = cells.groupBy("cell").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi").select((F.col("cell") + 0).alias("of"))
-    cells = written(cells.join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
-    free_shuffles(docs.sparkSession)
+    total = rows.count()
+    links = verified_links(_simhash_stars(rows, names, radius).distinct(), own, shingle, similarity)
+    discard(rows)
+    every = written(shingle_prefixes(present, total, shingle, similarity), "prefixes")
+    # Cells of one document have nothing to find. A document's cells differ, so that a count tells.
+    shared = every.groupBy("cell").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select((F.col("cell") + 0).alias("of"))
+    cells = written(every.join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
+    discard(every)
+    free_shuffles(spark)
+
+    def narrowed(cells: DataFrame, links: DataFrame) -> DataFrame:
+        known = connected_components(links, "a", "b")
+        out = _mixed_cells(cells.select("doc", "cell", "at", "n"), known)
+        discard(known, cells)
+        return out
+
     for salt in (1, 2):
-        cells = _mixed_cells(cells.select("doc", "cell", "at", "n"), connected_components(links, "a", "b"))
+        cells = narrowed(cells, links)
         more = verified_links(_cell_stars(cells, similarity, salt), own, shingle, similarity)
-        links = written(links.unionByName(more), "links")
-        free_shuffles(docs.sparkSession)
-    cells = _mixed_cells(cells.select("doc", "cell", "at", "n"), connected_components(links, "a", "b"))
+        both = written(links.unionByName(more), "links")
+        discard(links, more)
+        links = both
+        free_shuffles(spark)
+    cells = narrowed(cells, links)
     last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)
     nodes = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("component", "component_id")
+    discard(cells, links, last)
     return own.select("doc_id").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group of near copies, that of the smallest id; all columns stay."""
     groups = near_copies(docs, id_col, text_col, **options)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = written(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "gone")
+    return docs.join(small_or_shuffled(gone), docs[id_col] == gone["__gone"], "left_anti")
