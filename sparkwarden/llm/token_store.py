@@ -9,6 +9,7 @@ Blocks are rows of Parquet files, so that Spark commits them and any store that
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -106,11 +107,13 @@ class Block:
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int | None = None) -> None:
     """Encode every text and write blocks to ``path``, in ascending order of the (integer) id.
 
-    Part k of the files holds smaller ids than part k+1.  Null is the empty text.  Rows without an id come first; rows
-    that repeat an id are in the order of their texts.  ``end_id`` is appended to each document.
+    Part k of the files holds no larger ids than part k+1.  Null is the empty text.  Rows without an id come first; rows
+    that repeat an id are in the order of their texts' hashes, which lets many of them go to several parts.  ``end_id``
+    is appended to each document.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(parts, "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     tail = np.asarray([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,8 +134,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
 
         for batch in batches:
             column = arrays.as_strings(batch.column(1))
-            for a, b in arrays.slices(column):
-                flat, counts = codes.ids(column.slice(a, b - a).cast(pa.large_binary()).to_pylist())
+            for a, b in arrays.slices(column, 4 * arrays.SLICE_BYTES):
+                flat, counts = codes.ids(column.slice(a, b - a))
                 ends = np.cumsum(counts)
                 for doc_id, end, n in zip(batch.column(0).slice(a, b - a).to_pylist(), ends.tolist(), counts.tolist(), strict=True):
                     found = np.concatenate([flat[end - n : end], tail])
@@ -146,15 +149,50 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     ordered.mapInArrow(run, "part long, block long, start_in_part long, n_ids long, payload binary").write.option("compression", "uncompressed").parquet(path)
 
 
-def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
-    """One row per document of the files: id, ``start``, ``n_tokens``, ``ids_crc32`` (and ``ids`` if asked for).
+_COLUMNS = "part long, block long, start_in_part long, n_ids long, payload binary"
+
 
-    ``start`` counts the ids of all documents before it.  The totals of the parts are the only thing that is summed in
-    one place: as many rows as there are parts, which the writer's partition number bounds.
+def _placed(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks with ``first``, the number of ids before each.
+
+    The totals of the parts are the only thing that is summed in one place: as many rows as there are parts, which the
+    writer's partition number bounds.
     """
-    blocks = spark.read.schema("part long, block long, start_in_part long, n_ids long, payload binary").parquet(path)
+    blocks = spark.read.schema(_COLUMNS).parquet(path)
     totals = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     offsets = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("offset"))
+    return blocks.join(F.broadcast(offsets), "part").withColumn("first", F.col("offset") + F.col("start_in_part"))
+
+
+def tokens_at(positions: DataFrame, path: str, column: str = "position") -> DataFrame:
+    """``(position, token)`` for each row of ``positions``: the id at that place of the whole store.
+
+    A directory of the blocks' first places (no payloads) is joined by ranges of ``BLOCK_IDS`` places; then each id is
+    read from its block by look-ups, without decoding it.  Null places and those outside the store give no row;
+    repeated ones give a row each.
+    """
+    spark = positions.sparkSession
+    placed = _placed(spark, path)
+    last = F.col("first") + F.col("n_ids") - 1
+    reach = F.sequence(F.floor(F.col("first") / BLOCK_IDS), F.floor(last / BLOCK_IDS))
+    directory = placed.where("n_ids > 0").select("part", "block", "first", last.alias("last"), F.explode(reach).alias("range"))
+    sought = positions.select(F.col(column).cast("long").alias("position")).where("position is not null").withColumn("range", F.floor(F.col("position") / BLOCK_IDS))
+    held = sought.join(directory, "range").where("position between first and last").select("position", "part", "block", (F.col("position") - F.col("first")).alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = [Block(payload.as_buffer()).token(at) for at, payload in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens, pa.int64())], [column, "token"])
+
+    payloads = placed.select("part", "block", "payload")
+    return held.join(payloads, ["part", "block"]).select("position", "at", "payload").mapInArrow(run, f"{column} long, token long")
+
+
+def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
+    """One row per document of the files: id, ``start``, ``n_tokens``, ``ids_crc32`` (and ``ids`` if asked for).
+
+    ``start`` counts the ids of all documents before it.
+    """
     extra = ", ids array<int>" if with_ids else ""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,14 +207,11 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids
                     columns.append(pa.array([whole[a:b].astype(np.int32) for a, b in spans], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(columns, [id_col, "start", "n_tokens", "ids_crc32", *(["ids"] if with_ids else [])])
 
-    placed = blocks.join(F.broadcast(offsets), "part").select((F.col("offset") + F.col("start_in_part")).alias("first"), "payload")
-    return placed.mapInArrow(run, f"{id_col} long, start long, n_tokens long, ids_crc32 long{extra}")
+    return _placed(spark, path).select("first", "payload").mapInArrow(run, f"{id_col} long, start long, n_tokens long, ids_crc32 long{extra}")
 
 
 def stored(docs: DataFrame, tokenizer: str, name: str, **options) -> DataFrame:
     """Write ``docs`` to a new folder beside the other shared tables and read it back."""
-    import uuid
-
     path = f"{shared_dir(docs.sparkSession)}/sparkwarden/{name}-{uuid.uuid4().hex}"
     write_tokens(docs, path, tokenizer, **options)
     return read_tokens(docs.sparkSession, path)

@@ -8,7 +8,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from sparkwarden.llm import pretokens, sentencepiece_codec, token_counts, token_store
+from sparkwarden.llm import sentencepiece_codec, token_counts, token_store
 from sparkwarden.llm.pretokens import WordCodes, encode, kind_of, load, odd_documents, spaced_pieces
 
 from .helpers import docs_of, rows_of
@@ -37,20 +37,44 @@ def random_texts(n=400):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(n)] + ["  ", " a", "a ", "a  b", "a\n b", "a \nb", "a \n b", "a\n \nb", "\n", "\na b", " \n a"]
 
 
-def test_words_are_the_librarys(monkeypatch):
+def test_words_are_the_librarys():
     library = Tokenizer.from_file(WORD)
     codes = WordCodes(WORD)
     assert codes.by_word and not WordCodes(BYTE).by_word and kind_of(BYTE) == "spaced"
     texts = random_texts()
-    flat, counts = codes.ids([t.encode() for t in texts])
-    small = WordCodes(WORD)
-    monkeypatch.setattr(pretokens, "CACHE_ENTRIES", 50)
-    parts = [small.ids([t.encode()]) for t in texts]  # the cache forgets again and again
+    flat, counts = codes.ids(pa.array(texts, pa.large_string()))
+    small = WordCodes(WORD, entries=50)
+    parts = [small.ids(pa.array([t], pa.large_string())) for t in texts]  # the cache forgets again and again
     assert np.concatenate([x[0] for x in parts]).tolist() == flat.tolist()
     for t, end, n in zip(texts, np.cumsum(counts), counts, strict=True):
         assert flat[end - n : end].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_sentencepiece_words():
+    """Words and lines from the cache, odd blanks by the whole model, and decoding: as the library has it, also with a tiny cache."""
+    rng = random.Random(5)
+    pool = ["a", "\n", " ", "  ", "\u00e9", "\u2581", "\u65e5\u672c", "\t", "\r\n", ".", "</s>", "<0x0A>", "\U0001f600", "word", "the", "\x00", "\n\n", " \n", " ", " "]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    codes = sentencepiece_codec.PieceCodes(PIECE)
+    codes.entries = 100
+    assert codes.by_word
+    got = [codes.ids(pa.array(texts[k : k + 50], pa.large_string()), 0) for k in range(0, 2000, 50)]
+    flat, counts = (np.concatenate([x[k] for x in got]) for k in (0, 1))
+    want = codes.exact.encode(texts)
+    assert flat.tolist() == [i for x in want for i in x] and counts.tolist() == list(map(len, want))
+    assert [x.decode() for x in codes.decoded(flat, counts)] == codes.whole.decode_batch(want, skip_special_tokens=False)
+    junk = [[rng.randrange(3, 400) for _ in range(6)] for _ in range(300)]  # bytes that make no text
+    assert sentencepiece_codec.decode(junk, PIECE) == codes.whole.decode_batch(junk, skip_special_tokens=False)
+
+
+def test_sentencepiece_is_taken_where_the_rebuilt_model_differs(monkeypatch):
+    codes = sentencepiece_codec.PieceCodes(PIECE)
+    monkeypatch.setattr(codes, "cut", lambda texts: pa.array([["wrong"]] * len(texts), pa.list_(pa.large_string())))
+    texts = ["one two", "three", "four"]
+    flat, counts = codes.ids(pa.array(texts, pa.large_string()), 1)
+    assert flat.tolist() == [i for x in codes.exact.encode(texts) for i in x]
+
+
 def test_pieces_are_the_librarys():
     library, cut = load(BYTE), 0
     for t in random_texts(3000):
@@ -83,7 +107,22 @@ def test_token_store_null_and_repeated_ids(spark, tmp_path):
     token_store.write_tokens(df, str(tmp_path / "ids"), WORD, end_id=1)
     got = token_store.read_tokens(spark, str(tmp_path / "ids"), with_ids=True).orderBy("start").collect()
     a, b, c = (Tokenizer.from_file(WORD).encode(x, add_special_tokens=False).ids for x in "abc")
-    assert [(r["doc_id"], r["ids"]) for r in got] == [(None, b + [1]), (1, [1]), (3, a + [1]), (3, c + [1])]
+    rows = [(r["doc_id"], r["ids"]) for r in got]
+    assert rows[:2] == [(None, b + [1]), (1, [1])] and sorted(rows[2:]) == sorted([(3, a + [1]), (3, c + [1])])
+
+
+def test_tokens_at(spark, tmp_path, monkeypatch):
+    """Single ids by their places in the whole store, over many blocks and parts."""
+    monkeypatch.setattr(token_store, "BLOCK_IDS", 500)
+    texts = texts_of(spark)
+    path = str(tmp_path / "ids")
+    token_store.write_tokens(docs_of(spark, texts), path, WORD, end_id=1)
+    library = Tokenizer.from_file(WORD)
+    want = [i for t in texts for i in library.encode(t or "", add_special_tokens=False).ids + [1]]
+    assert spark.read.parquet(path).count() > 10
+    places = [0, 1, len(want) - 1, 7, 7, *range(3, len(want), 97)]
+    frame = spark.createDataFrame([(p,) for p in [*places, None, -1, len(want)]], "position long")
+    assert rows_of(token_store.tokens_at(frame, path), "position", "token") == sorted(((p, want[p]) for p in places), key=repr)
 
 
 @pytest.mark.parametrize("top", [200, 255, 256, 60_000, 1 << 24, (1 << 32) - 1])
