@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkwarden.storage import small_or_shuffled, written
+
 #: Characters of a text that the second level hashes.
 PREFIX_CHARS = 256
 
@@ -18,14 +20,14 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def surviving_groups(docs: DataFrame, text_col: str = "text", prefix_chars: int = PREFIX_CHARS) -> DataFrame:
-    """``(size, prefix)`` of the groups that may hold copies: lengths seen twice, then prefixes seen twice within them."""
-    clean = normalised(F.col(text_col))
-    sketch = docs.select(F.length(clean).alias("size"), F.xxhash64(F.substring(clean, 1, prefix_chars)).alias("prefix"))
-    # The prefix counts refine the length counts, so one small table of (size, prefix, n) serves both levels.
-    pairs = sketch.groupBy("size", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    lengths = pairs.groupBy("size").agg(F.sum("n").alias("of_size")).where("of_size > 1").select("size")
-    return pairs.where("n > 1").join(lengths, "size", "left_semi").select("size", "prefix")
+def surviving_groups(sketch: DataFrame) -> DataFrame:
+    """``(size, prefix)`` of the groups that may hold copies, of a table with these columns.
+
+    Lengths that one row has go first; only the others' prefixes are grouped, and those that one row has go.
+    """
+    lengths = sketch.groupBy("size").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("size").alias("of_size"))
+    again = sketch.join(small_or_shuffled(lengths), F.col("size") == F.col("of_size"), "left_semi")
+    return again.groupBy("size", "prefix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("size", "prefix")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix_chars: int = PREFIX_CHARS, digest_all: bool = False) -> DataFrame:
@@ -43,13 +45,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     clean = normalised(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), clean.alias("clean"))
     rows = rows.select("doc_id", "clean", F.length("clean").alias("size"), F.xxhash64(F.substring("clean", 1, prefix_chars)).alias("prefix"))
-    survivors = surviving_groups(docs, text_col, prefix_chars).withColumn("survives", F.lit(True))
     digest = F.sha2(F.encode("clean", "UTF-8"), 256)
-    if digest_all:  # the digest of everyone is wanted: it is made before the shuffle, and no text is shuffled
-        rows = rows.select("doc_id", "size", "prefix", digest.alias("text_sha256"))
-        marked = rows.join(survivors, ["size", "prefix"], "left")
+    # Each text is read and normalised once for lengths and prefixes (and its digest, where everyone's is wanted).
+    sketch = written(rows.select("doc_id", "size", "prefix", *([digest.alias("text_sha256")] if digest_all else [])), "sketch")
+    survivors = small_or_shuffled(written(surviving_groups(sketch).withColumn("survives", F.lit(True)), "survivors"))
+    if digest_all:
+        marked = sketch.join(survivors, ["size", "prefix"], "left")
     else:
-        marked = rows.join(survivors, ["size", "prefix"], "left").withColumn("text_sha256", F.when(F.col("survives"), digest)).drop("clean")
+        marked = rows.join(survivors, ["size", "prefix"]).select("doc_id", "size", "survives", digest.alias("text_sha256"))
+        others = sketch.join(survivors, ["size", "prefix"], "left_anti").select("doc_id", "size", F.lit(None).cast("boolean").alias("survives"), F.lit(None).cast("string").alias("text_sha256"))
+        marked = marked.unionByName(others)
     # A single row's key is its own, so that only survivors meet in groups.
     marked = marked.select("doc_id", "text_sha256", "survives", F.when(F.col("survives"), F.concat_ws(":", "size", "text_sha256")).alias("content"))
     groups = marked.where("content is not null").groupBy("content").agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -72,4 +77,5 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows without an id stay.  Rows that repeat an id and its text stay together.
     """
     gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    gone = written(gone, "gone")
+    return docs.join(small_or_shuffled(gone), docs[id_col] == gone["__gone"], "left_anti")
