@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays, bitmap
-from sparkwarden.storage import written
+from sparkwarden.storage import small_or_shuffled, written
 
 #: Positions that each mask reads. With these, an aligned stretch of 12 words is hit wherever two of them are substituted.
 MASKS = ("111111", "11011011", "1101000111", "10110011001", "110110101")
@@ -28,7 +28,7 @@ SHORT_MASKS = ("1111", "11011", "10111", "11101")
 #: Aligned words that make contamination, and the share of them that may differ.
 OVERLAP = 12
 SUBSTITUTIONS = 0.2
-#: Shorter items are too common to count.
+#: Words of the shortest items that count. Shorter ones, down to one word, can be asked for: they match as they stand.
 MIN_WORDS = 5
 _PUNCTUATION = np.array([c for c in range(33, 127) if not chr(c).isalnum()], np.uint8)
 
@@ -97,24 +97,53 @@ def _scan(rows: DataFrame, id_col: str, text_col: str, masks: dict[int, str], re
     return rows.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, place int, size int, h long, around binary")
 
 
-def agreement(a: np.ndarray, at_a: int, b: np.ndarray, at_b: int, overlap: int) -> float:
-    """The best share of equal words over ``overlap`` neighbouring places of the diagonal through the hit (0: too short)."""
-    back = min(at_a, at_b)
-    n = min(len(a) - at_a, len(b) - at_b) + back
-    if n < overlap:
-        return 0.0
-    same = np.cumsum(np.r_[0, a[at_a - back : at_a - back + n] == b[at_b - back : at_b - back + n]])
-    return float((same[overlap:] - same[:-overlap]).max()) / overlap
+def _aligned(spans: pa.Array, at: np.ndarray, middle: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of words as the rows of a matrix, each with its hit in column ``middle``, and where the rows have words."""
+    blobs = spans.to_pylist()
+    per = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    row = np.repeat(np.arange(len(blobs)), per)
+    column = np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per + at - middle, per)
+    ok = (column >= 0) & (column < width)
+    words, there = np.zeros((len(blobs), width), np.uint32), np.zeros((len(blobs), width), bool)
+    words[row[ok], column[ok]] = np.frombuffer(b"".join(blobs), np.uint32)[ok]
+    there[row[ok], column[ok]] = True
+    return words, there
+
+
+def agreements(a: pa.Array, at_a: np.ndarray, b: pa.Array, at_b: np.ndarray, overlap: np.ndarray) -> np.ndarray:
+    """For each pair of spans, the best share of equal words over ``overlap`` neighbouring places of the diagonal through the hit (0: too short)."""
+    middle = int(min(at_a.max(initial=0), at_b.max(initial=0)))
+    width = middle + max([0, *(len(x) // 4 - k for x, k in zip(b.to_pylist(), at_b.tolist(), strict=True))])
+    words_a, in_a = _aligned(a, at_a, middle, width)
+    words_b, in_b = _aligned(b, at_b, middle, width)
+    both = in_a & in_b
+    same = np.pad(np.cumsum((words_a == words_b) & both, axis=1), ((0, 0), (1, 0)))
+    room = np.pad(np.cumsum(both, axis=1), ((0, 0), (1, 0)))
+    out = np.zeros(len(overlap))
+    for n in np.unique(overlap).tolist():
+        rows = np.flatnonzero(overlap == n)
+        if n <= width:
+            full = room[rows, n:] - room[rows, :-n] == n
+            out[rows] = np.where(full, same[rows, n:] - same[rows, :-n], 0).max(axis=1, initial=0) / n
+    return out
+
 
+def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, substitutions: float = SUBSTITUTIONS, min_words: int = MIN_WORDS, each_item: bool = True) -> DataFrame:
+    """Pairs ``(id, item)`` with the best share of agreeing words, for all pairs over the bound.
 
-def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS, overlap: int = OVERLAP, substitutions: float = SUBSTITUTIONS) -> DataFrame:
-    """Pairs ``(id, item)`` with the best share of agreeing words, for all pairs over the bound."""
+    Items of equal text are one item, that of the smallest id.  Without ``each_item``, of items that share a stretch
+    only one may be named: enough to tell which documents quote any, and a stretch that many items share is sought once.
+    """
     reach = overlap
     # Items shorter than a stretch have masks of their own, which documents need only where there are such items.
-    numbered = dict(enumerate((*masks, *SHORT_MASKS)))
-    sizes = {m: (overlap, 2**31) if m < len(masks) else (MIN_WORDS, overlap - 1) for m in numbered}
+    numbered = dict(enumerate((*masks, *SHORT_MASKS, *("1" * n for n in range(min_words, 5)))))
+    sizes = {m: (overlap, 2**31) if m < len(masks) else (max(min_words, 5), overlap - 1) if m < len(masks) + len(SHORT_MASKS) else (len(mask), len(mask)) for m, mask in numbered.items()}
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text")).where("item_text is not null")
-    seeds = written(_scan(items, "item", "item_text", numbered, reach, None, sizes), "seeds")
+    items = items.groupBy("item_text").agg(F.min("item").alias("item"))
+    seeds = _scan(items, "item", "item_text", numbered, reach, None, sizes)
+    if not each_item:
+        seeds = seeds.groupBy("place", "size", "h", "around").agg(F.min("item").alias("item"))
+    seeds = written(seeds, "seeds")
     if seeds.where(F.col("size") < overlap).isEmpty():
         numbered = dict(enumerate(masks))
     held = docs.sparkSession.sparkContext.broadcast(bitmap.build(seeds, "h"))
@@ -125,12 +154,10 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
-            shares = []
-            for dp, da, ip, ia, size in zip(*(cols[n].to_pylist() for n in ("doc_place", "doc_around", "place", "around", "size")), strict=True):
-                shares.append(agreement(np.frombuffer(da, np.uint32), dp, np.frombuffer(ia, np.uint32), ip, min(overlap, size)))
-            keep = pa.array(np.asarray(shares) >= 1 - substitutions - 1e-9)
-            yield pa.RecordBatch.from_arrays([cols["doc"], cols["item"], pa.array(shares, pa.float64())], ["doc", "item", "share"]).filter(keep)
+            doc_place, place, size = (batch.column(k).to_numpy() for k in (2, 4, 6))
+            shares = agreements(batch.column(3), doc_place, batch.column(5), place, np.minimum(overlap, size))
+            keep = pa.array(shares >= 1 - substitutions - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["doc", "item", "share"]).filter(keep)
 
     found = joined.select("doc", "item", "doc_place", "doc_around", "place", "around", "size").mapInArrow(verify, kinds)
     return found.groupBy("doc", "item").agg(F.max("share").alias("share")).select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "share")
@@ -140,20 +167,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per row of ``docs``: id, ``contaminated``, ``n_items``, ``items`` (sorted) and ``best_share``.
 
     Words are compared with A-Z folded and without ASCII punctuation.  Null and empty texts, on either side, and items
-    of fewer than five words never match.  Rows that repeat an id share the findings of all rows of that id; rows
-    without an id are not flagged.  Empty tables on either side flag nothing.  A document quotes few items, so the
-    sorted list of a document's items is short; copies of one item in the benchmark are listed each.
+    of fewer than ``min_words`` (five) words never match.  Rows that repeat an id share the findings of all rows of that
+    id; rows without an id are not flagged.  Empty tables on either side flag nothing.  A document quotes few items, so
+    the sorted list of a document's items is short; of copies of one item in the benchmark, the smallest id is listed.
     """
     found = find_overlaps(docs, benchmark, id_col, text_col, item_col, **options)
     by_doc = found.groupBy(id_col).agg(F.sort_array(F.collect_list(item_col)).alias("items"), F.max("share").alias("best_share"))
     flagged = by_doc.select(F.col(id_col).alias("__doc"), "items", "best_share")
     ids = docs.select(id_col)
-    out = ids.join(flagged, ids[id_col] == flagged["__doc"], "left")
+    flagged = written(flagged, "flagged")
+    out = ids.join(small_or_shuffled(flagged), ids[id_col] == flagged["__doc"], "left")
     none = F.array().cast(flagged.schema["items"].dataType)
     return out.select(id_col, F.col("items").isNotNull().alias("contaminated"), F.when(F.col("items").isNotNull(), F.size("items")).otherwise(0).cast("long").alias("n_items"), F.coalesce("items", none).alias("items"), F.coalesce("best_share", F.lit(0.0)).alias("best_share"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without contaminated rows; all columns stay. Rows without an id stay."""
-    found = find_overlaps(docs, benchmark, id_col, **options).select(F.col(id_col).alias("__doc")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("__doc"), "left_anti")
+    found = find_overlaps(docs, benchmark, id_col, each_item=False, **options).select(F.col(id_col).alias("__doc")).distinct()
+    found = written(found, "contaminated")
+    return docs.join(small_or_shuffled(found), docs[id_col] == found["__doc"], "left_anti")
