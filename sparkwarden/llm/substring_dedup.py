@@ -4,7 +4,8 @@ Windows of ``window`` words that occur twice anywhere are found without comparin
 
 1. *Anchors.* A difference cover D modulo ``v`` has, for any two positions i and j, a shift s < v with i+s and j+s both
    in D (mod v).  So two equal windows share an aligned anchor of ``window - v + 1`` words that starts at a cover
-   position of both.  Only anchors at cover positions are hashed and counted (5 of 21 positions).
+   position of both.  Only anchors at cover positions are hashed and counted (5 of 21 positions).  Repeated ones are
+   told by a broadcast bitmap of fixed size while they are few enough for it, and by a join of places beyond that.
 2. *Extension.* Around anchors that occur twice, the full windows are hashed.  Neighbouring windows make a run; runs
    that are copied whole are counted by one digest, and only the windows of distinct runs are counted one by one.
 3. *Removal.* Words under a repeated window go.
@@ -21,17 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays, bitmap
-from sparkwarden.storage import free_shuffles, written
+from sparkwarden.storage import discard, free_shuffles, written
 
 #: A perfect difference set: every residue modulo 21 is a difference of two of its members.
 PERIOD = 21
 COVER = (3, 6, 7, 12, 14)
 _HASH_BYTES = 8
+#: Bits of the bitmap that a repeated anchor needs: one in so many other anchors passes then.
+BITS_PER_ANCHOR = 16
 
 
 def _positions(words: arrays.Words) -> np.ndarray:
@@ -73,9 +77,26 @@ def anchor_counts(docs: DataFrame, text_col: str, window: int) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
 
 
-def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np.ndarray, keep_text: bool) -> DataFrame:
+def _anchor_places(numbered: DataFrame, text_col: str, window: int) -> DataFrame:
+    """``(row, at, h)`` of all anchors: the document's number, the anchor's place in it, its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = arrays.as_strings(batch.column(1))
+            for a, b in arrays.slices(texts):
+                words = arrays.split_words(*arrays.buffers(texts.slice(a, b - a)))
+                index, found = _anchors(words, _word_hashes(words), window)
+                doc = np.searchsorted(words.first, index, side="right") - 1
+                rows = batch.column(0).slice(a, b - a).take(pa.array(doc))
+                yield pa.RecordBatch.from_arrays([rows, pa.array((index - words.first[doc]).astype(np.int32)), pa.array(found.view(np.int64))], ["row", "at", "h"])
+
+    return numbered.select("row", text_col).mapInArrow(run, "row long, at int, h long")
+
+
+def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np.ndarray | None, keep_text: bool) -> DataFrame:
     """One row per document: its runs of candidate windows with their hashes, or its digest where it has none.
 
+    Repeated anchors are those in the bitmap ``repeated``, or without one those whose places the column ``at`` lists.
     The text goes along where there are runs, or if ``keep_text``.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -90,9 +111,15 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np
                 words = arrays.split_words(*arrays.buffers(texts))
                 hashes = _word_hashes(words)
                 count, at = words.count, _positions(words)
-                index, anchors = _anchors(words, hashes, window)
+                if held.value is not None:
+                    index, anchors = _anchors(words, hashes, window)
+                    index = index[bitmap.holds(held.value, anchors)]
+                else:
+                    places = batch.column(2).slice(a, b - a)
+                    per = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False)
+                    index = np.repeat(words.first[:-1], per) + places.flatten().to_numpy()
                 hit = np.zeros(len(hashes) + 1, np.int64)
-                hit[index[bitmap.holds(held.value, anchors)] + 1] = 1
+                hit[index + 1] = 1
                 hit = np.cumsum(hit)  # hit[k]: repeated anchors before word k
                 last = np.repeat(words.first[1:], count) - window  # the last window of each word's document
                 starts = np.arange(len(hashes))
@@ -123,7 +150,7 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np
                 kinds = {"row": pa.int64(), "n_words": pa.int64(), "sha": pa.string(), "text": pa.string(), "first": pa.list_(pa.int32()), "runs": pa.list_(pa.binary())}
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(v, kinds[k]) for k, v in out.items())], [id_col, *out])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, row long, n_words long, sha string, text string, first array<int>, runs array<binary>")
+    return docs.select(id_col, text_col, *(["at"] if repeated is None else [])).mapInArrow(run, f"{id_col} {kind}, row long, n_words long, sha string, text string, first array<int>, runs array<binary>")
 
 
 def _windows(runs: DataFrame, with_place: bool) -> DataFrame:
@@ -158,8 +185,15 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     if window <= PERIOD:
         raise ValueError(f"window must be over {PERIOD} words")
-    anchors = anchor_counts(docs, text_col, window).where("n > 1")
-    marked = written(_mark(docs, id_col, text_col, window, bitmap.build(anchors, "h", bits), with_text), "marked")
+    anchors = written(anchor_counts(docs, text_col, window).where("n > 1").select("h"), "anchors")
+    if anchors.count() * BITS_PER_ANCHOR <= 1 << bits:
+        marked = written(_mark(docs, id_col, text_col, window, bitmap.build(anchors, "h", bits), with_text), "marked")
+    else:  # a full bitmap would let everything pass: the anchors' places are joined with the repeated ones instead
+        numbered = written(docs.select(F.col(id_col), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row")), "numbered")
+        places = _anchor_places(numbered, "text", window).join(anchors, "h", "left_semi").groupBy("row").agg(F.collect_list("at").alias("at"))
+        marked = written(_mark(numbered.join(places, "row", "left").select(id_col, "text", "at"), id_col, "text", window, None, with_text), "marked")
+        discard(numbered)
+    discard(anchors)
     free_shuffles(docs.sparkSession)
     listed = marked.where(F.size("runs") > 0).select("row", F.explode(F.arrays_zip("first", "runs")).alias("r")).select("row", F.col("r.first").alias("first"), F.col("r.runs").alias("hashes"))
     keyed = listed.select("row", "first", "hashes", F.xxhash64("hashes").alias("d1"), F.xxhash64("hashes", F.lit(1)).alias("d2"), (F.length("hashes") / _HASH_BYTES).cast("int").alias("size"))
@@ -175,6 +209,7 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = written(places.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at")), "spans")
     free_shuffles(docs.sparkSession)
     # Runs that are copied whole: every window of every copy is repeated.
+    discard(repeated)
     lone = distinct_runs.where("n = 1").select((F.col("row") + 0).alias("row"), F.col("first"))
     whole = keyed.select("row", "first", F.col("size").alias("len")).join(lone, ["row", "first"], "left_anti")
     wholes = whole.groupBy("row").agg(F.collect_list(F.struct("first", "len")).alias("whole"))
