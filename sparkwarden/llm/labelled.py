@@ -14,13 +14,15 @@ def held_out(doc_id: Column) -> Column:
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text, label)`` of at most ``per_class[c]`` rows for each class, chosen by a hash of the id.
 
-    The ids that are broadcast are at most the sum of the bounds.  Null labels and ids are left out; where an id is
-    labelled twice, one row of it is taken.
+    The ids that are broadcast are at most the sum of the bounds.  Null labels and ids are left out.  An id that is
+    labelled twice has its highest label; of rows that repeat an id, the one with the smallest text is taken.
     """
     rows = labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = None
     for value, bound in per_class.items():
         part = rows.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
         chosen = part if chosen is None else chosen.unionByName(part)
-    chosen = chosen.dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "__id")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "label")
+    chosen = chosen.withColumnRenamed("doc_id", "__id")
+    found = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))

@@ -18,12 +18,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from sparkwarden.llm import arrays
 from sparkwarden.llm.labelled import held_out, training_sample
 
 WINDOW, STRIDE = 32, 16
-#: Labelled rows of each class that training uses at most, and words of the longest text it takes.
+#: Labelled rows of each class that training uses at most, and words that it takes of each text.
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_WORDS = 1500, 3000, 800
 #: Characters of the longest input word, and those that neighbouring pieces of a longer run share.
 PIECE, OVERLAP = 40, 10
@@ -45,6 +46,14 @@ def tokens(text: str | None) -> list[str]:
     return [w[k : k + PIECE] for w in words for k in range(0, max(1, len(w) - OVERLAP), PIECE - OVERLAP)]
 
 
+def excerpt(text: str | None, words: int = TRAIN_WORDS) -> str:
+    """The input words of a text; of one with over ``words`` of them, windows at even distances from its beginning to its end."""
+    every = tokens(text)
+    if len(every) > words:
+        every = [w for s in np.linspace(0, len(every) - WINDOW, words // WINDOW).astype(int).tolist() for w in every[s : s + WINDOW]]
+    return " ".join(every)
+
+
 def grams(word: str) -> list[int]:
     """Buckets of the 3- to 5-grams at the word's beginning, and of its 4-grams, with edges marked."""
     word = f"<{word}>"
@@ -300,17 +309,23 @@ class Scorer:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> Network:
-    """Train on at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled rows outside the held-out fifth, of at most ``TRAIN_WORDS`` words."""
-    fits = F.size(F.split(F.coalesce(text_col, F.lit("")), " ")) <= TRAIN_WORDS
-    sample = training_sample(docs.where(fits), labels, label, {1: TOXIC_ROWS, 0: CLEAN_ROWS}, id_col, text_col)
-    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in sample.collect())
+    """Train on at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled rows outside the held-out fifth, on an excerpt of at most ``TRAIN_WORDS`` words of each."""
+    sample = training_sample(docs, labels, label, {1: TOXIC_ROWS, 0: CLEAN_ROWS}, id_col, text_col)
+    kind = sample.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([excerpt(t.as_py()) for t in batch.column(1)], pa.string()), batch.column(2)], ["doc_id", "text", "label"])
+
+    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in sample.select("doc_id", "text", "label").mapInArrow(run, f"doc_id {kind}, text string, label int").collect())
     return train([r[1] for r in rows], [r[2] for r in rows])
 
 
 def scored(docs: DataFrame, net: Network, text_col: str = "text", column: str = "score") -> DataFrame:
-    """``docs`` with the score of each text in one more column. Null and empty texts are windows of one empty word."""
-    from pyspark.sql.types import DoubleType, StructType
+    """``docs`` with the score of each text in one more column. Null and empty texts are windows of one empty word.
 
+    A column of that name is replaced.
+    """
     held = docs.sparkSession.sparkContext.broadcast(net)
     plain = StructType([f for f in docs.schema.fields if f.name != column])
 
@@ -338,7 +353,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay.
+
+    Null and empty texts are scored as one empty word, and rows without an id like any other.  An empty table stays empty.
+    """
     net = fit_toxicity(docs, labels, **options)
-    kept = scored(docs, net, options.get("text_col", "text"), "__toxicity")
-    return kept.where(F.col("__toxicity") < threshold).drop("__toxicity")
+    column = "__toxicity"
+    while column in docs.columns:
+        column += "_"
+    return scored(docs, net, options.get("text_col", "text"), column).where(F.col(column) < threshold).drop(column)

@@ -1,9 +1,11 @@
 import itertools
+import math
 import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +131,20 @@ def test_quality(spark):
     assert (good.predicted == 1).mean() > 0.97 and (bad.predicted == 0).mean() > 0.8
 
 
+def test_quality_is_rules_times_weights(spark):
+    """The compiled expression gives what plain Python makes of each text's statistics, rule by rule."""
+    docs, labels = tables(spark, "sf0.001")
+    sample = labelled.training_sample(docs, labels, "quality", {0: 500, 1: 500})
+    model = quality.fit_rules(sample)
+    assert model.rules
+    rows = quality.with_statistics(docs, "text", ["doc_id"])
+    rows = rows.withColumn("score", model.score({n: F.col(f"__{n}") for n in quality.NAMES})).collect()
+    for r in rows:
+        holds = [all((r[f"__{n}"] <= t) == below for n, below, t in rule) for rule, _ in model.rules]
+        total = model.intercept + sum(w for (_, w), h in zip(model.rules, holds, strict=True) if h)
+        assert abs(r["score"] - 1 / (1 + math.exp(-total))) < 1e-9
+
+
 def test_quality_edges(spark):
     docs, labels = tables(spark, "sf0.001")
     odd = docs_of(spark, ODD, True)
@@ -191,12 +207,64 @@ def test_long_runs_are_read_whole():
     assert vile > plain
 
 
+def test_toxicity_scores_are_the_best_windows():
+    """A document's score, from caches and batches of windows, is the best of its windows run one by one."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 60)))
+    texts = [" ".join(word() for _ in range(n)) for n in (0, 1, 5, 31, 32, 33, 40, 48, 49, 200, 500)] + [None, "  \n "]
+    net = toxicity.train([t for t in texts if t], [k % 2 for k in range(len([t for t in texts if t]))], steps=5)
+    got = toxicity.Scorer(net).scores(texts)
+    for text, score in zip(texts, got, strict=True):
+        words = toxicity.tokens(text) or [""]
+        best = -np.inf
+        for s in toxicity.window_starts(len(words)):
+            gates = net.project(net.vectors(net.inputs(words[s : s + toxicity.WINDOW])))
+            best = max(best, float(net.run(gates[:, None, :], None)[0]))
+        assert abs(score - 1 / (1 + math.exp(-best))) < 1e-4
+
+
+def test_excerpts():
+    words = [f"w{k}" for k in range(5000)]
+    assert toxicity.excerpt(" ".join(words[:800])) == " ".join(words[:800])
+    taken = toxicity.excerpt(" ".join(words)).split()
+    assert len(taken) == toxicity.TRAIN_WORDS and taken[0] == "w0" and taken[-1] == "w4999"
+    assert len(toxicity.excerpt("x" * 10**6).split()) <= toxicity.TRAIN_WORDS and toxicity.excerpt(None) == ""
+
+
+def test_agreement_of_spans():
+    """Best shares around hits, all pairs at once, against one by one."""
+    rng = random.Random(3)
+    spans, hits, sizes, want = ([], []), ([], []), [], []
+    for _ in range(300):
+        a, b = ([rng.randint(0, 2) for _ in range(rng.randint(1, 30))] for _ in range(2))
+        i, j, n = rng.randrange(len(a)), rng.randrange(len(b)), rng.choice([5, 8, 12])
+        back = min(i, j)
+        room = min(len(a) - i, len(b) - j) + back
+        x, y = a[i - back : i - back + room], b[j - back : j - back + room]
+        want.append(max((sum(p == q for p, q in zip(x[k : k + n], y[k : k + n], strict=True)) / n for k in range(room - n + 1)), default=0))
+        for side, span, at in zip((0, 1), (a, b), (i, j), strict=True):
+            spans[side].append(np.array(span, np.uint32).tobytes())
+            hits[side].append(at)
+        sizes.append(n)
+    got = decontaminate.agreements(pa.array(spans[0], pa.binary()), np.array(hits[0]), pa.array(spans[1], pa.binary()), np.array(hits[1]), np.array(sizes))
+    assert np.allclose(got, want)
+
+
+def test_short_items_on_demand(spark):
+    bench = spark.createDataFrame([(0, "alpha beta"), (1, "gamma"), (2, "Alpha, beta")], "item_id long, text string")
+    docs = docs_of(spark, ["x alpha beta y", "alpha x beta", "Gamma!", None])
+    assert rows_of(decontaminate.contamination(docs, bench), "contaminated").count((True,)) == 0
+    got = rows_of(decontaminate.contamination(docs, bench, min_words=1), "doc_id", "items")
+    assert got == [(0, [0, 2]), (1, []), (2, [1]), (3, [])]
+
+
 def test_toxicity(spark):
     docs, labels = tables(spark, "sf0.1")
     out = toxicity.score_toxicity(docs, labels).cache()
     assert out.count() == docs.count() and out.where("score < 0 or score > 1 or score is null").count() == 0
     found = held_out_scores(spark, out, labels, "toxic")
     bad, good = found[found.toxic == 1], found[found.toxic == 0]
+    print("toxic", (bad.predicted == 1).mean(), "clean", (good.predicted == 0).mean())
     assert (bad.predicted == 1).mean() > 0.7 and (good.predicted == 0).mean() > 0.97
 
 
