@@ -55,16 +55,18 @@ VIEWS = {
                concat(CAST(event_id % 16 AS STRING), '#', CAST(event_id % 90 AS STRING)) AS answers_data_length,
                CAST(round(value) AS BIGINT) AS size, hour(ts) AS hh, minute(ts) AS mi, day(ts) AS dd,
                CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS sec, p.page_id
-        FROM {events} e CROSS JOIN (SELECT count(*) AS n_pages FROM {pages}) c JOIN {pages} p ON p.page_id = e.event_id % c.n_pages""",
+        FROM (SELECT *, event_id % (SELECT count(*) FROM {pages}) AS page_no FROM {events}) e JOIN {pages} p ON p.page_id = e.page_no""",
     "v_http": """
         SELECT e.event_id AS flow_id, concat('10.0.', CAST(user_id % 4 AS STRING), '.', CAST(user_id AS STRING)) AS srcip,
                concat('172.16.0.', CAST(event_id % 50 AS STRING)) AS dstip,
-               lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host, regexp_extract(url, '://[^/?#]*([^#]*)', 1) AS uri,
+               lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host,
+               concat(regexp_extract(url, '://[^/?#]*([^#]*)', 1), CASE WHEN url LIKE '%=%' THEN concat('&id=',
+                      CASE WHEN event_id % 31 = 0 AND day(ts) > 20 THEN concat('Xx', CAST(event_id AS STRING)) ELSE CAST(event_id % 100 AS STRING) END) ELSE '' END) AS uri,
                CASE WHEN event_id % 4 = 3 THEN 'image/png' ELSE 'text/html; charset=utf-8' END AS content_type,
                CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) AS BIGINT) AS request_date,
                CAST(day(ts) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + floor(second(ts)) + event_id % 9 AS BIGINT) AS response_date,
                CAST(length(html) + event_id % 7 AS DOUBLE) AS content_length, day(ts) AS dd
-        FROM {events} e CROSS JOIN (SELECT count(*) AS n_pages FROM {pages}) c JOIN {pages} p ON p.page_id = e.event_id % c.n_pages""",
+        FROM (SELECT *, event_id % (SELECT count(*) FROM {pages}) AS page_no FROM {events}) e JOIN {pages} p ON p.page_id = e.page_no""",
     "v_doc": """
         SELECT doc_id, text, concat('10.0.0.', CAST(doc_id % 20 AS STRING)) AS owner, doc_id % 24 AS hh, source AS tag, n_chars AS bytes
         FROM {documents}""",

@@ -123,9 +123,9 @@ def fn16(spark, d):
     return view(spark, d, "v_page").select("page_id", S.has_word(F.col("html"), S.SCRIPT_WORDS).alias("script_words"), S.has_word(F.col("html"), S.SQL_WORDS).alias("sql_words"))
 
 
-@query("fn17_safe_ratio", "SELECT flow_id, round(CASE WHEN downbytesize = 0 THEN CAST(upbytesize AS DOUBLE) ELSE CAST(upbytesize AS DOUBLE) / downbytesize END, 6) AS ratio FROM v_flow_ts", ("v_flow_ts",))
+@query("fn17_safe_ratio", "SELECT flow_id, CASE WHEN downbytesize = 0 THEN CAST(upbytesize AS DOUBLE) ELSE CAST(upbytesize AS DOUBLE) / downbytesize END AS ratio FROM v_flow_ts", ("v_flow_ts",))
 def fn17(spark, d):
-    return view(spark, d, "v_flow_ts").select("flow_id", F.round(S.safe_ratio(F.col("upbytesize"), F.col("downbytesize")), 6).alias("ratio"))
+    return view(spark, d, "v_flow_ts").select("flow_id", S.safe_ratio(F.col("upbytesize"), F.col("downbytesize")).alias("ratio"))
 
 
 @query("fn18_level", "SELECT id, CASE WHEN value >= 80 THEN 'high' WHEN value >= 70 THEN 'medium' WHEN value >= 60 THEN 'low' ELSE 'none' END AS level FROM v_evt", ("v_evt",))
