@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,16 +40,30 @@ def vectors(df: DataFrame, column: str = "embedding") -> DataFrame:
     return df.withColumn("features", array_to_vector(F.col(column).cast("array<double>")))
 
 
-def nearest_votes(queries: DataFrame, base: DataFrame, k: int = 5, key: str = "vec_id", label: str = "label", most_queries: int = 100_000) -> DataFrame:
+#: Query vectors that one pass over the base compares with it.
+QUERY_BLOCK = 50_000
+
+
+def nearest_votes(queries: DataFrame, base: DataFrame, k: int = 5, key: str = "vec_id", label: str = "label", block: int = QUERY_BLOCK) -> DataFrame:
     """The majority label of each query's ``k`` nearest base vectors (squared distance to 4 places, ties by key, then label).
 
-    A stated query set meets all rows: the queries are broadcast (at most ``most_queries`` of them), the base is read
-    where it lies, and every batch of it keeps only its ``k`` nearest rows for each query.
+    A stated query set meets all rows: blocks of about ``block`` queries are broadcast, one after the other, the base is
+    read where it lies, and every batch of it keeps only its ``k`` nearest rows for each query.
     """
-    wanted = queries.select(F.col(key).cast("long").alias("q"), F.col("embedding").cast("array<double>").alias("v")).orderBy("q").limit(most_queries + 1).collect()
-    if len(wanted) > most_queries:
-        raise ValueError(f"more than {most_queries} queries: split them")
-    held = queries.sparkSession.sparkContext.broadcast((np.array([r["q"] for r in wanted], np.int64), np.array([r["v"] for r in wanted], np.float64)))
+    wanted = queries.select(F.col(key).cast("long").alias("q"), F.col("embedding").cast("array<double>").alias("v"))
+    blocks = max(1, -(-wanted.count() // block))
+    parts = [_nearest(wanted.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == n), base, k, key, label) for n in range(blocks)]
+    found = reduce(DataFrame.unionByName, parts)
+    # The best of all batches: distances are ranked together with their rows, a row for each query in the end.
+    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "b"))).where(F.col("rank") <= k)
+    votes = best.groupBy("q", "y").agg(F.count(F.lit(1)).alias("n"))
+    return votes.groupBy("q").agg(F.max(F.struct("n", (-F.col("y")).alias("m"))).alias("top")).select(F.col("q").alias(key), (-F.col("top.m")).alias("prediction"))
+
+
+def _nearest(wanted: DataFrame, base: DataFrame, k: int, key: str, label: str) -> DataFrame:
+    """``(q, b, y, d)``: of each batch of the base, the ``k`` nearest rows of each of the wanted vectors."""
+    rows = wanted.orderBy("q").collect()
+    held = wanted.sparkSession.sparkContext.broadcast((np.array([r["q"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64)))
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         q, v = held.value
@@ -65,7 +80,4 @@ def nearest_votes(queries: DataFrame, base: DataFrame, k: int = 5, key: str = "v
                     yield found[np.isfinite(found["d"])]
 
     others = base.select(F.col(key).cast("long").alias("b"), F.col(label).cast("long").alias("y"), F.col("embedding").alias("v"))
-    found = others.mapInPandas(near, "q long, b long, y long, d double")
-    best = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("d", "b"))).where(F.col("rank") <= k)
-    votes = best.groupBy("q", "y").agg(F.count(F.lit(1)).alias("n"))
-    return votes.groupBy("q").agg(F.max(F.struct("n", (-F.col("y")).alias("m"))).alias("top")).select(F.col("q").alias(key), (-F.col("top.m")).alias("prediction"))
+    return others.mapInPandas(near, "q long, b long, y long, d double")

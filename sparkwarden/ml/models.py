@@ -18,6 +18,30 @@ from pyspark.sql import functions as F
 from sparkwarden.operators.aggregates import per_label_metrics
 
 
+#: The features of a DNS record that the covert-channel classifier reads (see ``plans.dns.covert_features``).
+COVERT_FEATURES = ["labels", "name_length", "max_ttl", "sum_length", "bits", "digits", "size"]
+
+
+def save(model, path: str) -> None:
+    """Write a fitted model or pipeline to a folder that all executors share."""
+    model.write().overwrite().save(path)
+
+
+def load(path: str) -> PipelineModel:
+    """A pipeline that ``save`` wrote."""
+    return PipelineModel.load(path)
+
+
+def boosted_pipeline(train: DataFrame, columns: list[str], iterations: int = 10, seed: int = 1) -> PipelineModel:
+    """Boosted trees on numeric columns, with a 0/1 ``label``; null features leave a row out."""
+    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip"), GBTClassifier(maxIter=iterations, maxDepth=3, seed=seed)]).fit(train)
+
+
+def forest_pipeline(train: DataFrame, columns: list[str], seed: int = 21) -> PipelineModel:
+    """A forest of 4 trees of depth 4 with 10 bins on numeric columns."""
+    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip"), RandomForestClassifier(numTrees=4, maxDepth=4, maxBins=10, seed=seed)]).fit(train)
+
+
 def assembled(df: DataFrame, columns: list[str]) -> DataFrame:
     """The columns as one vector ``features``; rows with a null in them go."""
     return VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(df)
@@ -86,15 +110,19 @@ def clusters(vectors: DataFrame, entity: str, k: int = 3, scaled: bool = True, s
     return KMeans(k=k, seed=seed).fit(vectors).transform(vectors).select(entity, F.col("prediction").alias("cluster"))
 
 
-def topic_model(tokens: DataFrame, topics: int, seeds: dict[str, int] | None = None, boost: int = 5, iterations: int = 5, seed: int = 1) -> DataFrame:
-    """``(topic, word, p)`` of a topic model; seed words count ``boost`` times."""
+def topic_model(tokens: DataFrame, topics: int, seeds: dict[str, int] | None = None, boost: int = 5, iterations: int = 5, seed: int = 1, vocabulary: int = 1 << 18, words: int | None = None) -> DataFrame:
+    """``(topic, word, p)`` of a topic model; seed words count ``boost`` times.
+
+    The ``vocabulary`` most frequent words of two or more documents take part; each topic lists its first ``words``
+    (all, if not given).
+    """
     weight = F.when(F.col("word").isin(list(seeds or {})), boost).otherwise(1)
     bags = tokens.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array_repeat(F.col("word"), weight))).alias("items"))
-    counted = CountVectorizer(inputCol="items", outputCol="features", vocabSize=2000, minDF=2.0).fit(bags)
+    counted = CountVectorizer(inputCol="items", outputCol="features", vocabSize=vocabulary, minDF=2.0).fit(bags)
     model = LDA(k=topics, maxIter=iterations, seed=seed).fit(counted.transform(bags))
-    words = tokens.sparkSession.createDataFrame(list(enumerate(counted.vocabulary)), "k int, word string")
-    top = model.describeTopics(20).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
-    return top.select("topic", F.col("t.termIndices").alias("k"), F.col("t.termWeights").alias("p")).join(words, "k").select("topic", "word", "p")
+    names = tokens.sparkSession.createDataFrame(list(enumerate(counted.vocabulary)), "k int, word string")
+    top = model.describeTopics(words or len(counted.vocabulary)).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
+    return top.select("topic", F.col("t.termIndices").alias("k"), F.col("t.termWeights").alias("p")).join(names, "k").select("topic", "word", "p")
 
 
 def topic_ranking(counts: DataFrame, topics: int) -> DataFrame:
@@ -110,10 +138,10 @@ def table_cosine(a: DataFrame, b: DataFrame) -> DataFrame:
     return joined.agg(F.round(F.sum(F.col("x") * F.col("y")) / F.sqrt(F.sum(F.col("x") * F.col("x")) * F.sum(F.col("y") * F.col("y"))), 6).alias("cosine"))
 
 
-def compared_classifiers(train: DataFrame, test: DataFrame, inputs: int, trees: int = 20, seed: int = 1) -> DataFrame:
+def compared_classifiers(train: DataFrame, test: DataFrame, inputs: int, trees: int = 200, seed: int = 1) -> DataFrame:
     """Metrics of four classifiers on a test set (label, features): forest, linear SVM, neural network, naive Bayes."""
     labels = int(train.agg(F.max("label")).first()[0]) + 1
-    known = {"forest": RandomForestClassifier(numTrees=trees, seed=seed), "svm": OneVsRest(classifier=LinearSVC(maxIter=5)), "network": MultilayerPerceptronClassifier(layers=[inputs, 8, labels], maxIter=20, seed=seed), "bayes": NaiveBayes(modelType="gaussian")}
+    known = {"forest": RandomForestClassifier(numTrees=trees, seed=seed), "svm": OneVsRest(classifier=LinearSVC(maxIter=20)), "network": MultilayerPerceptronClassifier(layers=[inputs, 8, labels], maxIter=20, seed=seed), "bayes": NaiveBayes(modelType="gaussian")}
     out = []
     for name, model in known.items():
         scored = model.fit(train).transform(test)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.storage import discard, written
@@ -45,23 +45,78 @@ def cosine_links(visits: DataFrame, entity: str, attribute: str, least: float, m
     left out of the similarity altogether, if that is given.
     """
     visits = visits.select(F.col(entity).alias("e"), F.col(attribute).alias("x")).distinct()
-    spread = visits.groupBy("x").agg(F.count(F.lit(1)).alias("df"))
     if most_common is not None:
-        spread = spread.where(F.col("df") <= most_common)
-    ranked = visits.join(spread, "x")
-    w = Window.partitionBy("e")
-    ranked = ranked.select("e", "x", F.row_number().over(w.orderBy("df", "x")).alias("k"), F.count(F.lit(1)).over(w).alias("n"))
-    sought = ranked.where(F.col("k") <= F.col("n") - F.ceil(F.lit(least * least) * F.col("n") - 1e-9) + 1)
+        visits = visits.join(visits.groupBy("x").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= most_common).select("x"), "x", "left_semi")
+    sought = _rarest(visits, least)
     a = sought.select(F.col("e").alias("a"), "x", F.col("n").alias("n_a"))
     b = sought.select(F.col("e").alias("b"), "x", F.col("n").alias("n_b"))
-    near = (F.col("n_a") >= F.lit(least * least - 1e-9) * F.col("n_b")) & (F.col("n_b") >= F.lit(least * least - 1e-9) * F.col("n_a"))
-    pairs = a.join(b, "x").where((F.col("a") < F.col("b")) & near).select("a", "b", "n_a", "n_b").distinct()
-    one, two = visits.join(spread, "x", "left_semi").select(F.col("e").alias("a"), "x"), visits.select(F.col("e").alias("b"), "x")
-    common = pairs.join(one, "a").join(two, ["b", "x"]).groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
+    pairs = a.join(b, "x").where((F.col("a") < F.col("b")) & _sizes_fit(least)).select("a", "b").distinct()
+    return _verified(pairs, visits, least)
+
+
+def _rarest(visits: DataFrame, least: float) -> DataFrame:
+    """``(e, x, n)``: the attributes through which an entity of ``n`` must be found."""
+    ranked = visits.join(visits.groupBy("x").agg(F.count(F.lit(1)).alias("df")), "x")
+    w = Window.partitionBy("e")
+    ranked = ranked.select("e", "x", F.row_number().over(w.orderBy("df", "x")).alias("k"), F.count(F.lit(1)).over(w).alias("n"))
+    return ranked.where(F.col("k") <= F.col("n") - F.ceil(F.lit(least * least) * F.col("n") - 1e-9) + 1).select("e", "x", "n")
+
+
+def _sizes_fit(least: float) -> Column:
+    bound = F.lit(least * least - 1e-9)
+    return (F.col("n_a") >= bound * F.col("n_b")) & (F.col("n_b") >= bound * F.col("n_a"))
+
+
+def _verified(pairs: DataFrame, visits: DataFrame, least: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose similarity is ``least`` or more, with it."""
+    sizes = visits.groupBy("e").agg(F.count(F.lit(1)).alias("n"))
+    of_a, of_b = (sizes.select(F.col("e").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
+    one, two = visits.select(F.col("e").alias("a"), "x"), visits.select(F.col("e").alias("b"), "x")
+    common = pairs.join(one, "a").join(two, ["b", "x"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")).join(of_a, "a").join(of_b, "b")
     return common.withColumn("similarity", F.round(F.col("c") / F.sqrt(F.col("n_a") * F.col("n_b")), 6)).where(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
+def cosine_components(visits: DataFrame, entity: str, attribute: str, least: float, rounds: int = 2) -> DataFrame:
+    """``(node, component)``: the components of all pairs that ``cosine_links`` would give, without making all of them.
+
+    In each of some rounds an entity is compared with one other entity for each of its rarest attributes; then the pairs
+    that share one of these, but whose ends are in different components by then, are compared.  A crowd of similar
+    entities is one component after the first rounds, and none of its pairs is made.
+    """
+    visits = written(visits.select(F.col(entity).alias("e"), F.col(attribute).alias("x")).distinct(), "visits")
+    sought = written(_rarest(visits, least), "sought")
+    links = None
+    for turn in range(rounds + 1):
+        if links is None:
+            marked = sought.withColumn("c", F.col("e"))
+        else:
+            known = connected_components(links, "a", "b").select(F.col("node").alias("e"), F.col("component"))
+            marked = written(sought.join(known, "e", "left").select("e", "x", "n", F.coalesce("component", "e").alias("c")), "marked")
+        side = lambda x, of: of.select("x", F.col("e").alias(x), F.col("n").alias(f"n_{x}"), F.col("c").alias(f"c_{x}"))
+        if turn < rounds:
+            hubs = marked.groupBy("x").agg(F.min(F.struct(F.xxhash64("e", F.lit(turn)).alias("s"), "e", "n", "c")).alias("hub")).select("x", "hub.e", "hub.n", "hub.c")
+            a, b = side("a", marked), side("b", hubs)
+        else:  # at each attribute, all but the largest component meet all entities
+            sizes = marked.groupBy("x", "c").agg(F.count(F.lit(1)).alias("m")).groupBy("x").agg(F.max(F.struct("m", "c")).alias("top"))
+            few = marked.join(sizes.select("x", F.col("top.c").alias("largest")), "x").where("c <> largest")
+            a, b = side("a", few), side("b", marked)
+        pairs = a.join(b, "x").where((F.col("c_a") != F.col("c_b")) & _sizes_fit(least)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = _verified(pairs, visits, least).select("a", "b")
+        both = written(found if links is None else links.unionByName(found), "links")
+        discard(marked, *([links] if links is not None else []))
+        links = both
+    nodes = connected_components(links, "a", "b")
+    discard(visits, sought)
+    return nodes
+
+
 def frequency_index(df: DataFrame, column: str) -> DataFrame:
     """``(value, index)``: values numbered from 0 by descending frequency, ties by value."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(column, "n", (F.row_number().over(Window.orderBy(F.desc("n"), column)) - 1).alias("index"))
+    # Ranges of the order are numbered by themselves; what comes before each is a sum over as many rows as there are ranges.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(counts.repartitionByRange(parts, F.desc("n"), F.col(column)).withColumn("__range", F.spark_partition_id()), "ranged")
+    totals = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("rows"))
+    before = totals.select("__range", (F.sum("rows").over(Window.orderBy("__range")) - F.col("rows")).alias("before"))
+    place = F.row_number().over(Window.partitionBy("__range").orderBy(F.desc("n"), column)) - 1
+    return ranged.withColumn("__place", place).join(F.broadcast(before), "__range").select(column, "n", (F.col("before") + F.col("__place")).cast("int").alias("index"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Gaps of one key that the quadratic autocorrelation takes; longer lists are cut at the end and reported.
-MAX_GAPS = 2000
+#: Gaps of one key that are listed in one row; keys with more have a row for each gap and stride.
+ROW_GAPS = 100_000
 
 
 def gaps(df: DataFrame, keys: list[str], at: str, tie: str, least: int = 4) -> DataFrame:
@@ -31,11 +31,33 @@ def strided_autocorrelation(x: Column) -> Column:
     return F.when(total > 0, F.array_max(F.transform(strides, at_stride)))
 
 
-def periodicity(df: DataFrame, keys: list[str], at: str, tie: str, least: int = 4, max_gaps: int = MAX_GAPS) -> DataFrame:
-    """Of each key with ``least`` records: number of gaps, ``score`` (strided autocorrelation), and whether it was cut."""
-    listed = gaps(df, keys, at, tie, least).groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", F.col("gap").cast("double").alias("gap")))), lambda s: s["gap"]).alias("x"))
-    x = F.slice("x", 1, max_gaps)
-    return listed.select(*keys, F.size("x").alias("n_gaps"), F.round(strided_autocorrelation(x), 6).alias("score"), (F.size("x") > max_gaps).alias("cut"))
+def _best_stride(numbered: DataFrame, keys: list[str]) -> DataFrame:
+    """``score`` of each key as ``strided_autocorrelation`` has it, of rows with the place ``p`` (from 0) and the value ``x``.
+
+    The product of the values at p - j and p counts for stride j where j divides p, so each row meets the rows at its
+    divisors' distance: n log n pairs of a key, joined on key and place, so that a busy key is no hot group.
+    """
+    low = F.filter(F.sequence(F.lit(1), F.floor(F.sqrt("p")).cast("int")), lambda j: F.col("p") % j == 0)
+    strides = F.array_union(low, F.transform(low, lambda j: (F.col("p") / j).cast("int")))
+    ends = numbered.where("p > 0").select(*keys, "p", "x", F.explode(strides).alias("j")).withColumn("at", F.col("p") - F.col("j"))
+    starts = numbered.select(*keys, F.col("p").alias("at"), F.col("x").alias("y"))
+    sums = ends.join(starts, [*keys, "at"]).groupBy(*keys, "j").agg(F.sum(F.col("x") * F.col("y")).alias("s")).groupBy(*keys).agg(F.max("s").alias("s"))
+    totals = numbered.groupBy(*keys).agg(F.sum(F.col("x") * F.col("x")).alias("total"), F.count(F.lit(1)).cast("int").alias("n_gaps"))
+    return totals.join(sums, keys, "left").select(*keys, "n_gaps", F.when((F.col("total") > 0) & F.col("s").isNotNull(), F.round(F.col("s") / F.col("total"), 6)).alias("score"))
+
+
+def periodicity(df: DataFrame, keys: list[str], at: str, tie: str, least: int = 4, row_gaps: int = ROW_GAPS) -> DataFrame:
+    """Of each key with ``least`` records: number of gaps and ``score`` (strided autocorrelation over all of them).
+
+    Lists of at most ``row_gaps`` gaps are scored within a row; those of longer ones row by row, with the same result.
+    """
+    spaced = gaps(df, keys, at, tie, least).select(*keys, (F.col("k") - 2).alias("p"), F.col("gap").cast("double").alias("x"))
+    sizes = spaced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    long = sizes.where(F.col("__n") > row_gaps).select(*keys)
+    short = spaced.join(sizes.where(F.col("__n") <= row_gaps).select(*keys), keys, "left_semi")
+    listed = short.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "x"))), lambda s: s["x"]).alias("x"))
+    scored = listed.select(*keys, F.size("x").alias("n_gaps"), F.round(strided_autocorrelation(F.col("x")), 6).alias("score"))
+    return scored.unionByName(_best_stride(spaced.join(long, keys, "left_semi"), keys))
 
 
 def presence_autocorrelation(df: DataFrame, keys: list[str], slot: str) -> DataFrame:

@@ -9,7 +9,7 @@ from sparkwarden.operators import aggregates as A
 from sparkwarden.operators import sequences as Q
 from sparkwarden.operators import sets as S
 from sparkwarden.operators.enrich import bounded
-from sparkwarden.operators.graph import connected_components, cosine_links
+from sparkwarden.operators.graph import cosine_components
 
 
 def bot_rate(members: DataFrame, bots: DataFrame, group: str, host: str = "ip") -> DataFrame:
@@ -41,8 +41,7 @@ def bot_networks(dns: DataFrame, malicious: DataFrame, similarity: float, k: int
 
     bad = dns.join(bounded(malicious.select("queries_name").distinct()), "queries_name", "left_semi")
     visits = bad.select("srcip", "queries_name").distinct()
-    links = cosine_links(visits, "srcip", "queries_name", similarity)
-    members = connected_components(links, "a", "b").withColumnRenamed("component", "subnet").withColumnRenamed("node", "srcip")
+    members = cosine_components(visits, "srcip", "queries_name", similarity).withColumnRenamed("component", "subnet").withColumnRenamed("node", "srcip")
     rates = members.join(failure_rate(dns), "srcip").groupBy("subnet").agg(F.count(F.lit(1)).alias("hosts"), F.round(F.avg("failure_rate"), 6).alias("mean_failures"))
     domains = visits.join(members, "srcip").groupBy("subnet", "queries_name").agg(F.count(F.lit(1)).alias("n"))
     top = S.top_k(domains, ["subnet"], [F.desc("n"), F.col("queries_name")], k).groupBy("subnet").agg(A.set_text("queries_name").alias("domains"))

@@ -20,11 +20,10 @@ def wn1(spark, d):
 
 @query("wn2_periodicity", f"""
     WITH {_GAPS}, x AS (SELECT srcip, protocol, list(CAST(gap AS DOUBLE) ORDER BY k) AS x FROM g WHERE n >= 4 AND gap IS NOT NULL GROUP BY ALL),
-         c AS (SELECT srcip, protocol, x[1:2000] AS x, len(x) AS n FROM x),
-         t AS (SELECT srcip, protocol, n, x, list_sum(list_transform(x, lambda v: v * v)) AS total FROM c),
+         t AS (SELECT srcip, protocol, len(x) AS n, x, list_sum(list_transform(x, lambda v: v * v)) AS total FROM x),
          j AS (SELECT srcip, protocol, n, total, coalesce(list_sum(list_transform(range(1, CAST(ceil(len(x) / j) AS BIGINT)), lambda i: x[i * j + 1] * x[(i - 1) * j + 1])), 0) / nullif(total, 0) AS s
                FROM t, unnest(range(1, greatest(len(x), 2))) u(j) WHERE len(x) >= 2)
-    SELECT srcip, protocol, CAST(n AS INTEGER) AS n_gaps, round(max(s), 6) AS score, n > 2000 AS cut FROM j GROUP BY srcip, protocol, n""", FLOW)
+    SELECT srcip, protocol, CAST(n AS INTEGER) AS n_gaps, round(max(s), 6) AS score FROM j GROUP BY srcip, protocol, n""", FLOW)
 def wn2(spark, d):
     return Q.periodicity(view(spark, d, "v_flow_ts"), ["srcip", "protocol"], "sec", "flow_id")
 
@@ -90,23 +89,19 @@ def wn9(spark, d):
     return Q.idle_days(last, F.lit("2024-01-31").cast("date"), "day", 2, 3).select("srcip", "gap_days", "flag")
 
 
-_VISITS = "x AS (SELECT DISTINCT srcip, queries_name FROM v_dns WHERE page_id % 10 = 0), n AS (SELECT srcip, count(*) AS n FROM x GROUP BY srcip), l AS (SELECT a.srcip AS a, b.srcip AS b, round(count(*) / sqrt(any_value(na.n) * any_value(nb.n)), 6) AS similarity FROM x a JOIN x b ON a.queries_name = b.queries_name AND a.srcip < b.srcip JOIN n na ON na.srcip = a.srcip JOIN n nb ON nb.srcip = b.srcip GROUP BY a.srcip, b.srcip HAVING round(count(*) / sqrt(any_value(na.n) * any_value(nb.n)), 6) >= 0.6)"
-
-
-def visits(spark, d):
-    return view(spark, d, "v_dns").where("page_id % 10 = 0")
+_VISITS = "x AS (SELECT DISTINCT srcip, queries_name FROM v_dns), n AS (SELECT srcip, count(*) AS n FROM x GROUP BY srcip), l AS (SELECT a.srcip AS a, b.srcip AS b, round(count(*) / sqrt(any_value(na.n) * any_value(nb.n)), 6) AS similarity FROM x a JOIN x b ON a.queries_name = b.queries_name AND a.srcip < b.srcip JOIN n na ON na.srcip = a.srcip JOIN n nb ON nb.srcip = b.srcip GROUP BY a.srcip, b.srcip HAVING round(count(*) / sqrt(any_value(na.n) * any_value(nb.n)), 6) >= 0.6)"
 
 
 @query("gr1_cosine_links", f"WITH {_VISITS} SELECT a, b, similarity FROM l", ("v_dns",))
 def gr1(spark, d):
-    return G.cosine_links(visits(spark, d), "srcip", "queries_name", 0.6)
+    return G.cosine_links(view(spark, d, "v_dns"), "srcip", "queries_name", 0.6)
 
 
 @query("gr2_components", f"""
     WITH RECURSIVE {_VISITS}, e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
     SELECT node, min(seen) AS component FROM r GROUP BY node""", ("v_dns",))
 def gr2(spark, d):
-    return G.connected_components(G.cosine_links(visits(spark, d), "srcip", "queries_name", 0.6), "a", "b")
+    return G.cosine_components(view(spark, d, "v_dns"), "srcip", "queries_name", 0.6)
 
 
 @query("gr3_frequency_index", "SELECT srcip, n, CAST(row_number() OVER (ORDER BY n DESC, srcip) - 1 AS INTEGER) AS index FROM (SELECT srcip, count(*) AS n FROM v_dns GROUP BY srcip)", ("v_dns",))
