@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.functions import strings as S
+from sparkwarden.ml import models
 from sparkwarden.operators.enrich import bounded
+from sparkwarden.storage import written
 
 
 def request_response_summary(dns: DataFrame) -> DataFrame:
@@ -44,8 +46,11 @@ def transition_table(names: DataFrame, name: str, least: int = 1) -> DataFrame:
     return counts.select("pair", (F.col("n") / F.sum("n").over(Window.partitionBy(F.substring("pair", 1, 1)))).alias("p"))
 
 
-def domain_features(names: DataFrame, name: str, ranks: DataFrame, transitions: DataFrame) -> DataFrame:
-    """The features of algorithmic names: length, entropy, shares, runs, n-gram ranks, transitions."""
+def domain_features(names: DataFrame, name: str, ranks: DataFrame, transitions: DataFrame, shorter: dict[int, DataFrame] | None = None) -> DataFrame:
+    """The features of algorithmic names: length, entropy, shares, runs, n-gram ranks, transitions.
+
+    ``ranks`` are those of 3-grams; ``shorter`` has those of other n-grams, each a feature ``avg_rank_<n>``.
+    """
     x = F.col(name)
     own = names.select(
         name, F.length(x).alias("length"), F.round(S.entropy(x), 6).alias("entropy"), F.round(S.share(x, S.VOWELS), 6).alias("vowels"), F.round(S.share(x, S.DIGITS), 6).alias("digits"),
@@ -53,9 +58,42 @@ def domain_features(names: DataFrame, name: str, ranks: DataFrame, transitions:
     )
     ranked = S.average_rank(names, name, ranks, 3).select(name, F.round("avg_rank", 6).alias("avg_rank"))
     chained = S.transition_score(names, name, transitions).select(name, F.round("transition", 6).alias("transition"))
+    for n, table in (shorter or {}).items():
+        ranked = ranked.join(S.average_rank(names, name, table, n).select(name, F.round("avg_rank", 6).alias(f"avg_rank_{n}")), name)
     return own.join(ranked, name).join(chained, name)
 
 
+#: What the boosted trees read of a name.
+NAME_FEATURES = ["length", "entropy", "vowels", "digits", "repeated", "consonant_runs", "digit_runs", "avg_rank", "avg_rank_1", "avg_rank_2", "transition"]
+
+
+def name_features(names: DataFrame, name: str, known: DataFrame) -> DataFrame:
+    """All eleven features of names, with the ranks and transitions of the ``known`` ones."""
+    return domain_features(names, name, gram_ranks(known, name, 3), transition_table(known, name), {n: gram_ranks(known, name, n) for n in (1, 2)})
+
+
+def detected_names(candidates: DataFrame, listed: DataFrame, known: DataFrame) -> DataFrame:
+    """Records of ``candidates`` whose name boosted trees take for algorithmic.
+
+    ``listed`` has malicious names (``queries_name``), ``known`` all names with which ranks, transitions and the trees
+    are learned.
+    """
+    known = known.select("queries_name").distinct()
+    features = written(name_features(known, "queries_name", known), "name-features")
+    bad = bounded(listed.select("queries_name").distinct()).withColumn("label", F.lit(1.0))
+    train = features.join(bad, "queries_name", "left").fillna(0.0, ["label"])
+    model = models.boosted_pipeline(train, NAME_FEATURES)
+    names = name_features(candidates.select("queries_name").distinct(), "queries_name", known)
+    positive = model.transform(names).where("prediction = 1").select("queries_name")
+    return candidates.join(positive, "queries_name", "left_semi")
+
+
+def covert_hosts(dns: DataFrame, model) -> DataFrame:
+    """Per host with records that the classifier takes for covert: their number and the host's summary."""
+    scored = model.transform(covert_features(dns)).where("prediction = 1")
+    return scored.groupBy("srcip").agg(F.count(F.lit(1)).alias("covert")).join(covert_summary(dns), "srcip")
+
+
 def candidate_names(dns: DataFrame, suffixes: DataFrame, whitelist: DataFrame, least: int = 4, labels: int = 2) -> DataFrame:
     """Queries worth scoring: a listed suffix, at most ``labels`` subdomain labels, a long enough domain, not whitelisted."""
     parts = S.split_host(dns.select("queries_name").distinct(), "queries_name", suffixes)

@@ -16,6 +16,12 @@ def injection_texts(requests: DataFrame, words: list[str]) -> DataFrame:
     return requests.select("flow_id", "srcip", "host", text.alias("text")).withColumn("keyword", S.has_word(F.col("text"), words))
 
 
+def injections(requests: DataFrame, words: list[str], model) -> DataFrame:
+    """Requests that the text classifier takes for attacks and in which a confirming keyword occurs."""
+    scored = model.transform(injection_texts(requests, words)).where("prediction = 1 and keyword")
+    return scored.select("flow_id", "srcip", "host", "text")
+
+
 def parameters(requests: DataFrame, least_sources: int = 3) -> DataFrame:
     """``(path, flow_id, param, value)`` of paths that at least ``least_sources`` sources requested."""
     paths = requests.withColumn("path", S.request_path(F.col("uri")))

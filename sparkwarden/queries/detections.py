@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkwarden.adapters import view
+from sparkwarden.ml import models
 from sparkwarden.operators import sequences as Q
 from sparkwarden.plans import botnets, dns, flows, hosts, leak, web
 from sparkwarden.queries import query, table
 from sparkwarden.queries.relational import _PERIOD, _RATIO, ASSET, FLOW, KINDS
 from sparkwarden.queries.sequences import _BASE, _GAPS, _VISITS, _VOLUME, volumes
+from sparkwarden.storage import shared_dir, written
 
 _WELL = "dstport <= srcport AND dstport < 1024 AND dstport NOT IN (22, 23, 80, 81, 139, 443) AND protocol IN ('tcp', 'udp')"
-_PORTS = f"c AS (SELECT * FROM v_flow_ts WHERE {_WELL}), b AS (SELECT dstip, dstport, protocol, min(dd) AS since FROM c WHERE dd <= 20 GROUP BY ALL)"
+_PORTS = f"c AS (SELECT * FROM v_flow_ts WHERE {_WELL}), b AS (SELECT dstip, dstport, protocol, min(dd) AS since FROM c WHERE dd BETWEEN 14 AND 20 GROUP BY ALL)"
 
 
 def _old_new(spark, d, name="v_flow_ts"):
@@ -21,15 +25,15 @@ def _old_new(spark, d, name="v_flow_ts"):
 
 
 def _port_baseline(old):
-    return flows.candidate_ports(old).groupBy(F.col("dstip").alias("ip"), "dstport", "protocol").agg(F.min("dd").alias("trained_day"))
+    return flows.candidate_ports(old.where("dd >= 14")).groupBy(F.col("dstip").alias("ip"), "dstport", "protocol").agg(F.min("dd").alias("trained_day"))
 
 
 @query("dt1_abnormal_ports", f"""
     WITH {_PORTS} SELECT flow_id, dstip, dstport, protocol FROM c WHERE dd > 20 AND dstip IN (SELECT dstip FROM b GROUP BY dstip HAVING 21 - min(since) >= 7)
-      AND NOT (EXISTS (SELECT 1 FROM b WHERE b.dstip = c.dstip AND b.dstport = c.dstport) AND EXISTS (SELECT 1 FROM b WHERE b.dstip = c.dstip AND b.protocol = c.protocol))""", FLOW)
+      AND NOT EXISTS (SELECT 1 FROM b WHERE b.dstip = c.dstip AND b.dstport = c.dstport AND b.protocol = c.protocol)""", FLOW)
 def dt1(spark, d):
     old, new = _old_new(spark, d)
-    return flows.abnormal_ports(new, _port_baseline(old), as_of=21).select("flow_id", "dstip", "dstport", "protocol")
+    return flows.abnormal_ports(new, _port_baseline(old), as_of=21, pairwise=True).select("flow_id", "dstip", "dstport", "protocol")
 
 
 @query("dt1_learned_ports", f"WITH {_PORTS} (SELECT dstip AS ip, dstport, protocol FROM c WHERE dd > 20 UNION SELECT dstip, dstport, protocol FROM v_flow_ts WHERE flow_id % 97 = 0) EXCEPT SELECT dstip, dstport, protocol FROM b", FLOW)
@@ -90,7 +94,7 @@ def dt6(spark, d):
          t AS (SELECT srcip, protocol, x, list_sum(list_transform(x, lambda v: v * v)) AS total FROM x),
          j AS (SELECT srcip, protocol, len(x) AS n, coalesce(list_sum(list_transform(range(1, CAST(ceil(len(x) / j) AS BIGINT)), lambda i: x[i * j + 1] * x[(i - 1) * j + 1])), 0) / nullif(total, 0) AS s FROM t, unnest(range(1, greatest(len(x), 2))) u(j)),
          m AS (SELECT srcip, protocol, CAST(any_value(n) AS INTEGER) AS n_gaps, round(max(s), 6) AS score FROM j GROUP BY ALL), a AS (SELECT srcip, protocol, round(avg(upbytesize), 4) AS mean_up FROM v_flow_ts GROUP BY ALL)
-    SELECT m.srcip, m.protocol, n_gaps, score, FALSE AS cut, mean_up, CAST((CASE WHEN m.protocol IN ('tcp', 'icmp') THEN 1 ELSE 0 END) + (CASE WHEN m.protocol = 'tcp' THEN 2 ELSE 0 END) AS INTEGER) AS tag FROM m JOIN a ON a.srcip = m.srcip AND a.protocol = m.protocol WHERE score > 0.4""", FLOW)
+    SELECT m.srcip, m.protocol, n_gaps, score, mean_up, CAST((CASE WHEN m.protocol IN ('tcp', 'icmp') THEN 1 ELSE 0 END) + (CASE WHEN m.protocol = 'tcp' THEN 2 ELSE 0 END) AS INTEGER) AS tag FROM m JOIN a ON a.srcip = m.srcip AND a.protocol = m.protocol WHERE score > 0.4""", FLOW)
 def dt7(spark, d):
     lists = [spark.createDataFrame([(x,) for x in names], "protocol string") for names in (("tcp", "icmp"), ("tcp",))]
     return flows.heartbeats(view(spark, d, "v_flow_ts"), ["srcip", "protocol"], *lists, least=0.4)
@@ -112,7 +116,7 @@ def dt8(spark, d):
     return dns.domain_features(names, "host", dns.gram_ranks(names, "host", 3), dns.transition_table(names, "host"))
 
 
-_SPLIT = """s(suffix) AS (VALUES ('com'), ('net'), ('org')), n AS (SELECT DISTINCT queries_name FROM v_dns),
+_SPLIT = """s(suffix) AS (VALUES ('com'), ('net'), ('org'), ('example.com'), ('example.net'), ('example.org')), n AS (SELECT DISTINCT queries_name FROM v_dns),
          m AS (SELECT queries_name, suffix, row_number() OVER (PARTITION BY queries_name ORDER BY length(suffix) DESC) AS k FROM n JOIN s ON ends_with(queries_name, '.' || suffix)),
          r AS (SELECT queries_name, suffix, string_split(substr(queries_name, 1, length(queries_name) - length(suffix) - 1), '.') AS l FROM m WHERE k = 1),
          c AS (SELECT v.*, l[-1] AS domain FROM v_dns v JOIN r USING (queries_name) WHERE len(l) - 1 <= 2 AND length(l[-1]) >= 4 AND queries_name NOT IN (SELECT queries_name FROM v_dns WHERE page_id % 10 = 1))"""
@@ -120,7 +124,7 @@ _SPLIT = """s(suffix) AS (VALUES ('com'), ('net'), ('org')), n AS (SELECT DISTIN
 
 def _named(spark, d):
     records = view(spark, d, "v_dns")
-    suffixes = spark.createDataFrame([("com",), ("net",), ("org",)], "suffix string")
+    suffixes = spark.createDataFrame([(x,) for x in ("com", "net", "org", "example.com", "example.net", "example.org")], "suffix string")
     return dns.candidate_names(records, suffixes, records.where("page_id % 10 = 1"))
 
 
@@ -129,10 +133,17 @@ def dt8_hosts(spark, d):
     return dns.algorithmic_hosts(_named(spark, d).where("size % 3 = 0"), 1, 2)
 
 
-@query("dt9_new_domains", f"WITH {_SPLIT} SELECT DISTINCT domain FROM c WHERE dd > 20 AND domain NOT IN (SELECT domain FROM c WHERE dd <= 3)", ("v_dns",))
+@query("dt8_detected_hosts")
+def dt8_detected(spark, d):
+    """From records to hosts, with boosted trees learned from the names of listed pages."""
+    pages = view(spark, d, "v_page").where("host <> ''").withColumn("queries_name", F.col("host"))
+    return dns.algorithmic_hosts(dns.detected_names(_named(spark, d), pages.where("page_id % 10 = 0"), pages), 1, 2)
+
+
+@query("dt9_new_domains", f"WITH {_SPLIT} SELECT DISTINCT domain FROM c WHERE domain NOT IN (SELECT domain FROM c WHERE ends_with(queries_name, '.com'))", ("v_dns",))
 def dt9(spark, d):
     named = _named(spark, d)
-    return dns.new_domains(named.where("dd > 20"), named.where("dd <= 3"))
+    return dns.new_domains(named, named.where(F.endswith("queries_name", F.lit(".com"))))
 
 
 @query("dt10_covert_features", """
@@ -144,6 +155,14 @@ def dt10(spark, d):
     return dns.covert_features(view(spark, d, "v_dns"))
 
 
+@query("dt10_covert_hosts")
+def dt10_hosts(spark, d):
+    """A forest learned from days 1 to 20, saved, loaded and applied to the days after."""
+    old, new = _old_new(spark, d, "v_dns")
+    train = written(dns.covert_features(old).withColumn("label", (F.col("size") % 2).cast("double")), "dns-features")
+    return dns.covert_hosts(new, _kept(spark, models.forest_pipeline(train, models.COVERT_FEATURES), "covert-forest"))
+
+
 @query("dt10_covert_summary", """
     SELECT srcip, count(*) FILTER (flags_response = 0) AS requests, count(*) FILTER (flags_response = 1) AS responses, CAST(coalesce(sum(size) FILTER (flags_response = 0), 0) AS BIGINT) AS request_bytes, CAST(coalesce(sum(size) FILTER (flags_response = 1), 0) AS BIGINT) AS response_bytes,
            max(sec) AS last_at, array_to_string(list_sort(list(DISTINCT queries_name))[1:10], '#') AS names
@@ -171,6 +190,32 @@ def dt12(spark, d):
     return web.injection_texts(view(spark, d, "v_http"), SCRIPT_WORDS)
 
 
+def _kept(spark, model, name):
+    """The model as it comes back from the shared folder."""
+    path = f"{shared_dir(spark)}/sparkwarden/{name}-{uuid.uuid4().hex}"
+    models.save(model, path)
+    return models.load(path)
+
+
+def _injections(spark, d, words, name):
+    """A text classifier learned from the requests to listed hosts, saved, loaded and applied to the requests held back."""
+    requests = view(spark, d, "v_http")
+    listed = view(spark, d, "v_page").where("page_id % 10 = 0").select("host").distinct().withColumn("label", F.lit(1.0))
+    texts = web.injection_texts(requests.where("flow_id % 10 < 7"), words).join(listed, "host", "left").fillna(0.0, ["label"])
+    model = _kept(spark, models.text_classifier(written(texts.select("text", "label"), "request-texts")), name)
+    return web.injections(requests.where("flow_id % 10 >= 7"), words, model)
+
+
+@query("dt11_sql_injections")
+def dt11_detected(spark, d):
+    return _injections(spark, d, ["select", "union", "insert", "update", "delete", "drop", "page"], "sql-texts")
+
+
+@query("dt12_script_injections")
+def dt12_detected(spark, d):
+    return _injections(spark, d, ["script", "alert", "onerror", "onload", "javascript", "iframe", "ref"], "script-texts")
+
+
 _LAST = "l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ip, modeltype ORDER BY sec DESC, id DESC) AS k FROM v_evt) WHERE k = 1 AND NOT (modeltype = 'view' AND value >= 20))"
 _FUSED = "f AS (SELECT ip, " + ", ".join(f"CAST(max(CASE WHEN modeltype = '{k}' THEN 1 ELSE 0 END) AS INTEGER) AS {k}" for k in KINDS) + ", string_agg(concat(modeltype, ':', CAST(id AS VARCHAR)), '#' ORDER BY concat(modeltype, ':', CAST(id AS VARCHAR))) AS evidence, min(sec) AS first_at, max(sec) AS last_at FROM l GROUP BY ip)"
 
@@ -206,8 +251,16 @@ def dt15(spark, d):
     return botnets.dns_bots(records, clusters, "dd", 0.6, 0.4, 0.1, 3)
 
 
+@query("dt15_clustered_bots")
+def dt15_clustered(spark, d):
+    """The same with clusters from k-means over the hosts' counts of names."""
+    records = view(spark, d, "v_dns")
+    vectors = written(models.count_vectors(records, "srcip", "queries_name"), "host-vectors")
+    return botnets.dns_bots(records, written(models.clusters(vectors, "srcip"), "clusters"), "dd", 0.6, 0.4, 0.1, 3)
+
+
 @query("dt16_bot_networks", f"""
-    WITH RECURSIVE {_VISITS.replace('page_id % 10 = 0', 'queries_name IN (SELECT queries_name FROM v_dns WHERE page_id % 10 = 0)')}, e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
+    WITH RECURSIVE {_VISITS.replace('FROM v_dns)', 'FROM v_dns WHERE queries_name IN (SELECT queries_name FROM v_dns WHERE page_id % 10 = 0))', 1)}, e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
          m AS (SELECT node AS srcip, min(seen) AS subnet FROM r GROUP BY node), q AS (SELECT srcip, round(avg(f), 6) AS failure_rate FROM (SELECT DISTINCT srcip, queries_name, CASE WHEN flags_reply_code = 3 THEN 1.0 ELSE 0.0 END AS f FROM v_dns) GROUP BY srcip),
          t AS (SELECT subnet, queries_name, row_number() OVER (PARTITION BY subnet ORDER BY count(*) DESC, queries_name) AS k FROM x JOIN m USING (srcip) GROUP BY subnet, queries_name)
     SELECT g.subnet, hosts, mean_failures, domains FROM (SELECT subnet, count(*) AS hosts, round(avg(failure_rate), 6) AS mean_failures FROM m JOIN q USING (srcip) GROUP BY subnet) g JOIN (SELECT subnet, array_to_string(list_sort(list(queries_name)), '#') AS domains FROM t WHERE k <= 10 GROUP BY subnet) USING (subnet)""", ("v_dns",))
@@ -303,12 +356,12 @@ def dt25(spark, d):
 
 
 @query("dt26_leak_alerts", """
-    WITH h AS (SELECT * FROM v_doc WHERE doc_id % 3 <> 0), t AS (SELECT owner, tag, count(*) AS n FROM h GROUP BY ALL), o AS (SELECT owner, count(*) AS n FROM h GROUP BY ALL), m AS (SELECT owner, tag, hh, max(bytes) AS most FROM h GROUP BY ALL),
-         j AS (SELECT v.doc_id, v.owner, v.tag, v.hh, v.bytes, CASE WHEN t.n IS NULL OR t.n / o.n <= 0.05 THEN 'rare tag' WHEN v.bytes > most THEN 'volume' END AS reason FROM v_doc v LEFT JOIN t ON t.owner = v.owner AND t.tag = v.tag LEFT JOIN o ON o.owner = v.owner LEFT JOIN m ON m.owner = v.owner AND m.tag = v.tag AND m.hh = v.hh WHERE v.doc_id % 3 = 0)
+    WITH h AS (SELECT * FROM v_doc WHERE doc_id % 7 <> 0), t AS (SELECT owner, tag, count(*) AS n FROM h GROUP BY ALL), o AS (SELECT owner, count(*) AS n FROM h GROUP BY ALL), m AS (SELECT owner, tag, hh, max(bytes) AS most FROM h GROUP BY ALL),
+         j AS (SELECT v.doc_id, v.owner, v.tag, v.hh, v.bytes, CASE WHEN t.n IS NULL OR t.n / o.n <= 0.05 THEN 'rare tag' WHEN v.bytes > most THEN 'volume' END AS reason FROM v_doc v LEFT JOIN t ON t.owner = v.owner AND t.tag = v.tag LEFT JOIN o ON o.owner = v.owner LEFT JOIN m ON m.owner = v.owner AND m.tag = v.tag AND m.hh = v.hh WHERE v.doc_id % 7 = 0)
     SELECT * FROM j WHERE reason IS NOT NULL""", ("v_doc",))
 def dt26(spark, d):
     records = view(spark, d, "v_doc")
-    return leak.leak_alerts(records.where("doc_id % 3 = 0"), leak.user_baseline(records.where("doc_id % 3 <> 0")), 0.05)
+    return leak.leak_alerts(records.where("doc_id % 7 = 0"), leak.user_baseline(records.where("doc_id % 7 <> 0")), 0.05)
 
 
 @query("dt27_fingerprints", r"WITH f AS (SELECT doc_id, md5(regexp_replace(lower(coalesce(text, '')), '\s+', '', 'g')) AS fingerprint FROM documents) SELECT doc_id, fingerprint, count(*) OVER (PARTITION BY fingerprint) AS copies, min(doc_id) OVER (PARTITION BY fingerprint) AS first_id FROM f")

@@ -9,7 +9,8 @@ from sparkwarden.ml import features, models
 from sparkwarden.operators.merge import merge_indicators
 from sparkwarden.plans import dns, hosts, leak
 from sparkwarden.queries import query, table
-from sparkwarden.queries.relational import _FLAGS, KINDS
+from sparkwarden.queries.relational import _FLAGS, _HOST_DAYS, KINDS, host_days
+from sparkwarden.storage import written
 
 XY = ("v_xy",)
 _LONG = "x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, CAST(unnest(range(1, len(embedding) + 1)) AS INTEGER) AS feature FROM v_xy)"
@@ -17,7 +18,7 @@ _LONG = "x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, CAS
 
 def _dns_samples(spark, d):
     rows = dns.covert_features(view(spark, d, "v_dns")).withColumn("label", (F.col("size") % 2).cast("double"))
-    return models.assembled(rows, ["labels", "name_length", "max_ttl", "sum_length", "bits", "digits"])
+    return models.assembled(written(rows, "dns-features"), models.COVERT_FEATURES)  # fits read them many times
 
 
 def _vectors(spark, d):
@@ -27,13 +28,13 @@ def _vectors(spark, d):
 @query("ml1_boosted_scores")
 def ml1(spark, d):
     rows = _dns_samples(spark, d)
-    return models.boosted_scores(rows.where("flow_id % 10 < 7").select("label", "features"), rows, iterations=3).select("flow_id", "label", "prediction", F.round("probability", 6).alias("probability"))
+    return models.boosted_scores(rows.where("flow_id % 10 < 7").select("label", "features"), rows).select("flow_id", "label", "prediction", F.round("probability", 6).alias("probability"))
 
 
 @query("ml2_cross_validated_forest")
 def ml2(spark, d):
     rows = _dns_samples(spark, d)
-    return models.cross_validated_forest(rows.where("flow_id % 10 < 7").select("label", "features"), folds=2).transform(rows.where("flow_id % 10 >= 7")).select("flow_id", "label", "prediction")
+    return models.cross_validated_forest(rows.where("flow_id % 10 < 7").select("label", "features")).transform(rows.where("flow_id % 10 >= 7")).select("flow_id", "label", "prediction")
 
 
 @query("ml3_text_classifier")
@@ -43,7 +44,7 @@ def ml3(spark, d):
 
 
 def _samples(spark, d):
-    events = view(spark, d, "v_evt").where("dd > 25")
+    events = host_days(spark, d)
     hosts_of = merge_indicators({k: events.where(F.col("modeltype") == k) for k in KINDS})
     return hosts_of.withColumn("label", (F.length("ip") % 2).cast("int")).withColumn("flag", F.col("click") + F.col("error"))
 
@@ -63,21 +64,21 @@ def ml4_normalised(spark, d):
 
 
 def _baskets(spark, d):
-    return view(spark, d, "v_evt").where("dd > 25").select("ip", F.col("modeltype").alias("item"))
+    return host_days(spark, d).select("ip", F.col("modeltype").alias("item"))
 
 
 @query("ml5_class_rules")
 def ml5(spark, d):
     items = _baskets(spark, d).groupBy("ip").agg(F.collect_set("item").alias("items"))
-    return models.class_rules(items, "click", 0.1, 0.3)
+    return models.class_rules(items, "click", 0.02, 0.2)
 
 
-@query("ml5_pair_rules", "WITH b AS (SELECT DISTINCT ip, modeltype AS item FROM v_evt WHERE dd > 25), p AS (SELECT x.item AS a, y.item AS b, count(*) AS n FROM b x JOIN b y ON x.ip = y.ip AND x.item <> y.item GROUP BY ALL), o AS (SELECT item, count(*) AS n FROM b GROUP BY item), r AS (SELECT a, b, round(p.n / (SELECT count(DISTINCT ip) FROM b), 6) AS support, round(p.n / o.n, 6) AS confidence FROM p JOIN o ON o.item = a) SELECT * FROM r WHERE support >= 0.2 AND confidence >= 0.5", ("v_evt",))
+@query("ml5_pair_rules", f"WITH {_HOST_DAYS}, b AS (SELECT DISTINCT ip, modeltype AS item FROM h), p AS (SELECT x.item AS a, y.item AS b, count(*) AS n FROM b x JOIN b y ON x.ip = y.ip AND x.item <> y.item GROUP BY ALL), o AS (SELECT item, count(*) AS n FROM b GROUP BY item), r AS (SELECT a, b, round(p.n / (SELECT count(DISTINCT ip) FROM b), 6) AS support, round(p.n / o.n, 6) AS confidence FROM p JOIN o ON o.item = a) SELECT * FROM r WHERE support >= 0.05 AND confidence >= 0.2", ("v_evt",))
 def ml5_pairs(spark, d):
-    return models.pair_rules(_baskets(spark, d), "ip", "item", 0.2, 0.5)
+    return models.pair_rules(_baskets(spark, d), "ip", "item", 0.05, 0.2)
 
 
-@query("ml6_resolved_labels", f"WITH v AS (SELECT ip, {_FLAGS} FROM v_evt WHERE dd > 25 GROUP BY ip), s AS (SELECT *, CAST(length(ip) % 2 AS INTEGER) AS label, click + error AS flag FROM v) SELECT ip, CASE flag WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE label END AS label FROM s", ("v_evt",))
+@query("ml6_resolved_labels", f"WITH {_HOST_DAYS}, v AS (SELECT ip, {_FLAGS} FROM h GROUP BY ip), s AS (SELECT *, CAST(length(ip) % 2 AS INTEGER) AS label, click + error AS flag FROM v) SELECT ip, CASE flag WHEN 1 THEN 1 WHEN 2 THEN 0 ELSE label END AS label FROM s", ("v_evt",))
 def ml6(spark, d):
     return hosts.resolved_labels(_samples(spark, d)).select("ip", "label")
 
@@ -94,7 +95,7 @@ def ml8(spark, d):
 
 @query("ml9_topics")
 def ml9(spark, d):
-    return models.topic_model(leak.word_tokens(table(spark, d, "documents")), 4, {"the": 0, "der": 1}, iterations=3)
+    return models.topic_model(leak.word_tokens(table(spark, d, "documents")), 4, {"the": 0, "der": 1})
 
 
 _TOPIC_COUNTS = "t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents), n AS (SELECT CAST(doc_id % 4 AS INTEGER) AS topic, word, count(*) AS n FROM t WHERE length(word) > 2 GROUP BY ALL)"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwarden.adapters import view
+from sparkwarden.functions.strings import query_pairs, request_path
 from sparkwarden.operators import aggregates as A
 from sparkwarden.operators import enrich as E
 from sparkwarden.operators import merge as M
@@ -160,12 +161,25 @@ def jn4(spark, d):
 KINDS = ("click", "view", "purchase", "signup", "error")
 
 
-@query("jn5_merge_indicators", "SELECT ip, " + ", ".join(f"CAST(max(CASE WHEN modeltype = '{k}' AND value > 40 THEN 1 ELSE 0 END) AS INTEGER) AS {k}" for k in KINDS) + " FROM v_evt WHERE value > 40 GROUP BY ip", ("v_evt",))
-def jn5(spark, d):
-    events = view(spark, d, "v_evt").where("value > 40")
+#: Hosts by the day: the entity of the indicator queries, since few hosts lack a kind of event over all days.
+_HOST_DAYS = "h AS (SELECT concat(ip, '/', CAST(dd AS STRING)) AS ip, modeltype, id, value, dd FROM v_evt)"
+_FLAGS = ", ".join(f"CAST(max(CASE WHEN modeltype = '{k}' THEN 1 ELSE 0 END) AS INTEGER) AS {k}" for k in KINDS)
+
+
+def host_days(spark, d):
+    return view(spark, d, "v_evt").withColumn("ip", F.concat("ip", F.lit("/"), F.col("dd").cast("string")))
+
+
+def _vectors(spark, d, where="true"):
+    events = host_days(spark, d).where(where)
     return M.merge_indicators({k: events.where(F.col("modeltype") == k) for k in KINDS})
 
 
+@query("jn5_merge_indicators", f"WITH {_HOST_DAYS} SELECT ip, {_FLAGS} FROM h GROUP BY ip", ("v_evt",))
+def jn5(spark, d):
+    return _vectors(spark, d)
+
+
 @query("jn6_either_end", "SELECT flow_id, ip FROM v_flow_ts JOIN (SELECT ip FROM v_asset WHERE status = 2) a ON a.ip = srcip OR a.ip = dstip", ASSET)
 def jn6(spark, d):
     return M.events_of_hosts(view(spark, d, "v_flow_ts"), view(spark, d, "v_asset").where("status = 2")).select("flow_id", "ip")
@@ -177,20 +191,12 @@ def jn7(spark, d):
     return view(spark, d, "v_flow_ts").join(view(spark, d, "v_dns").select(*keys, "queries_name"), keys).select("flow_id", "srcip", "srcport", "queries_name", "upbytesize")
 
 
-_FLAGS = ", ".join(f"CAST(max(CASE WHEN modeltype = '{k}' THEN 1 ELSE 0 END) AS INTEGER) AS {k}" for k in KINDS)
-
-
-def _vectors(spark, d, where):
-    events = view(spark, d, "v_evt").where(where)
-    return M.merge_indicators({k: events.where(F.col("modeltype") == k) for k in KINDS})
-
-
 @query("jn8_pattern_join", f"""
-    WITH v AS (SELECT ip, {_FLAGS} FROM v_evt WHERE dd > 25 GROUP BY ip)
+    WITH {_HOST_DAYS}, v AS (SELECT ip, {_FLAGS} FROM h GROUP BY ip)
     SELECT v.*, p.score AS pattern_score FROM v LEFT JOIN (VALUES (1, 1, 0, 0, 0, 90.0), (1, 1, 1, 0, 0, 75.5), (1, 0, 0, 0, 1, 60.0)) AS p(a, b, c, e, f, score) ON click = a AND "view" = b AND purchase = c AND signup = e AND error = f""", ("v_evt",))
 def jn8(spark, d):
     patterns = spark.createDataFrame([(1, 1, 0, 0, 0, 90.0), (1, 1, 1, 0, 0, 75.5), (1, 0, 0, 0, 1, 60.0)], ", ".join(f"{k} int" for k in KINDS) + ", pattern_score double")
-    return M.with_pattern_scores(_vectors(spark, d, "dd > 25"), patterns, list(KINDS)).select("ip", *KINDS, "pattern_score")
+    return M.with_pattern_scores(_vectors(spark, d), patterns, list(KINDS)).select("ip", *KINDS, "pattern_score")
 
 
 @query("jn9_semi", "SELECT flow_id, queries_name FROM v_dns WHERE queries_name IN (SELECT host FROM v_page WHERE page_id % 10 = 0)", ("v_dns", "v_page"))
@@ -213,12 +219,12 @@ def jn11(spark, d):
 
 
 @query("jn12_feedback_whitelist", f"""
-    WITH v AS (SELECT ip, {_FLAGS} FROM v_evt WHERE dd > 25 GROUP BY ip), o AS (SELECT ip, {_FLAGS}, min(id) % 3 AS flag FROM v_evt WHERE dd <= 3 GROUP BY ip),
+    WITH {_HOST_DAYS}, v AS (SELECT ip, {_FLAGS} FROM h WHERE dd > 15 GROUP BY ip), o AS (SELECT ip, {_FLAGS}, min(id) % 3 AS flag FROM h WHERE dd <= 15 GROUP BY ip),
          w AS (SELECT DISTINCT click, "view", purchase, signup, error FROM o WHERE flag <> 2)
     SELECT v.* FROM v SEMI JOIN w USING (click, "view", purchase, signup, error)""", ("v_evt",))
 def jn12(spark, d):
-    flag = view(spark, d, "v_evt").where("dd <= 3").groupBy("ip").agg((F.min("id") % 3).alias("flag"))
-    return M.whitelisted_by_feedback(_vectors(spark, d, "dd > 25"), _vectors(spark, d, "dd <= 3").join(flag, "ip"), list(KINDS)).select("ip", *KINDS)
+    flag = host_days(spark, d).where("dd <= 15").groupBy("ip").agg((F.min("id") % 3).alias("flag"))
+    return M.whitelisted_by_feedback(_vectors(spark, d, "dd > 15"), _vectors(spark, d, "dd <= 15").join(flag, "ip"), list(KINDS)).select("ip", *KINDS)
 
 
 # Aggregations
@@ -433,15 +439,16 @@ def so3(spark, d):
     return S.new_keys(flows.where("dd > 20"), flows.where("dd <= 20").select("dstip", "dstport", "protocol"))
 
 
-@query("so4_intersect", "SELECT srcip FROM v_flow_ts WHERE dd <= 3 INTERSECT SELECT srcip FROM v_flow_ts WHERE dd > 27", FLOW)
+@query("so4_intersect", "SELECT srcip FROM v_flow_ts WHERE dd <= 15 INTERSECT SELECT srcip FROM v_flow_ts WHERE dd > 15", FLOW)
 def so4(spark, d):
     flows = view(spark, d, "v_flow_ts")
-    return flows.where("dd <= 3").select("srcip").intersect(flows.where("dd > 27").select("srcip"))
+    return flows.where("dd <= 15").select("srcip").intersect(flows.where("dd > 15").select("srcip"))
 
 
-@query("so5_common_members", "WITH u AS (SELECT dstip, count(DISTINCT srcip) AS n FROM v_flow_ts WHERE dd = 5 GROUP BY dstip), s AS (SELECT dstip, protocol, count(DISTINCT srcip) AS n FROM v_flow_ts WHERE dd = 5 GROUP BY dstip, protocol) SELECT s.dstip, s.protocol FROM s JOIN u ON s.dstip = u.dstip AND s.n = u.n", FLOW)
+@query("so5_common_members", "WITH q AS (SELECT flow_id, string_split(uri, '?')[1] AS path, unnest(string_split(regexp_extract(uri, '[?](.*)$', 1), '&')) AS pair FROM v_http), v AS (SELECT path, flow_id, string_split(pair, '=')[1] AS param FROM q WHERE contains(pair, '=') AND regexp_extract(pair, '=(.*)$', 1) <> ''), u AS (SELECT path, count(DISTINCT flow_id) AS n FROM v GROUP BY path), s AS (SELECT path, param, count(DISTINCT flow_id) AS n FROM v GROUP BY path, param) SELECT s.path, s.param FROM s JOIN u ON s.path = u.path AND s.n = u.n", ("v_http",))
 def so5(spark, d):
-    return S.common_members(view(spark, d, "v_flow_ts").where("dd = 5"), "dstip", "srcip", "protocol")
+    pairs = query_pairs(view(spark, d, "v_http").withColumn("path", request_path(F.col("uri"))), "uri", ["path", "flow_id"])
+    return S.common_members(pairs, "path", "flow_id", "param")
 
 
 @query("so6_split", "SELECT doc_id, CASE WHEN doc_id * 7919 % 100 < 70 THEN 'train' ELSE 'test' END AS part FROM labels")

@@ -25,7 +25,7 @@ def plain(x):
     if isinstance(x, decimal.Decimal):
         x = float(x)
     if isinstance(x, float):
-        return None if math.isnan(x) else round(x, 4) + 0.0
+        return None if math.isnan(x) else x + 0.0
     if isinstance(x, (datetime.date, datetime.datetime)):
         return str(x)
     if isinstance(x, (list, tuple)):
@@ -33,9 +33,14 @@ def plain(x):
     return x
 
 
+def coarse(x):
+    return round(x, 4) if isinstance(x, float) else tuple(map(coarse, x)) if isinstance(x, tuple) else x
+
+
 def rows(names, data):
+    """Rows in the order of their rounded values, so that the last digits do not decide which are compared."""
     order = sorted(range(len(names)), key=lambda k: names[k])
-    return sorted((tuple(plain(r[k]) for k in order) for r in data), key=repr)
+    return sorted((tuple(plain(r[k]) for k in order) for r in data), key=lambda r: (repr(coarse(r)), repr(r)))
 
 
 def difference(spark, con, sf_dir, query, sql):
@@ -50,7 +55,7 @@ def difference(spark, con, sf_dir, query, sql):
     if len(got) != len(want):
         return f"{len(got)} and {len(want)} rows; {[x for x in got if x not in want[:5000]][:3]} and {[x for x in want if x not in got[:5000]][:3]}"
     for a, b in zip(got, want, strict=True):
-        same = all(x == y or isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, rel_tol=1e-6, abs_tol=2e-4) for x, y in zip(a, b, strict=True))
+        same = all(x == y or isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, rel_tol=1e-9, abs_tol=1.5e-6) for x, y in zip(a, b, strict=True))
         if not same:
             return f"{a} and {b}"
     return None
