@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwarden.operators.sets import top_k
+
 
 def two_way_volume(flows: DataFrame, by: list[str], up: str = "upbytesize", down: str = "downbytesize") -> DataFrame:
     """Bytes of each host: sent where it is the source, received where it is the destination; one shuffle."""
@@ -12,10 +14,16 @@ def two_way_volume(flows: DataFrame, by: list[str], up: str = "upbytesize", down
     return ends.groupBy(F.col("e.ip").alias("ip"), *by).agg(F.sum("e.n").alias("bytes"))
 
 
-def set_text(column: str | Column, sep: str = "#", first: int | None = None) -> Column:
-    """The distinct values of a group, sorted and joined (the first ones only, if asked)."""
-    values = F.array_sort(F.collect_set(column))
-    return F.concat_ws(sep, F.slice(values, 1, first) if first else values)
+def set_text(column: str | Column, sep: str = "#") -> Column:
+    """The distinct values of a group, sorted and joined; for groups of few values."""
+    return F.concat_ws(sep, F.array_sort(F.collect_set(column)))
+
+
+def first_texts(df: DataFrame, key: str, column: str, k: int, sep: str = "#") -> DataFrame:
+    """The first ``k`` distinct values of each group, sorted and joined; no group is gathered, however many values it has."""
+    values = df.select(key, column).where(F.col(column).isNotNull()).distinct()
+    firsts = top_k(values, [key], [F.col(column)], k).groupBy(key).agg(F.concat_ws(sep, F.array_sort(F.collect_list(column))).alias(column))
+    return df.select(key).distinct().join(firsts, key, "left").fillna("", [column])
 
 
 def latest(df: DataFrame, keys: list[str], at: str, tie: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.functions import strings as S
 from sparkwarden.ml import models
+from sparkwarden.operators.aggregates import first_texts
 from sparkwarden.operators.enrich import bounded
 from sparkwarden.storage import written
 
@@ -120,7 +121,6 @@ def covert_features(dns: DataFrame) -> DataFrame:
 
 def covert_summary(dns: DataFrame) -> DataFrame:
     """Per host: requests and responses, the latest time and the names asked for."""
-    from sparkwarden.operators.aggregates import set_text
-
-    extra = dns.groupBy("srcip").agg(F.max("sec").alias("last_at"), set_text("queries_name", first=10).alias("names"))
-    return request_response_summary(dns).join(extra, "srcip")
+    last = dns.groupBy("srcip").agg(F.max("sec").alias("last_at"))
+    names = first_texts(dns, "srcip", "queries_name", 10).withColumnRenamed("queries_name", "names")
+    return request_response_summary(dns).join(last, "srcip").join(names, "srcip")

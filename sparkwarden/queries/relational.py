@@ -257,7 +257,7 @@ def ag3(spark, d):
 
 @query("ag4_first_ten", "SELECT srcip, array_to_string(list_sort(list(DISTINCT dstip))[1:10], '#') AS trace FROM v_flow GROUP BY srcip", ("v_flow",))
 def ag4(spark, d):
-    return view(spark, d, "v_flow").groupBy("srcip").agg(A.set_text("dstip", first=10).alias("trace"))
+    return A.first_texts(view(spark, d, "v_flow"), "srcip", "dstip", 10).withColumnRenamed("dstip", "trace")
 
 
 @query("ag5_requests_responses", """

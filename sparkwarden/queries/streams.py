@@ -81,10 +81,11 @@ def src2(spark, d):
     return readers.read_tsv(spark, path, rows.schema)
 
 
-@query("src3_closed_files")
+@query("src3_closed_files", "SELECT flow_id, srcip FROM v_flow_ts WHERE dd <= 24", FLOW)
 def src3(spark, d):
-    path, rows = _folder(spark, "hours"), view(spark, d, "v_flow_ts").select("flow_id", "srcip")
-    rows.repartition(4).write.json(path)
+    """A file for each eight days; the newest one is still open."""
+    path, rows = _folder(spark, "hours"), view(spark, d, "v_flow_ts").select("flow_id", "srcip", "dd")
+    rows.repartitionById(4, F.floor((F.col("dd") - 1) / 8).cast("int")).write.json(path)
     return readers.read_closed_files(spark, path, rows.schema, "part-").select("flow_id", "srcip")
 
 
@@ -109,11 +110,14 @@ def src7(spark, d):
     return readers.read_svmlight(spark, path, 64).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src8_magic")
+@query("src8_magic", "SELECT CAST(page_id % 4 AS INTEGER) AS part, CAST(sum(octet_length(encode(html)) + 1) AS BIGINT) AS length FROM v_page WHERE page_id % 4 < 3 GROUP BY page_id % 4", ("v_page",))
 def src8(spark, d):
-    path = _folder(spark, "raw")
-    view(spark, d, "v_page").select("html").repartition(4).write.text(path)
-    return readers.read_magic(spark, path, b"<!").select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    """Four files, one of which begins otherwise."""
+    path, part = _folder(spark, "raw"), (F.col("page_id") % 4).cast("int")
+    lines = view(spark, d, "v_page").repartitionById(4, part).select(F.when(part == 3, F.concat(F.lit("x"), "html")).otherwise(F.col("html")))
+    lines.write.text(path)
+    found = readers.read_magic(spark, path, b"<!")
+    return found.select(F.regexp_extract("path", r"part-(\d+)-[^/]*$", 1).cast("int").alias("part"), "length")
 
 
 @query("snk2_partitioned", "SELECT flow_id, srcip, dd FROM v_flow_ts", FLOW)
