@@ -13,26 +13,34 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
 
     Contraction rounds: every node moves to the smallest node next to it, moves once more to where that one
     went, and the edges are rewritten and made distinct.  Long chains at least halve in each round, so the
-    number of rounds grows with the logarithm of the longest path.  Each round is written to the shared folder,
-    which keeps plans short, and the round before it is deleted.  The minimum is combined before the shuffle, so a node with very many edges is no
-    hot group.  Edges with a null end are left out; an edge from a node to itself gives a component of one node.
+    number of rounds grows with the logarithm of the longest path.  Each round's moves and edges are written to the
+    shared folder, which keeps plans short; the moves are put together at the end, the last and smallest ones first.
+    The minimum is combined before the shuffle, so a node with very many edges is no hot group.  Edges with a null end
+    are left out; an edge from a node to itself gives a component of one node.  The result is a ``written`` table.
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
-    left = written(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    labels = left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
-    live = left.where("a <> b")
+    given = written(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    moves, rewritten = [], []
+    live = given.where("a <> b")
     while not live.isEmpty():
         near = live.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e"))
         step = near.groupBy(F.col("e.node").alias("node")).agg(F.min("e.other").alias("m")).select("node", F.least("node", "m").alias("to"))
-        step = written(step, "step")
         onward = step.select(F.col("node").alias("to"), F.col("to").alias("onward"))
         jump = written(step.join(onward, "to", "left").select("node", F.coalesce("onward", "to").alias("to")), "jump")
-        moved_labels = written(labels.join(jump.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("to", "component").alias("component")), "labels")
         at_a, at_b = (jump.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
         moved = live.join(at_a, "a").join(at_b, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
-        moved_edges = written(moved.where("a <> b").distinct(), "edges")
-        discard(labels, left, step, jump)
-        labels, left, live = moved_labels, moved_edges, moved_edges
+        live = written(moved.where("a <> b").distinct(), "edges")
+        discard(*rewritten)
+        moves, rewritten = [*moves, jump], [live]
+    labels = given.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
+    if moves:
+        whole = moves[-1]
+        for jump in reversed(moves[:-1]):
+            onward = whole.select(F.col("node").alias("to"), F.col("to").alias("onward"))
+            whole = jump.join(onward, "to", "left").select("node", F.coalesce("onward", "to").alias("to"))
+        labels = labels.join(whole, "node", "left").select("node", F.coalesce("to", "component").alias("component"))
+    labels = written(labels, "labels")
+    discard(given, *moves, *rewritten)
     return labels
 
 
