@@ -322,6 +322,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = written(fingerprints(present, shingle=shingle, seeds=seeds), "fingerprints")
     total = rows.count()
     links = verified_links(_simhash_stars(rows, names, radius).distinct(), own, shingle, similarity)
+    found = [links]
     discard(rows)
     every = written(shingle_prefixes(present, total, shingle, similarity), "prefixes")
     # Cells of one document have nothing to find. A document's cells differ, so that a count tells.
@@ -339,14 +340,12 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for salt in (1, 2):
         cells = narrowed(cells, links)
         more = verified_links(_cell_stars(cells, similarity, salt), own, shingle, similarity)
-        both = written(links.unionByName(more), "links")
-        discard(links, more)
-        links = both
+        found, links = [*found, more], links.unionByName(more)
         free_shuffles(spark)
     cells = narrowed(cells, links)
     last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)
     nodes = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("component", "component_id")
-    discard(cells, links, last)
+    discard(cells, *found, last)
     return own.select("doc_id").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
