@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkwarden.llm import arrays, bitmap
+from sparkwarden.llm import arrays, bitmap, workers
 from sparkwarden.storage import small_or_shuffled, written
 
 #: Positions that each mask reads. With these, an aligned stretch of 12 words is hit wherever two of them are substituted.
@@ -94,7 +94,7 @@ def _scan(rows: DataFrame, id_col: str, text_col: str, masks: dict[int, str], re
                 ids = batch.column(0).slice(a, b - a).take(pa.array(found["doc"], pa.int64()))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(found["place"], pa.int32()), pa.array(found["size"], pa.int32()), pa.array(found["h"], pa.int64()), pa.array(found["around"], pa.binary())], [id_col, "place", "size", "h", "around"])
 
-    return rows.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, place int, size int, h long, around binary")
+    return rows.select(id_col, text_col).mapInArrow(workers.lean(run), f"{id_col} {kind}, place int, size int, h long, around binary")
 
 
 def _aligned(spans: pa.Array, at: np.ndarray, middle: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +159,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             keep = pa.array(shares >= 1 - substitutions - 1e-9)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(shares, pa.float64())], ["doc", "item", "share"]).filter(keep)
 
-    found = joined.select("doc", "item", "doc_place", "doc_around", "place", "around", "size").mapInArrow(verify, kinds)
+    found = joined.select("doc", "item", "doc_place", "doc_around", "place", "around", "size").mapInArrow(workers.lean(verify), kinds)
     return found.groupBy("doc", "item").agg(F.max("share").alias("share")).select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "share")
 
 

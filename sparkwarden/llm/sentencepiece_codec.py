@@ -13,7 +13,6 @@ import hashlib
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,16 +24,16 @@ from pyspark.sql.types import ArrayType, IntegerType, StructType
 from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from sparkwarden.llm import arrays
+from sparkwarden.llm import arrays, workers
 from sparkwarden.llm.pretokens import Codes
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE = 1, 2, 3, 4, 6
 UNIGRAM, BPE = 1, 2
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 300_000
 #: Bytes of text that are cut into words at a time.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 21
 #: New words that one thread of the library encodes at a time.
 BATCH_WORDS = 2000
 #: One text in so many is checked against the SentencePiece library.
@@ -191,10 +190,9 @@ class PieceCodes(Codes):
         return out
 
 
-@lru_cache(maxsize=2)
 def piece_codes(path: str) -> PieceCodes:
-    """The worker's codes for a model: its cache goes on from task to task."""
-    return PieceCodes(path)
+    """The worker's codes for a model: its cache goes on from task to task, until tasks of another kind come."""
+    return workers.kept("pieces", path, lambda: PieceCodes(path))
 
 
 def encode(texts: list[str], path: str, verify_every: int = VERIFY_EVERY) -> list[list[int]]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwarden.llm import arrays
+from sparkwarden.llm import arrays, workers
 from sparkwarden.operators.graph import connected_components
 from sparkwarden.storage import discard, free_shuffles, small_or_shuffled, written
 
@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [id_col, *names])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, " + ", ".join(f"{n} long" for n in names))
+    return docs.select(id_col, text_col).mapInArrow(workers.lean(run), f"{id_col} {kind}, " + ", ".join(f"{n} long" for n in names))
 
 
 def distance(a: str, b: str) -> Column:
@@ -184,7 +184,7 @@ def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity:
                     keep = both >= similarity * (n + m - both) - 1e-9
                     yield pa.RecordBatch.from_arrays([batch.column(k).slice(lo + c, d - c) for k in (0, 1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    links = written(pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct(), "verified")
+    links = written(pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b").mapInArrow(workers.lean(run), "a long, b long").distinct(), "verified")
     discard(pairs)
     return links
 
@@ -218,7 +218,7 @@ def _frequent_shingles(docs: DataFrame, total: int, shingle: int) -> tuple[np.nd
             for a, b in arrays.slices(texts):
                 yield pa.RecordBatch.from_arrays([pa.array(_distinct_hashes(texts.slice(a, b - a), shingle)[0].view(np.int64))], ["h"])
 
-    counts = some.select("doc_id", "text").mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    counts = some.select("doc_id", "text").mapInArrow(workers.lean(run), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
     found = sorted((r["h"] % 2**64, r["n"]) for r in counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect())
     return np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
 
@@ -252,7 +252,7 @@ def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: floa
                 at = np.concatenate([at[ahead], np.zeros(len(empty), np.int64)])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(owner)), pa.array(cells), pa.array(at, pa.int32()), pa.array(n[owner], pa.int32())], ["doc", "cell", "at", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc long, cell long, at int, n int")
+    return docs.select("doc_id", "text").mapInArrow(workers.lean(run), "doc long, cell long, at int, n int")
 
 
 def _simhash_stars(rows: DataFrame, names: list[str], radius: int) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from sparkwarden.llm import arrays
+from sparkwarden.llm import arrays, workers
 from sparkwarden.llm.labelled import held_out, training_sample
 
 WINDOW, STRIDE = 32, 16
@@ -338,7 +338,7 @@ def scored(docs: DataFrame, net: Network, text_col: str = "text", column: str =
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], [*part.schema.names, column])
 
-    return docs.select(*plain.names).mapInArrow(run, StructType([*plain.fields]).add(column, DoubleType()))
+    return docs.select(*plain.names).mapInArrow(workers.lean(run), StructType([*plain.fields]).add(column, DoubleType()))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", threshold: float = 0.5) -> DataFrame:
