@@ -86,10 +86,10 @@ ORACLES = {
     "op12_prefix_trie": r"""
         WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
         crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
-                (c, k) -> CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i))),
+                lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM range(256) r(i))),
         heads AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT,
-                list_transform(string_split(conv_id::VARCHAR, ''), x -> ascii(x)::BIGINT)),
-                (c, b) -> xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 6 AS h FROM ids, crc),
+                list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1])), 4294967295) % 6 AS h FROM ids, crc),
         turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
                   sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS k FROM conversations WHERE conv_id IS NOT NULL),
@@ -103,14 +103,14 @@ ORACLES = {
               SELECT conv_id, pos AS d, string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
                 OVER (PARTITION BY conv_id ORDER BY pos) AS prefix, length(text) AS chars FROM r),
         nodes AS (SELECT d, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM m GROUP BY d, prefix),
-        at AS (SELECT m.conv_id AS member, m.d, nodes.conv_id FROM m JOIN nodes USING (d, prefix)),
-        linked AS (SELECT nodes.*, at.conv_id AS parent_conv_id FROM nodes LEFT JOIN at ON at.member = nodes.conv_id AND at.d = nodes.d - 1),
+        place AS (SELECT m.conv_id AS member, m.d, nodes.conv_id FROM m JOIN nodes USING (d, prefix)),
+        linked AS (SELECT nodes.*, place.conv_id AS parent_conv_id FROM nodes LEFT JOIN place ON place.member = nodes.conv_id AND place.d = nodes.d - 1),
         kids AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY 1, 2),
         full_nodes AS (SELECT linked.*, coalesce(n_children, 0) AS n_children FROM linked LEFT JOIN kids USING (conv_id, d)),
-        below AS (SELECT at.conv_id, at.d, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
-                  FROM full_nodes y JOIN at ON at.member = y.conv_id AND at.d <= y.d GROUP BY 1, 2),
-        stops AS (SELECT at.conv_id, at.d, string_agg(member::VARCHAR, ',' ORDER BY member) AS ends
-                  FROM at JOIN (SELECT conv_id, max(d) AS d FROM m GROUP BY 1) l ON l.conv_id = member AND l.d = at.d GROUP BY 1, 2)
+        below AS (SELECT place.conv_id, place.d, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * chars)::BIGINT AS saved_tokens
+                  FROM full_nodes y JOIN place ON place.member = y.conv_id AND place.d <= y.d GROUP BY 1, 2),
+        stops AS (SELECT place.conv_id, place.d, string_agg(member::VARCHAR, ',' ORDER BY member) AS ends
+                  FROM place JOIN (SELECT conv_id, max(d) AS d FROM m GROUP BY 1) l ON l.conv_id = member AND l.d = place.d GROUP BY 1, 2)
         SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
         FROM full_nodes JOIN below USING (conv_id, d) LEFT JOIN stops USING (conv_id, d)""",
 }

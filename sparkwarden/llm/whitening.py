@@ -160,7 +160,7 @@ class Spectrum:
         return {"at": [at], "n": [self.n], "mean": [self.mean], "vals": [self.values], "vecs": [self.vectors.ravel()]}
 
 
-_SPECTRUM = "at int, n long, mean array<double>, vals array<double>, vecs array<double>"
+_SPECTRUM = "at long, n long, mean array<double>, vals array<double>, vecs array<double>"
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
