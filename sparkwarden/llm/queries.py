@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkwarden.llm import decontaminate, exact_dedup, prefix_trie, quality, sentencepiece_codec, simhash, substring_dedup, token_counts, token_store, toxicity, url_filter, whitening
+from sparkwarden.llm import decontaminate, exact_dedup, personal_data, prefix_trie, quality, sentencepiece_codec, simhash, substring_dedup, token_counts, token_store, toxicity, url_filter, whitening
 
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 #: What op10 appends to each document.
@@ -56,6 +56,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), "tokens", end_id=END_ID)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -64,7 +68,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_decontamination, op3_token_counts, op4_url_filter, op5_sentencepiece, op6_simhash, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_store, op12_prefix_trie, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_decontamination, op3_token_counts, op4_url_filter, op5_sentencepiece, op6_simhash, op7_substring_dedup, op8_quality, op9_toxicity, op10_token_store, op11_personal_data, op12_prefix_trie, op13_whitening)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
