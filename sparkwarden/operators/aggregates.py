@@ -50,9 +50,10 @@ def upper_limit(column: str, k: float = 3.0) -> Column:
     return F.when(F.count(c) == 1, k * F.max(c)).otherwise(F.avg(c) + k * F.stddev_pop(c))
 
 
-def fill_with_mean(df: DataFrame, key: str, value: str) -> Column:
+def fill_with_mean(df: DataFrame, key: str | list[str], value: str) -> Column:
     """The value, or the mean of the key's other values where it is missing."""
-    return F.coalesce(F.col(value), F.avg(value).over(Window.partitionBy(key)))
+    keys = [key] if isinstance(key, str) else key
+    return F.coalesce(F.col(value), F.avg(value).over(Window.partitionBy(*keys)))
 
 
 def term_weights(terms: DataFrame, doc: str = "doc_id", term: str = "term") -> DataFrame:

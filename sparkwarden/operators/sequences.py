@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwarden.operators.runs import longest_slot_run
+
 #: Gaps of one key that are listed in one row; keys with more have a row for each gap and stride.
 ROW_GAPS = 100_000
 
@@ -68,17 +70,20 @@ def presence_autocorrelation(df: DataFrame, keys: list[str], slot: str) -> DataF
     return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("slots"), F.round(F.sum("pair") / F.count(F.lit(1)), 6).alias("ak"))
 
 
-def runs(df: DataFrame, keys: list[str], order: str, flag: str) -> DataFrame:
-    """Islands of equal flags in order: ``flag``, first and last place, length."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    island = F.row_number().over(w) - F.row_number().over(Window.partitionBy(*keys, flag).orderBy(order))
-    marked = df.select(*keys, order, flag, island.alias("__island"))
-    return marked.groupBy(*keys, flag, "__island").agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count(F.lit(1)).alias("length")).drop("__island")
+def runs(df: DataFrame, keys: list[str], slot: str, flag: str) -> DataFrame:
+    """Islands of equal flags in consecutive slots (whole numbers): ``flag``, first and last slot, length.
+
+    A slot that is absent ends an island.  Of one key, all slots are sorted in one task; where only the longest run is
+    wanted, ``operators.runs`` deals a key out.
+    """
+    island = F.col(slot) - F.row_number().over(Window.partitionBy(*keys, flag).orderBy(slot))
+    marked = df.select(*keys, slot, flag).distinct().select("*", island.alias("__island"))
+    return marked.groupBy(*keys, flag, "__island").agg(F.min(slot).alias("first"), F.max(slot).alias("last"), F.count(F.lit(1)).alias("length")).drop("__island")
 
 
-def longest_run(df: DataFrame, keys: list[str], order: str, flag: str) -> DataFrame:
-    """The longest run of set flags of each key that has one."""
-    return runs(df, keys, order, flag).where(F.col(flag) == 1).groupBy(*keys).agg(F.max("length").alias("longest"))
+def longest_run(df: DataFrame, keys: list[str], slot: str, flag: str) -> DataFrame:
+    """The longest run of set flags in consecutive slots of each key that has one."""
+    return longest_slot_run(df, keys, slot, flag).select(*keys, "longest")
 
 
 def slot_baseline(df: DataFrame, keys: list[str], day: str, slot: str, value: str, days: int = 7, k: float = 3.0) -> DataFrame:

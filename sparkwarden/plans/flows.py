@@ -10,6 +10,7 @@ from sparkwarden.operators import aggregates as A
 from sparkwarden.operators import sequences as Q
 from sparkwarden.operators.enrich import day_period, in_segments, outbound_bulk, well_known_port
 from sparkwarden.operators.merge import membership
+from sparkwarden.operators.runs import longest_slot_run
 
 
 def candidate_ports(flows: DataFrame) -> DataFrame:
@@ -70,17 +71,26 @@ def discovered_assets(flows: DataFrame, assets: DataFrame, segments: DataFrame)
     return Q.first_of_each(fresh, "ip", ["sec", "flow_id", "side"]).select("ip", "sec", "flow_id", "side", "protocol")
 
 
-def volume_exceedances(volumes: DataFrame, keys: list[str], day: str, slot: str, value: str = "bytes", days: int = 7) -> DataFrame:
-    """Every slot with its upper limit from the same slot of the days before (or the entity's mean limit), and ``exceeds``."""
-    based = Q.slot_baseline(volumes, keys, day, slot, value, days)
-    filled = based.withColumn("limit", A.fill_with_mean(based, keys[0], "upper"))
+def volume_exceedances(volumes: DataFrame, keys: list[str], day: str, slot: str, value: str = "bytes", days: int = 7, k: float = 3.0) -> DataFrame:
+    """Every slot with its upper limit and ``exceeds``.
+
+    The limit comes from the same slot of the days before; where that slot has none, it is the mean limit of the other
+    slots of the entity's day.  Without any limit nothing exceeds.
+    """
+    based = Q.slot_baseline(volumes, keys, day, slot, value, days, k)
+    filled = based.withColumn("limit", A.fill_with_mean(based, [*keys, day], "upper"))
     return filled.withColumn("exceeds", F.when(F.col(value) > F.col("limit"), 1).otherwise(0))
 
 
 def volume_anomalies(volumes: DataFrame, keys: list[str], day: str, slot: str, first_day: int, consecutive: int = 2, **options) -> DataFrame:
-    """Entities and days (from ``first_day``) with at least ``consecutive`` exceeding slots in a row."""
+    """Entities and days (from ``first_day``) with at least ``consecutive`` exceeding slots in a row: longest run, its first slot, slots present.
+
+    Slots without traffic end a run; a day with ``consecutive`` slots of traffic or fewer is not judged.
+    """
     judged = volume_exceedances(volumes, keys, day, slot, **options).where(F.col(day) >= first_day)
-    return Q.longest_run(judged, [*keys, day], slot, "exceeds").where(F.col("longest") >= consecutive)
+    found = longest_slot_run(judged, [*keys, day], slot, "exceeds").where(F.col("longest") >= consecutive)
+    present = judged.groupBy(*keys, day).agg(F.count("bytes" if "value" not in options else options["value"]).alias("present")).where(F.col("present") > consecutive)
+    return found.join(present, [*keys, day])
 
 
 def masked_history(volumes: DataFrame, anomalies: DataFrame, keys: list[str]) -> DataFrame:

@@ -72,14 +72,19 @@ def dt4(spark, d):
     return flows.discovered_assets(view(spark, d, "v_flow_ts"), view(spark, d, "v_asset").where("status = 1"), segments)
 
 
-_LIMITS = f"{_VOLUME}, {_BASE}, u AS (SELECT *, CASE WHEN n_base = 1 THEN 3 * base_mean WHEN n_base > 1 THEN base_mean + 3 * s END AS upper FROM b), j AS (SELECT *, CASE WHEN bytes > coalesce(upper, avg(upper) OVER (PARTITION BY segment)) + 1e-6 THEN 1 ELSE 0 END AS exceeds FROM u)"
+_LIMITS = f"{_VOLUME}, {_BASE}, u AS (SELECT *, CASE WHEN n_base = 1 THEN 3 * base_mean WHEN n_base > 1 THEN base_mean + 3 * s END AS upper FROM b), j AS (SELECT *, CASE WHEN bytes > coalesce(upper, avg(upper) OVER (PARTITION BY segment, dd)) + 1e-6 THEN 1 ELSE 0 END AS exceeds FROM u)"
+
+
+#: DT5 with a lower limit than three deviations, so that the given tables have runs.
+_NARROW = _LIMITS.replace("base_mean + 3 * s", "base_mean + s").replace("3 * base_mean", "base_mean")
 
 
 @query("dt5_volume_anomaly", f"""
-    WITH {_LIMITS}, i AS (SELECT *, row_number() OVER (PARTITION BY segment, dd ORDER BY hh) - row_number() OVER (PARTITION BY segment, dd, exceeds ORDER BY hh) AS island FROM j WHERE dd >= 8),
-         r AS (SELECT segment, dd, count(*) AS length FROM i WHERE exceeds = 1 GROUP BY segment, dd, island) SELECT segment, dd, max(length) AS longest FROM r GROUP BY segment, dd HAVING max(length) >= 1""", FLOW)
+    WITH {_NARROW}, i AS (SELECT *, hh - row_number() OVER (PARTITION BY segment, dd ORDER BY hh) AS island FROM j WHERE dd >= 8 AND exceeds = 1),
+         r AS (SELECT segment, dd, count(*) AS length, min(hh) AS first_slot FROM i GROUP BY segment, dd, island), p AS (SELECT segment, dd, count(*) AS present FROM j WHERE dd >= 8 GROUP BY segment, dd HAVING count(*) > 2)
+    SELECT segment, dd, max(length) AS longest, CAST(arg_min(first_slot, first_slot - 1000 * length) AS BIGINT) AS first_slot, any_value(present) AS present FROM r JOIN p USING (segment, dd) GROUP BY segment, dd HAVING max(length) >= 2""", FLOW)
 def dt5(spark, d):
-    return flows.volume_anomalies(volumes(spark, d), ["segment"], "dd", "hh", first_day=8, consecutive=1)
+    return flows.volume_anomalies(volumes(spark, d), ["segment"], "dd", "hh", first_day=8, consecutive=2, k=1.0)
 
 
 @query("dt6_masked_history", f"WITH {_LIMITS} SELECT segment, dd, hh, bytes FROM j WHERE exceeds = 0", FLOW)

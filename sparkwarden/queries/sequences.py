@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkwarden.adapters import view
 from sparkwarden.operators import graph as G
 from sparkwarden.operators import sequences as Q
+from sparkwarden.operators.runs import longest_slot_run
 from sparkwarden.queries import query
 
 FLOW = ("v_flow_ts",)
@@ -35,19 +36,25 @@ def wn3(spark, d):
     return Q.presence_autocorrelation(view(spark, d, "v_flow_ts").withColumn("slot", F.col("dd") * 24 + F.col("hh")), ["srcip", "protocol"], "slot")
 
 
-_FLAGGED = "x AS (SELECT srcip, flow_id, CASE WHEN upbytesize > 5000 THEN 1 ELSE 0 END AS flag FROM v_flow_ts), i AS (SELECT *, row_number() OVER (PARTITION BY srcip ORDER BY flow_id) - row_number() OVER (PARTITION BY srcip, flag ORDER BY flow_id) AS island FROM x)"
+_FLAGGED = "x AS (SELECT srcip, dd * 24 + hh AS slot, CASE WHEN sum(upbytesize) > 5000 THEN 1 ELSE 0 END AS flag FROM v_flow_ts GROUP BY ALL), i AS (SELECT *, slot - row_number() OVER (PARTITION BY srcip, flag ORDER BY slot) AS island FROM x)"
 
 
-@query("wn4_runs", f"WITH {_FLAGGED} SELECT srcip, flag, min(flow_id) AS first, max(flow_id) AS last, count(*) AS length FROM i GROUP BY srcip, flag, island", FLOW)
+def _flagged(spark, d):
+    """Hours with traffic, and whether it was much; hours without traffic are absent and end a run."""
+    hours = view(spark, d, "v_flow_ts").groupBy("srcip", (F.col("dd") * 24 + F.col("hh")).alias("slot"))
+    return hours.agg(F.when(F.sum("upbytesize") > 5000, 1).otherwise(0).alias("flag"))
+
+
+@query("wn4_runs", f"WITH {_FLAGGED} SELECT srcip, flag, min(slot) AS first, max(slot) AS last, count(*) AS length FROM i GROUP BY srcip, flag, island", FLOW)
 def wn4(spark, d):
-    flagged = view(spark, d, "v_flow_ts").select("srcip", "flow_id", F.when(F.col("upbytesize") > 5000, 1).otherwise(0).alias("flag"))
-    return Q.runs(flagged, ["srcip"], "flow_id", "flag")
+    return Q.runs(_flagged(spark, d), ["srcip"], "slot", "flag")
 
 
-@query("wn4_longest_run", f"WITH {_FLAGGED}, r AS (SELECT srcip, count(*) AS length FROM i WHERE flag = 1 GROUP BY srcip, island) SELECT srcip, max(length) AS longest FROM r GROUP BY srcip", FLOW)
+@query("wn4_longest_run", f"""
+    WITH {_FLAGGED}, r AS (SELECT srcip, count(*) AS length, min(slot) AS first_slot FROM i WHERE flag = 1 GROUP BY srcip, island)
+    SELECT srcip, max(length) AS longest, min(first_slot) FILTER (length = m) AS first_slot FROM (SELECT *, max(length) OVER (PARTITION BY srcip) AS m FROM r) GROUP BY srcip""", FLOW)
 def wn4_longest(spark, d):
-    flagged = view(spark, d, "v_flow_ts").select("srcip", "flow_id", F.when(F.col("upbytesize") > 5000, 1).otherwise(0).alias("flag"))
-    return Q.longest_run(flagged, ["srcip"], "flow_id", "flag")
+    return longest_slot_run(_flagged(spark, d), ["srcip"], "slot", "flag")
 
 
 _VOLUME = "v AS (SELECT regexp_extract(srcip, '^([0-9]+[.][0-9]+[.][0-9]+)', 1) AS segment, dd, hh, CAST(sum(upbytesize) AS DOUBLE) AS bytes FROM v_flow_ts GROUP BY ALL)"

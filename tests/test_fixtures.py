@@ -1,6 +1,7 @@
 """Hand-computed cases: nulls, ties, single rows, zero denominators, empty tables."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,10 @@ from sparkwarden.functions import strings as S
 from sparkwarden.operators import aggregates as A
 from sparkwarden.operators import enrich as E
 from sparkwarden.operators import graph as G
+from sparkwarden.operators import runs
 from sparkwarden.operators import sequences as Q
-from sparkwarden.plans import hosts
+from sparkwarden.operators.runs import longest_slot_run
+from sparkwarden.plans import flows, hosts
 
 
 def one(spark, value, *columns):
@@ -25,13 +28,51 @@ def test_strided_autocorrelation(spark, gaps, score):
 
 
 def test_runs(spark):
-    rows = [("a", i, f) for i, f in enumerate([0, 0, 0, 1, 1, 0, 1, 1, 0])]
-    df = spark.createDataFrame(rows, "k string, i int, flag int")
-    assert sorted((r["first"], r["flag"], r["length"]) for r in Q.runs(df, ["k"], "i", "flag").collect()) == [(0, 0, 3), (3, 1, 2), (5, 0, 1), (6, 1, 2), (8, 0, 1)]
-    assert [r["longest"] for r in Q.longest_run(df, ["k"], "i", "flag").collect()] == [2]
+    """Slot 4 is absent and 9 to 19 are: both end a run."""
+    slots = {0: 1, 1: 1, 2: 0, 3: 1, 5: 1, 6: 1, 7: 1, 8: 0, 20: 1}
+    df = spark.createDataFrame([("a", i, f) for i, f in slots.items()], "k string, i int, flag int")
+    assert sorted((r["first"], r["flag"], r["length"]) for r in Q.runs(df, ["k"], "i", "flag").collect()) == [(0, 1, 2), (2, 0, 1), (3, 1, 1), (5, 1, 3), (8, 0, 1), (20, 1, 1)]
+    assert [tuple(r) for r in longest_slot_run(df, ["k"], "i", "flag").collect()] == [("a", 3, 5)]
     assert Q.longest_run(df.limit(0), ["k"], "i", "flag").count() == 0
 
 
+def _longest(slots):
+    best, now, start, prev = (0, 0), 0, 0, None
+    for s in sorted(slots):
+        now, start = (now + 1, start) if prev is not None and s == prev + 1 else (1, s)
+        best, prev = ((now, start) if now > best[0] else best), s
+    return best
+
+
+@pytest.mark.parametrize("fan", [2, 3, 1024])
+def test_merged_runs_equal_brute_force(spark, monkeypatch, fan):
+    """Runs with holes that cross ranges of every width; negative slots, repeated rows, nulls."""
+    monkeypatch.setattr(runs, "FAN", fan)
+    r = random.Random(fan)
+    rows, want = [], {}
+    for k in range(40):
+        density = r.choice([0.2, 0.6, 0.9, 1.0])
+        low = r.choice([-20, 0, 5, 1000])
+        slots = {s: int(r.random() < density) for s in range(low, low + r.choice([1, 7, 60])) if r.random() < 0.9}
+        rows += [(str(k), s, f) for s, f in slots.items()] + [(str(k), s, 0) for s in list(slots)[:3]] + [(str(k), None, 1), (str(k), 3000, None)]
+        if any(slots.values()):
+            want[str(k)] = _longest([s for s, f in slots.items() if f])
+    got = longest_slot_run(spark.createDataFrame(rows, "k string, s int, f int"), ["k"], "s", "f").collect()
+    assert {g.k: (g.longest, g.first_slot) for g in got} == want
+
+
+def test_volume_anomaly_needs_slots_and_neighbours(spark):
+    """Exceeding hours 3 and 9 are no run; two hours of traffic are too few to judge; 5 and 6 are a run of two."""
+    day = lambda s, d, hours: [(s, d, h, float(b)) for h, b in hours.items()]
+    rows = []
+    for s in "abc":
+        for d in range(1, 5):
+            rows += day(s, d, {3: 10, 4: 10, 5: 10, 6: 10, 9: 10})
+    rows += day("a", 5, {3: 99, 4: 1, 5: 1, 9: 99}) + day("b", 5, {3: 1, 5: 99, 6: 99}) + day("c", 5, {5: 99, 6: 99})
+    found = flows.volume_anomalies(spark.createDataFrame(rows, "s string, d int, h int, bytes double"), ["s"], "d", "h", first_day=5).collect()
+    assert [(r.s, r.d, r.longest, r.first_slot, r.present) for r in found] == [("b", 5, 2, 5, 3)]
+
+
 def test_upper_limit_and_mean_fill(spark):
     df = spark.createDataFrame([("a", 100.0), ("b", 10.0), ("b", 20.0), ("c", None)], "k string, x double")
     got = {r["k"]: r["u"] for r in df.groupBy("k").agg(A.upper_limit("x").alias("u")).collect()}
