@@ -49,6 +49,41 @@ def unusual_periods(flows: DataFrame, baseline: DataFrame, least: int = 1 << 20)
     return odd.groupBy("srcip", "dstip", "period").agg(F.min("flow_id").alias("flow_id"), F.sum("upbytesize").alias("bytes"))
 
 
+def bulk_periods(flows: DataFrame, least: int = 1 << 20) -> DataFrame:
+    """Flows of bulk traffic with ``ip`` and ``period``."""
+    bulk = flows.where(outbound_bulk(F.col("srcport"), F.col("dstport"), F.col("upbytesize"), least))
+    return bulk.withColumn("ip", F.col("srcip")).withColumn("period", day_period(F.col("hh")))
+
+
+def learned_periods(baseline: DataFrame, flows: DataFrame, confirmed: DataFrame, least: int = 1 << 20) -> DataFrame:
+    """The baseline (ip, period) after a batch of flows.
+
+    Added are the pairs of hosts that had no baseline, and pairs that feedback confirmed as usual (``ip, period``).
+    Pairs that were reported and not confirmed stay unusual.
+    """
+    seen = bulk_periods(flows, least).select("ip", "period").distinct()
+    fresh = seen.join(baseline.select("ip").distinct(), "ip", "left_anti")
+    return baseline.select("ip", "period").union(fresh).union(confirmed.select("ip", "period")).distinct()
+
+
+def raised_ratios(baseline: DataFrame, normal: DataFrame) -> DataFrame:
+    """The baseline (ip, period, max_ratio) raised by ratios that count as normal (ip, period, ratio).
+
+    Missing and infinite ratios do not count.  Both sides are combined before one shuffle.
+    """
+    sound = normal.where(F.col("ratio").isNotNull() & ~F.isnan("ratio") & (F.col("ratio") < float("inf")))
+    both = baseline.select("ip", "period", "max_ratio").unionByName(sound.select("ip", "period", F.col("ratio").alias("max_ratio")))
+    return both.groupBy("ip", "period").agg(F.max("max_ratio").alias("max_ratio"))
+
+
+def normal_ratios(flows: DataFrame, baseline: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Ratios that train: of hosts and periods without a baseline, within it, or reported and ``rejected`` (flow_id) by an analyst."""
+    judged = ratios(flows).join(baseline, ["ip", "period"], "left")
+    within = judged.where("max_ratio is null or ratio <= max_ratio")
+    wrong = judged.where("ratio > max_ratio").join(rejected.select("flow_id").distinct(), "flow_id", "left_semi")
+    return within.select("ip", "period", "ratio").union(wrong.select("ip", "period", "ratio"))
+
+
 def ratios(flows: DataFrame) -> DataFrame:
     return flows.withColumn("ip", F.col("srcip")).withColumn("period", day_period(F.col("hh"))).withColumn("ratio", safe_ratio(F.col("upbytesize"), F.col("downbytesize")))
 

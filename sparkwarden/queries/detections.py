@@ -13,6 +13,7 @@ from sparkwarden.plans import botnets, dns, flows, hosts, leak, web
 from sparkwarden.queries import query, table
 from sparkwarden.queries.relational import _PERIOD, _RATIO, ASSET, FLOW, KINDS
 from sparkwarden.queries.sequences import _BASE, _GAPS, _VISITS, _VOLUME, volumes
+from sparkwarden.sources.versions import Versions
 from sparkwarden.storage import shared_dir, written
 
 _WELL = "dstport <= srcport AND dstport < 1024 AND dstport NOT IN (22, 23, 80, 81, 139, 443) AND protocol IN ('tcp', 'udp')"
@@ -54,6 +55,22 @@ def dt2(spark, d):
     return flows.unusual_periods(new, base, least=1000)
 
 
+@query("dt2_learned_periods", f"""
+    WITH p AS (SELECT flow_id, srcip AS ip, dd, {_PERIOD} AS period FROM v_flow_ts WHERE srcport > 1024 AND dstport < 1024 AND upbytesize > 1000), b0 AS (SELECT DISTINCT ip, period FROM p WHERE dd <= 3),
+         b1 AS (SELECT ip, period FROM b0 UNION SELECT ip, period FROM p WHERE dd BETWEEN 4 AND 15 AND (ip NOT IN (SELECT ip FROM b0) OR flow_id % 7 = 0))
+    SELECT ip, period FROM b1 UNION SELECT ip, period FROM p WHERE dd > 15 AND (ip NOT IN (SELECT ip FROM b1) OR flow_id % 7 = 0)""", FLOW)
+def dt2_learn(spark, d):
+    """Two batches after the first three days; an analyst confirms every seventh flow's pair. The last batch comes twice."""
+    flow = view(spark, d, "v_flow_ts")
+    baselines = Versions(spark, f"{shared_dir(spark)}/sparkwarden/periods-{uuid.uuid4().hex}", "ip string, period string")
+    nobody = spark.createDataFrame([], "ip string, period string")
+    for batch, days, confirmed in ((0, "dd <= 3", nobody), (1, "dd BETWEEN 4 AND 15", None), (2, "dd > 15", None), (2, "dd > 15", None)):
+        part = flow.where(days)
+        pairs = flows.bulk_periods(part.where("flow_id % 7 = 0"), 1000).select("ip", "period") if confirmed is None else confirmed
+        baselines.merge("flows", batch, lambda base: flows.learned_periods(base, part, pairs, 1000))  # noqa: B023
+    return baselines.read()
+
+
 @query("dt3_ratio_anomaly", f"""
     WITH r AS (SELECT flow_id, srcip AS ip, dd, {_PERIOD} AS period, {_RATIO} AS ratio FROM v_flow_ts), b AS (SELECT ip, period, max(ratio) AS max_ratio FROM r WHERE dd <= 20 GROUP BY ip, period)
     SELECT flow_id, r.ip, r.period, round(ratio, 6) AS ratio, round(max_ratio, 6) AS max_ratio FROM r JOIN b ON b.ip = r.ip AND b.period = r.period WHERE dd > 20 AND ratio > max_ratio""", FLOW)
@@ -310,6 +327,18 @@ def dt21(spark, d):
     return flows.recovered_slots(masked, rejected, ["segment", "dd", "hh"])
 
 
+@query("dt21_recovered_ratios", f"""
+    WITH r AS (SELECT flow_id, srcip AS ip, dd, {_PERIOD} AS period, {_RATIO} AS ratio FROM v_flow_ts), b AS (SELECT ip, period, max(ratio) AS max_ratio FROM r WHERE dd <= 20 GROUP BY ip, period),
+         w AS (SELECT r.ip, r.period, max(ratio) AS ratio FROM r JOIN b ON b.ip = r.ip AND b.period = r.period WHERE dd > 20 AND ratio > max_ratio AND flow_id % 3 = 0 GROUP BY ALL)
+    SELECT b.ip, b.period, round(greatest(max_ratio, coalesce(ratio, 0)), 6) AS max_ratio FROM b LEFT JOIN w ON w.ip = b.ip AND w.period = b.period""", FLOW)
+def dt21_ratios(spark, d):
+    """Ratio events that an analyst rejected raise the baseline that had reported them."""
+    old, new = _old_new(spark, d)
+    base = flows.ratio_baseline(old)
+    rejected = flows.ratio_anomalies(new, base).where("flow_id % 3 = 0").select("ip", "period", "ratio")
+    return flows.raised_ratios(base, rejected).withColumn("max_ratio", F.round("max_ratio", 6))
+
+
 _PAIRS = r"""q AS (SELECT *, string_split(uri, '?')[1] AS path FROM v_http), w AS (SELECT path, flow_id, dd, unnest(string_split(regexp_extract(uri, '[?](.*)$', 1), '&')) AS pair FROM q),
          v AS (SELECT path, flow_id, dd, string_split(pair, '=')[1] AS param, regexp_extract(pair, '=(.*)$', 1) AS value FROM w WHERE contains(pair, '=') AND regexp_extract(pair, '=(.*)$', 1) <> ''),
          u AS (SELECT path FROM q WHERE dd <= 20 GROUP BY path HAVING count(DISTINCT srcip) >= 3), o AS (SELECT v.* FROM v JOIN u USING (path) WHERE dd <= 20),

@@ -12,6 +12,7 @@ from sparkwarden.plans import flows as plans
 from sparkwarden.queries import query
 from sparkwarden.queries.relational import _PERIOD, _RATIO, FLOW
 from sparkwarden.sources import readers, sinks
+from sparkwarden.sources.versions import Versions
 from sparkwarden.storage import shared_dir
 from sparkwarden.streaming import jobs
 
@@ -41,6 +42,45 @@ def sm3(spark, d):
     return jobs.drained(alerts.select("flow_id", "ip", "period")).drop("batch")
 
 
+#: The month in five parts, as flows arrive; every fifth flow's alert is rejected by the analyst.
+_PARTS = 5
+_LEARNED = f"""r AS (SELECT flow_id, srcip AS ip, CAST(floor((dd - 1) / 6) AS INTEGER) AS part, {_PERIOD} AS period, {_RATIO} AS ratio FROM v_flow_ts),
+    f AS (SELECT *, min(part) OVER (PARTITION BY ip, period) AS first_part FROM r),
+    p AS (SELECT ip, period, part, max(CASE WHEN part = first_part OR flow_id % 5 = 0 THEN ratio END) AS trains FROM f GROUP BY ALL),
+    b AS (SELECT ip, period, part, max(trains) OVER (PARTITION BY ip, period ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS max_ratio FROM p)"""
+
+
+def _learning_run(spark, d):
+    """One run of the job for each part that has come: folder and baselines after the last one."""
+    folder, arrived = _folder(spark, "learning"), _folder(spark, "arrived")
+    flows = view(spark, d, "v_flow_ts").select("flow_id", "srcip", "upbytesize", "downbytesize", "hh", "dd")
+    baselines = Versions(spark, f"{folder}/baseline", "ip string, period string, max_ratio double")
+
+    def detect(batch, baseline):
+        return plans.ratio_anomalies(batch, baseline).select("flow_id", "ip", "period", "max_ratio")
+
+    def learn(batch, baseline):
+        return plans.raised_ratios(baseline, plans.normal_ratios(batch, baseline, batch.where("flow_id % 5 = 0")))
+
+    for k in range(_PARTS):
+        flows.where(F.floor((F.col("dd") - 1) / 6) == k).write.mode("append").parquet(arrived)
+        jobs.learning(jobs.new_files(spark, arrived, flows.schema, files_per_batch=10_000), baselines, "flows", detect, learn, folder)
+    return folder, baselines
+
+
+@query("sm3_learning_alerts", f"WITH {_LEARNED} SELECT flow_id, r.ip, r.period, round(max_ratio, 6) AS max_ratio FROM r JOIN b ON b.ip = r.ip AND b.period = r.period AND b.part = r.part WHERE ratio > max_ratio", FLOW)
+def sm3_learning(spark, d):
+    folder, _ = _learning_run(spark, d)
+    return spark.read.parquet(f"{folder}/alerts").select("flow_id", "ip", "period", F.round("max_ratio", 6).alias("max_ratio"))
+
+
+@query("dt3_learned_ratios", f"WITH {_LEARNED} SELECT ip, period, round(max(trains), 6) AS max_ratio FROM p GROUP BY ip, period", FLOW)
+def dt3_learned(spark, d):
+    """The baseline that the stream has learned, after its last batch."""
+    _, baselines = _learning_run(spark, d)
+    return baselines.read().select("ip", "period", F.round("max_ratio", 6).alias("max_ratio"))
+
+
 @query("sm4_without_repeats", "SELECT DISTINCT srcip, dstip, dd, hh FROM v_flow_ts", FLOW)
 def sm4(spark, d):
     rows = jobs.drained(jobs.without_repeats(flow_stream(spark, d).select("ts", "srcip", "dstip", "dd", "hh"), ["srcip", "dstip", "dd", "hh"]))
@@ -130,9 +170,9 @@ def snk2(spark, d):
 @query("snk3_append", "SELECT flow_id, srcip FROM v_flow_ts", FLOW)
 def snk3(spark, d):
     path, rows = _folder(spark, "appended"), view(spark, d, "v_flow_ts").select("flow_id", "srcip", "dd")
-    for part in (rows.where("dd <= 20"), rows.where("dd > 20")):
-        sinks.append_rows(part.select("flow_id", "srcip"), path)
-    return spark.read.parquet(path)
+    for batch, part in (("old", "dd <= 20"), ("new", "dd > 20"), ("new", "dd > 20")):  # the last one again, as after a failure
+        sinks.append_rows(rows.where(part).select("flow_id", "srcip"), path, batch)
+    return spark.read.parquet(path).select("flow_id", "srcip")
 
 
 @query("st6_non_empty_gate", "SELECT dstip, count(*) AS n FROM v_flow_ts WHERE protocol = 'icmp' GROUP BY dstip", FLOW)

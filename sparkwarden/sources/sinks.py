@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkwarden.sources.versions import Batches
+
 
 def messages(df: DataFrame) -> DataFrame:
     """Each row as one JSON ``value``, as a message topic takes it."""
@@ -16,11 +18,13 @@ def send(df: DataFrame, servers: str, topic: str) -> None:
 
 
 def overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Partitions that ``df`` has are replaced, others stay; each is brought together first, a large one in several files."""
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append_rows(df: DataFrame, path: str, batch: str) -> None:
+    """Add a batch of rows; one that is appended again replaces itself."""
+    Batches(df.sparkSession, path, df.schema).write(df, batch)
 
 
 def append_relational(df: DataFrame, url: str, table: str, **options: str) -> None:

@@ -70,3 +70,42 @@ def free_shuffles(spark: SparkSession) -> None:
     gc.collect()  # Python's handles go first
     spark.sparkContext._jvm.System.gc()
     time.sleep(0.3)
+
+
+class Files:
+    """Small files and folders of a file system that Spark knows."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        sc = spark.sparkContext
+        self.jvm = sc._jvm
+        self.system = self._path(root).getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def _path(self, path: str):
+        return self.jvm.org.apache.hadoop.fs.Path(path)
+
+    def names(self, folder: str) -> list[str]:
+        """What lies in a folder; nothing where there is none."""
+        place = self._path(folder)
+        return sorted(s.getPath().getName() for s in self.system.listStatus(place)) if self.system.exists(place) else []
+
+    def read(self, path: str) -> str:
+        stream = self.system.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def create(self, path: str, text: str) -> None:
+        """Write a file that must not be there yet."""
+        stream = self.system.create(self._path(path), False)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
+    def delete(self, path: str) -> None:
+        self.system.delete(self._path(path), True)
+
+
+def files_of(spark: SparkSession, root: str) -> Files:
+    return Files(spark, root)

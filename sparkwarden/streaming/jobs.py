@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from sparkwarden.sources.versions import Batches, Versions
 from sparkwarden.storage import shared_dir
 
 
@@ -35,6 +36,23 @@ def drained(stream: DataFrame, mode: str = "append", folder: str | None = None,
     return spark.read.schema(schema.add("batch", "long")).parquet(f"{folder}/rows")
 
 
+def learning(stream: DataFrame, baselines: Versions, source: str, detect: Callable[[DataFrame, DataFrame], DataFrame], learn: Callable[[DataFrame, DataFrame], DataFrame], folder: str) -> None:
+    """Run a stream over what is there now: each batch is judged by the baseline as it was before, and then trains it.
+
+    ``detect(batch, baseline)`` gives the alerts, which go to ``folder/alerts`` by batch; ``learn(batch, baseline)`` the
+    next version of the baseline.  A batch that runs again after a failure sees the version that it saw before, replaces
+    its alerts and does not train twice.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        before = baselines.as_of(source, number)
+        alerts = detect(batch, before)
+        Batches(stream.sparkSession, f"{folder}/alerts", alerts.schema).write(alerts, str(number))
+        baselines.merge(source, number, lambda latest: learn(batch, latest))
+
+    stream.writeStream.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).foreachBatch(put).start().awaitTermination()
+
+
 def slot_volumes(flows: DataFrame, minutes: int = 5, late: str = "10 minutes") -> DataFrame:
     """Bytes of each host and tumbling window (``slot``: number of windows since the month began), with a watermark."""
     ends = flows.withWatermark("ts", late).select("ts", F.floor(F.col("sec") / (60 * minutes)).alias("slot"), F.explode(F.array(F.struct(F.col("srcip").alias("ip"), F.col("upbytesize").alias("n")), F.struct(F.col("dstip").alias("ip"), F.col("downbytesize").alias("n")))).alias("e"))
