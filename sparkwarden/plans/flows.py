@@ -40,12 +40,16 @@ def learned_ports(flows: DataFrame, baseline: DataFrame, feedback: DataFrame) ->
     return seen.union(feedback.select("ip", "dstport", "protocol")).distinct().subtract(baseline.select("ip", "dstport", "protocol"))
 
 
+def unusual_flows(flows: DataFrame, baseline: DataFrame, least: int = 1 << 20) -> DataFrame:
+    """Bulk traffic in a period that the source's baseline (ip, period) lacks; hosts without a baseline are usual."""
+    hosts = baseline.select("ip").distinct()
+    seen = baseline.select("ip", "period").distinct()
+    return bulk_periods(flows, least).join(hosts, "ip", "left_semi").join(seen, ["ip", "period"], "left_anti")
+
+
 def unusual_periods(flows: DataFrame, baseline: DataFrame, least: int = 1 << 20) -> DataFrame:
-    """One row for each source, destination and period of bulk traffic in a period that the source's baseline (ip, period) lacks."""
-    bulk = flows.where(outbound_bulk(F.col("srcport"), F.col("dstport"), F.col("upbytesize"), least)).withColumn("period", day_period(F.col("hh")))
-    hosts = baseline.select(F.col("ip").alias("srcip")).distinct()
-    seen = baseline.select(F.col("ip").alias("srcip"), "period").distinct()
-    odd = bulk.join(hosts, "srcip", "left_semi").join(seen, ["srcip", "period"], "left_anti")
+    """One row for each source, destination and period of ``unusual_flows``."""
+    odd = unusual_flows(flows, baseline, least)
     return odd.groupBy("srcip", "dstip", "period").agg(F.min("flow_id").alias("flow_id"), F.sum("upbytesize").alias("bytes"))
 
 

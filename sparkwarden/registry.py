@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from sparkwarden.queries import ORACLES, QUERIES
-from sparkwarden.queries import detections, learning, relational, sequences, streams, text  # noqa: F401
+from sparkwarden.queries import detections, learning, relational, sequences, streams, text, verdicts  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]
