@@ -13,8 +13,8 @@ from sparkwarden.queries import query
 from sparkwarden.queries.relational import _PERIOD, _RATIO, FLOW
 from sparkwarden.sources import readers, sinks
 from sparkwarden.sources.versions import Versions
-from sparkwarden.storage import shared_dir
-from sparkwarden.streaming import jobs
+from sparkwarden.storage import discard, shared_dir, written
+from sparkwarden.streaming import jobs, runs
 
 
 def flow_stream(spark, d):
@@ -93,11 +93,18 @@ def sm4(spark, d):
          r AS (SELECT ip, count(*) AS n FROM i WHERE exceeds = 1 GROUP BY ip, island)
     SELECT ip, coalesce(max(n), 0) AS longest FROM (SELECT DISTINCT ip FROM s) LEFT JOIN r USING (ip) GROUP BY ip""", FLOW)
 def sm5(spark, d):
-    slots = view(spark, d, "v_flow_ts").groupBy(F.col("srcip").alias("ip"), (F.col("dd") * 24 + F.col("hh")).alias("slot")).agg((F.sum("upbytesize") > 3000).cast("int").alias("exceeds"))
+    """Hours arrive in two files, the even ones first: the watermark lets the odd ones in."""
+    hour = F.col("dd") * 24 + F.col("hh")
+    slots = view(spark, d, "v_flow_ts").groupBy(F.col("srcip").alias("ip"), hour.alias("slot")).agg((F.sum("upbytesize") > 3000).cast("int").alias("exceeds"))
+    slots = written(slots.withColumn("at", F.timestamp_seconds(F.col("slot") * 3600)), "slots")
     folder = _folder(spark, "slots")
-    slots.write.parquet(folder)
-    stream = jobs.new_files(spark, folder, slots.schema, files_per_batch=1000)
-    return jobs.last_updates(jobs.drained(jobs.running_exceedances(stream), "update"), ["ip"]).select("ip", "longest")
+    with runs.keyed_state(spark):
+        for part in (0, 1):
+            slots.where(F.col("slot") % 2 == part).write.mode("append").parquet(folder)
+            stream = jobs.new_files(spark, folder, slots.schema, files_per_batch=10_000)
+            rows = jobs.drained(runs.running_exceedances(stream, late="40 days", idle_hours=2000), "update", folder + "-out")
+    discard(slots)
+    return rows.groupBy("ip").agg(F.max("longest").alias("longest"))
 
 
 def _folder(spark, name):

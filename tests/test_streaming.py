@@ -1,11 +1,11 @@
 """Streams over several files, one a batch: state across batches, late rows, restarts, replays."""
 
-import shutil
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from sparkwarden.streaming import jobs
+from sparkwarden.streaming import jobs, runs
 
 FLOWS = "ts timestamp, sec long, srcip string, dstip string, upbytesize long, downbytesize long"
 
@@ -73,13 +73,65 @@ def test_repeats_across_batches(spark, tmp_path):
     assert Counter((r["srcip"], r["dstip"]) for r in got) == Counter({("a", "b"): 2, ("a", "c"): 1, ("x", "y"): 1, ("x", "z"): 1})
 
 
+SLOTS = "ip string, slot long, exceeds int"
+
+
+def put_slots(spark, path, rows):
+    plain = spark.createDataFrame(rows, SLOTS)
+    plain.select("*", F.timestamp_seconds(F.col("slot") * 3600).alias("at")).coalesce(1).write.mode("append").parquet(path)
+
+
+def tracked(spark, source, folder, **options):
+    """After a run over what is there: of each host, all updates."""
+    with runs.keyed_state(spark):
+        stream = jobs.new_files(spark, source, SLOTS + ", at timestamp")
+        rows = jobs.drained(runs.running_exceedances(stream, **options), "update", folder=folder)
+    last = {r["ip"]: (r["now"], r["slot"]) for r in jobs.last_updates(rows, ["ip"]).collect()}
+    longest = {r["ip"]: r["m"] for r in rows.groupBy("ip").agg(F.max("longest").alias("m")).collect()}
+    return {ip: (*last[ip], longest[ip]) for ip in last}
+
+
 def test_runs_go_on_in_the_next_batch(spark, tmp_path):
     source, folder = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = "ip string, slot long, exceeds int"
-    put(spark, source, [("a", 1, 1), ("a", 2, 1), ("b", 1, 0)], schema)
-    put(spark, source, [("a", 3, 1), ("b", 2, 1)], schema)
-    run = lambda: jobs.last_updates(jobs.drained(jobs.running_exceedances(jobs.new_files(spark, source, schema)), "update", folder=folder), ["ip"])
-    assert {r["ip"]: (r["now"], r["longest"]) for r in run().collect()} == {"a": (3, 3), "b": (1, 1)}
-    put(spark, source, [("a", 5, 1), ("b", 3, 1)], schema)  # a misses a slot; the state comes back from the checkpoint
-    assert {r["ip"]: (r["now"], r["longest"]) for r in run().collect()} == {"a": (1, 3), "b": (2, 2)}
-    shutil.rmtree(folder)
+    put_slots(spark, source, [("a", 1, 1), ("a", 2, 1), ("b", 1, 0)])
+    put_slots(spark, source, [("a", 3, 1), ("b", 2, 1)])
+    assert tracked(spark, source, folder) == {"a": (3, 3, 3), "b": (1, 2, 1)}
+    put_slots(spark, source, [("a", 5, 1), ("b", 3, 1)])  # a misses a slot; the state comes back from the checkpoint
+    assert tracked(spark, source, folder) == {"a": (1, 5, 3), "b": (2, 3, 2)}
+
+
+def test_slots_out_of_order_are_put_in_order(spark, tmp_path):
+    """1, 3, 2 in three batches, a repeated slot, a slot behind the watermark, nulls."""
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in ([("a", 1, 1), (None, 1, 1)], [("a", 3, 1), ("a", 3, 0)], [("a", 2, 1)]):
+        put_slots(spark, source, rows)
+    assert tracked(spark, source, folder, late="4 hours") == {"a": (3, 3, 3)}
+    put_slots(spark, source, [("a", 20, 1), ("a", 21, 0)])
+    put_slots(spark, source, [("a", 22, 1)])
+    tracked(spark, source, folder, late="4 hours")
+    put_slots(spark, source, [("a", 4, 1), ("a", 23, 1)])  # 4 is behind: it can't make the run of 1 to 3 longer
+    assert tracked(spark, source, folder, late="4 hours") == {"a": (2, 23, 3)}
+
+
+def test_batches_in_any_order_equal_one_batch(spark, tmp_path):
+    r = random.Random(3)
+    slots = [(ip, s, int(r.random() < 0.8)) for ip in "abc" for s in range(30) if r.random() < 0.85]
+    want = {ip: runs.extended(0, 0, None, [(s, e) for i, s, e in slots if i == ip]) for ip in "abc"}
+    r.shuffle(slots)
+    for k in range(4):
+        put_slots(spark, str(tmp_path / "in"), slots[k::4])
+    got = tracked(spark, str(tmp_path / "in"), str(tmp_path / "out"), late="40 hours")
+    assert got == {ip: (now, last, longest) for ip, (now, longest, last) in want.items()}
+
+
+def test_silent_hosts_leave_the_state(spark, tmp_path):
+    source, folder = str(tmp_path / "in"), str(tmp_path / "out")
+    put_slots(spark, source, [("a", 1, 1), ("a", 2, 1), ("b", 1, 1)])
+    for k in (2, 60, 61, 62):
+        put_slots(spark, source, [("b", k, 1)])
+    tracked(spark, source, folder, late="1 hour", idle_hours=24)
+    state = lambda name: spark.read.format("statestore").option("path", f"{folder}/checkpoint").option("stateVarName", name)
+    assert [x.key.ip for x in state("run").load().collect()] == ["b"]
+    assert {x.key.ip for x in state("pending").option("flattenCollectionTypes", "true").load().collect()} <= {"b"}
+    put_slots(spark, source, [("a", 63, 1)])  # it comes back and starts anew; what it had is in the rows
+    assert tracked(spark, source, folder, late="1 hour", idle_hours=24)["a"] == (1, 63, 2)
