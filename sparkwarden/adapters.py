@@ -68,7 +68,8 @@ VIEWS = {
                CAST(length(html) + event_id % 7 AS DOUBLE) AS content_length, day(ts) AS dd
         FROM (SELECT *, event_id % (SELECT count(*) FROM {pages}) AS page_no FROM {events}) e JOIN {pages} p ON p.page_id = e.page_no""",
     "v_doc": """
-        SELECT doc_id, text, concat('10.0.0.', CAST(doc_id % 20 AS STRING)) AS owner, doc_id % 24 AS hh, source AS tag, n_chars AS bytes
+        SELECT doc_id, text, concat('10.0.0.', CAST(doc_id % 20 AS STRING)) AS owner, doc_id % 24 AS hh, source AS tag, n_chars AS bytes,
+               CASE WHEN doc_id % 3 = 0 THEN '172.16.0.9' ELSE concat('10.0.0.', CAST(doc_id % 7 AS STRING)) END AS peer
         FROM {documents}""",
     "v_evt": """
         SELECT event_id AS id, concat('10.0.', CAST(user_id % 4 AS STRING), '.', CAST(user_id AS STRING)) AS ip,

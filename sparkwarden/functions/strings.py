@@ -38,8 +38,8 @@ def entropy(text: Column, base: float | None = None) -> Column:
 
 
 def repeated_share(text: Column) -> Column:
-    """Share of the distinct characters that occur more than once."""
-    kinds = F.array_distinct(characters(text))
+    """Share of the text that is letters a to z which occur more than once in it."""
+    kinds = F.filter(F.array_distinct(characters(text)), lambda c: c.between("a", "z") & (F.length(c) == 1))
     n = F.length(text)
     often = F.filter(kinds, lambda c: n - F.length(F.replace(text, c, F.lit(""))) > 1)
     inside = F.aggregate(often, F.lit(0), lambda s, c: s + n - F.length(F.replace(text, c, F.lit(""))))

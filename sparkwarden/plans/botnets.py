@@ -35,25 +35,44 @@ def dns_bots(dns: DataFrame, clusters: DataFrame, slot: str, k1: float, k2: floa
     return high.join(bounded(busy), "cluster").select("cluster", "srcip", "queries_name", "score", "pairs")
 
 
-def bot_networks(dns: DataFrame, malicious: DataFrame, similarity: float, k: int = 10) -> DataFrame:
-    """Sub-networks of hosts that ask for similar malicious domains: hosts, mean failure rate, top domains."""
+def bot_networks(dns: DataFrame, malicious: DataFrame, similarity: float, k: int = 10, failing: float = 0.5) -> DataFrame:
+    """Sub-networks of hosts that ask for similar malicious domains: hosts, mean failure rate, bots, their share, top domains.
+
+    Hosts whose failure rate is ``failing`` or more count as bots.
+    """
     from sparkwarden.plans.dns import failure_rate
 
     bad = dns.join(bounded(malicious.select("queries_name").distinct()), "queries_name", "left_semi")
     visits = bad.select("srcip", "queries_name").distinct()
     members = cosine_components(visits, "srcip", "queries_name", similarity).withColumnRenamed("component", "subnet").withColumnRenamed("node", "srcip")
-    rates = members.join(failure_rate(dns), "srcip").groupBy("subnet").agg(F.count(F.lit(1)).alias("hosts"), F.round(F.avg("failure_rate"), 6).alias("mean_failures"))
+    failures = failure_rate(dns)
+    rates = members.join(failures, "srcip").groupBy("subnet").agg(F.round(F.avg("failure_rate"), 6).alias("mean_failures"))
+    bots = bot_rate(members.select("subnet", "srcip"), failures.where(F.col("failure_rate") >= failing), "subnet", "srcip")
     domains = visits.join(members, "srcip").groupBy("subnet", "queries_name").agg(F.count(F.lit(1)).alias("n"))
     top = S.top_k(domains, ["subnet"], [F.desc("n"), F.col("queries_name")], k).groupBy("subnet").agg(A.set_text("queries_name").alias("domains"))
-    return rates.join(top, "subnet")
+    return bots.join(rates, "subnet").join(top, "subnet")
+
 
+def netflow_bots(dns: DataFrame, flows: DataFrame, malicious: DataFrame, heartbeat_hosts: DataFrame, compromised: DataFrame, most_bytes: int, width: int, least_hosts: int = 3) -> DataFrame:
+    """Hosts of domains that are reached as bots do, with their state.
 
-def netflow_bots(dns: DataFrame, flows: DataFrame, malicious: DataFrame, most_bytes: int, width: int, least_hosts: int = 3) -> DataFrame:
-    """Domains that at least ``least_hosts`` hosts reach with small flows through their whole span, with the usual size."""
+    Of records of malicious domains (``dns``: ``answer_length`` beside the usual columns) that have a tcp or udp flow,
+    these stay, one step after the other: those below ``most_bytes`` both ways; from hosts with heartbeats (``srcip``);
+    of domains active at both ends and in the middle of their span; with the domain's most frequent answer length; of
+    domains that at least ``least_hosts`` hosts still reach.  One row per domain and host: length, hosts of the domain,
+    bytes, records, whether the host is among the ``compromised`` (``ip``), and the share of compromised records of all.
+    """
     keys = ["flow_id", "srcip", "srcport", "dstport"]
     bad = dns.join(bounded(malicious.select("queries_name").distinct()), "queries_name", "left_semi")
-    both = bad.join(flows.select(*keys, "upbytesize"), keys).where(F.col("upbytesize") < most_bytes)
-    steady = Q.three_window_presence(both, "queries_name", "sec", width)
-    kept = both.join(steady, "queries_name", "left_semi")
-    shared = A.shared_by(kept, "queries_name", "srcip", least_hosts)
-    return A.mode(kept, ["queries_name"], "size").select("queries_name", F.col("size").alias("usual_size")).join(shared, "queries_name")
+    both = bad.join(flows.where(F.col("protocol").isin("tcp", "udp")).select(*keys, (F.col("upbytesize") + F.col("downbytesize")).alias("bytes")), keys).where(F.col("bytes") < most_bytes)
+    beating = both.join(bounded(heartbeat_hosts.select("srcip").distinct()), "srcip", "left_semi")
+    steady = Q.three_window_presence(beating, "queries_name", "sec", width)
+    kept = beating.join(steady, "queries_name", "left_semi")
+    usual = A.mode(kept, ["queries_name"], "answer_length").select("queries_name", "answer_length")
+    alike = kept.join(usual, ["queries_name", "answer_length"], "left_semi")
+    shared = A.shared_by(alike, "queries_name", "srcip", least_hosts).withColumnRenamed("n", "hosts")
+    known = bounded(compromised.select(F.col("ip").alias("srcip")).distinct().withColumn("compromised", F.lit(1)))
+    found = alike.join(shared, "queries_name").join(known, "srcip", "left").withColumn("compromised", F.coalesce("compromised", F.lit(0)))
+    rows = found.groupBy("queries_name", "srcip", "answer_length", "hosts", "compromised").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("records"))
+    total = rows.agg(F.round(F.sum(F.col("compromised") * F.col("records")) / F.sum("records"), 6).alias("bot_probability"))
+    return rows.join(F.broadcast(total), how="cross")  # one row

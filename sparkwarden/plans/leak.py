@@ -25,20 +25,34 @@ def topic_tags(tokens: DataFrame, topics: DataFrame, least: float = 0.3, words:
     return means.select("doc_id", "topic", F.round("share", 6).alias("share")).join(best, ["doc_id", "topic"])
 
 
+def inner_ends(records: DataFrame, inner: str = r"^10\.") -> DataFrame:
+    """Records by ``user``: one for each end (``owner``, ``peer``) that is inside, one where both ends are the same."""
+    ends = F.filter(F.array_distinct(F.array("owner", "peer")), lambda e: e.rlike(inner))
+    return records.withColumn("user", F.explode(ends)).drop("owner", "peer")
+
+
+def period_bytes(records: DataFrame) -> DataFrame:
+    """Bytes of each user, tag, day and hour, and the first document in them."""
+    return records.groupBy("user", "tag", "dd", "hh").agg(F.sum("bytes").alias("bytes"), F.min("doc_id").alias("doc_id"))
+
+
 def user_baseline(records: DataFrame) -> DataFrame:
-    """Per owner, tag and hour: the most bytes of a document, the tag's documents and the owner's documents."""
-    per_tag = records.groupBy("owner", "tag").agg(F.count(F.lit(1)).alias("n_tag"))
-    per_owner = records.groupBy("owner").agg(F.count(F.lit(1)).alias("n_owner"))
-    return records.groupBy("owner", "tag", "hh").agg(F.max("bytes").alias("most_bytes")).join(per_tag, ["owner", "tag"]).join(per_owner, "owner")
+    """Per user, tag and hour of the day: the most bytes of one day, the tag's documents and the user's documents."""
+    per_tag = records.groupBy("user", "tag").agg(F.count(F.lit(1)).alias("n_tag"))
+    per_user = records.groupBy("user").agg(F.count(F.lit(1)).alias("n_user"))
+    most = period_bytes(records).groupBy("user", "tag", "hh").agg(F.max("bytes").alias("most_bytes"))
+    return most.join(per_tag, ["user", "tag"]).join(per_user, "user")
 
 
 def leak_alerts(records: DataFrame, baseline: DataFrame, share: float = 0.003) -> DataFrame:
-    """Records of a tag that is rare (or new) for the owner, or larger than ever in that hour; the reason is named."""
-    tags = baseline.groupBy("owner", "tag").agg((F.max("n_tag") / F.max("n_owner")).alias("share"))
-    most = baseline.select("owner", "tag", "hh", "most_bytes")
-    joined = records.join(tags, ["owner", "tag"], "left").join(most, ["owner", "tag", "hh"], "left")
-    reason = F.when(F.col("share").isNull() | (F.col("share") <= share), "rare tag").when(F.col("bytes") > F.col("most_bytes"), "volume")
-    return joined.select("doc_id", "owner", "tag", "hh", "bytes", reason.alias("reason")).where("reason is not null")
+    """Documents of a tag that is rare (or new) for a user, and periods in which a user moved more of a tag than ever.
+
+    A period is an hour of a day; its bytes are those of all its documents, named by the first one.
+    """
+    tags = baseline.groupBy("user", "tag").agg((F.max("n_tag") / F.max("n_user")).alias("share"))
+    rare = records.join(tags, ["user", "tag"], "left").where(F.col("share").isNull() | (F.col("share") <= share)).select("user", "tag", "dd", "hh", F.col("bytes").cast("long").alias("bytes"), "doc_id", F.lit("rare tag").alias("reason"))
+    large = period_bytes(records).join(baseline.select("user", "tag", "hh", "most_bytes"), ["user", "tag", "hh"]).where(F.col("bytes") > F.col("most_bytes"))
+    return rare.unionByName(large.select("user", "tag", "dd", "hh", "bytes", "doc_id", F.lit("volume").alias("reason")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -124,7 +124,7 @@ def dt7(spark, d):
 
 @query("dt8_domain_features", """
     WITH h AS (SELECT DISTINCT host FROM v_page WHERE host <> ''), c AS (SELECT host, unnest(string_split(host, '')) AS ch, length(host) AS n FROM h), q AS (SELECT host, ch, n, count(*) AS k FROM c GROUP BY ALL),
-         e AS (SELECT host, round(-sum(k / n * ln(k / n)), 6) AS entropy, round(coalesce(sum(k) FILTER (k > 1), 0) / any_value(n), 6) AS repeated FROM q GROUP BY host),
+         e AS (SELECT host, round(-sum(k / n * ln(k / n)), 6) AS entropy, round(coalesce(sum(k) FILTER (k > 1 AND ch BETWEEN 'a' AND 'z'), 0) / any_value(n), 6) AS repeated FROM q GROUP BY host),
          g AS (SELECT host, substr('^' || host || '$', CAST(i AS BIGINT), 3) AS gram FROM h, unnest(range(1, length(host) + 1)) t(i)), r AS (SELECT gram, dense_rank() OVER (ORDER BY n DESC, gram) AS rank FROM (SELECT gram, count(*) AS n FROM g GROUP BY gram)),
          a AS (SELECT host, round(avg(coalesce(rank, 0)), 6) AS avg_rank FROM g LEFT JOIN r USING (gram) GROUP BY host),
          p AS (SELECT host, substr(host, CAST(i AS BIGINT), 2) AS pair FROM h, unnest(range(1, length(host))) t(i)),
@@ -285,20 +285,29 @@ def dt15_clustered(spark, d):
     WITH RECURSIVE {_VISITS.replace('FROM v_dns)', 'FROM v_dns WHERE queries_name IN (SELECT queries_name FROM v_dns WHERE page_id % 10 = 0))', 1)}, e AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r AS (SELECT a AS node, a AS seen FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen),
          m AS (SELECT node AS srcip, min(seen) AS subnet FROM r GROUP BY node), q AS (SELECT srcip, round(avg(f), 6) AS failure_rate FROM (SELECT DISTINCT srcip, queries_name, CASE WHEN flags_reply_code = 3 THEN 1.0 ELSE 0.0 END AS f FROM v_dns) GROUP BY srcip),
          t AS (SELECT subnet, queries_name, row_number() OVER (PARTITION BY subnet ORDER BY count(*) DESC, queries_name) AS k FROM x JOIN m USING (srcip) GROUP BY subnet, queries_name)
-    SELECT g.subnet, hosts, mean_failures, domains FROM (SELECT subnet, count(*) AS hosts, round(avg(failure_rate), 6) AS mean_failures FROM m JOIN q USING (srcip) GROUP BY subnet) g JOIN (SELECT subnet, array_to_string(list_sort(list(queries_name)), '#') AS domains FROM t WHERE k <= 10 GROUP BY subnet) USING (subnet)""", ("v_dns",))
+    SELECT g.subnet, hosts, mean_failures, bots, round(bots / hosts, 6) AS bot_rate, domains FROM (SELECT subnet, count(*) AS hosts, round(avg(failure_rate), 6) AS mean_failures, count(*) FILTER (failure_rate >= 0.2) AS bots FROM m JOIN q USING (srcip) GROUP BY subnet) g JOIN (SELECT subnet, array_to_string(list_sort(list(queries_name)), '#') AS domains FROM t WHERE k <= 10 GROUP BY subnet) USING (subnet)""", ("v_dns",))
 def dt16(spark, d):
     records = view(spark, d, "v_dns")
-    return botnets.bot_networks(records, records.where("page_id % 10 = 0"), 0.6)
+    return botnets.bot_networks(records, records.where("page_id % 10 = 0"), 0.6, failing=0.2)
 
 
-@query("dt17_netflow_bots", """
-    WITH b AS (SELECT n.*, f.upbytesize FROM v_dns n JOIN v_flow_ts f ON f.flow_id = n.flow_id AND f.srcip = n.srcip AND f.srcport = n.srcport AND f.dstport = n.dstport WHERE n.queries_name IN (SELECT queries_name FROM v_dns WHERE page_id % 2 = 0) AND f.upbytesize < 9000),
-         s AS (SELECT queries_name, min(sec) AS lo, max(sec) AS hi FROM b GROUP BY queries_name HAVING max(sec) - min(sec) >= 3 * 86400), p AS (SELECT queries_name, CASE WHEN sec < lo + 86400 THEN 0 WHEN sec > hi - 86400 THEN 2 WHEN abs(sec - (lo + hi) / 2) <= 43200 THEN 1 END AS part FROM b JOIN s USING (queries_name)),
-         k AS (SELECT b.* FROM b WHERE queries_name IN (SELECT queries_name FROM p GROUP BY queries_name HAVING count(DISTINCT part) = 3)), o AS (SELECT queries_name, size, row_number() OVER (PARTITION BY queries_name ORDER BY count(*) DESC, size) AS r FROM k GROUP BY queries_name, size)
-    SELECT queries_name, size AS usual_size, n FROM o JOIN (SELECT queries_name, count(DISTINCT srcip) AS n FROM k GROUP BY queries_name HAVING count(DISTINCT srcip) >= 3) USING (queries_name) WHERE r = 1""", ("v_dns", "v_flow_ts"))
+_BEATS = f"""{_GAPS}, x AS (SELECT srcip, protocol, list(CAST(gap AS DOUBLE) ORDER BY k) AS x FROM g WHERE n >= 4 AND gap IS NOT NULL GROUP BY ALL),
+         j AS (SELECT srcip, coalesce(list_sum(list_transform(range(1, CAST(ceil(len(x) / j) AS BIGINT)), lambda i: x[i * j + 1] * x[(i - 1) * j + 1])), 0) / nullif(list_sum(list_transform(x, lambda v: v * v)), 0) AS s FROM x, unnest(range(1, greatest(len(x), 2))) u(j)), beating AS (SELECT DISTINCT srcip FROM j WHERE round(s, 6) > 0.4)"""
+
+
+@query("dt17_netflow_bots", f"""
+    WITH {_BEATS}, b AS (SELECT n.*, floor(n.size / 40) * 40 AS answer_length, f.upbytesize + f.downbytesize AS bytes FROM v_dns n JOIN v_flow_ts f ON f.flow_id = n.flow_id AND f.srcip = n.srcip AND f.srcport = n.srcport AND f.dstport = n.dstport
+                         WHERE n.queries_name IN (SELECT queries_name FROM v_dns WHERE page_id % 2 = 0) AND f.protocol IN ('tcp', 'udp') AND f.upbytesize + f.downbytesize < 20000 AND n.srcip IN (SELECT srcip FROM beating)),
+         s AS (SELECT queries_name, min(sec) AS lo, max(sec) AS hi FROM b GROUP BY queries_name HAVING max(sec) - min(sec) >= 3 * 172800), p AS (SELECT queries_name, CASE WHEN sec < lo + 172800 THEN 0 WHEN sec > hi - 172800 THEN 2 WHEN abs(sec - (lo + hi) / 2) <= 86400 THEN 1 END AS part FROM b JOIN s USING (queries_name)),
+         k AS (SELECT b.* FROM b WHERE queries_name IN (SELECT queries_name FROM p GROUP BY queries_name HAVING count(DISTINCT part) = 3)), o AS (SELECT queries_name, answer_length, row_number() OVER (PARTITION BY queries_name ORDER BY count(*) DESC, answer_length) AS r FROM k GROUP BY queries_name, answer_length),
+         a AS (SELECT k.* FROM k JOIN o ON o.queries_name = k.queries_name AND o.answer_length = k.answer_length AND r = 1), h AS (SELECT queries_name, count(DISTINCT srcip) AS hosts FROM a GROUP BY queries_name HAVING count(DISTINCT srcip) >= 3),
+         z AS (SELECT a.queries_name, a.srcip, CAST(answer_length AS BIGINT) AS answer_length, hosts, CASE WHEN a.srcip IN (SELECT ip FROM v_asset WHERE status = 2) THEN 1 ELSE 0 END AS compromised, CAST(sum(bytes) AS BIGINT) AS bytes, count(*) AS records FROM a JOIN h ON h.queries_name = a.queries_name GROUP BY ALL)
+    SELECT z.*, round(sum(compromised * records) OVER () / sum(records) OVER (), 6) AS bot_probability FROM z""", ("v_dns", "v_flow_ts", "v_asset"))
 def dt17(spark, d):
-    records = view(spark, d, "v_dns")
-    return botnets.netflow_bots(records, view(spark, d, "v_flow_ts"), records.where("page_id % 2 = 0"), 9000, 86_400)
+    records, flow = view(spark, d, "v_dns"), view(spark, d, "v_flow_ts")
+    named = records.withColumn("answer_length", F.floor(F.col("size") / 40) * 40)
+    beating = Q.periodicity(flow, ["srcip", "protocol"], "sec", "flow_id").where("score > 0.4").select("srcip")
+    return botnets.netflow_bots(named, flow, records.where("page_id % 2 = 0"), beating, view(spark, d, "v_asset").where("status = 2"), 20_000, 172_800)
 
 
 @query("dt18_idle_assets", "SELECT ip, status FROM v_asset WHERE ip NOT IN (SELECT srcip FROM v_flow_ts WHERE dd > 28 GROUP BY srcip, dd, hh HAVING sum(upbytesize) >= 2000)", ASSET)
@@ -339,21 +348,28 @@ def dt21_ratios(spark, d):
     return flows.raised_ratios(base, rejected).withColumn("max_ratio", F.round("max_ratio", 6))
 
 
-_PAIRS = r"""q AS (SELECT *, string_split(uri, '?')[1] AS path FROM v_http), w AS (SELECT path, flow_id, dd, unnest(string_split(regexp_extract(uri, '[?](.*)$', 1), '&')) AS pair FROM q),
-         v AS (SELECT path, flow_id, dd, string_split(pair, '=')[1] AS param, regexp_extract(pair, '=(.*)$', 1) AS value FROM w WHERE contains(pair, '=') AND regexp_extract(pair, '=(.*)$', 1) <> ''),
-         u AS (SELECT path FROM q WHERE dd <= 20 GROUP BY path HAVING count(DISTINCT srcip) >= 3), o AS (SELECT v.* FROM v JOIN u USING (path) WHERE dd <= 20),
-         k AS (SELECT DISTINCT path, param, CASE WHEN regexp_matches(ch, '[A-Z]') THEN 'U' WHEN regexp_matches(ch, '[a-z]') THEN 'D' WHEN regexp_matches(ch, '[0-9]') THEN 'N' WHEN unicode(ch) BETWEEN 33 AND 126 THEN 'P' ELSE '#' END AS class FROM (SELECT path, param, unnest(string_split(value, '')) AS ch FROM o)),
-         b AS (SELECT path, param, min(length(value)) AS low, max(length(value)) AS high, count(DISTINCT flow_id) = (SELECT count(DISTINCT flow_id) FROM o x WHERE x.path = o.path) AS common FROM o GROUP BY path, param)"""
+_CLASS = "CASE WHEN regexp_matches(ch, '[A-Z]') THEN 'U' WHEN regexp_matches(ch, '[a-z]') THEN 'D' WHEN regexp_matches(ch, '[0-9]') THEN 'N' WHEN unicode(ch) BETWEEN 33 AND 126 THEN 'P' ELSE '#' END"
+_PAIRS = rf"""q AS (SELECT *, string_split(uri, '?')[1] AS path FROM v_http), w AS (SELECT path, flow_id, dd, unnest(string_split(regexp_extract(uri, '[?](.*)$', 1), '&')) AS pair FROM q),
+         v AS (SELECT path, flow_id, dd, pair, string_split(pair, '=')[1] AS param, regexp_extract(pair, '=(.*)$', 1) AS value FROM w WHERE contains(pair, '=') AND regexp_extract(pair, '=(.*)$', 1) <> ''),
+         u AS (SELECT path, count(DISTINCT flow_id) AS n FROM q WHERE dd <= 20 GROUP BY path HAVING count(DISTINCT srcip) >= 3), o AS (SELECT v.* FROM v JOIN u USING (path) WHERE dd <= 20),
+         f AS (SELECT path, pair FROM o JOIN u USING (path) GROUP BY path, pair HAVING count(DISTINCT flow_id) = any_value(n)), m AS (SELECT u.path, u.path || '?' || coalesce(string_agg(pair, '&' ORDER BY pair), '') AS function FROM u LEFT JOIN f USING (path) GROUP BY u.path),
+         r AS (SELECT o.* FROM o ANTI JOIN f USING (path, pair)), k AS (SELECT DISTINCT path, param, {_CLASS} AS class FROM (SELECT path, param, unnest(string_split(value, '')) AS ch FROM r)),
+         b AS (SELECT path, param, min(length(value)) AS low, max(length(value)) AS high FROM r GROUP BY path, param)"""
 
 
-@query("dt22_parameter_baseline", f"WITH {_PAIRS} SELECT path, param, CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, classes, common FROM b JOIN (SELECT path, param, array_to_string(list_sort(list(class)), ',') AS classes FROM k GROUP BY ALL) USING (path, param)", ("v_http",))
+@query("dt22_parameter_baseline", f"WITH {_PAIRS} SELECT path, function, param, CAST(low AS INTEGER) AS low, CAST(high AS INTEGER) AS high, classes FROM b JOIN m USING (path) JOIN (SELECT path, param, array_to_string(list_sort(list(class)), ',') AS classes FROM k GROUP BY ALL) USING (path, param)", ("v_http",))
 def dt22(spark, d):
     return web.parameter_baseline(view(spark, d, "v_http").where("dd <= 20"))
 
 
+@query("dt22_functions", f"WITH {_PAIRS} SELECT path, function FROM m", ("v_http",))
+def dt22_functions(spark, d):
+    return web.functions(view(spark, d, "v_http").where("dd <= 20")).select("path", "function")
+
+
 @query("dt23_parameter_anomalies", f"""
-    WITH {_PAIRS}, n AS (SELECT * FROM v WHERE dd > 20), c AS (SELECT n.*, low, high FROM n JOIN b USING (path, param)),
-         z AS (SELECT DISTINCT path, param, flow_id, value, CASE WHEN regexp_matches(ch, '[A-Z]') THEN 'U' WHEN regexp_matches(ch, '[a-z]') THEN 'D' WHEN regexp_matches(ch, '[0-9]') THEN 'N' WHEN unicode(ch) BETWEEN 33 AND 126 THEN 'P' ELSE '#' END AS class FROM (SELECT *, unnest(string_split(value, '')) AS ch FROM c)),
+    WITH {_PAIRS}, n AS (SELECT * FROM v WHERE dd > 20), c AS (SELECT n.*, low, high FROM n ANTI JOIN f ON f.path = n.path AND f.pair = n.pair JOIN b USING (path, param)),
+         z AS (SELECT DISTINCT path, param, flow_id, value, {_CLASS} AS class FROM (SELECT *, unnest(string_split(value, '')) AS ch FROM c)),
          odd AS (SELECT DISTINCT path, param, flow_id, value FROM z WHERE (path, param, class) NOT IN (SELECT path, param, class FROM k))
     SELECT path, param, flow_id, value FROM c WHERE NOT length(value) BETWEEN low AND high OR (path, param, flow_id, value) IN (SELECT path, param, flow_id, value FROM odd)""", ("v_http",))
 def dt23(spark, d):
@@ -389,13 +405,17 @@ def dt25(spark, d):
     return leak.topic_tags(tokens, topic(0, 0.75).unionByName(topic(1, 0.25)))
 
 
-@query("dt26_leak_alerts", """
-    WITH h AS (SELECT * FROM v_doc WHERE doc_id % 7 <> 0), t AS (SELECT owner, tag, count(*) AS n FROM h GROUP BY ALL), o AS (SELECT owner, count(*) AS n FROM h GROUP BY ALL), m AS (SELECT owner, tag, hh, max(bytes) AS most FROM h GROUP BY ALL),
-         j AS (SELECT v.doc_id, v.owner, v.tag, v.hh, v.bytes, CASE WHEN t.n IS NULL OR t.n / o.n <= 0.05 THEN 'rare tag' WHEN v.bytes > most THEN 'volume' END AS reason FROM v_doc v LEFT JOIN t ON t.owner = v.owner AND t.tag = v.tag LEFT JOIN o ON o.owner = v.owner LEFT JOIN m ON m.owner = v.owner AND m.tag = v.tag AND m.hh = v.hh WHERE v.doc_id % 7 = 0)
-    SELECT * FROM j WHERE reason IS NOT NULL""", ("v_doc",))
+_ENDS = "d AS (SELECT *, doc_id % 10 AS dd FROM v_doc), x AS (SELECT doc_id, owner AS user, tag, dd, hh, bytes FROM d UNION ALL SELECT doc_id, peer, tag, dd, hh, bytes FROM d WHERE peer <> owner AND starts_with(peer, '10.'))"
+
+
+@query("dt26_leak_alerts", f"""
+    WITH {_ENDS}, h AS (SELECT * FROM x WHERE dd < 8), t AS (SELECT user, tag, count(*) AS n FROM h GROUP BY ALL), o AS (SELECT user, count(*) AS n FROM h GROUP BY ALL),
+         m AS (SELECT user, tag, hh, max(total) AS most FROM (SELECT user, tag, dd, hh, sum(bytes) AS total FROM h GROUP BY ALL) GROUP BY ALL), r AS (SELECT * FROM x WHERE dd >= 8)
+    SELECT r.user, r.tag, r.dd, r.hh, CAST(r.bytes AS BIGINT) AS bytes, r.doc_id, 'rare tag' AS reason FROM r LEFT JOIN t ON t.user = r.user AND t.tag = r.tag LEFT JOIN o ON o.user = r.user WHERE t.n IS NULL OR t.n / o.n <= 0.05
+    UNION ALL SELECT user, tag, dd, hh, CAST(sum(bytes) AS BIGINT), min(doc_id), 'volume' FROM r JOIN m USING (user, tag, hh) GROUP BY user, tag, dd, hh HAVING sum(bytes) > any_value(most)""", ("v_doc",))
 def dt26(spark, d):
-    records = view(spark, d, "v_doc")
-    return leak.leak_alerts(records.where("doc_id % 7 = 0"), leak.user_baseline(records.where("doc_id % 7 <> 0")), 0.05)
+    ends = leak.inner_ends(view(spark, d, "v_doc").withColumn("dd", F.col("doc_id") % 10))
+    return leak.leak_alerts(ends.where("dd >= 8"), leak.user_baseline(ends.where("dd < 8")), 0.05)
 
 
 @query("dt27_fingerprints", r"WITH f AS (SELECT doc_id, md5(regexp_replace(lower(coalesce(text, '')), '\s+', '', 'g')) AS fingerprint FROM documents) SELECT doc_id, fingerprint, count(*) OVER (PARTITION BY fingerprint) AS copies, min(doc_id) OVER (PARTITION BY fingerprint) AS first_id FROM f")

@@ -110,7 +110,7 @@ def ml9_ranking(spark, d):
     return models.topic_ranking(_topic_counts(spark, d, 4), 4)
 
 
-@query("ml10_stability", f"WITH {_TOPIC_COUNTS}, a AS (SELECT word, topic, n FROM n WHERE topic < 2), b AS (SELECT word, topic - 2 AS topic, n FROM n WHERE topic >= 2) SELECT round(sum(coalesce(a.n, 0) * coalesce(b.n, 0)) / sqrt(sum(coalesce(a.n, 0) ** 2) * sum(coalesce(b.n, 0) ** 2)), 6) AS cosine FROM a FULL JOIN b ON a.word = b.word AND a.topic = b.topic")
+@query("ml10_stability", f"WITH {_TOPIC_COUNTS}, a AS (SELECT word, topic, n FROM n WHERE topic < 2), b AS (SELECT word, topic - 2 AS topic, n FROM n WHERE topic >= 2), j AS (SELECT coalesce(a.word, b.word) AS word, sum(coalesce(a.n, 0) + coalesce(b.n, 0)) AS n, sum(coalesce(a.n, 0) * coalesce(b.n, 0)) / nullif(sqrt(sum(coalesce(a.n, 0) ** 2) * sum(coalesce(b.n, 0) ** 2)), 0) AS c FROM a FULL JOIN b ON a.word = b.word AND a.topic = b.topic GROUP BY 1) SELECT round(sum(n * coalesce(c, 0)) / sum(n), 6) AS cosine FROM j")
 def ml10(spark, d):
     counts = _topic_counts(spark, d, 4)
     return models.table_cosine(counts.where("topic < 2"), counts.where("topic >= 2").withColumn("topic", F.col("topic") - 2))

@@ -32,7 +32,7 @@ def fn3(spark, d):
     return hosts(spark, d).select("host", F.round(S.share(F.col("host"), S.VOWELS), 6).alias("vowels"), F.round(S.share(F.col("host"), S.DIGITS), 6).alias("digits"))
 
 
-@query("fn4_repeated", f"WITH {_HOSTS}, {_CHARS} SELECT host, round(coalesce(sum(k) FILTER (k > 1), 0) / any_value(n), 6) AS repeated FROM g GROUP BY host", PAGE)
+@query("fn4_repeated", f"WITH {_HOSTS}, {_CHARS} SELECT host, round(coalesce(sum(k) FILTER (k > 1 AND ch BETWEEN 'a' AND 'z'), 0) / any_value(n), 6) AS repeated FROM g GROUP BY host", PAGE)
 def fn4(spark, d):
     return hosts(spark, d).select("host", F.round(S.repeated_share(F.col("host")), 6).alias("repeated"))
 

@@ -86,7 +86,7 @@ def test_string_features(spark):
     assert math.isclose(one(spark, "aabb", S.entropy(x))[0], math.log(2)) and one(spark, "aaaa", S.entropy(x))[0] == 0
     assert one(spark, "abab", S.entropy(x, 2.0))[0] == 1 and one(spark, "", S.entropy(x))[0] is None and one(spark, None, S.entropy(x))[0] is None
     assert one(spark, "abc123", S.share(x, S.VOWELS), S.share(x, S.DIGITS)) == (1 / 6, 0.5)
-    assert one(spark, "aabbc1", S.repeated_share(x))[0] == 4 / 6
+    assert one(spark, "aabbc1", S.repeated_share(x))[0] == 4 / 6 and one(spark, "11.a-b.22-a", S.repeated_share(x))[0] == 2 / 11
     assert one(spark, "bcd12a3", S.run_share(x, S.CONSONANTS), S.run_share(x, S.DIGITS)) == (3 / 7, 2 / 7)
     assert one(spark, "Ab9-", S.shape(x))[0] == "D,N,P,U"
     assert one(spark, "", S.ngrams(x, 3), S.ngrams(x, 2)) == ([], ["^$"])
