@@ -11,11 +11,14 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, PCA, CountVectorizer, HashingTF, MinMaxScaler, RegexTokenizer, VectorAssembler, Word2Vec
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from sparkwarden.operators.aggregates import per_label_metrics
+from sparkwarden.storage import discard, path_of, written
 
 
 #: The features of a DNS record that the covert-channel classifier reads (see ``plans.dns.covert_features``).
@@ -92,9 +95,28 @@ def pair_rules(items: DataFrame, key: str, item: str, support: float, confidence
 
 
 def count_vectors(df: DataFrame, entity: str, item: str, vocabulary: int = 1 << 18, min_df: float = 1.0) -> DataFrame:
-    """One sparse count vector per entity, from its items' counts."""
-    bags = df.groupBy(entity).agg(F.collect_list(item).alias("items"))
-    return CountVectorizer(inputCol="items", outputCol="features", vocabSize=vocabulary, minDF=min_df).fit(bags).transform(bags).drop("items")
+    """One sparse count vector per entity: the ``vocabulary`` most frequent items, numbered by falling frequency, then by item.
+
+    Items of fewer than ``min_df`` entities are left out; entities whose items all are have an empty vector.  Records are
+    counted before the first shuffle, so a row holds an entity's distinct items only, of which there are ``vocabulary``
+    at most, however many records it has.  The vectors are written once to the shared folder and read back as vectors.
+    """
+    counted = written(df.select(entity, item).where(F.col(entity).isNotNull()).groupBy(entity, item).agg(F.count(F.lit(1)).alias("n")), "counts")
+    items = counted.where(F.col(item).isNotNull()).groupBy(item).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("df")).where(F.col("df") >= min_df)
+    kept = written(items.orderBy(F.desc("total"), item).limit(vocabulary), "vocabulary")
+    # As many rows as the vocabulary is allowed to have.
+    numbered = kept.select(F.col(item).alias("__item"), (F.row_number().over(Window.orderBy(F.desc("total"), item)) - 1).alias("__k"))
+    size = kept.count()
+    pairs = counted.join(F.broadcast(numbered), F.col(item) == F.col("__item"), "left")
+    lists = pairs.groupBy(entity).agg(F.array_sort(F.collect_list(F.when(F.col("__k").isNotNull(), F.struct("__k", "n")))).alias("v"))
+    vector = F.struct(
+        F.lit(0).cast("byte").alias("type"), F.lit(size).alias("size"),
+        F.transform("v", lambda x: x["__k"].cast("int")).alias("indices"), F.transform("v", lambda x: x["n"].cast("double")).alias("values"),
+    )
+    plain = written(lists.select(entity, vector.alias("features")), "vectors")
+    schema = StructType([plain.schema[entity], StructField("features", VectorUDT())])
+    discard(counted, kept)
+    return df.sparkSession.read.schema(schema).parquet(path_of(plain))
 
 
 def term_statistics(tokens: DataFrame, min_df: int, vocabulary: int) -> DataFrame:

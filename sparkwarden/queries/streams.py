@@ -11,7 +11,7 @@ from sparkwarden.adapters import VIEWS, view
 from sparkwarden.plans import flows as plans
 from sparkwarden.queries import query
 from sparkwarden.queries.relational import _PERIOD, _RATIO, FLOW
-from sparkwarden.sources import readers, sinks
+from sparkwarden.sources import index, readers, sinks
 from sparkwarden.sources.versions import Versions
 from sparkwarden.storage import discard, shared_dir, written
 from sparkwarden.streaming import jobs, runs
@@ -150,6 +150,26 @@ def src6(spark, d):
     return readers.read_between(spark, path, "dd", 10, 12).select("id", "ip", F.col("dd").cast("int").alias("dd"))
 
 
+def _indexed(spark, d):
+    """The event log as an index of three appends."""
+    root, rows = _folder(spark, "index"), view(spark, d, "v_evt").select("id", "ip", F.col("sec").cast("long").alias("sec"))
+    for part in ("dd <= 10", "dd BETWEEN 11 AND 20", "dd > 20"):
+        index.append_segments(view(spark, d, "v_evt").where(part).select("id", "ip", F.col("sec").cast("long").alias("sec")), root, "sec")
+    return root, rows.schema
+
+
+@query("src6_index_scan", "SELECT id, ip, sec FROM v_evt WHERE sec >= 10 * 86400 AND sec < 12 * 86400 AND id % 2 = 0", ("v_evt",))
+def src6_index(spark, d):
+    root, schema = _indexed(spark, d)
+    return index.read_segments(spark, root, "sec", schema).where(f"sec >= {10 * 86400} AND sec < {12 * 86400} AND id % 2 = 0")
+
+
+@query("src6_index_stream", "SELECT ip, count(*) AS n FROM v_evt GROUP BY ip", ("v_evt",))
+def src6_stream(spark, d):
+    root, schema = _indexed(spark, d)
+    return jobs.drained(index.stream_segments(spark, root, "sec", schema)).groupBy("ip").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src7_svmlight", "SELECT CAST(label AS DOUBLE) AS label, count(*) AS n FROM v_xy GROUP BY label", ("v_xy",))
 def src7(spark, d):
     path, rows = _folder(spark, "svmlight"), view(spark, d, "v_xy")

@@ -40,6 +40,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def path_of(table: DataFrame) -> str:
+    """Where a table that ``written`` returned lies."""
+    return vars(table)[_PATH]
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of tables that ``written`` returned; what was made of them must have been written by now.
 
