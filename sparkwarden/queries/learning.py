@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkwarden.adapters import view
+from sparkwarden.functions.strings import structure_counts
 from sparkwarden.ml import features, models
 from sparkwarden.operators.merge import merge_indicators
 from sparkwarden.plans import dns, hosts, leak
 from sparkwarden.queries import query, table
 from sparkwarden.queries.relational import _FLAGS, _HOST_DAYS, KINDS, host_days
-from sparkwarden.storage import written
+from sparkwarden.sources.cache import FeatureCache
+from sparkwarden.storage import shared_dir, written
 
 XY = ("v_xy",)
 _LONG = "x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, CAST(unnest(range(1, len(embedding) + 1)) AS INTEGER) AS feature FROM v_xy)"
@@ -163,6 +167,22 @@ def ml17(spark, d):
     return table(spark, d, "documents").select("doc_id", "n_chars").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
 
 
+_COUNTED = {"forms": "<p>", "links": "<a ", "heads": "<h[1-6]"}
+
+
+@query("ml17_feature_cache", "SELECT CAST(page_id % 6 AS INTEGER) AS part, " + ", ".join(f"CAST(sum(len(regexp_extract_all(html, '{p}'))) AS INTEGER) AS {n}" for n, p in _COUNTED.items()) + " FROM v_page GROUP BY page_id % 6", ("v_page",))
+def ml17_cache(spark, d):
+    """Four files, then two more; the second run reads these two alone."""
+    root = f"{shared_dir(spark)}/sparkwarden/files-{uuid.uuid4().hex}"
+    cache = FeatureCache(spark, f"{root}-features", structure_counts(F.col("text"), _COUNTED))
+    part = F.col("page_id") % 6
+    for some in (part < 4, part >= 4):
+        view(spark, d, "v_page").where(some).select("html", part.cast("int").alias("part")).hint("rebalance", "part").write.mode("append").partitionBy("part").text(root)
+        cache.update(f"{root}/part=*", "part-*")
+    counted = cache.read().withColumn("part", F.regexp_extract("path", "part=([0-9]+)", 1).cast("int"))
+    return counted.groupBy("part").agg(*(F.sum(n).cast("int").alias(n) for n in _COUNTED))
+
+
 @query("ml18_misclassified", "SELECT l.doc_id, toxic AS label, CASE WHEN n_chars % 7 < 2 THEN 1 ELSE 0 END AS prediction FROM labels l JOIN documents d ON d.doc_id = l.doc_id WHERE toxic <> CASE WHEN n_chars % 7 < 2 THEN 1 ELSE 0 END")
 def ml18(spark, d):
     from sparkwarden.queries.relational import _predictions

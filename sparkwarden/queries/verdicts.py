@@ -14,6 +14,7 @@ from sparkwarden.operators.enrich import bounded
 from sparkwarden.operators.merge import membership
 from sparkwarden.plans import events as E
 from sparkwarden.plans import flows, web
+from sparkwarden.plans.scoring import ScoreRegistry, scored_day
 from sparkwarden.queries import query
 from sparkwarden.queries.detections import _PORTS, _old_new, _port_baseline
 from sparkwarden.queries.relational import _PERIOD, _RATIO
@@ -155,3 +156,15 @@ def dt14_verdicts(spark, d):
     patterns = found.groupBy(*E.KINDS).agg(F.count(F.lit(1)).alias("n")).where("n BETWEEN 3 AND 12").withColumn("pattern_score", F.lit(90.0))
     feedback = found.withColumn("flag", F.when(F.col("first_at") % 3 == 2, 2).otherwise(1))
     return E.verdicts(found, WEIGHTS, patterns, feedback, cut_off=20)
+
+
+@query("dt14_fitted_verdicts")
+def dt14_fitted(spark, d):
+    """Weights and rules learned after day 25 and again after day 28; day 27 is scored by the first, day 29 by the second."""
+    events = event_table(spark, d)
+    registry = ScoreRegistry(spark, f"{shared_dir(spark)}/sparkwarden/scores-{uuid.uuid4().hex}")
+    for day in (25, 28):
+        known = E.fused(events.where(F.col("day") <= day), MOST_UP)
+        registry.learn(known.withColumn("label", F.col("threat")), day)
+    one = lambda day: scored_day(events, registry, day, MOST_UP).withColumn("day", F.lit(day))
+    return one(27).unionByName(one(29))

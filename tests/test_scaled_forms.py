@@ -1,5 +1,6 @@
 """Forms for large keys and many files: index scans, balanced classes, count vectors, cached features."""
 
+import os
 import random
 from collections import Counter
 
@@ -9,7 +10,10 @@ from pyspark.sql import functions as F
 
 from sparkwarden.ml import models
 from sparkwarden.operators import sets
+from sparkwarden.plans import events as E
+from sparkwarden.plans.scoring import ScoreRegistry
 from sparkwarden.sources import index
+from sparkwarden.sources.cache import FeatureCache
 from sparkwarden.streaming import jobs
 
 EVENTS = "id long, sec long, ip string"
@@ -77,3 +81,41 @@ def test_count_vectors_equal_count_vectorizer(spark):
     assert models.clusters(got, "e", k=2).count() == len(want)
     small = models.count_vectors(df, "e", "i", vocabulary=3)
     assert {x.features.size for x in small.collect()} == {3} and small.count() == len(want)
+
+
+def test_known_files_are_not_read_again(spark, tmp_path):
+    """A file whose content changes while name, length and time stay is not noticed: its content was not read."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "a.pdf").write_bytes(b"%PDF obj obj \xff")
+    (source / "b.pdf").write_bytes(b"%PDF obj")
+    (source / "c.txt").write_bytes(b"text obj")
+    cache = FeatureCache(spark, str(tmp_path / "cache"), {"objs": F.regexp_count("text", F.lit("obj")), "size": F.length("text")})
+    rows = lambda: {r.path.rsplit("/", 1)[-1]: (r.objs, r["size"]) for r in cache.read().collect()}
+    assert rows() == {}
+    assert cache.update(str(source), "*.pdf", b"%PDF") == 2 and rows() == {"a.pdf": (2, 14), "b.pdf": (1, 8)}
+    before = os.stat(source / "b.pdf")
+    (source / "b.pdf").write_bytes(b"%PDF xxx")
+    os.utime(source / "b.pdf", ns=(before.st_atime_ns, before.st_mtime_ns))
+    (source / "d.pdf").write_bytes(b"%PDF")
+    assert cache.update(str(source), "*.pdf", b"%PDF") == 1 and rows() == {"a.pdf": (2, 14), "b.pdf": (1, 8), "d.pdf": (0, 4)}
+    assert cache.update(str(source), "*.pdf", b"%PDF") == 0
+    (source / "b.pdf").write_bytes(b"%PDF obj obj")  # longer: a changed file is read, and its newest row counts
+    assert cache.update(str(source), "*.pdf") == 1 and rows()["b.pdf"] == (2, 12) and len(rows()) == 3
+
+
+def test_scores_of_a_day_rest_on_earlier_labels(spark, tmp_path):
+    registry = ScoreRegistry(spark, str(tmp_path / "scores"))
+    flags = lambda *on: [1 if k in on else 0 for k in E.KINDS]
+    columns = ", ".join(f"{k} int" for k in E.KINDS) + ", label int"
+    bad = lambda kind: [(*flags(kind), 1)] * 8 + [(*flags("covert_channel"), 1)] * 3 + [(*flags("covert_channel"), 0)] * 2 + [(*flags("up_down"), 0)] * 8 + [(*flags(), 0)] * 4
+    assert registry.for_day(9)[0] == dict.fromkeys(E.KINDS, 0.1) and registry.for_day(9)[1].count() == 0
+    registry.learn(spark.createDataFrame(bad("botnet"), columns), 10)
+    first, rules = registry.for_day(11)
+    assert max(first, key=first.get) == "botnet" and abs(sum(first.values()) - 1) < 1e-4
+    assert [(r.botnet, r.heartbeat, r.pattern_score) for r in rules.collect()] == [(1, 0, 100.0)]
+    registry.learn(spark.createDataFrame(bad("heartbeat"), columns), 12)
+    registry.learn(spark.createDataFrame(bad("threat"), columns), 12)  # learned already
+    assert registry.for_day(11)[0] == first and registry.for_day(12)[0] == first and max(registry.for_day(13)[0], key=registry.for_day(13)[0].get) == "heartbeat"
+    registry.learn(spark.createDataFrame([(*flags("threat"), 1)] * 3, columns), 14)  # one class only
+    assert registry.for_day(15)[0] == dict.fromkeys(E.KINDS, 0.1)
