@@ -11,12 +11,35 @@ from sparkwarden.operators.runs import longest_slot_run
 ROW_GAPS = 100_000
 
 
+#: Stretches of time into which the timelines of busy keys are cut.
+STRETCHES = 4096
+
+
 def gaps(df: DataFrame, keys: list[str], at: str, tie: str, least: int = 4) -> DataFrame:
-    """Time between consecutive records of each key that has at least ``least`` of them."""
-    w = Window.partitionBy(*keys)
-    ordered = w.orderBy(at, tie)
-    out = df.select(*keys, at, tie, (F.col(at) - F.lag(at).over(ordered)).alias("gap"), F.row_number().over(ordered).alias("k"), F.count(F.lit(1)).over(w).alias("n"))
-    return out.where((F.col("n") >= least) & F.col("gap").isNotNull()).drop("n")
+    """Time between consecutive records of each key that has at least ``least`` of them.
+
+    Timelines are cut into stretches of time, each ordered by itself; a stretch's first record takes the last time of
+    the key's stretch before.  So one key is dealt out over as many tasks as its records are over time; only records of
+    one key in one stretch (of ``STRETCHES``) meet.  Records without a time are left out.
+    """
+    rows = df.where(F.col(at).isNotNull()).select(*keys, at, tie)
+    lo, hi = rows.agg(F.min(at), F.max(at)).first()
+    width = max(1, -(-(hi - lo + 1) // STRETCHES)) if lo is not None else 1
+    cut = rows.withColumn("__part", F.floor((F.col(at) - F.lit(lo or 0)) / width))
+    inside = Window.partitionBy(*keys, "__part").orderBy(at, tie)
+    ordered = cut.withColumn("__before", F.lag(at).over(inside)).withColumn("__k", F.row_number().over(inside))
+    # At most STRETCHES rows a key.
+    over = Window.partitionBy(*keys)
+    ends = cut.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__n"), F.max(at).alias("__last"))
+    ends = ends.select(
+        *(F.col(c).alias(f"__{c}") for c in keys), F.col("__part").alias("__of"), F.sum("__n").over(over).alias("n"),
+        (F.sum("__n").over(over.orderBy("__part")) - F.col("__n")).alias("__earlier"), F.lag("__last").over(over.orderBy("__part")).alias("__carried"),
+    ).where(F.col("n") >= least)
+    same = F.col("__part") == F.col("__of")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    out = ordered.join(ends, same).withColumn("__prev", F.when(F.col("__k") > 1, F.col("__before")).otherwise(F.col("__carried")))
+    return out.where("__prev is not null").select(*keys, at, tie, (F.col(at) - F.col("__prev")).alias("gap"), (F.col("__k") + F.col("__earlier")).cast("int").alias("k"))
 
 
 def strided_autocorrelation(x: Column) -> Column:

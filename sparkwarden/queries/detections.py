@@ -7,10 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from sparkwarden.adapters import view
+from sparkwarden.functions import strings as S
 from sparkwarden.ml import models
 from sparkwarden.operators import sequences as Q
 from sparkwarden.plans import botnets, dns, flows, hosts, leak, web
 from sparkwarden.queries import query, table
+from sparkwarden.queries.learning import covert_label
 from sparkwarden.queries.relational import _PERIOD, _RATIO, ASSET, FLOW, KINDS
 from sparkwarden.queries.sequences import _BASE, _GAPS, _VISITS, _VOLUME, volumes
 from sparkwarden.sources.versions import Versions
@@ -157,9 +159,14 @@ def dt8_hosts(spark, d):
 
 @query("dt8_detected_hosts")
 def dt8_detected(spark, d):
-    """From records to hosts, with boosted trees learned from the names of listed pages."""
+    """From records to hosts, with boosted trees learned from names that are listed for having few vowels."""
+    return dns.algorithmic_hosts(dns.detected_names(_named(spark, d), *listed_names(spark, d)), 1, 2)
+
+
+def listed_names(spark, d):
+    """Listed and all names of pages: listed are those with few vowels before the suffix."""
     pages = view(spark, d, "v_page").where("host <> ''").withColumn("queries_name", F.col("host"))
-    return dns.algorithmic_hosts(dns.detected_names(_named(spark, d), pages.where("page_id % 10 = 0"), pages), 1, 2)
+    return pages.where(S.share(F.element_at(F.split("host", r"\."), -3), S.VOWELS) < 0.25), pages
 
 
 @query("dt9_new_domains", f"WITH {_SPLIT} SELECT DISTINCT domain FROM c WHERE domain NOT IN (SELECT domain FROM c WHERE ends_with(queries_name, '.com'))", ("v_dns",))
@@ -181,7 +188,7 @@ def dt10(spark, d):
 def dt10_hosts(spark, d):
     """A forest learned from days 1 to 20, saved, loaded and applied to the days after."""
     old, new = _old_new(spark, d, "v_dns")
-    train = written(dns.covert_features(old).withColumn("label", (F.col("size") % 2).cast("double")), "dns-features")
+    train = written(dns.covert_features(old).withColumn("label", covert_label()), "dns-features")
     return dns.covert_hosts(new, _kept(spark, models.forest_pipeline(train, models.COVERT_FEATURES), "covert-forest"))
 
 
@@ -219,23 +226,36 @@ def _kept(spark, model, name):
     return models.load(path)
 
 
-def _injections(spark, d, words, name):
-    """A text classifier learned from the requests to listed hosts, saved, loaded and applied to the requests held back."""
-    requests = view(spark, d, "v_http")
-    listed = view(spark, d, "v_page").where("page_id % 10 = 0").select("host").distinct().withColumn("label", F.lit(1.0))
-    texts = web.injection_texts(requests.where("flow_id % 10 < 7"), words).join(listed, "host", "left").fillna(0.0, ["label"])
-    model = _kept(spark, models.text_classifier(written(texts.select("text", "label"), "request-texts")), name)
+#: Attacks that are planted in every 23rd request, and what others say with the same words.
+_ATTACKS = {"sql": ["&q=1%27+union+select+name+from+users--", "&id=7;drop+table+x"], "script": ["&c=%3Cscript%3Ealert(1)%3C/script%3E", "&c=%22onerror=alert(2)"]}
+_INNOCENT = {"sql": "&q=please+select+one+from+here", "script": "&q=the+script+of+the+play"}
+
+
+def planted_requests(spark, d, kind):
+    """Requests with ``label`` 1 where an attack was planted; others, as many, only use its words."""
+    some = F.element_at(F.array(*[F.lit(x) for x in _ATTACKS[kind]]), (F.floor(F.col("flow_id") / 23) % 2 + 1).cast("int"))
+    bad, talk = F.col("flow_id") % 23 == 3, F.col("flow_id") % 23 == 11
+    requests = view(spark, d, "v_http").withColumn("label", bad.cast("double"))
+    return requests.withColumn("uri", F.concat("uri", F.when(F.contains("uri", F.lit("?")), "").otherwise("?a=1"), F.when(bad, some).when(talk, F.lit(_INNOCENT[kind])).otherwise("")))
+
+
+def _injections(spark, d, words, kind):
+    """A text classifier learned from requests with planted attacks, saved, loaded and applied to the requests held back."""
+    requests = planted_requests(spark, d, kind)
+    old = requests.where("flow_id % 10 < 7")
+    texts = web.injection_texts(old, words).join(old.select("flow_id", "label"), "flow_id")
+    model = _kept(spark, models.text_classifier(written(texts.select("text", "label"), "request-texts")), f"{kind}-texts")
     return web.injections(requests.where("flow_id % 10 >= 7"), words, model)
 
 
 @query("dt11_sql_injections")
 def dt11_detected(spark, d):
-    return _injections(spark, d, ["select", "union", "insert", "update", "delete", "drop", "page"], "sql-texts")
+    return _injections(spark, d, S.SQL_WORDS, "sql")
 
 
 @query("dt12_script_injections")
 def dt12_detected(spark, d):
-    return _injections(spark, d, ["script", "alert", "onerror", "onload", "javascript", "iframe", "ref"], "script-texts")
+    return _injections(spark, d, S.SCRIPT_WORDS, "script")
 
 
 _LAST = "l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ip, modeltype ORDER BY sec DESC, id DESC) AS k FROM v_evt) WHERE k = 1 AND NOT (modeltype = 'view' AND value >= 20))"

@@ -20,8 +20,14 @@ XY = ("v_xy",)
 _LONG = "x AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x, CAST(unnest(range(1, len(embedding) + 1)) AS INTEGER) AS feature FROM v_xy)"
 
 
+def covert_label():
+    """What counts as a covert channel here: long names with long answers, or answers that live long; one record in 50 is mislabelled."""
+    rule = ((F.col("name_length") >= 15) & (F.col("sum_length") > 50)) | (F.col("max_ttl") > 240)
+    return F.when(F.col("flow_id") % 50 == 7, ~rule).otherwise(rule).cast("double")
+
+
 def _dns_samples(spark, d):
-    rows = dns.covert_features(view(spark, d, "v_dns")).withColumn("label", (F.col("size") % 2).cast("double"))
+    rows = dns.covert_features(view(spark, d, "v_dns")).withColumn("label", covert_label())
     return models.assembled(written(rows, "dns-features"), models.COVERT_FEATURES)  # fits read them many times
 
 

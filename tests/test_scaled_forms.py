@@ -9,13 +9,18 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
 from sparkwarden.ml import models
-from sparkwarden.operators import sets
+from sparkwarden.operators import sequences, sets
+from sparkwarden.plans import dns
 from sparkwarden.plans import events as E
 from sparkwarden.plans.scoring import ScoreRegistry
+from sparkwarden.queries import detections
+from sparkwarden.registry import QUERIES
 from sparkwarden.sources import index
 from sparkwarden.sources.cache import FeatureCache
 from sparkwarden.streaming import jobs
 
+from .conftest import SF
+
 EVENTS = "id long, sec long, ip string"
 
 
@@ -119,3 +124,35 @@ def test_scores_of_a_day_rest_on_earlier_labels(spark, tmp_path):
     assert registry.for_day(11)[0] == first and registry.for_day(12)[0] == first and max(registry.for_day(13)[0], key=registry.for_day(13)[0].get) == "heartbeat"
     registry.learn(spark.createDataFrame([(*flags("threat"), 1)] * 3, columns), 14)  # one class only
     assert registry.for_day(15)[0] == dict.fromkeys(E.KINDS, 0.1)
+
+
+@pytest.mark.parametrize("stretches", [1, 3, 7, 4096])
+def test_gaps_in_stretches_equal_a_sorted_list(spark, monkeypatch, stretches):
+    """Busy and rare keys, null keys and times, equal times."""
+    monkeypatch.setattr(sequences, "STRETCHES", stretches)
+    r = random.Random(stretches)
+    rows = [(r.choice(["hot", "hot", "hot", "b", None]), r.randrange(0, 500), k) for k in range(300)] + [("few", 3, 900), ("few", 4, 901), ("hot", None, 902)]
+    got = sorted((x.e, x.t, x.i, x.gap, x.k) for x in sequences.gaps(spark.createDataFrame(rows, "e string, t long, i long"), ["e"], "t", "i").fillna("-", ["e"]).collect())
+    want = []
+    for e in {x[0] for x in rows}:
+        own = sorted((t, i) for k, t, i in rows if k == e and t is not None)
+        if len(own) >= 4:
+            want += [(e or "-", own[n][0], own[n][1], own[n][0] - own[n - 1][0], n + 1) for n in range(1, len(own))]
+    assert got == sorted(want)
+    assert sequences.gaps(spark.createDataFrame([], "e string, t long, i long"), ["e"], "t", "i").count() == 0
+
+
+def test_models_learn_what_is_planted(spark):
+    """Held-out quality: boosted trees and forest on DNS records, names, injections."""
+    for name, least in (("ml1_boosted_scores", 0.9), ("ml2_cross_validated_forest", 0.85)):
+        held = QUERIES[name](spark, SF).where("flow_id % 10 >= 7")
+        assert held.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0] > least
+        assert held.where("label = 1 AND prediction = 1").count() > 10
+    for kind, name in (("sql", "dt11_sql_injections"), ("script", "dt12_script_injections")):
+        bad = {x.flow_id for x in detections.planted_requests(spark, SF, kind).where("label = 1 AND flow_id % 10 >= 7").collect()}
+        found = {x.flow_id for x in QUERIES[name](spark, SF).collect()}
+        assert len(found & bad) > 0.8 * len(bad) > 0 and len(found - bad) <= 0.2 * len(found)
+    listed, pages = detections.listed_names(spark, SF)
+    bad = {x.queries_name for x in listed.collect()}
+    found = {x.queries_name for x in dns.detected_names(pages.select("queries_name").distinct(), listed, pages).collect()}
+    assert len(found & bad) > 0.7 * len(bad) > 0 and len(found - bad) <= 0.3 * len(found)
