@@ -275,33 +275,94 @@ def _may_reach(similarity: float) -> Column:
     return common >= F.lit(similarity / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) - 1e-6
 
 
+#: Bits of the sketch of a text's cells, in words of 64.
+SKETCH_WORDS = 8
+_SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+#: Cells of a document that each of its rows names, in order.
+HEAD = 32
+
+
+def _sketched(cells: DataFrame) -> DataFrame:
+    """``cells`` with, of each document, the number ``q`` of its cells here, the first of them (``head``) and a sketch: one bit set for each of them."""
+    bit = F.pmod(F.xxhash64("cell"), F.lit(64 * SKETCH_WORDS))
+    word = F.floor(bit / 64)
+    one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cell), {64 * SKETCH_WORDS}) % 64 AS int))")
+    head = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", "cell"))), 1, HEAD), lambda x: x["cell"]).alias("head")
+    sketches = cells.groupBy("doc").agg(F.count(F.lit(1)).alias("q"), head, *(F.bit_or(F.when(word == k, one).otherwise(F.lit(0).cast("long"))).alias(s) for k, s in enumerate(_SKETCH)))
+    return cells.join(sketches.withColumnRenamed("doc", "__doc"), F.col("doc") == F.col("__doc")).drop("__doc")
+
+
+def _may_share(similarity: float) -> Column:
+    """Whether two texts can have enough shingles in common, given how many cells both can have at most.
+
+    Shingles in common that are not among the first ones of both are beyond the first ones of one of them, so they are
+    at most as many as either text has there.  Cells in common set bits in common; of cells that fell on one bit, all but
+    one are added, so the count is never too low.
+    """
+    ones = lambda side, other: sum((F.bit_count(F.col(f"{side}_{s}").bitwiseAND(F.col(f"{other}_{s}"))) for s in _SKETCH), F.lit(0))
+    spare = F.least(F.col("x_q") - ones("x", "x"), F.col("y_q") - ones("y", "y"))
+    beyond = F.greatest(*(F.greatest(F.ceil(similarity * F.col(f"{side}_n") - 1e-9) - 1, F.lit(0)) for side in "xy"))
+    return ones("x", "y") + spare + beyond >= F.lit(similarity / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) - 1e-6
+
+
+def _first_shared() -> Column:
+    """Whether this is the cell in which a pair is to be named: the first one that both heads have, any one if they have none."""
+    both = F.array_intersect("x_head", "y_head")
+    return (F.size(both) == 0) | (F.col("x_cell") == F.get(both, F.lit(0)))
+
+
+def _side(cells: DataFrame, side: str, *more: str) -> DataFrame:
+    """The columns of one side of a comparison within a cell."""
+    named = [F.col(c).alias(f"{side}_{c}") for c in ("n", "at", "c", "q", "head", *_SKETCH) if c in cells.columns]
+    return cells.select((F.col("cell") + 0).alias(f"{side}_cell"), *more, F.col("doc").alias(side), *named)
+
+
 def _mixed_cells(prefixes: DataFrame, known: DataFrame) -> DataFrame:
-    """``prefixes`` with each document's component ``c``, in the cells where several components meet."""
+    """``prefixes`` with each document's component ``c`` and the cell's size ``m``, in the cells where several components meet."""
     labels = known.select(F.col("node").alias("doc"), F.col("component"))
     labelled = written(prefixes.join(small_or_shuffled(labels), "doc", "left").select("cell", "doc", "at", "n", F.coalesce("component", "doc").alias("c")), "labelled")
-    mixed = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select((F.col("cell") + 0).alias("of"))
-    out = written(labelled.join(mixed, F.col("cell") + 0 == F.col("of"), "left_semi"), "mixed")
+    mixed = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select((F.col("cell") + 0).alias("of"), "m")
+    out = written(labelled.join(mixed, F.col("cell") + 0 == F.col("of")).drop("of"), "mixed")
     discard(labelled)
     free_shuffles(prefixes.sparkSession)
     return out
 
 
+#: Documents of one cell that are compared with the same partner in one round.
+PARTY = 8
+#: Rounds with single partners at most, and the pairs a row of the cells that the last round may have without another one.
+ROUNDS, FEW_PAIRS = 3, 2
+
+
 def _cell_stars(cells: DataFrame, similarity: float, salt: int) -> DataFrame:
-    """Pairs of each document with one document of each of its cells, another one for each ``salt``."""
-    hubs = cells.groupBy("cell").agg(F.min(F.struct(F.xxhash64("doc", F.lit(salt)).alias("s"), F.col("doc").alias("y"), F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("c").alias("y_c"))).alias("hub"))
-    hubs = hubs.select((F.col("cell") + 0).alias("of"), "hub.*")
-    spread = cells.select((F.col("cell") + 0).alias("x_cell"), F.col("doc").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("c").alias("x_c"))
-    found = spread.join(hubs, (F.col("x_cell") == F.col("of")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity))
+    """Pairs of each document with one document of each of its cells.
+
+    A cell's documents are dealt into parties of about ``PARTY``, others for each ``salt``, and each meets its party's
+    first one: in a large cell different documents have different partners, so that a few odd ones do not spoil a round.
+    """
+    party = F.pmod(F.xxhash64("doc", F.lit(salt)), F.greatest(F.floor(F.col("m") / PARTY), F.lit(1).cast("long")))
+    dealt = cells.withColumn("party", party)
+    hubs = dealt.groupBy("cell", "party").agg(F.min(F.struct(F.xxhash64("doc", F.lit(-salt)).alias("first"), "doc", "n", "at", "c", "q", *_SKETCH)).alias("hub"))
+    hubs = _side(hubs.select("cell", F.col("party").alias("of_party"), "hub.*"), "y", "of_party")
+    met = (F.col("x_cell") == F.col("y_cell")) & (F.col("party") == F.col("of_party")) & (F.col("x_c") != F.col("y_c"))
+    found = _side(dealt, "x", "party").join(hubs, met & _may_reach(similarity) & _may_share(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _pairs_to_come(cells: DataFrame) -> tuple[int, int]:
+    """How many pairs ``_all_pairs`` would look at, places aside, and the rows of the cells."""
+    sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
+    per = sizes.groupBy("cell").agg(F.sum("m").alias("m"), F.max("m").alias("top"))
+    found = per.agg(F.sum((F.col("m") - F.col("top")) * F.col("m")).alias("pairs"), F.sum("m").alias("rows")).first()
+    return found.pairs or 0, found.rows or 0
+
+
 def _all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
     """All pairs of documents of different components that share a cell, where the places leave room for ``similarity``."""
     sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     top = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top")).select((F.col("cell") + 0).alias("of"), F.col("top.c").alias("largest"))
-    few = cells.join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest").select((F.col("cell") + 0).alias("x_cell"), F.col("doc").alias("x"), F.col("n").alias("x_n"), F.col("at").alias("x_at"), F.col("c").alias("x_c"))
-    many = cells.select((F.col("cell") + 0).alias("y_cell"), F.col("doc").alias("y"), F.col("n").alias("y_n"), F.col("at").alias("y_at"), F.col("c").alias("y_c"))
-    found = few.join(many, (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity))
+    few = _side(cells.join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest"), "x")
+    found = few.join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity) & _may_share(similarity) & _first_shared())
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -310,8 +371,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Components are those of *all* pairs whose shingle sets have that Jaccard similarity.  Pairs are proposed by several
     SimHashes first and by shared shingles of prefixes (see ``shingle_prefixes``) then, and each is compared exactly.
-    Dense groups are not paired with themselves: two rounds compare documents with single others, and the last round
-    takes every proposed pair whose ends are in different components by then.  Ids are integers; rows without an id are
+    Dense groups are not paired with themselves: rounds compare documents with single others, until few pairs are left
+    or ``ROUNDS`` were made, and the last round takes every proposed pair whose ends are in different components by then.  Ids are integers; rows without an id are
     left out of groups (component null), rows that repeat an id are one document.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -333,16 +394,21 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def narrowed(cells: DataFrame, links: DataFrame) -> DataFrame:
         known = connected_components(links, "a", "b")
-        out = _mixed_cells(cells.select("doc", "cell", "at", "n"), known)
-        discard(known, cells)
+        mixed = _mixed_cells(cells.select("doc", "cell", "at", "n"), known)
+        out = written(_sketched(mixed), "sketched")
+        discard(known, cells, mixed)
         return out
 
-    for salt in (1, 2):
-        cells = narrowed(cells, links)
+    # Single partners until what is left has few pairs: they only save work, the last round takes all that is left.
+    cells = narrowed(cells, links)
+    for salt in range(1, ROUNDS + 1):
+        pairs, held = _pairs_to_come(cells)
+        if pairs <= FEW_PAIRS * held:
+            break
         more = verified_links(_cell_stars(cells, similarity, salt), own, shingle, similarity)
         found, links = [*found, more], links.unionByName(more)
         free_shuffles(spark)
-    cells = narrowed(cells, links)
+        cells = narrowed(cells, links)
     last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)
     nodes = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("component", "component_id")
     discard(cells, *found, last)
