@@ -171,7 +171,8 @@ def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity:
     shuffled, and whole texts rather than their hashes, which take twice the room.
     """
     pairs = written(pairs, "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # Written, since it is counted and then joined at both ends.
+    needed = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
     texts = docs.join(small_or_shuffled(needed), "doc_id", "left_semi")
     of_a, of_b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
 
@@ -185,7 +186,7 @@ def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity:
                     yield pa.RecordBatch.from_arrays([batch.column(k).slice(lo + c, d - c) for k in (0, 1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     links = written(pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "text_a", "text_b").mapInArrow(workers.lean(run), "a long, b long").distinct(), "verified")
-    discard(pairs)
+    discard(pairs, needed)
     return links
 
 
