@@ -6,6 +6,9 @@ import gc
 import tempfile
 import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 #: Rows of narrow tables (ids, hashes) that are broadcast at most; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 _PATH = "_sparkwarden_path"
+_OPEN: ContextVar[list[DataFrame] | None] = ContextVar("open", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,9 +41,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     setattr(out, _PATH, path)
+    made = _OPEN.get()
+    if made is not None:
+        made.append(out)
     return out
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables that ``written`` makes within are deleted at the end, but for those that were passed to what this yields.
+
+    For callers of operators whose result still reads such tables: write the result within and keep it.
+    """
+    made: list[DataFrame] = []
+    kept: list[DataFrame] = []
+    outer = _OPEN.get()
+    before = _OPEN.set(made)
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _OPEN.reset(before)
+        discard(*(t for t in made if not any(t is k for k in kept)))
+        if outer is not None:
+            outer.extend(kept)
+
+
 def path_of(table: DataFrame) -> str:
     """Where a table that ``written`` returned lies."""
     return vars(table)[_PATH]
