@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import DataType, StructType
 
 U64 = np.uint64
 #: Bytes of text that one kernel call takes on: its temporaries stay near 50 MB.
@@ -205,3 +207,15 @@ def window_hashes(word_hashes: np.ndarray, size: int, seed: int = 1) -> np.ndarr
                 done = done[:m] * power + done[width:]
                 power, width = power * power, 2 * width
         return mix(out[:n])
+
+
+def extended(docs: DataFrame, text_col: str, column: str, kind: DataType) -> tuple[DataFrame, int, StructType]:
+    """For ``mapInArrow`` with one more column: ``docs`` under plain names, the place of the text, and the result's schema.
+
+    A column named like the new one, as Spark compares names, is left out.  Names may hold dots, which Spark's own call
+    would read as fields of structs.
+    """
+    kept = docs.drop(column)
+    names = kept.columns
+    at = names.index(text_col) if text_col in names else [c.lower() for c in names].index(text_col.lower())
+    return kept.toDF(*(f"c{k}" for k in range(len(names)))), at, StructType([*kept.schema.fields]).add(column, kind)

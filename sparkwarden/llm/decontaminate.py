@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays, bitmap, workers
-from sparkwarden.storage import small_or_shuffled, written
+from sparkwarden.storage import scratch, small_or_shuffled, written
 
 #: Positions that each mask reads. With these, an aligned stretch of 12 words is hit wherever two of them are substituted.
 MASKS = ("111111", "11011011", "1101000111", "10110011001", "110110101")
@@ -171,11 +171,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     id; rows without an id are not flagged.  Empty tables on either side flag nothing.  A document quotes few items, so
     the sorted list of a document's items is short; of copies of one item in the benchmark, the smallest id is listed.
     """
-    found = find_overlaps(docs, benchmark, id_col, text_col, item_col, **options)
-    by_doc = found.groupBy(id_col).agg(F.sort_array(F.collect_list(item_col)).alias("items"), F.max("share").alias("best_share"))
-    flagged = by_doc.select(F.col(id_col).alias("__doc"), "items", "best_share")
     ids = docs.select(id_col)
-    flagged = written(flagged, "flagged")
+    with scratch() as keep:
+        found = find_overlaps(docs, benchmark, id_col, text_col, item_col, **options)
+        by_doc = found.groupBy(id_col).agg(F.sort_array(F.collect_list(item_col)).alias("items"), F.max("share").alias("best_share"))
+        flagged = keep(written(by_doc.select(F.col(id_col).alias("__doc"), "items", "best_share"), "flagged"))
     out = ids.join(small_or_shuffled(flagged), ids[id_col] == flagged["__doc"], "left")
     none = F.array().cast(flagged.schema["items"].dataType)
     return out.select(id_col, F.col("items").isNotNull().alias("contaminated"), F.when(F.col("items").isNotNull(), F.size("items")).otherwise(0).cast("long").alias("n_items"), F.coalesce("items", none).alias("items"), F.coalesce("best_share", F.lit(0.0)).alias("best_share"))
@@ -183,6 +183,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without contaminated rows; all columns stay. Rows without an id stay."""
-    found = find_overlaps(docs, benchmark, id_col, each_item=False, **options).select(F.col(id_col).alias("__doc")).distinct()
-    found = written(found, "contaminated")
+    with scratch() as keep:
+        found = find_overlaps(docs, benchmark, id_col, each_item=False, **options).select(F.col(id_col).alias("__doc")).distinct()
+        found = keep(written(found, "contaminated"))
     return docs.join(small_or_shuffled(found), docs[id_col] == found["__doc"], "left_anti")

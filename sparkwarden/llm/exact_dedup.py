@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkwarden.storage import small_or_shuffled, written
+from sparkwarden.storage import scratch, small_or_shuffled, written
 
 #: Characters of a text that the second level hashes.
 PREFIX_CHARS = 256
@@ -76,6 +76,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Rows without an id stay.  Rows that repeat an id and its text stay together.
     """
-    gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
-    gone = written(gone, "gone")
+    with scratch() as keep:
+        gone = exact_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col(id_col).alias("__gone")).distinct()
+        gone = keep(written(gone, "gone"))
     return docs.join(small_or_shuffled(gone), docs[id_col] == gone["__gone"], "left_anti")

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -24,6 +23,8 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Tokenizer, pre_tokenizers
 
+from sparkwarden.llm import workers
+
 #: Entries that a worker's cache holds before it keeps only the more frequent half, or is emptied.
 CACHE_ENTRIES = 800_000
 #: Latin words of which it is certain how many pre-tokens they have.
@@ -35,7 +36,6 @@ _PAIRS = tuple(b + " " for b in " \t\n\r\x0b\x0c")
 _BLANKS = tuple(" \t\n\r\x0b\x0c")
 
 
-@lru_cache(maxsize=4)
 def load(path: str) -> Tokenizer:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
     out = Tokenizer.from_file(path)
@@ -239,13 +239,11 @@ class WordCodes(Codes):
         return np.fromiter((i for x in found for i in x), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
 
 
-@lru_cache(maxsize=2)
 def word_codes(path: str) -> WordCodes:
-    """The worker's codes for a tokenizer: its cache goes on from task to task."""
-    return WordCodes(path)
+    """The worker's codes for a tokenizer: its cache goes on from task to task, until tasks of another kind come."""
+    return workers.kept("words", path, lambda: WordCodes(path))
 
 
-@lru_cache(maxsize=2)
-def known_counts(path: str) -> dict[str, int]:
-    """The worker's token counts of pieces for a tokenizer, kept from task to task like ``word_codes``."""
-    return {}
+def known_counts(path: str) -> tuple[Tokenizer, dict[str, int]]:
+    """A tokenizer and the worker's token counts of its pieces, kept from task to task like ``word_codes``."""
+    return workers.kept("counts", path, lambda: (load(path), {}))

@@ -3,8 +3,9 @@
 The model file is parsed and rebuilt: normaliser, ``▁`` marker, pieces with their scores (unigram) or the merges that
 the scores imply (BPE), and byte fallback.  Where no piece reaches across a marker and the normaliser leaves texts as
 they are, a text's ids are those of its words; each worker keeps the ids of words it has seen, and new ones are encoded
-in batches by the library on as many threads as the task has cores.  Other texts are encoded whole.  A share of the
-texts is encoded by the SentencePiece library as well; where the ids differ, that library's are taken.
+in batches by the library on as many threads as the task has cores.  Other texts are encoded whole.  Every new word, and
+every text that is encoded whole, is encoded by the SentencePiece library as well; where the ids differ, that library's
+are taken for that word or text.  So a text's ids depend on the text alone.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StructType
+from pyspark.sql.types import ArrayType, IntegerType
 from sentencepiece import sentencepiece_model_pb2 as proto
 from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
@@ -36,8 +37,6 @@ CACHE_WORDS = 300_000
 BATCH_BYTES = 1 << 21
 #: New words that one thread of the library encodes at a time.
 BATCH_WORDS = 2000
-#: One text in so many is checked against the SentencePiece library.
-VERIFY_EVERY = 50
 
 
 def _merges(pieces: list) -> list[tuple[str, str]]:
@@ -81,11 +80,12 @@ def rebuild(path: str) -> Tokenizer:
     return out
 
 
-def _threads() -> None:
+def _threads() -> int:
     """Let the library have as many threads as the task has cores; it looks once, before its first batch."""
     task = TaskContext.get()
     os.environ.setdefault("RAYON_NUM_THREADS", str(task.cpus() if task else 1))
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+    return int(os.environ["RAYON_NUM_THREADS"])
 
 
 class PieceCodes(Codes):
@@ -125,6 +125,11 @@ class PieceCodes(Codes):
         lines = [w[1:] if w[:1] == "\n" else MARK + w for w in words]
         texts = ["".join(f"{x}\n" for x in lines[k : k + BATCH_WORDS]) for k in range(0, len(lines), BATCH_WORDS)]
         ids = np.concatenate([np.array(e.ids, np.int64) for e in self.lines.encode_batch_fast(texts, add_special_tokens=False)])
+        # SentencePiece puts a marker before the text: a line break takes it, and both are cut off again.
+        exact = self.exact.encode(["\n" + t for t in texts], num_threads=_threads())
+        exact = np.concatenate([np.array(x[x.index(self.line_break) + 1 :], np.int64) for x in exact])
+        if not np.array_equal(ids, exact):
+            ids = exact  # it is the same for every word that agrees
         stops = np.flatnonzero(ids == self.line_break)
         if len(stops) != len(words):
             raise ValueError("line breaks do not deal out the ids")
@@ -139,10 +144,16 @@ class PieceCodes(Codes):
         return out, per + bare
 
     def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        found = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        exact = self.exact.encode(texts, num_threads=_threads())
+        return [x if x == y else y for x, y in zip(found, exact, strict=True)]
 
-    def ids(self, texts: pa.Array, verify_every: int = VERIFY_EVERY) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of texts, flat, and each text's number of them. Texts at every ``verify_every``-th place are checked."""
+    def ids(self, texts: pa.Array, verify_every: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts, flat, and each text's number of them.
+
+        With ``verify_every``, texts at every so many-th place are encoded whole by SentencePiece once more, and those that
+        differ have its ids.
+        """
         if not self.by_word:
             own: dict[int, list[int]] = dict(enumerate(self._library(texts.to_pylist())))
         else:  # texts whose blanks run together, or that hold the marker itself or nothing
@@ -161,10 +172,8 @@ class PieceCodes(Codes):
         if verify_every:
             ends = np.cumsum(counts)
             some = range(0, len(texts), verify_every)
-            checked = dict(zip(some, self.exact.encode([texts[k].as_py() for k in some], num_threads=1), strict=True))
-            differ = any(x != (own[k] if k in own else flat[ends[k] - counts[k] : ends[k]].tolist()) for k, x in checked.items())
-            if differ:  # then no text of this slice is left to the rebuilt model
-                own = dict(enumerate(self.exact.encode(texts.to_pylist(), num_threads=1)))
+            checked = dict(zip(some, self.exact.encode([texts[k].as_py() for k in some], num_threads=_threads()), strict=True))
+            own.update({k: x for k, x in checked.items() if x != (own[k] if k in own else flat[ends[k] - counts[k] : ends[k]].tolist())})
         if not own:
             return flat, counts
         parts, ends = [], np.cumsum(counts)
@@ -195,7 +204,7 @@ def piece_codes(path: str) -> PieceCodes:
     return workers.kept("pieces", path, lambda: PieceCodes(path))
 
 
-def encode(texts: list[str], path: str, verify_every: int = VERIFY_EVERY) -> list[list[int]]:
+def encode(texts: list[str], path: str, verify_every: int = 0) -> list[list[int]]:
     """Ids of each text."""
     flat, counts = piece_codes(path).ids(pa.array(texts, pa.large_string()), verify_every)
     return [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] if texts else []
@@ -206,7 +215,7 @@ def decode(ids: list[list[int]], path: str) -> list[str]:
     return [x.decode() for x in piece_codes(path).decoded(flat, np.fromiter(map(len, ids), np.int64, len(ids)))]
 
 
-def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, verify_every: int = VERIFY_EVERY) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, verify_every: int = 0) -> DataFrame:
     """One row per row of ``docs``: id, ``n_pieces``, ``ids_crc32``, ``decoded_sha256``, ``round_trip`` (and ``ids``).
 
     Whole texts are encoded without begin or end, and the ids decoded again; ``round_trip`` says whether that gave the
@@ -246,17 +255,18 @@ def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
 def add_pieces(docs: DataFrame, model: str, text_col: str = "text", column: str = "pieces") -> DataFrame:
     """``docs`` with the ids of each text in one more column, an array of int; null texts have none.
 
-    A column of that name is replaced.  Repeated rows and rows without an id stay; an empty table stays empty.
+    A column of that name, as Spark compares names, is replaced; names may hold dots.  Repeated rows and rows without an
+    id stay; an empty table stays empty.
     """
 
+    plain, at, out = arrays.extended(docs, text_col, column, ArrayType(IntegerType()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = piece_codes(model)
         for batch in batches:
-            at = batch.schema.get_field_index(text_col)
             whole = arrays.as_strings(batch.column(at))
             for a, b in arrays.slices(whole, BATCH_BYTES):
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, _lists(*codes.ids(whole.slice(a, b - a)))], [*part.schema.names, column])
+                yield pa.RecordBatch.from_arrays([*part.columns, _lists(*codes.ids(whole.slice(a, b - a)))], out.names)
 
-    plain = StructType([f for f in docs.schema.fields if f.name != column])
-    return docs.select(*plain.names).mapInArrow(run, StructType([*plain.fields]).add(column, ArrayType(IntegerType())))
+    return plain.mapInArrow(run, out)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays, workers
 from sparkwarden.operators.graph import connected_components
-from sparkwarden.storage import discard, free_shuffles, small_or_shuffled, written
+from sparkwarden.storage import discard, free_shuffles, scratch, small_or_shuffled, written
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seeds: tuple[int, ...] = (42,)) -> DataFrame:
@@ -418,6 +418,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group of near copies, that of the smallest id; all columns stay."""
-    groups = near_copies(docs, id_col, text_col, **options)
-    gone = written(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "gone")
+    with scratch() as keep:
+        groups = near_copies(docs, id_col, text_col, **options)
+        gone = keep(written(groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__gone")).distinct(), "gone"))
     return docs.join(small_or_shuffled(gone), docs[id_col] == gone["__gone"], "left_anti")

@@ -45,8 +45,8 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, text_col, tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, by_piece = load(tokenizer), kind_of(tokenizer) == "spaced"
-        known = known_counts(tokenizer)
+        by_piece = kind_of(tokenizer) == "spaced"
+        library, known = known_counts(tokenizer)
         known.update(table.value)
         for batch in batches:
             column = arrays.as_strings(batch.column(1))

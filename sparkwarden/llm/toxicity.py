@@ -3,7 +3,8 @@
 Every word has two inputs: an embedding of the word, where the training sample knew it, and the mean embedding of its
 character n-grams.  Windows of overlapping words are read in both directions, attention pools the states of a window,
 and a document scores as its most toxic window.  Training picks, in each step, every document's top window and descends
-on that (multiple-instance learning), because labels are for documents.
+on that (multiple-instance learning), because labels are for documents.  Of long labelled texts the driver holds some
+windows only: executors read each such text whole, between passes, and hand over those that score highest by then.
 """
 
 from __future__ import annotations
@@ -18,19 +19,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import DoubleType
 
 from sparkwarden.llm import arrays, workers
 from sparkwarden.llm.labelled import held_out, training_sample
+from sparkwarden.storage import discard, written
 
 WINDOW, STRIDE = 32, 16
-#: Labelled rows of each class that training uses at most, and words that it takes of each text.
+#: Labelled rows of each class that training uses at most, and words of each text that the driver holds at a time.
 TOXIC_ROWS, CLEAN_ROWS, TRAIN_WORDS = 1500, 3000, 800
 #: Characters of the longest input word, and those that neighbouring pieces of a longer run share.
 PIECE, OVERLAP = 40, 10
 VOCABULARY, GRAM_BUCKETS = 4096, 1 << 13
 WORD_SIZE, GRAM_SIZE, HIDDEN, ATTENTION = 8, 12, 8, 8
 STEPS, BATCH, RATE = 400, 48, 0.01
+#: Where training stops for long texts to be read again, as shares of all steps.
+PASSES = (0.6, 0.8, 1.0)
+#: Texts that have a word of the vocabulary.
+LEAST_TEXTS = 4
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_~^=+/\\"
 
 
@@ -185,16 +191,34 @@ def _gradients(net: Network, rows: Inputs, index: np.ndarray, mask: np.ndarray,
     return g
 
 
-def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed: int = 3) -> Network:
-    """Fit a network to texts and their 0/1 labels. Without both classes it stays untrained and scores by its bias."""
-    rng = np.random.default_rng(seed)
-    words = [tokens(t) or [""] for t in texts]
-    seen = Counter(w for ws in words for w in {x.strip(_EDGES) for x in ws})
-    vocabulary = {w: k + 1 for k, (w, n) in enumerate(sorted(seen.items(), key=lambda x: (-x[1], x[0]))[: VOCABULARY - 1]) if n >= 4 and w}
+def entries(text: str | None) -> set[str]:
+    """What of a text may be in the vocabulary."""
+    return {w.strip(_EDGES) for w in tokens(text)} - {""}
+
+
+def vocabulary_of(seen: list[tuple[str, int]]) -> dict[str, int]:
+    """Numbers of the words that most texts have, four at least, given words and in how many texts they are."""
+    return {w: k + 1 for k, (w, n) in enumerate(sorted(seen, key=lambda x: (-x[1], x[0]))[: VOCABULARY - 1]) if n >= LEAST_TEXTS}
+
+
+def new_network(vocabulary: dict[str, int], rng: np.random.Generator) -> Network:
     draw = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
     size = WORD_SIZE + GRAM_SIZE
     p = {"words": draw(VOCABULARY, WORD_SIZE, by=0.05), "grams": draw(GRAM_BUCKETS, GRAM_SIZE, by=0.05), "W": draw(size, 6 * HIDDEN), "b": np.zeros(6 * HIDDEN, np.float32), "U0": draw(HIDDEN, 3 * HIDDEN), "U1": draw(HIDDEN, 3 * HIDDEN), "A": draw(2 * HIDDEN, ATTENTION), "v": draw(ATTENTION), "out": draw(2 * HIDDEN), "c": np.zeros(1, np.float32)}
-    net = Network(vocabulary, p)
+    return Network(vocabulary, p)
+
+
+def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed: int = 3, net: Network | None = None, begin: int = 0, of_steps: int | None = None, moment: dict | None = None) -> Network:
+    """Fit a network to texts and their 0/1 labels. Without both classes it stays untrained and scores by its bias.
+
+    A network ``net`` is trained further, for ``steps`` of ``of_steps`` after ``begin``: the rate falls over all of them,
+    and the optimiser's means go on in ``moment``, which starts as an empty dictionary.
+    """
+    rng = np.random.default_rng(seed + begin)
+    words = [tokens(t) or [""] for t in texts]
+    if net is None:
+        net = new_network(vocabulary_of(list(Counter(w for t in texts for w in entries(t)).items())), rng)
+    p = net.p
     y = np.asarray(labels, np.float32)
     classes = [np.flatnonzero(y == c) for c in (0, 1)]
     if not all(map(len, classes)):
@@ -205,8 +229,10 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
     number = {w: k for k, w in enumerate(every)}
     rows = net.inputs(every)
     ids = [np.fromiter(map(number.__getitem__, ws), np.int64, len(ws)) for ws in words]
-    del every, number, words, seen  # the driver keeps numbers only
-    moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
+    del every, number, words  # the driver keeps numbers only
+    moment = {} if moment is None else moment
+    for k, v in p.items():
+        moment.setdefault(k, (np.zeros_like(v), np.zeros_like(v)))
     order, at = [rng.permutation(c) for c in classes], [0, 0]
     for step in range(1, steps + 1):
         batch = []
@@ -232,7 +258,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
         top = [int(a + np.argmax(logits[a:b])) for a, b in zip(first, [*first[1:], len(of)], strict=True)]
         target = y[batch]
         g = _gradients(net, rows, here[index[:, top]], mask[:, top], lambda z: (_sigmoid(z) - target) / len(target))
-        rate = RATE * min(1.0, 2.0 * (1 - step / (steps + 1)))
+        rate = RATE * min(1.0, 2.0 * (1 - (begin + step) / ((of_steps or steps) + 1)))
         for k, grad in g.items():
             m, v = moment[k]
             if isinstance(grad, tuple):  # embeddings: only the rows that took part move
@@ -243,7 +269,7 @@ def train(texts: list[str | None], labels: list[int], steps: int = STEPS, seed:
                 p[k][where] -= rate * m[where] / (np.sqrt(v[where]) + 1e-6)
             else:
                 m[:], v[:] = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad * grad
-                p[k] -= (rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+                p[k] -= (rate * (m / (1 - 0.9 ** (begin + step))) / (np.sqrt(v / (1 - 0.99 ** (begin + step))) + 1e-6)).astype(np.float32)
     return net
 
 
@@ -275,6 +301,16 @@ class Scorer:
             found = list(map(self.index.__getitem__, words))
         return np.asarray(found, np.int64)
 
+    def top_windows(self, text: str, most: int) -> str:
+        """The ``most`` windows of a long text that score highest, in the text's order; all its windows are scored."""
+        if len(self.index) > self.CACHE_WORDS:
+            self.clear()
+        words = tokens(text)
+        found, start = self._ids(words), np.asarray(window_starts(len(words)))
+        logits = np.concatenate([self.net.run(self.gates[found[start[a : a + self.CHUNK_WINDOWS] + np.arange(WINDOW)[:, None]]], None) for a in range(0, len(start), self.CHUNK_WINDOWS)])
+        top = np.sort(np.argsort(-logits, kind="stable")[:most])
+        return " ".join(w for s in start[top].tolist() for w in words[s : s + WINDOW])
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         out = np.full(len(texts), -np.inf, np.float32)
         if len(self.index) > self.CACHE_WORDS:
@@ -308,37 +344,76 @@ class Scorer:
         return _sigmoid(out.astype(np.float64))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> Network:
-    """Train on at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled rows outside the held-out fifth, on an excerpt of at most ``TRAIN_WORDS`` words of each."""
-    sample = training_sample(docs, labels, label, {1: TOXIC_ROWS, 0: CLEAN_ROWS}, id_col, text_col)
+def _vocabulary(sample: DataFrame) -> dict[str, int]:
+    """The vocabulary of whole sampled texts. The driver sees the words that are kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = Counter(w for t in batch.column(0) for w in entries(t.as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["word", "n"])
+
+    counts = sample.select("text").mapInArrow(workers.lean(run), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
+    return vocabulary_of([(r["word"], r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 1).collect()])
+
+
+def _excerpts(sample: DataFrame, net: Network | None) -> dict:
+    """``(excerpt, label, is_long)`` by id of sampled texts, long ones only if there is a network to choose their windows."""
+    held = sample.sparkSession.sparkContext.broadcast(net)
     kind = sample.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(held.value) if held.value else None
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([excerpt(t.as_py()) for t in batch.column(1)], pa.string()), batch.column(2)], ["doc_id", "text", "label"])
+            texts = [t.as_py() for t in batch.column(1)]
+            is_long = [len(tokens(t)) > TRAIN_WORDS for t in texts]
+            if scorer:
+                batch, texts, is_long = batch.filter(pa.array(is_long, pa.bool_())), [t for t, x in zip(texts, is_long, strict=True) if x], [True] * sum(is_long)
+            found = [scorer.top_windows(t, TRAIN_WORDS // WINDOW) if scorer else excerpt(t) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string()), batch.column(2), pa.array(is_long, pa.bool_())], ["doc_id", "text", "label", "is_long"])
 
-    rows = sorted((r["doc_id"], r["text"], r["label"]) for r in sample.select("doc_id", "text", "label").mapInArrow(run, f"doc_id {kind}, text string, label int").collect())
-    return train([r[1] for r in rows], [r[2] for r in rows])
+    rows = sample.select("doc_id", "text", "label").mapInArrow(workers.lean(run), f"doc_id {kind}, text string, label int, is_long boolean").collect()
+    held.destroy()
+    return {r["doc_id"]: (r["text"], r["label"], r["is_long"]) for r in rows}
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> Network:
+    """Train on at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled rows outside the held-out fifth, on all windows of each.
+
+    The driver holds ``TRAIN_WORDS`` words of each row at most.  Of longer texts these are windows at even distances
+    first; then, after each of the ``PASSES``, those windows of the whole text that score highest by then.  In a clean
+    text these are the ones that training has to correct, in a toxic one those that may have made it so.
+    """
+    sample = written(training_sample(docs, labels, label, {1: TOXIC_ROWS, 0: CLEAN_ROWS}, id_col, text_col), "training-sample")
+    rows = _excerpts(sample, None)
+    ids = sorted(rows)
+    net, moment = new_network(_vocabulary(sample), np.random.default_rng(3)), {}
+    stops = [round(STEPS * x) for x in PASSES] if any(x for _, _, x in rows.values()) else [STEPS]
+    for begin, end in zip([0, *stops], stops, strict=False):
+        if begin:
+            rows.update(_excerpts(sample, net))
+        net = train([rows[k][0] for k in ids], [rows[k][1] for k in ids], end - begin, net=net, begin=begin, of_steps=STEPS, moment=moment)
+    discard(sample)
+    return net
 
 
 def scored(docs: DataFrame, net: Network, text_col: str = "text", column: str = "score") -> DataFrame:
     """``docs`` with the score of each text in one more column. Null and empty texts are windows of one empty word.
 
-    A column of that name is replaced.
+    A column of that name, as Spark compares names, is replaced; names may hold dots.
     """
     held = docs.sparkSession.sparkContext.broadcast(net)
-    plain = StructType([f for f in docs.schema.fields if f.name != column])
+    plain, at, out = arrays.extended(docs, text_col, column, DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(held.value)
         for batch in batches:
-            texts = arrays.as_strings(batch.column(batch.schema.get_field_index(text_col)))
+            texts = arrays.as_strings(batch.column(at))
             for a, b in arrays.slices(texts):
                 found = scorer.scores(texts.slice(a, b - a).to_pylist())
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], [*part.schema.names, column])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.float64())], out.names)
 
-    return docs.select(*plain.names).mapInArrow(workers.lean(run), StructType([*plain.fields]).add(column, DoubleType()))
+    return plain.mapInArrow(workers.lean(run), out)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", threshold: float = 0.5) -> DataFrame:
@@ -359,6 +434,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **opt
     """
     net = fit_toxicity(docs, labels, **options)
     column = "__toxicity"
-    while column in docs.columns:
+    while column in {c.lower() for c in docs.columns}:
         column += "_"
     return scored(docs, net, options.get("text_col", "text"), column).where(F.col(column) < threshold).drop(column)
