@@ -224,8 +224,23 @@ def _frequent_shingles(docs: DataFrame, total: int, shingle: int) -> tuple[np.nd
     return np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
 
 
+#: Bits of the odd sketch of all shingles of a text, in words of 64.
+ODD_WORDS = 16
+_ODD = [f"o{k}" for k in range(ODD_WORDS)]
+
+
+def _odd_sketches(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """Of each text ``ODD_WORDS`` words whose bits tell which residues an odd number of its hashes have."""
+    bits = hashes & np.uint64(64 * ODD_WORDS - 1)
+    words = np.zeros(texts * ODD_WORDS, np.uint64)
+    np.bitwise_xor.at(words, owner * ODD_WORDS + (bits >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bits & np.uint64(63)))
+    return words
+
+
 def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: float) -> DataFrame:
-    """``(doc, cell, at, n)``: the first shingles of each text in one order of all shingles, their places, and the text's number of them.
+    """``(doc, cell, at, n, odd)``: the first shingles of each text in one order of all shingles, their places, and the text's number of them.
+
+    ``odd``, in a text's first row only, is the odd sketch of all its shingles.
 
     Of two texts at ``similarity`` or more, each has at least ``ceil(similarity * n)`` shingles in common with the other,
     so all but the last ``ceil(similarity * n) - 1`` of both have one in common, whatever the order is.  The order puts
@@ -241,6 +256,7 @@ def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: floa
                 hashes, first = _distinct_hashes(texts.slice(a, b - a), shingle)
                 n = np.diff(first)
                 owner = np.repeat(np.arange(len(n)), n)
+                sketch = _odd_sketches(hashes, owner, len(n)).reshape(-1, ODD_WORDS)
                 if len(known) and len(hashes):
                     place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
                     level = np.where(known[place] == hashes, often[place], 0)
@@ -251,9 +267,11 @@ def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: floa
                 owner = np.concatenate([owner[ahead], empty])
                 cells = np.concatenate([hashes[ahead].view(np.int64), np.full(len(empty), _EMPTY, np.int64)])
                 at = np.concatenate([at[ahead], np.zeros(len(empty), np.int64)])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(owner)), pa.array(cells), pa.array(at, pa.int32()), pa.array(n[owner], pa.int32())], ["doc", "cell", "at", "n"])
+                ends = np.concatenate([[0], np.cumsum(at == 0)]) * ODD_WORDS
+                odd = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sketch[owner[at == 0]].ravel().view(np.int64)), mask=pa.array(at != 0))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(owner)), pa.array(cells), pa.array(at, pa.int32()), pa.array(n[owner], pa.int32()), odd], ["doc", "cell", "at", "n", "odd"])
 
-    return docs.select("doc_id", "text").mapInArrow(workers.lean(run), "doc long, cell long, at int, n int")
+    return docs.select("doc_id", "text").mapInArrow(workers.lean(run), "doc long, cell long, at int, n int, odd array<long>")
 
 
 def _simhash_stars(rows: DataFrame, names: list[str], radius: int) -> DataFrame:
@@ -283,14 +301,31 @@ _SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
 HEAD = 32
 
 
-def _sketched(cells: DataFrame) -> DataFrame:
-    """``cells`` with, of each document, the number ``q`` of its cells here, the first of them (``head``) and a sketch: one bit set for each of them."""
+def _odd_of_documents(prefixes: DataFrame) -> DataFrame:
+    """``(of_doc, o0, ...)``: the odd sketch of each document; null where rows of one id have different ones."""
+    words = prefixes.where("odd is not null").select("doc", *(F.get("odd", F.lit(k)).alias(o) for k, o in enumerate(_ODD)))
+    return words.groupBy(F.col("doc").alias("of_doc")).agg(*(F.when(F.min(o) == F.max(o), F.min(o)).alias(o) for o in _ODD))
+
+
+def _may_agree(similarity: float) -> Column:
+    """Whether two texts can have few enough shingles that only one of them has.
+
+    Each such shingle turns one bit of the odd sketch over, so at least as many are different as bits are.  Texts of
+    thousands of shingles fill the sketch, which then excludes nothing.
+    """
+    differ = sum((F.bit_count(F.col(f"x_{o}").bitwiseXOR(F.col(f"y_{o}"))) for o in _ODD), F.lit(0))
+    return F.coalesce(differ <= F.lit((1 - similarity) / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) + 1e-6, F.lit(True))
+
+
+def _sketched(cells: DataFrame, odd: DataFrame) -> DataFrame:
+    """``cells`` with, of each document, the number ``q`` of its cells here, the first of them (``head``), a sketch: one bit set for each of them, and its odd sketch."""
     bit = F.pmod(F.xxhash64("cell"), F.lit(64 * SKETCH_WORDS))
     word = F.floor(bit / 64)
     one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cell), {64 * SKETCH_WORDS}) % 64 AS int))")
     head = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", "cell"))), 1, HEAD), lambda x: x["cell"]).alias("head")
     sketches = cells.groupBy("doc").agg(F.count(F.lit(1)).alias("q"), head, *(F.bit_or(F.when(word == k, one).otherwise(F.lit(0).cast("long"))).alias(s) for k, s in enumerate(_SKETCH)))
-    return cells.join(sketches.withColumnRenamed("doc", "__doc"), F.col("doc") == F.col("__doc")).drop("__doc")
+    both = sketches.withColumnRenamed("doc", "__doc").join(odd, F.col("__doc") == F.col("of_doc")).drop("of_doc")
+    return cells.join(both, F.col("doc") == F.col("__doc")).drop("__doc")
 
 
 def _may_share(similarity: float) -> Column:
@@ -314,7 +349,7 @@ def _first_shared() -> Column:
 
 def _side(cells: DataFrame, side: str, *more: str) -> DataFrame:
     """The columns of one side of a comparison within a cell."""
-    named = [F.col(c).alias(f"{side}_{c}") for c in ("n", "at", "c", "q", "head", *_SKETCH) if c in cells.columns]
+    named = [F.col(c).alias(f"{side}_{c}") for c in ("n", "at", "c", "q", "head", *_SKETCH, *_ODD) if c in cells.columns]
     return cells.select((F.col("cell") + 0).alias(f"{side}_cell"), *more, F.col("doc").alias(side), *named)
 
 
@@ -343,10 +378,10 @@ def _cell_stars(cells: DataFrame, similarity: float, salt: int) -> DataFrame:
     """
     party = F.pmod(F.xxhash64("doc", F.lit(salt)), F.greatest(F.floor(F.col("m") / PARTY), F.lit(1).cast("long")))
     dealt = cells.withColumn("party", party)
-    hubs = dealt.groupBy("cell", "party").agg(F.min(F.struct(F.xxhash64("doc", F.lit(-salt)).alias("first"), "doc", "n", "at", "c", "q", *_SKETCH)).alias("hub"))
+    hubs = dealt.groupBy("cell", "party").agg(F.min(F.struct(F.xxhash64("doc", F.lit(-salt)).alias("first"), "doc", "n", "at", "c", "q", *_SKETCH, *_ODD)).alias("hub"))
     hubs = _side(hubs.select("cell", F.col("party").alias("of_party"), "hub.*"), "y", "of_party")
     met = (F.col("x_cell") == F.col("y_cell")) & (F.col("party") == F.col("of_party")) & (F.col("x_c") != F.col("y_c"))
-    found = _side(dealt, "x", "party").join(hubs, met & _may_reach(similarity) & _may_share(similarity))
+    found = _side(dealt, "x", "party").join(hubs, met & _may_reach(similarity) & _may_share(similarity) & _may_agree(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -363,7 +398,7 @@ def _all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
     sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     top = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top")).select((F.col("cell") + 0).alias("of"), F.col("top.c").alias("largest"))
     few = _side(cells.join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest"), "x")
-    found = few.join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity) & _may_share(similarity) & _first_shared())
+    found = few.join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity) & _may_share(similarity) & _first_shared() & _may_agree(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -389,14 +424,15 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     every = written(shingle_prefixes(present, total, shingle, similarity), "prefixes")
     # Cells of one document have nothing to find. A document's cells differ, so that a count tells.
     shared = every.groupBy("cell").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select((F.col("cell") + 0).alias("of"))
-    cells = written(every.join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
+    cells = written(every.drop("odd").join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
+    odd = written(_odd_of_documents(every), "odd")
     discard(every)
     free_shuffles(spark)
 
     def narrowed(cells: DataFrame, links: DataFrame) -> DataFrame:
         known = connected_components(links, "a", "b")
         mixed = _mixed_cells(cells.select("doc", "cell", "at", "n"), known)
-        out = written(_sketched(mixed), "sketched")
+        out = written(_sketched(mixed, odd), "sketched")
         discard(known, cells, mixed)
         return out
 
@@ -412,7 +448,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         cells = narrowed(cells, links)
     last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)
     nodes = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("component", "component_id")
-    discard(cells, *found, last)
+    discard(cells, odd, *found, last)
     return own.select("doc_id").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

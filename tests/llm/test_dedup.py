@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from sparkwarden.llm import simhash, substring_dedup
@@ -163,3 +164,33 @@ def test_near_copies_under_one_fingerprint(spark):
     got = dict(rows_of(simhash.near_copies(docs_of(spark, texts)), "doc_id", "component_id"))
     want = components(len(texts), all_links(texts))
     assert [got[i] for i in range(len(texts))] == want and want[-1] == 0 and want[2] == 1
+
+
+def test_odd_sketches_bound_differences():
+    rng = np.random.default_rng(11)
+    for size in (1, 40, 300, 5000):
+        one = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for moved in (0, 1, size // 10, size):
+            other = np.concatenate([one[moved:], rng.integers(0, 2**63, moved, dtype=np.uint64)])
+            both = simhash._odd_sketches(np.concatenate([one, other]), np.repeat([0, 1], [len(one), len(other)]), 2).reshape(2, -1)
+            bits = int(np.bitwise_count(both[0] ^ both[1]).sum())
+            assert bits <= len(np.setxor1d(one, other))
+            assert moved or bits == 0
+
+
+def test_near_copies_of_long_texts_and_repeated_ids(spark):
+    """Texts that fill the sketch, and ids with several texts, of which any may be the link."""
+    rng = random.Random(12)
+    words = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+
+    def changed(text, share):
+        return [w if rng.random() > share else "x" + w for w in text]
+
+    long = words(6000)
+    near, far = changed(long, 0.012), changed(long, 0.06)
+    one, two = words(150), words(150)
+    rows = [(0, long), (1, near), (2, far), (10, one), (11, two), (12, [*one[:-1], "other"]), (12, ["other", *two[1:]]), (13, words(150))]
+    assert jaccard(" ".join(long), " ".join(near)) >= 0.8 > jaccard(" ".join(long), " ".join(far))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = rows_of(simhash.near_copies(docs), "doc_id", "component_id")
+    assert sorted(got) == sorted([(0, 0), (1, 0), (2, 2), (10, 10), (11, 10), (12, 10), (12, 10), (13, 13)])
