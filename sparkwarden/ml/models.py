@@ -157,9 +157,11 @@ def topic_ranking(counts: DataFrame, topics: int) -> DataFrame:
 def table_cosine(a: DataFrame, b: DataFrame) -> DataFrame:
     """How alike two word-topic tables ``(word, topic, n)`` are, as one row: the cosine of each word's topics, weighted by its count.
 
-    The weight of a word is its count in both tables; words that one table lacks count as 0 alike.
+    The weight of a word is its count in both tables; words that one table lacks count as 0 alike.  Counts are multiplied
+    as doubles: products of sums of squares do not fit a long.
     """
-    joined = a.select("word", "topic", F.col("n").alias("x")).join(b.select("word", "topic", F.col("n").alias("y")), ["word", "topic"], "full").fillna(0, ["x", "y"])
+    as_double = lambda t, name: t.select("word", "topic", F.col("n").cast("double").alias(name))
+    joined = as_double(a, "x").join(as_double(b, "y"), ["word", "topic"], "full").fillna(0.0, ["x", "y"])
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")) * F.sum(F.col("y") * F.col("y")))
     words = joined.groupBy("word").agg(F.sum(F.col("x") + F.col("y")).alias("n"), F.when(norm > 0, F.sum(F.col("x") * F.col("y")) / norm).otherwise(0.0).alias("cosine"))
     return words.agg(F.round(F.sum(F.col("n") * F.col("cosine")) / F.sum("n"), 6).alias("cosine"))
