@@ -140,8 +140,11 @@ def topic_model(tokens: DataFrame, topics: int, seeds: dict[str, int] | None = N
     """
     weight = F.when(F.col("word").isin(list(seeds or {})), boost).otherwise(1)
     bags = tokens.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array_repeat(F.col("word"), weight))).alias("items"))
+    bags = written(bags, "bags")  # the vocabulary and the vectors are made of them
     counted = CountVectorizer(inputCol="items", outputCol="features", vocabSize=vocabulary, minDF=2.0).fit(bags)
-    model = LDA(k=topics, maxIter=iterations, seed=seed).fit(counted.transform(bags))
+    vectors = written(counted.transform(bags).select("features"), "vectors")  # each iteration reads them
+    model = LDA(k=topics, maxIter=iterations, seed=seed).fit(vectors)
+    discard(bags, vectors)
     names = tokens.sparkSession.createDataFrame(list(enumerate(counted.vocabulary)), "k int, word string")
     top = model.describeTopics(words or len(counted.vocabulary)).select("topic", F.explode(F.arrays_zip("termIndices", "termWeights")).alias("t"))
     return top.select("topic", F.col("t.termIndices").alias("k"), F.col("t.termWeights").alias("p")).join(names, "k").select("topic", "word", "p")
