@@ -237,19 +237,68 @@ def _odd_sketches(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarr
     return words
 
 
-def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: float) -> DataFrame:
-    """``(doc, cell, at, n, odd)``: the first shingles of each text in one order of all shingles, their places, and the text's number of them.
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit hashes of 64-bit hashes."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-    ``odd``, in a text's first row only, is the odd sketch of all its shingles.
 
-    Of two texts at ``similarity`` or more, each has at least ``ceil(similarity * n)`` shingles in common with the other,
-    so all but the last ``ceil(similarity * n) - 1`` of both have one in common, whatever the order is.  The order puts
-    shingles last that are frequent in a sample, so common lines are sought only where a text has little else.
+#: Parts that a set is cut into, for each shingle that a pair may differ by, and besides.
+PARTS, MORE_PARTS = 1.3, 8
+
+
+def _part_cells(hashes: np.ndarray, owner: np.ndarray, rare: np.ndarray, sizes: np.ndarray, level: np.ndarray, similarity: float, own: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``(owner, cell)``: the cells of texts as the smaller one of a pair or of the same level (``own``), or as the larger one a level higher.
+
+    ``sizes`` are the texts' numbers of shingles, ``level`` the size class in which the cells are made.
+    """
+    top = (np.int64(2) << level) - 1
+    bound = (1 - similarity) / (1 + similarity)
+    most = sizes * (1 - similarity) / similarity if own else bound * (sizes + np.minimum(sizes, top))
+    differ = np.floor(most + 1e-6).astype(np.int64)
+    parts = np.ceil(PARTS * top * (1 - similarity) / similarity).astype(np.int64) + MORE_PARTS
+    salt = _mixed(level.astype(np.uint64) + np.uint64(1))
+    part = (_mixed(hashes ^ salt[owner]) % parts[owner].astype(np.uint64)).astype(np.int64)
+    order = np.lexsort((part, owner))
+    hashes, owner, part, rare = hashes[order], owner[order], part[order], rare[order]
+    starts = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])]) if len(owner) else np.zeros(0, np.int64)
+    of = owner[starts]
+    cells = _mixed(np.add.reduceat(_mixed(hashes), starts) + _mixed(part[starts].astype(np.uint64) ^ salt[of])) if len(starts) else np.zeros(0, np.uint64)
+    told = np.add.reduceat(rare.astype(np.int64), starts) if len(starts) else starts
+    order = np.lexsort((cells, -told, of))
+    of, cells = of[order], cells[order]
+    filled = np.bincount(of, minlength=len(sizes))
+    ahead = np.arange(len(of)) - (np.cumsum(filled) - filled)[of] <= differ[of]
+    # Sets that fill too few parts for a whole one to be left: their first shingles, among themselves.
+    poor = np.flatnonzero((filled <= differ) & (sizes > 0))
+    plain = np.isin(owner, poor)
+    mine, single = owner[plain], _mixed(hashes[plain] ^ salt[owner[plain]])
+    order = np.lexsort((single, mine))
+    mine, single = mine[order], single[order]
+    each = np.bincount(mine, minlength=len(sizes))
+    first = np.arange(len(mine)) - (np.cumsum(each) - each)[mine] < (sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1)[mine]
+    return np.concatenate([of[ahead], mine[first]]), np.concatenate([cells[ahead], single[first]])
+
+
+def part_cells(docs: DataFrame, total: int, shingle: int, similarity: float) -> DataFrame:
+    """``(doc, cell, n, odd)``: cells of which any two texts at ``similarity`` or more have one in common.
+
+    ``n`` and ``odd``, in a text's first row only, are the number of its distinct shingles and their odd sketch.
+
+    Shingles are dealt by their hashes into parts, as many for all texts of one size class (up to twice the smallest);
+    a cell is the hash of all shingles of one part.  Two texts that differ by d shingles have equal shingles in all but d
+    of the parts, so in any one order of cells the first d + 1 of both have one in common.  Cells of many rare shingles
+    come first: unlike the shingles themselves, they are not met by chance, and common lines are sought only where a text
+    has little else.  A text is dealt as its own size class, and as the one below where a partner may be in that.  Texts
+    that fill no more than d parts are also sought by single shingles, all but the last ``ceil(similarity * n) - 1``.
     """
+    if similarity <= 0.5:
+        raise ValueError("similarity must be over 0.5")
     held = docs.sparkSession.sparkContext.broadcast(_frequent_shingles(docs, total, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, often = held.value
+        known, _ = held.value
         for batch in batches:
             texts = arrays.as_strings(batch.column(1))
             for a, b in arrays.slices(texts):
@@ -257,90 +306,67 @@ def shingle_prefixes(docs: DataFrame, total: int, shingle: int, similarity: floa
                 n = np.diff(first)
                 owner = np.repeat(np.arange(len(n)), n)
                 sketch = _odd_sketches(hashes, owner, len(n)).reshape(-1, ODD_WORDS)
+                rare = np.ones(len(hashes), bool)
                 if len(known) and len(hashes):
-                    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-                    level = np.where(known[place] == hashes, often[place], 0)
-                    hashes = hashes[np.lexsort((level, owner))]  # stable: equal levels stay in the order of hashes
-                at = np.arange(len(hashes)) - first[owner]
-                ahead = at < (n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1)[owner]
+                    rare = known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] != hashes
+                level = np.frexp(np.maximum(n, 1).astype(np.float64))[1].astype(np.int64) - 1
+                below = np.ceil(similarity * n - 1e-6) < np.int64(1) << level
+                also = below[owner]
+                found = [_part_cells(hashes, owner, rare, n, level, similarity, True)]
+                found.append(_part_cells(hashes[also], owner[also], rare[also], np.where(below, n, 0), np.maximum(level - 1, 0), similarity, False))
                 empty = np.flatnonzero(n == 0)
-                owner = np.concatenate([owner[ahead], empty])
-                cells = np.concatenate([hashes[ahead].view(np.int64), np.full(len(empty), _EMPTY, np.int64)])
-                at = np.concatenate([at[ahead], np.zeros(len(empty), np.int64)])
-                ends = np.concatenate([[0], np.cumsum(at == 0)]) * ODD_WORDS
-                odd = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sketch[owner[at == 0]].ravel().view(np.int64)), mask=pa.array(at != 0))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(owner)), pa.array(cells), pa.array(at, pa.int32()), pa.array(n[owner], pa.int32()), odd], ["doc", "cell", "at", "n", "odd"])
-
-    return docs.select("doc_id", "text").mapInArrow(workers.lean(run), "doc long, cell long, at int, n int, odd array<long>")
-
-
-def _simhash_stars(rows: DataFrame, names: list[str], radius: int) -> DataFrame:
-    """Pairs of documents with the same fingerprints, or a quarter of one and ``2 * radius`` differing bits, with one document each."""
-    classes = written(rows.groupBy(*names).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
-    same = rows.join(classes.select(*(F.col(n).alias(f"_{n}") for n in names), "rep"), [F.col(n) == F.col(f"_{n}") for n in names]).where("doc_id <> rep")
-    stars = same.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    for k, name in enumerate(names):
-        quarter = classes.select("rep", "n", F.col(name).alias("fp"), F.explode(F.array(*[F.shiftrightunsigned(name, 16 * q).bitwiseAND(F.lit(0xFFFF)).cast("long") + F.lit((4 * k + q) << 16) for q in range(4)])).alias("key"))
-        top = quarter.groupBy("key").agg(F.max(F.struct("n", "rep", "fp")).alias("top")).select((F.col("key") + 0).alias("of"), F.col("top.rep").alias("hub"), F.col("top.fp").alias("hub_fp"))
-        spread = quarter.select("rep", "fp", (F.col("key") + 0).alias("of"))
-        near = spread.join(top, (spread["of"] == top["of"]) & (spread["rep"] != top["hub"]) & (distance("fp", "hub_fp") <= 2 * radius))
-        stars = stars.unionByName(near.select(F.col("rep").alias("a"), F.col("hub").alias("b")))
-    return stars
-
-
-def _may_reach(similarity: float) -> Column:
-    """Whether two texts whose first common shingle is at ``x_at`` and ``y_at`` can have enough in common after it."""
-    common = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
-    return common >= F.lit(similarity / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) - 1e-6
-
-
-#: Bits of the sketch of a text's cells, in words of 64.
-SKETCH_WORDS = 8
-_SKETCH = [f"s{k}" for k in range(SKETCH_WORDS)]
+                of = np.concatenate([found[0][0], found[1][0], empty])
+                cells = np.concatenate([found[0][1].view(np.int64), found[1][1].view(np.int64), np.full(len(empty), _EMPTY, np.int64)])
+                order = np.argsort(of, kind="stable")
+                of, cells = of[order], cells[order]
+                lead = np.r_[True, of[1:] != of[:-1]] if len(of) else np.zeros(0, bool)
+                ends = np.concatenate([[0], np.cumsum(lead)]) * ODD_WORDS
+                odd = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(sketch[of[lead]].ravel().view(np.int64)), mask=pa.array(~lead))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(of)), pa.array(cells), pa.array(n[of], pa.int32(), mask=~lead), odd], ["doc", "cell", "n", "odd"])
+
+    return docs.select("doc_id", "text").mapInArrow(workers.lean(run), "doc long, cell long, n int, odd array<long>")
+
+
+def _grid_pairs(rows: DataFrame, radius: int, widths: tuple[int, ...] = WIDTHS, parts: int = 2) -> DataFrame:
+    """Pairs ``(a, b)`` of ids of ``rows`` (``doc_id``, ``f0``): each document with the first one of its fingerprint, and the first ones of fingerprints that the range-join on grid points links."""
+    classes = written(rows.groupBy(F.col("f0").alias("fp")).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
+    links = fingerprint_links(classes.select("fp", "n"), radius, widths, parts)
+    same = rows.join(classes, rows["f0"] == classes["fp"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    of_a, of_b = (classes.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
+    near = links.join(of_a, "a").join(of_b, "b").select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+    pairs = written(same.unionByName(near).distinct(), "proposed")
+    discard(classes, links)
+    return pairs
+
+
 #: Cells of a document that each of its rows names, in order.
 HEAD = 32
 
 
-def _odd_of_documents(prefixes: DataFrame) -> DataFrame:
-    """``(of_doc, o0, ...)``: the odd sketch of each document; null where rows of one id have different ones."""
-    words = prefixes.where("odd is not null").select("doc", *(F.get("odd", F.lit(k)).alias(o) for k, o in enumerate(_ODD)))
-    return words.groupBy(F.col("doc").alias("of_doc")).agg(*(F.when(F.min(o) == F.max(o), F.min(o)).alias(o) for o in _ODD))
+def _odd_of_documents(cells: DataFrame) -> DataFrame:
+    """``(of_doc, n, o0, ...)``: the number of shingles and the odd sketch of each document; null where rows of one id have different ones."""
+    words = cells.where("odd is not null").select("doc", "n", *(F.get("odd", F.lit(k)).alias(o) for k, o in enumerate(_ODD)))
+    return words.groupBy(F.col("doc").alias("of_doc")).agg(*(F.when(F.min(o) == F.max(o), F.min(o)).alias(o) for o in ("n", *_ODD)))
 
 
 def _may_agree(similarity: float) -> Column:
-    """Whether two texts can have few enough shingles that only one of them has.
+    """Whether two texts can have few enough shingles that only one of them has: by their numbers, and by their odd sketches.
 
     Each such shingle turns one bit of the odd sketch over, so at least as many are different as bits are.  Texts of
     thousands of shingles fill the sketch, which then excludes nothing.
     """
     differ = sum((F.bit_count(F.col(f"x_{o}").bitwiseXOR(F.col(f"y_{o}"))) for o in _ODD), F.lit(0))
+    differ = F.greatest(differ, F.abs(F.col("x_n") - F.col("y_n")))
     return F.coalesce(differ <= F.lit((1 - similarity) / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) + 1e-6, F.lit(True))
 
 
 def _sketched(cells: DataFrame, odd: DataFrame) -> DataFrame:
-    """``cells`` with, of each document, the number ``q`` of its cells here, the first of them (``head``), a sketch: one bit set for each of them, and its odd sketch."""
-    bit = F.pmod(F.xxhash64("cell"), F.lit(64 * SKETCH_WORDS))
-    word = F.floor(bit / 64)
-    one = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(cell), {64 * SKETCH_WORDS}) % 64 AS int))")
-    head = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", "cell"))), 1, HEAD), lambda x: x["cell"]).alias("head")
-    sketches = cells.groupBy("doc").agg(F.count(F.lit(1)).alias("q"), head, *(F.bit_or(F.when(word == k, one).otherwise(F.lit(0).cast("long"))).alias(s) for k, s in enumerate(_SKETCH)))
-    both = sketches.withColumnRenamed("doc", "__doc").join(odd, F.col("__doc") == F.col("of_doc")).drop("of_doc")
+    """``cells`` with, of each document, the first of its cells here (``head``), its number of shingles and its odd sketch."""
+    head = F.slice(F.sort_array(F.collect_set("cell")), 1, HEAD).alias("head")
+    both = cells.groupBy(F.col("doc").alias("__doc")).agg(head).join(odd, F.col("__doc") == F.col("of_doc")).drop("of_doc")
     return cells.join(both, F.col("doc") == F.col("__doc")).drop("__doc")
 
 
-def _may_share(similarity: float) -> Column:
-    """Whether two texts can have enough shingles in common, given how many cells both can have at most.
-
-    Shingles in common that are not among the first ones of both are beyond the first ones of one of them, so they are
-    at most as many as either text has there.  Cells in common set bits in common; of cells that fell on one bit, all but
-    one are added, so the count is never too low.
-    """
-    ones = lambda side, other: sum((F.bit_count(F.col(f"{side}_{s}").bitwiseAND(F.col(f"{other}_{s}"))) for s in _SKETCH), F.lit(0))
-    spare = F.least(F.col("x_q") - ones("x", "x"), F.col("y_q") - ones("y", "y"))
-    beyond = F.greatest(*(F.greatest(F.ceil(similarity * F.col(f"{side}_n") - 1e-9) - 1, F.lit(0)) for side in "xy"))
-    return ones("x", "y") + spare + beyond >= F.lit(similarity / (1 + similarity)) * (F.col("x_n") + F.col("y_n")) - 1e-6
-
-
 def _first_shared() -> Column:
     """Whether this is the cell in which a pair is to be named: the first one that both heads have, any one if they have none."""
     both = F.array_intersect("x_head", "y_head")
@@ -349,18 +375,18 @@ def _first_shared() -> Column:
 
 def _side(cells: DataFrame, side: str, *more: str) -> DataFrame:
     """The columns of one side of a comparison within a cell."""
-    named = [F.col(c).alias(f"{side}_{c}") for c in ("n", "at", "c", "q", "head", *_SKETCH, *_ODD) if c in cells.columns]
+    named = [F.col(c).alias(f"{side}_{c}") for c in ("n", "c", "head", *_ODD) if c in cells.columns]
     return cells.select((F.col("cell") + 0).alias(f"{side}_cell"), *more, F.col("doc").alias(side), *named)
 
 
-def _mixed_cells(prefixes: DataFrame, known: DataFrame) -> DataFrame:
-    """``prefixes`` with each document's component ``c`` and the cell's size ``m``, in the cells where several components meet."""
+def _mixed_cells(shared: DataFrame, known: DataFrame) -> DataFrame:
+    """``shared`` (``doc``, ``cell``) with each document's component ``c`` and the cell's size ``m``, in the cells where several components meet."""
     labels = known.select(F.col("node").alias("doc"), F.col("component"))
-    labelled = written(prefixes.join(small_or_shuffled(labels), "doc", "left").select("cell", "doc", "at", "n", F.coalesce("component", "doc").alias("c")), "labelled")
+    labelled = written(shared.join(small_or_shuffled(labels), "doc", "left").select("cell", "doc", F.coalesce("component", "doc").alias("c")), "labelled")
     mixed = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select((F.col("cell") + 0).alias("of"), "m")
     out = written(labelled.join(mixed, F.col("cell") + 0 == F.col("of")).drop("of"), "mixed")
     discard(labelled)
-    free_shuffles(prefixes.sparkSession)
+    free_shuffles(shared.sparkSession)
     return out
 
 
@@ -378,15 +404,15 @@ def _cell_stars(cells: DataFrame, similarity: float, salt: int) -> DataFrame:
     """
     party = F.pmod(F.xxhash64("doc", F.lit(salt)), F.greatest(F.floor(F.col("m") / PARTY), F.lit(1).cast("long")))
     dealt = cells.withColumn("party", party)
-    hubs = dealt.groupBy("cell", "party").agg(F.min(F.struct(F.xxhash64("doc", F.lit(-salt)).alias("first"), "doc", "n", "at", "c", "q", *_SKETCH, *_ODD)).alias("hub"))
+    hubs = dealt.groupBy("cell", "party").agg(F.min(F.struct(F.xxhash64("doc", F.lit(-salt)).alias("first"), "doc", "n", "c", *_ODD)).alias("hub"))
     hubs = _side(hubs.select("cell", F.col("party").alias("of_party"), "hub.*"), "y", "of_party")
     met = (F.col("x_cell") == F.col("y_cell")) & (F.col("party") == F.col("of_party")) & (F.col("x_c") != F.col("y_c"))
-    found = _side(dealt, "x", "party").join(hubs, met & _may_reach(similarity) & _may_share(similarity) & _may_agree(similarity))
+    found = _side(dealt, "x", "party").join(hubs, met & _may_agree(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _pairs_to_come(cells: DataFrame) -> tuple[int, int]:
-    """How many pairs ``_all_pairs`` would look at, places aside, and the rows of the cells."""
+    """How many pairs ``_all_pairs`` would look at and the rows of the cells."""
     sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     per = sizes.groupBy("cell").agg(F.sum("m").alias("m"), F.max("m").alias("top"))
     found = per.agg(F.sum((F.col("m") - F.col("top")) * F.col("m")).alias("pairs"), F.sum("m").alias("rows")).first()
@@ -394,44 +420,47 @@ def _pairs_to_come(cells: DataFrame) -> tuple[int, int]:
 
 
 def _all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
-    """All pairs of documents of different components that share a cell, where the places leave room for ``similarity``."""
+    """All pairs of documents of different components that share a cell, where their odd sketches leave room for ``similarity``."""
     sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     top = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top")).select((F.col("cell") + 0).alias("of"), F.col("top.c").alias("largest"))
     few = _side(cells.join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest"), "x")
-    found = few.join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _may_reach(similarity) & _may_share(similarity) & _first_shared() & _may_agree(similarity))
+    found = few.join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _first_shared() & _may_agree(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 8, seeds: tuple[int, ...] = (42, 43)) -> DataFrame:
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 4, seed: int = 42) -> DataFrame:
     """One row per row of ``docs``: id and ``component_id``, for links of ``similarity`` or more on word shingles.
 
-    Components are those of *all* pairs whose shingle sets have that Jaccard similarity.  Pairs are proposed by several
-    SimHashes first and by shared shingles of prefixes (see ``shingle_prefixes``) then, and each is compared exactly.
-    Dense groups are not paired with themselves: rounds compare documents with single others, until few pairs are left
-    or ``ROUNDS`` were made, and the last round takes every proposed pair whose ends are in different components by then.  Ids are integers; rows without an id are
+    Components are those of *all* pairs whose shingle sets have that Jaccard similarity.  Pairs are proposed by
+    the grid range-join of SimHashes first, and what that leaves out by equal parts of their shingle sets (see
+    ``part_cells``) then; each is compared exactly.
+    Dense groups are not paired with themselves: rounds compare documents with single others, until few pairs are left,
+    a round finds none or ``ROUNDS`` were made, and the last round takes every proposed pair whose ends are in different components by then.  Ids are integers; rows without an id are
     left out of groups (component null), rows that repeat an id are one document.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     present = own.where("doc_id is not null")
     spark = docs.sparkSession
     free_shuffles(spark)  # those of whoever made ``docs``
-    names = [f"f{k}" for k in range(len(seeds))]
-    rows = written(fingerprints(present, shingle=shingle, seeds=seeds), "fingerprints")
+    rows = written(fingerprints(present, shingle=shingle, seeds=(seed,)), "fingerprints")
     total = rows.count()
-    links = verified_links(_simhash_stars(rows, names, radius).distinct(), own, shingle, similarity)
+    proposed = _grid_pairs(rows, radius)
+    links = verified_links(proposed, own, shingle, similarity)
     found = [links]
-    discard(rows)
-    every = written(shingle_prefixes(present, total, shingle, similarity), "prefixes")
+    discard(rows, proposed)
+    free_shuffles(spark)
+    every = written(part_cells(present, total, shingle, similarity), "parts")
     # Cells of one document have nothing to find. A document's cells differ, so that a count tells.
     shared = every.groupBy("cell").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select((F.col("cell") + 0).alias("of"))
-    cells = written(every.drop("odd").join(shared, F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
+    # Merged, not broadcast where it is small, so that small inputs say what large ones will shuffle.
+    cells = written(every.select("doc", "cell").join(shared.hint("merge"), F.col("cell") + 0 == F.col("of"), "left_semi"), "shared")
     odd = written(_odd_of_documents(every), "odd")
     discard(every)
     free_shuffles(spark)
 
     def narrowed(cells: DataFrame, links: DataFrame) -> DataFrame:
         known = connected_components(links, "a", "b")
-        mixed = _mixed_cells(cells.select("doc", "cell", "at", "n"), known)
+        mixed = _mixed_cells(cells.select("doc", "cell"), known)
         out = written(_sketched(mixed, odd), "sketched")
         discard(known, cells, mixed)
         return out
@@ -443,7 +472,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if pairs <= FEW_PAIRS * held:
             break
         more = verified_links(_cell_stars(cells, similarity, salt), own, shingle, similarity)
-        found, links = [*found, more], links.unionByName(more)
+        found = [*found, more]
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
         free_shuffles(spark)
         cells = narrowed(cells, links)
     last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)

@@ -194,3 +194,45 @@ def test_near_copies_of_long_texts_and_repeated_ids(spark):
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
     got = rows_of(simhash.near_copies(docs), "doc_id", "component_id")
     assert sorted(got) == sorted([(0, 0), (1, 0), (2, 2), (10, 10), (11, 10), (12, 10), (12, 10), (13, 13)])
+
+
+def test_similar_texts_share_a_part(spark):
+    """Any two texts at the bound have a cell in common, also short ones and those of two size classes; chance shingles make few."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    common, texts = [[word() for _ in range(5)] for _ in range(300)], []
+    for n in (5, 6, 7, 8, 9, 11, 12, 14, 18, 20, 30, 36, 67, 70, 130, 260, 300):
+        for _ in range(8):
+            w = [word() for _ in range(n)]
+            v = list(w)
+            for _ in range(rng.randint(1, max(1, n // 50))):
+                v[rng.choice([0, len(v) - 1, rng.randrange(len(v))])] = word()
+            longer = [*w, *(word() for _ in range((n - 4) // 4))]
+            texts += [" ".join(t) for t in (w, v, longer)]
+    near = all_links(texts)
+    assert len(near) >= 150
+    cells = {}
+    for r in simhash.part_cells(docs_of(spark, texts).select("doc_id", "text"), len(texts), 5, 0.8).collect():
+        cells.setdefault(r["doc"], set()).add(r["cell"])
+    assert all(cells[i] & cells[j] for i, j in near)
+    # Each shingle of these is in some forty texts, but no two texts are alike.
+    chance = [" ".join(w for line in rng.sample(common, 40) for w in line) for _ in range(300)]
+    rows = simhash.part_cells(docs_of(spark, chance).select("doc_id", "text"), len(chance), 5, 0.8).groupBy("cell").count().where("count > 1")
+    assert rows.count() <= 0.1 * 300 * 49
+
+
+def test_near_copies_are_proposed_by_the_grid(spark, monkeypatch):
+    """The range-join on grid points proposes pairs whose fingerprints differ; texts far from them are found beside it."""
+    rng = random.Random(5)
+    w = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+    texts = [" ".join(w), " ".join([*w[:-1], "other"])]
+    made, proposed = simhash.fingerprint_links, []
+
+    def watched(*args):
+        links = made(*args)
+        proposed.append(links.count())
+        return links
+
+    monkeypatch.setattr(simhash, "fingerprint_links", watched)
+    assert dict(rows_of(simhash.near_copies(docs_of(spark, texts)), "doc_id", "component_id")) == {0: 0, 1: 0}
+    assert one_simhash(texts[0], 5) != one_simhash(texts[1], 5) and proposed == [1]
