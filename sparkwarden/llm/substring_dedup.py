@@ -17,6 +17,7 @@ distinct candidate windows about n * n / 2**65 pairs collide, a few in ten billi
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -153,8 +154,12 @@ def _mark(docs: DataFrame, id_col: str, text_col: str, window: int, repeated: np
     return docs.select(id_col, text_col, *(["at"] if repeated is None else [])).mapInArrow(run, f"{id_col} {kind}, row long, n_words long, sha string, text string, first array<int>, runs array<binary>")
 
 
-def _windows(runs: DataFrame, with_place: bool) -> DataFrame:
-    """The windows of runs: their hash ``h``, and ``n`` (of the run) or their place (``row``, ``at``)."""
+#: Shares of all windows, by their hashes, that are shuffled one after the other: disk is needed for one of them.
+TURNS = 2
+
+
+def _windows(runs: DataFrame, with_place: bool, turn: int) -> DataFrame:
+    """The windows of runs whose turn it is: their hash ``h``, and ``n`` (of the run) or their place (``row``, ``at``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,12 +168,14 @@ def _windows(runs: DataFrame, with_place: bool) -> DataFrame:
                 blobs = part.column(0).to_pylist()
                 hashes = np.frombuffer(b"".join(blobs), np.int64)
                 per = np.array([len(x) // _HASH_BYTES for x in blobs])
+                mine = hashes % TURNS == turn
+                more = np.repeat(part.column(1).to_numpy(), per)[mine]
                 if with_place:
                     base = np.cumsum(per) - per
-                    at = np.arange(len(hashes)) - np.repeat(base - part.column(2).to_numpy(), per)
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.repeat(part.column(1).to_numpy(), per)), pa.array(at)], ["h", "row", "at"])
+                    at = (np.arange(len(hashes)) - np.repeat(base - part.column(2).to_numpy(), per))[mine]
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[mine]), pa.array(more), pa.array(at)], ["h", "row", "at"])
                 else:
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.repeat(part.column(1).to_numpy(), per))], ["h", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes[mine]), pa.array(more)], ["h", "n"])
 
     if with_place:
         return runs.select("hashes", "row", F.col("first").cast("long")).mapInArrow(run, "h long, row long, at long")
@@ -202,15 +209,21 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = groups.select(F.col("one.row").alias("row"), F.col("one.first").alias("first"), "n")
     distinct_runs = written(keyed.select("row", "first", "hashes").join(firsts, ["row", "first"]), "runs")
     free_shuffles(docs.sparkSession)
-    repeated = written(_windows(distinct_runs, False).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "repeated")
-    free_shuffles(docs.sparkSession)
-    single = _windows(distinct_runs.where("n = 1"), True)
-    places = single.join(repeated, "h", "left_semi")
+    turns = []
+    for turn in range(TURNS):
+        repeated = written(_windows(distinct_runs, False, turn).groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h"), "repeated")
+        free_shuffles(docs.sparkSession)
+        single = _windows(distinct_runs.where("n = 1"), True, turn)
+        turns.append(written(single.join(repeated, "h", "left_semi").select("row", "at"), "places"))
+        discard(repeated)
+        free_shuffles(docs.sparkSession)
+    places = functools.reduce(DataFrame.unionByName, turns)
     spans = written(places.groupBy("row").agg(F.sort_array(F.collect_list("at")).alias("at")), "spans")
-    free_shuffles(docs.sparkSession)
     # Runs that are copied whole: every window of every copy is repeated.
-    discard(repeated)
-    lone = distinct_runs.where("n = 1").select((F.col("row") + 0).alias("row"), F.col("first"))
+    lone = written(distinct_runs.where("n = 1").select("row", "first"), "lone")
+    discard(distinct_runs, *turns)
+    free_shuffles(docs.sparkSession)
+    lone = lone.select((F.col("row") + 0).alias("row"), F.col("first"))
     whole = keyed.select("row", "first", F.col("size").alias("len")).join(lone, ["row", "first"], "left_anti")
     wholes = whole.groupBy("row").agg(F.collect_list(F.struct("first", "len")).alias("whole"))
     touched = marked.where(F.size("runs") > 0).select(id_col, "row", "n_words", "text").join(spans, "row", "left").join(wholes, "row", "left")

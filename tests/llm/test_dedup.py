@@ -236,3 +236,12 @@ def test_near_copies_are_proposed_by_the_grid(spark, monkeypatch):
     monkeypatch.setattr(simhash, "fingerprint_links", watched)
     assert dict(rows_of(simhash.near_copies(docs_of(spark, texts)), "doc_id", "component_id")) == {0: 0, 1: 0}
     assert one_simhash(texts[0], 5) != one_simhash(texts[1], 5) and proposed == [1]
+
+
+def test_windows_take_turns(spark):
+    """Each window of the runs comes in one turn, with its place."""
+    hashes = np.random.default_rng(3).integers(-(2**62), 2**62, 200)
+    runs = spark.createDataFrame([(7, 10, bytearray(hashes[:150].tobytes()), 1), (8, 0, bytearray(hashes[150:].tobytes()), 1)], "row long, first int, hashes binary, n long")
+    turns = [rows_of(substring_dedup._windows(runs, True, k), "h", "row", "at") for k in range(substring_dedup.TURNS)]
+    assert all(turns)
+    assert sorted(r for t in turns for r in t) == sorted((int(h), 7, 10 + k) if k < 150 else (int(h), 8, k - 150) for k, h in enumerate(hashes))
