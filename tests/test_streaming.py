@@ -2,6 +2,8 @@
 
 import random
 from collections import Counter
+from datetime import datetime, timezone
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
@@ -135,3 +137,41 @@ def test_silent_hosts_leave_the_state(spark, tmp_path):
     assert {x.key.ip for x in state("pending").option("flattenCollectionTypes", "true").load().collect()} <= {"b"}
     put_slots(spark, source, [("a", 63, 1)])  # it comes back and starts anew; what it had is in the rows
     assert tracked(spark, source, folder, late="1 hour", idle_hours=24)["a"] == (1, 63, 2)
+
+
+def test_state_is_read_and_written_once_for_each_host():
+    """However many slots a batch has, a host's state is asked for the same number of times."""
+    calls = []
+
+    class Value:
+        def __init__(self):
+            self.held = None
+
+        def get(self):
+            calls.append("get")
+            return self.held
+
+        def update(self, new):
+            calls.append("update")
+            self.held = new
+
+        def clear(self):
+            self.held = None
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    counts = []
+    for n in (2, 500):
+        tracker = runs.RunTracker(1000)
+        tracker.init(Handle())
+        calls.clear()
+        slots = [SimpleNamespace(slot=k, at=datetime.fromtimestamp(3600 * k, timezone.utc), exceeds=1) for k in range(n)]
+        out = list(tracker.handleInputRows(("a",), iter(slots), None))
+        assert [(r.now, r.longest, r.slot) for r in out] == [(n, n, n - 1)]
+        counts.append(len(calls))
+    assert counts[0] == counts[1] <= 6
