@@ -10,6 +10,7 @@ from sparkwarden.operators import sequences as Q
 from sparkwarden.operators import sets as S
 from sparkwarden.operators.enrich import bounded
 from sparkwarden.operators.graph import cosine_components
+from sparkwarden.storage import written
 
 
 def bot_rate(members: DataFrame, bots: DataFrame, group: str, host: str = "ip") -> DataFrame:
@@ -43,9 +44,10 @@ def bot_networks(dns: DataFrame, malicious: DataFrame, similarity: float, k: int
     from sparkwarden.plans.dns import failure_rate
 
     bad = dns.join(bounded(malicious.select("queries_name").distinct()), "queries_name", "left_semi")
-    visits = bad.select("srcip", "queries_name").distinct()
+    # Written, as the failures are, since they are read several times.
+    visits = written(bad.select("srcip", "queries_name").distinct(), "visits")
     members = cosine_components(visits, "srcip", "queries_name", similarity).withColumnRenamed("component", "subnet").withColumnRenamed("node", "srcip")
-    failures = failure_rate(dns)
+    failures = written(failure_rate(dns), "failures")
     rates = members.join(failures, "srcip").groupBy("subnet").agg(F.round(F.avg("failure_rate"), 6).alias("mean_failures"))
     bots = bot_rate(members.select("subnet", "srcip"), failures.where(F.col("failure_rate") >= failing), "subnet", "srcip")
     domains = visits.join(members, "srcip").groupBy("subnet", "queries_name").agg(F.count(F.lit(1)).alias("n"))
