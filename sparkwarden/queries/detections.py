@@ -419,10 +419,10 @@ _TOPICS = "t AS (SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+'
          b AS (SELECT doc_id, topic, word, row_number() OVER (PARTITION BY doc_id, topic ORDER BY round(part, 9) DESC, word) AS k FROM p)
     SELECT doc_id, topic, round(share, 6) AS share, words FROM m JOIN (SELECT doc_id, topic, string_agg(word, ',' ORDER BY k) AS words FROM b WHERE k <= 3 GROUP BY ALL) USING (doc_id, topic) WHERE share > 0.3""")
 def dt25(spark, d):
-    tokens = leak.word_tokens(table(spark, d, "documents"))
-    words = tokens.select("word").distinct()
-    topic = lambda k, p: words.select("word", ((F.length("word") + k) % 3).alias("topic"), F.lit(p).alias("p"))
-    return leak.topic_tags(tokens, topic(0, 0.75).unionByName(topic(1, 0.25)))
+    docs = table(spark, d, "documents")
+    counts = leak.word_counts(leak.word_tokens(docs))
+    topic = lambda k, p: counts.select("word", ((F.length("word") + k) % 3).alias("topic"), F.lit(p).alias("p"))
+    return leak.topic_tags(docs, topic(0, 0.75).unionByName(topic(1, 0.25)), counts)
 
 
 _ENDS = "d AS (SELECT *, doc_id % 10 AS dd FROM v_doc), x AS (SELECT doc_id, owner AS user, tag, dd, hh, bytes FROM d UNION ALL SELECT doc_id, peer, tag, dd, hh, bytes FROM d WHERE peer <> owner AND starts_with(peer, '10.'))"
