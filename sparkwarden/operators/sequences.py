@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwarden.operators.enrich import bounded
 from sparkwarden.operators.runs import longest_slot_run
+from sparkwarden.storage import written
 
 #: Gaps of one key that are listed in one row; keys with more have a row for each gap and stride.
 ROW_GAPS = 100_000
@@ -74,15 +76,25 @@ def _best_stride(numbered: DataFrame, keys: list[str]) -> DataFrame:
 def periodicity(df: DataFrame, keys: list[str], at: str, tie: str, least: int = 4, row_gaps: int = ROW_GAPS) -> DataFrame:
     """Of each key with ``least`` records: number of gaps and ``score`` (strided autocorrelation over all of them).
 
-    Lists of at most ``row_gaps`` gaps are scored within a row; those of longer ones row by row, with the same result.
+    Lists of at most ``row_gaps`` gaps are scored within a row, made of the key's sorted times in one shuffle; longer ones
+    row by row, with the same result.  Rows without a time or a key are left out.
     """
-    spaced = gaps(df, keys, at, tie, least).select(*keys, (F.col("k") - 2).alias("p"), F.col("gap").cast("double").alias("x"))
-    sizes = spaced.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    long = sizes.where(F.col("__n") > row_gaps).select(*keys)
-    short = spaced.join(sizes.where(F.col("__n") <= row_gaps).select(*keys), keys, "left_semi")
-    listed = short.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "x"))), lambda s: s["x"]).alias("x"))
-    scored = listed.select(*keys, F.size("x").alias("n_gaps"), F.round(strided_autocorrelation(F.col("x")), 6).alias("score"))
-    return scored.unionByName(_best_stride(spaced.join(long, keys, "left_semi"), keys))
+    rows = df.where(F.col(at).isNotNull())
+    for c in keys:
+        rows = rows.where(F.col(c).isNotNull())
+    rows = rows.select(*keys, at, tie)
+    busy = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > row_gaps + 1).select(*keys), "busy-keys")
+    any_busy = not busy.isEmpty()
+    short = rows.join(bounded(busy), keys, "left_anti") if any_busy else rows
+    # Records at one time are zero apart in any order, so the tie does not matter here.
+    listed = short.groupBy(*keys).agg(F.array_sort(F.collect_list(at)).alias("__at")).where(F.size("__at") >= max(least, 2))
+    n = F.size("__at") - 1
+    spaced = listed.select(*keys, F.zip_with(F.slice("__at", F.lit(2), n), F.slice("__at", F.lit(1), n), lambda b, a: (b - a).cast("double")).alias("x"))
+    scored = spaced.select(*keys, F.size("x").alias("n_gaps"), F.round(strided_autocorrelation(F.col("x")), 6).alias("score"))
+    if not any_busy:
+        return scored
+    numbered = gaps(rows.join(bounded(busy), keys, "left_semi"), keys, at, tie, least).select(*keys, (F.col("k") - 2).alias("p"), F.col("gap").cast("double").alias("x"))
+    return scored.unionByName(_best_stride(written(numbered, "gaps"), keys))
 
 
 def presence_autocorrelation(df: DataFrame, keys: list[str], slot: str) -> DataFrame:

@@ -10,7 +10,7 @@ from sparkwarden.operators import sequences as Q
 from sparkwarden.operators import sets as S
 from sparkwarden.operators.enrich import bounded
 from sparkwarden.operators.graph import cosine_components
-from sparkwarden.storage import written
+from sparkwarden.storage import discard, written
 
 
 def bot_rate(members: DataFrame, bots: DataFrame, group: str, host: str = "ip") -> DataFrame:
@@ -65,16 +65,20 @@ def netflow_bots(dns: DataFrame, flows: DataFrame, malicious: DataFrame, heartbe
     bytes, records, whether the host is among the ``compromised`` (``ip``), and the share of compromised records of all.
     """
     keys = ["flow_id", "srcip", "srcport", "dstport"]
-    bad = dns.join(bounded(malicious.select("queries_name").distinct()), "queries_name", "left_semi")
+    # Each step is read by several later ones, so it is written: else the joins before it were made again for each of them.
+    names = written(malicious.select("queries_name").distinct(), "names")
+    hosts = written(heartbeat_hosts.select("srcip").distinct(), "beating-hosts")
+    bad = dns.select(*keys, "queries_name", "sec", "answer_length").join(bounded(names), "queries_name", "left_semi").join(bounded(hosts), "srcip", "left_semi")
     both = bad.join(flows.where(F.col("protocol").isin("tcp", "udp")).select(*keys, (F.col("upbytesize") + F.col("downbytesize")).alias("bytes")), keys).where(F.col("bytes") < most_bytes)
-    beating = both.join(bounded(heartbeat_hosts.select("srcip").distinct()), "srcip", "left_semi")
-    steady = Q.three_window_presence(beating, "queries_name", "sec", width)
-    kept = beating.join(steady, "queries_name", "left_semi")
-    usual = A.mode(kept, ["queries_name"], "answer_length").select("queries_name", "answer_length")
-    alike = kept.join(usual, ["queries_name", "answer_length"], "left_semi")
-    shared = A.shared_by(alike, "queries_name", "srcip", least_hosts).withColumnRenamed("n", "hosts")
-    known = bounded(compromised.select(F.col("ip").alias("srcip")).distinct().withColumn("compromised", F.lit(1)))
-    found = alike.join(shared, "queries_name").join(known, "srcip", "left").withColumn("compromised", F.coalesce("compromised", F.lit(0)))
-    rows = found.groupBy("queries_name", "srcip", "answer_length", "hosts", "compromised").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("records"))
+    beating = written(both.select("queries_name", "srcip", "sec", "answer_length", "bytes"), "beating")
+    steady = written(Q.three_window_presence(beating, "queries_name", "sec", width), "steady")
+    kept = beating.join(bounded(steady), "queries_name", "left_semi")
+    usual = written(A.mode(kept, ["queries_name"], "answer_length").select("queries_name", "answer_length"), "usual")
+    alike = written(kept.join(bounded(usual), ["queries_name", "answer_length"], "left_semi"), "alike")
+    shared = written(A.shared_by(alike, "queries_name", "srcip", least_hosts).withColumnRenamed("n", "hosts"), "shared")
+    known = written(compromised.select(F.col("ip").alias("srcip")).distinct().withColumn("compromised", F.lit(1)), "compromised")
+    found = alike.join(bounded(shared), "queries_name").join(bounded(known), "srcip", "left").withColumn("compromised", F.coalesce("compromised", F.lit(0)))
+    rows = written(found.groupBy("queries_name", "srcip", "answer_length", "hosts", "compromised").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("records")), "rows")
+    discard(names, hosts, beating, steady, usual, alike, shared, known)
     total = rows.agg(F.round(F.sum(F.col("compromised") * F.col("records")) / F.sum("records"), 6).alias("bot_probability"))
     return rows.join(F.broadcast(total), how="cross")  # one row
