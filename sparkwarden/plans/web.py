@@ -9,10 +9,10 @@ from sparkwarden.functions import strings as S
 from sparkwarden.operators import aggregates as A
 
 
-def injection_texts(requests: DataFrame, words: list[str]) -> DataFrame:
-    """Requests as spaced lower-case tokens after decoding, and whether a confirming keyword occurs."""
+def injection_texts(requests: DataFrame, words: list[str], more: list[str] | None = None) -> DataFrame:
+    """Requests as spaced lower-case tokens after decoding, and whether a confirming keyword occurs; ``more`` names columns that stay."""
     text = S.spaced_tokens(S.percent_decoded(F.col("uri")))
-    return requests.select("flow_id", "srcip", "host", text.alias("text")).withColumn("keyword", S.has_word(F.col("text"), words))
+    return requests.select("flow_id", "srcip", "host", *(more or []), text.alias("text")).withColumn("keyword", S.has_word(F.col("text"), words))
 
 
 def injections(requests: DataFrame, words: list[str], model) -> DataFrame:

@@ -18,7 +18,7 @@ from sparkwarden.plans.scoring import ScoreRegistry, scored_day
 from sparkwarden.queries import query
 from sparkwarden.queries.detections import _PORTS, _old_new, _port_baseline
 from sparkwarden.queries.relational import _PERIOD, _RATIO
-from sparkwarden.storage import shared_dir
+from sparkwarden.storage import scratch, shared_dir, written
 
 VIEWS = ("v_flow_ts", "v_dns", "v_http", "v_evt")
 #: Words that confirm an injection here, and what such a request must hold.
@@ -35,21 +35,26 @@ def _traffic(spark, d):
 
 
 def detector_events(spark, d):
-    """All ten detectors over days 21 to 30, as events."""
+    """All ten detectors over days 21 to 30, as events.
+
+    What several detectors read, or one several times, is written once; the caller writes the events within
+    ``storage.scratch``, which deletes these tables.
+    """
     old, new = _old_new(spark, d)
     _, dns = _old_new(spark, d, "v_dns")
+    dns = written(dns.select("flow_id", "srcip", "queries_name", "flags_response", "size", "sec", "dd", "page_id"), "dns")
     _, log = _old_new(spark, d, "v_evt")
     # Names with few vowels; a host is reported for a day with two of them.
     name = F.element_at(F.split("queries_name", r"\."), -3)
     odd = dns.withColumn("domain", name).where((F.length("domain") > 0) & (S.share(F.col("domain"), S.VOWELS) < VOWELS))
-    algorithmic = E.detected("algorithmic_domain", odd, "srcip", score=F.countDistinct("domain")).where("score >= 2")
-    ports = E.detected("abnormal_ports", flows.abnormal_ports(new, _port_baseline(old), as_of=21), "dstip")
+    algorithmic = written(E.detected("algorithmic_domain", odd, "srcip", score=F.countDistinct("domain")).where("score >= 2"), "algorithmic")
+    ports = E.detected("abnormal_ports", flows.abnormal_ports(new, written(_port_baseline(old), "port-baseline"), as_of=21), "dstip")
     long = dns.where(F.length(F.replace("queries_name", F.lit("."), F.lit(""))) >= LONG_NAME)
     covert = E.detected("covert_channel", long, "srcip", score=F.sum(F.col("flags_response")), mean_up=F.avg("size")).where("score > 0 AND score < n")
-    talks = dns.join(new.select("flow_id", "upbytesize"), "flow_id").select("srcip", "queries_name", "sec", "dd", "flow_id", "upbytesize", "page_id")
+    talks = written(dns.join(new.select("flow_id", "upbytesize"), "flow_id").select("srcip", "queries_name", "sec", "dd", "flow_id", "upbytesize", "page_id"), "talks")
     beats = Q.periodicity(talks, ["srcip", "queries_name"], "sec", "flow_id").where(F.col("score") > PERIODIC)
-    threats = talks.where("page_id % 10 = 0").select("queries_name")
-    suspicious = talks.where("page_id % 3 = 0").select("queries_name")
+    threats = written(talks.where("page_id % 10 = 0").select("queries_name").distinct(), "threats")
+    suspicious = written(talks.where("page_id % 3 = 0").select("queries_name").distinct(), "suspicious")
     tagged = membership(talks.join(beats, ["srcip", "queries_name"]), "queries_name", threats, suspicious)
     # A conversation is one event, on its last day.
     conversation = tagged.groupBy("srcip", "queries_name").agg(F.max("dd").alias("dd"), F.max("sec").alias("sec"), F.min("flow_id").alias("flow_id"), F.max("score").alias("score"), F.max("tag").alias("tag"), F.avg("upbytesize").alias("mean_up"))
@@ -57,24 +62,27 @@ def detector_events(spark, d):
     ratios = flows.ratio_anomalies(new, flows.ratio_baseline(old))
     asked = bounded(algorithmic.select("ip", F.col("day").alias("dd")).withColumn("asked", F.lit(1)))
     up_down = E.detected("up_down", ratios.join(asked, ["ip", "dd"], "left"), "ip", score=F.max("ratio"), tag=F.max(F.coalesce("asked", F.lit(0))))
-    pairs = flows.bulk_periods(old, 1000).where("dd <= 3").select("ip", "period").distinct()
+    pairs = written(flows.bulk_periods(old, 1000).where("dd <= 3").select("ip", "period").distinct(), "periods")
     external = E.detected("external_connection", flows.unusual_flows(new, pairs, 1000), "srcip")
     traffic = flows.volume_exceedances(_traffic(spark, d), ["ip"], "dd", "hh", k=1.0, days=20)
-    runs = flows.longest_slot_run(traffic.where("dd > 20"), ["ip", "dd"], "hh", "exceeds").where("longest >= 1").select("ip", "dd", "longest")
-    volume = E.detected("traffic_anomaly", traffic.where("exceeds = 1").join(runs, ["ip", "dd"]), "ip", score=F.max("longest"))
-    botted = A.shared_by(dns.where("page_id % 10 = 0"), "queries_name", "srcip", 3).select("queries_name")
+    exceeding = written(traffic.where("dd > 20 AND exceeds = 1").select("ip", "dd", "hh", "sec", "flow_id", "exceeds"), "exceeding")
+    runs = flows.longest_slot_run(exceeding, ["ip", "dd"], "hh", "exceeds").where("longest >= 1").select("ip", "dd", "longest")
+    volume = E.detected("traffic_anomaly", exceeding.join(runs, ["ip", "dd"]), "ip", score=F.max("longest"))
+    botted = written(A.shared_by(dns.where("page_id % 10 = 0"), "queries_name", "srcip", 3).select("queries_name"), "botted")
     bots = E.detected("botnet", dns.join(bounded(botted), "queries_name", "left_semi"), "srcip", score=F.countDistinct("queries_name"))
     requests = view(spark, d, "v_http").where("dd > 20")
-    attacks = web.injection_texts(requests, WORDS).where("keyword").select("flow_id").join(requests.select("flow_id", F.col("srcip").alias("ip"), "dstip", F.col("request_date").alias("sec"), "dd"), "flow_id").withColumnRenamed("flow_id", "id")
+    # The rest of the request stays beside its text, so that it is not joined again.
+    attacks = web.injection_texts(requests, WORDS, ["dstip", "request_date", "dd"]).where("keyword").select(F.col("flow_id").alias("id"), F.col("srcip").alias("ip"), "dstip", F.col("request_date").alias("sec"), "dd")
     log = log.where(F.col("value") >= THREAT_VALUE).select("id", "ip", "dstip", "sec", "dd", (F.col("modeltype") == "error").alias("bad"))
-    security = E.security_events(log.unionByName(attacks.withColumn("bad", F.lit(False)).select(*log.columns)), F.col("bad"))
+    security = E.security_events(written(log.unionByName(attacks.withColumn("bad", F.lit(False)).select(*log.columns)), "security"), F.col("bad"))
     return E.all_events([ports, covert, heartbeat, up_down, algorithmic, external, volume, security, bots])
 
 
 def event_table(spark, d, root=None):
     """Events of the run as they come back from the table; detected again, they replace themselves."""
     log = E.event_log(spark, root or f"{shared_dir(spark)}/sparkwarden/events-{uuid.uuid4().hex}")
-    log.write(detector_events(spark, d), "days-21-30")
+    with scratch():
+        log.write(detector_events(spark, d), "days-21-30")
     return log.read()
 
 
@@ -152,7 +160,7 @@ _VECTOR = ", ".join(E.KINDS)
     FROM z SEMI JOIN allowed USING ({_VECTOR}) WHERE score > 20""", VIEWS)
 def dt14_verdicts(spark, d):
     """Vectors of three to twelve hosts are rules; an analyst has seen every host and rejected a third of them."""
-    found = E.fused(event_table(spark, d), MOST_UP)
+    found = written(E.fused(event_table(spark, d), MOST_UP), "fused")  # read as patterns, feedback and verdicts
     patterns = found.groupBy(*E.KINDS).agg(F.count(F.lit(1)).alias("n")).where("n BETWEEN 3 AND 12").withColumn("pattern_score", F.lit(90.0))
     feedback = found.withColumn("flag", F.when(F.col("first_at") % 3 == 2, 2).otherwise(1))
     return E.verdicts(found, WEIGHTS, patterns, feedback, cut_off=20)
