@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sparkwarden.llm import arrays, workers
 from sparkwarden.operators.graph import connected_components
-from sparkwarden.storage import discard, free_shuffles, scratch, small_or_shuffled, written
+from sparkwarden.storage import discard, free_shuffles, scratch, shuffled, small_or_shuffled, written
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seeds: tuple[int, ...] = (42,)) -> DataFrame:
@@ -103,7 +103,7 @@ def _star_links(fps: DataFrame, radius: int) -> DataFrame:
     quarter = fps.select("fp", "n", F.explode(F.array(*[F.shiftrightunsigned("fp", 16 * k).bitwiseAND(F.lit(0xFFFF)).cast("long") + F.lit(k << 16) for k in range(4)])).alias("key"))
     top = quarter.groupBy("key").agg(F.max(F.struct("n", "fp")).alias("top")).select((F.col("key") + 0).alias("of"), F.col("top.fp").alias("hub"))
     spread = quarter.select("fp", (F.col("key") + 0).alias("of"))
-    return spread.join(top, (spread["of"] == top["of"]) & (spread["fp"] != top["hub"]) & (distance("fp", "hub") <= radius)).select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
+    return shuffled(spread).join(top, (spread["of"] == top["of"]) & (spread["fp"] != top["hub"]) & (distance("fp", "hub") <= radius)).select(F.col("fp").alias("a"), F.col("hub").alias("b")).distinct()
 
 
 def fingerprint_links(fps: DataFrame, radius: int = 4, widths: tuple[int, ...] = WIDTHS, parts: int = 2) -> DataFrame:
@@ -114,18 +114,18 @@ def fingerprint_links(fps: DataFrame, radius: int = 4, widths: tuple[int, ...] =
     """
     stars = written(_star_links(fps, radius), "stars")
     known = connected_components(stars, "a", "b").select(F.col("node").alias("fp"), F.col("component").alias("c"))
-    labelled = written(fps.join(known, "fp", "left").select("fp", F.coalesce("c", "fp").alias("c")), "labelled")
+    labelled = written(fps.join(shuffled(known), "fp", "left").select("fp", F.coalesce("c", "fp").alias("c")), "labelled")
     # Each row becomes some sixty: they are dealt out again first, however few files hold them.
     tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     points = grid_points(labelled.repartition(tasks), radius, widths, parts)
     # Grid points with one component only have nothing left to find.
     sizes = points.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     mixed = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("cell").alias("at"), F.col("top.c").alias("largest"))
-    held = written(points.join(mixed, F.col("cell") == F.col("at")).select("cell", "fp", "c", "largest"), "points")
+    held = written(shuffled(points).join(mixed, F.col("cell") == F.col("at")).select("cell", "fp", "c", "largest"), "points")
     free_shuffles(fps.sparkSession)
     few = held.where("c <> largest").select((F.col("cell") + 0).alias("x_cell"), F.col("fp").alias("x"), F.col("c").alias("x_c"))
     many = held.select((F.col("cell") + 0).alias("y_cell"), F.col("fp").alias("y"), F.col("c").alias("y_c"))
-    found = few.join(many, (few["x_cell"] == many["y_cell"]) & (few["x_c"] != many["y_c"]) & (distance("x", "y") <= radius))
+    found = shuffled(few).join(many, (few["x_cell"] == many["y_cell"]) & (few["x_c"] != many["y_c"]) & (distance("x", "y") <= radius))
     # Pairs of fingerprints collapse to pairs of components at once.
     found = found.groupBy(F.least("x_c", "y_c").alias("p"), F.greatest("x_c", "y_c").alias("q")).agg(F.min(F.struct(F.col("x").alias("a"), F.col("y").alias("b"))).alias("pair"))
     links = written(stars.unionByName(found.select("pair.a", "pair.b")), "links")
@@ -145,12 +145,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = fingerprint_links(classes, radius, widths, parts)
     nodes = connected_components(links, "a", "b")
     # Components have numbers of fingerprints; each gets the smallest id of its classes.
-    lone = classes.join(nodes, classes["fp"] == nodes["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
+    lone = classes.join(shuffled(nodes), classes["fp"] == nodes["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     smallest = lone.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = written(lone.select("fp", (F.col("c") + 0).alias("c")).join(smallest.select((F.col("c") + 0).alias("c"), "component_id"), "c").select("fp", "component_id"), "named")
+    named = written(shuffled(lone).select("fp", (F.col("c") + 0).alias("c")).join(smallest.select((F.col("c") + 0).alias("c"), "component_id"), "c").select("fp", "component_id"), "named")
     discard(links, classes, nodes)
     hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return rows.join(named, "fp").select(F.col("doc_id").alias(id_col), hexed.alias("fingerprint"), "component_id")
+    return rows.join(shuffled(named), "fp").select(F.col("doc_id").alias(id_col), hexed.alias("fingerprint"), "component_id")
 
 
 def _in_common(x: pa.Array, y: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwarden.operators.enrich import bounded
-from sparkwarden.storage import discard, scratch, written
+from sparkwarden.storage import discard, scratch, shuffled, written
+
+#: Moves of a round of ``connected_components`` that are broadcast at most.
+MOVES = 100_000
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -23,25 +26,26 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     """
     ends = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null")
     given = written(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-    moves, rewritten = [], []
+    moves, marks, rewritten = [], [], []
     live = given.where("a <> b")
     while not live.isEmpty():
         near = live.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e"))
         step = near.groupBy(F.col("e.node").alias("node")).agg(F.min("e.other").alias("m")).select("node", F.least("node", "m").alias("to"))
         onward = step.select(F.col("node").alias("to"), F.col("to").alias("onward"))
         jump = written(step.join(onward, "to", "left").select("node", F.coalesce("onward", "to").alias("to")), "jump")
-        at_a, at_b = (jump.select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
+        mark = F.broadcast if jump.limit(MOVES + 1).count() <= MOVES else shuffled
+        at_a, at_b = (mark(jump).select(F.col("node").alias(x), F.col("to").alias(f"to_{x}")) for x in "ab")
         moved = live.join(at_a, "a").join(at_b, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
         live = written(moved.where("a <> b").distinct(), "edges")
         discard(*rewritten)
-        moves, rewritten = [*moves, jump], [live]
+        moves, marks, rewritten = [*moves, jump], [*marks, mark], [live]
     labels = given.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
     if moves:
         whole = moves[-1]
-        for jump in reversed(moves[:-1]):
-            onward = whole.select(F.col("node").alias("to"), F.col("to").alias("onward"))
+        for jump, mark in zip(reversed(moves[:-1]), reversed(marks[1:]), strict=True):
+            onward = mark(whole).select(F.col("node").alias("to"), F.col("to").alias("onward"))
             whole = jump.join(onward, "to", "left").select("node", F.coalesce("onward", "to").alias("to"))
-        labels = labels.join(whole, "node", "left").select("node", F.coalesce("to", "component").alias("component"))
+        labels = labels.join(marks[0](whole), "node", "left").select("node", F.coalesce("to", "component").alias("component"))
     labels = written(labels, "labels")
     discard(given, *moves, *rewritten)
     return labels

@@ -89,12 +89,21 @@ def discard(*tables: DataFrame) -> None:
             place.getFileSystem(sc._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df``, marked so that its joins merge and neither side is broadcast.
+
+    Spark takes a table's size from its files, where equal values are stored once and compressed, and does not count the
+    rows that an explode adds: left alone, it sends tables of a gigabyte through the driver as if they had a few MB.
+    """
+    return df.hint("merge")
+
+
 def small_or_shuffled(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast if it was counted to have ``most`` rows or fewer.
+    """``df``, marked for broadcast if it was counted to have ``most`` rows or fewer, else to be ``shuffled``.
 
     For tables that are files or cheap to count: the count stops at ``most`` rows.
     """
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else shuffled(df)
 
 
 def free_shuffles(spark: SparkSession) -> None:
