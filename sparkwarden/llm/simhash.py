@@ -174,7 +174,7 @@ def verified_links(pairs: DataFrame, docs: DataFrame, shingle: int, similarity:
     # Written, since it is counted and then joined at both ends.
     needed = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "needed")
     texts = docs.join(small_or_shuffled(needed), "doc_id", "left_semi")
-    of_a, of_b = (texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    of_a, of_b = (shuffled(texts).select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,8 +220,10 @@ def _frequent_shingles(docs: DataFrame, total: int, shingle: int) -> tuple[np.nd
                 yield pa.RecordBatch.from_arrays([pa.array(_distinct_hashes(texts.slice(a, b - a), shingle)[0].view(np.int64))], ["h"])
 
     counts = some.select("doc_id", "text").mapInArrow(workers.lean(run), "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
-    found = sorted((r["h"] % 2**64, r["n"]) for r in counts.orderBy(F.desc("n"), "h").limit(FREQUENT).collect())
-    return np.array([h for h, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
+    found = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()  # as arrays: rows would take tens of MB of the driver
+    hashes, n = (found.column(k).to_numpy() for k in ("h", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], n[order]
 
 
 #: Bits of the odd sketch of all shingles of a text, in words of 64.
@@ -331,8 +333,8 @@ def _grid_pairs(rows: DataFrame, radius: int, widths: tuple[int, ...] = WIDTHS,
     """Pairs ``(a, b)`` of ids of ``rows`` (``doc_id``, ``f0``): each document with the first one of its fingerprint, and the first ones of fingerprints that the range-join on grid points links."""
     classes = written(rows.groupBy(F.col("f0").alias("fp")).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")), "classes")
     links = fingerprint_links(classes.select("fp", "n"), radius, widths, parts)
-    same = rows.join(classes, rows["f0"] == classes["fp"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    of_a, of_b = (classes.select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
+    same = rows.join(shuffled(classes), rows["f0"] == classes["fp"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    of_a, of_b = (shuffled(classes).select(F.col("fp").alias(x), F.col("rep").alias(f"rep_{x}")) for x in "ab")
     near = links.join(of_a, "a").join(of_b, "b").select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
     pairs = written(same.unionByName(near).distinct(), "proposed")
     discard(classes, links)
@@ -363,8 +365,8 @@ def _may_agree(similarity: float) -> Column:
 def _sketched(cells: DataFrame, odd: DataFrame) -> DataFrame:
     """``cells`` with, of each document, the first of its cells here (``head``), its number of shingles and its odd sketch."""
     head = F.slice(F.sort_array(F.collect_set("cell")), 1, HEAD).alias("head")
-    both = cells.groupBy(F.col("doc").alias("__doc")).agg(head).join(odd, F.col("__doc") == F.col("of_doc")).drop("of_doc")
-    return cells.join(both, F.col("doc") == F.col("__doc")).drop("__doc")
+    both = cells.groupBy(F.col("doc").alias("__doc")).agg(head).join(shuffled(odd), F.col("__doc") == F.col("of_doc")).drop("of_doc")
+    return shuffled(cells).join(both, F.col("doc") == F.col("__doc")).drop("__doc")
 
 
 def _first_shared() -> Column:
@@ -384,7 +386,7 @@ def _mixed_cells(shared: DataFrame, known: DataFrame) -> DataFrame:
     labels = known.select(F.col("node").alias("doc"), F.col("component"))
     labelled = written(shared.join(small_or_shuffled(labels), "doc", "left").select("cell", "doc", F.coalesce("component", "doc").alias("c")), "labelled")
     mixed = labelled.groupBy("cell").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("m")).where("lo < hi").select((F.col("cell") + 0).alias("of"), "m")
-    out = written(labelled.join(mixed, F.col("cell") + 0 == F.col("of")).drop("of"), "mixed")
+    out = written(shuffled(labelled).join(mixed, F.col("cell") + 0 == F.col("of")).drop("of"), "mixed")
     discard(labelled)
     free_shuffles(shared.sparkSession)
     return out
@@ -407,7 +409,7 @@ def _cell_stars(cells: DataFrame, similarity: float, salt: int) -> DataFrame:
     hubs = dealt.groupBy("cell", "party").agg(F.min(F.struct(F.xxhash64("doc", F.lit(-salt)).alias("first"), "doc", "n", "c", *_ODD)).alias("hub"))
     hubs = _side(hubs.select("cell", F.col("party").alias("of_party"), "hub.*"), "y", "of_party")
     met = (F.col("x_cell") == F.col("y_cell")) & (F.col("party") == F.col("of_party")) & (F.col("x_c") != F.col("y_c"))
-    found = _side(dealt, "x", "party").join(hubs, met & _may_agree(similarity))
+    found = shuffled(_side(dealt, "x", "party")).join(hubs, met & _may_agree(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -423,8 +425,8 @@ def _all_pairs(cells: DataFrame, similarity: float) -> DataFrame:
     """All pairs of documents of different components that share a cell, where their odd sketches leave room for ``similarity``."""
     sizes = cells.groupBy("cell", "c").agg(F.count(F.lit(1)).alias("m"))
     top = sizes.groupBy("cell").agg(F.max(F.struct("m", "c")).alias("top")).select((F.col("cell") + 0).alias("of"), F.col("top.c").alias("largest"))
-    few = _side(cells.join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest"), "x")
-    found = few.join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _first_shared() & _may_agree(similarity))
+    few = _side(shuffled(cells).join(top, F.col("cell") + 0 == F.col("of")).where("c <> largest"), "x")
+    found = shuffled(few).join(_side(cells, "y"), (F.col("x_cell") == F.col("y_cell")) & (F.col("x_c") != F.col("y_c")) & _first_shared() & _may_agree(similarity))
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -481,7 +483,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     last = verified_links(_all_pairs(cells, similarity), own, shingle, similarity)
     nodes = connected_components(links.unionByName(last), "a", "b").withColumnRenamed("component", "component_id")
     discard(cells, odd, *found, last)
-    return own.select("doc_id").join(nodes, F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return own.select("doc_id").join(shuffled(nodes), F.col("doc_id") == F.col("node"), "left").select(F.col("doc_id").alias(id_col), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
